@@ -1,0 +1,70 @@
+"""The streaming aggregations and how they are started.
+
+Both use the operators of the batch side; the watermark is the grace period. Each
+is a query of its own with its own watermark, state and checkpoint.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from spintally.operators.aggregates import completion_stats, hourly_counts, play_starts
+from spintally.schema import (
+    COMPLETION_FIELDS,
+    COMPLETION_GRACE_MS,
+    HOURLY_FIELDS,
+    RANKING_GRACE_MS,
+)
+from spintally.streaming.sinks import history_sink
+
+COMPLETION_QUERY = "completion-stats"
+HOURLY_QUERY = "hourly-play-counts"
+FLUSH_INTERVAL = "1 second"
+
+
+def completion_updates(events: DataFrame) -> DataFrame:
+    """Changed completion records; late events count until the window's grace is over."""
+    return completion_stats(events.withWatermark("ts", f"{COMPLETION_GRACE_MS} milliseconds"))
+
+
+def hourly_updates(events: DataFrame) -> DataFrame:
+    """Changed hourly records; only start events advance the watermark."""
+    starts = play_starts(events).withWatermark("ts", f"{RANKING_GRACE_MS} milliseconds")
+    return hourly_counts(starts)
+
+
+def start(
+    updates: DataFrame, sink, checkpoint: str, name: str, available_now: bool = False
+) -> StreamingQuery:
+    """Run in update mode: every batch emits the records it changed, nothing is held back."""
+    writer = (
+        updates.writeStream.queryName(name)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(sink)
+    )
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=FLUSH_INTERVAL).start()
+
+
+def start_completion(events: DataFrame, root: str, available_now: bool = False) -> StreamingQuery:
+    """Completion records into ``root/history`` and ``root/latest``."""
+    sink = history_sink(COMPLETION_FIELDS, f"{root}/history", f"{root}/latest")
+    return start(
+        completion_updates(events), sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now
+    )
+
+
+def start_hourly(events: DataFrame, root: str, available_now: bool = False) -> StreamingQuery:
+    """Hourly records into ``root/history`` and ``root/latest``."""
+    sink = history_sink(HOURLY_FIELDS, f"{root}/history", f"{root}/latest")
+    return start(hourly_updates(events), sink, f"{root}/checkpoint", HOURLY_QUERY, available_now)
+
+
+def read_results(spark: SparkSession, root: str, fields) -> DataFrame:
+    """Stream of the stored result records from the earliest batch on."""
+    from spintally.schema import table_schema
+
+    return spark.readStream.schema(table_schema(fields)).parquet(f"{root}/history/batch_id=*")
