@@ -6,19 +6,33 @@ song holding a third of the rows reaches the final step as one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spintally.functions.plays import completion_rate, is_completed_play, is_start
-from spintally.functions.times import tumbling
-from spintally.schema import COMPLETION_WINDOW_MS, RANKING_WINDOW_MS
+from spintally.functions.times import floor_to_window, tumbling
+from spintally.schema import (
+    COMPLETION_FIELDS,
+    COMPLETION_WINDOW_MS,
+    HOURLY_FIELDS,
+    RANKING_WINDOW_MS,
+    columns,
+)
 
 
-def _bounds():
-    return (
-        F.unix_millis("w.start").alias("window_start"),
-        F.unix_millis("w.end").alias("window_end"),
-    )
+def _per_window(events: DataFrame, size_ms: int, counts: list[Column]) -> DataFrame:
+    """Counts by song and window, with the window bounds in milliseconds.
+
+    A stream has to group by Spark's window column, which carries the watermark. A
+    table groups by the window start alone, a plain number that hashes faster.
+    """
+    if events.isStreaming:
+        counted = events.groupBy("song_id", tumbling(size_ms).alias("w")).agg(*counts)
+        start = F.unix_millis("w.start").alias("window_start")
+        return counted.select("*", start, F.unix_millis("w.end").alias("window_end"))
+    start = floor_to_window("ts_ms", size_ms).alias("window_start")
+    counted = events.groupBy("song_id", start).agg(*counts)
+    return counted.withColumn("window_end", F.col("window_start") + size_ms)
 
 
 def play_starts(events: DataFrame) -> DataFrame:
@@ -34,25 +48,22 @@ def completion_stats(events: DataFrame) -> DataFrame:
 
     Every event opens its window: one with only skips or progress yields 0/0/0.0.
     """
+    counts = [
+        F.count_if(is_start()).alias("starts"),
+        F.count_if(is_completed_play()).alias("completes"),
+    ]
     return (
-        events.groupBy("song_id", tumbling(COMPLETION_WINDOW_MS).alias("w"))
-        .agg(
-            F.count_if(is_start()).alias("starts"),
-            F.count_if(is_completed_play()).alias("completes"),
-        )
-        .select(
-            "song_id", *_bounds(), "starts", "completes", completion_rate().alias("completion_rate")
-        )
+        _per_window(events, COMPLETION_WINDOW_MS, counts)
+        .withColumn("completion_rate", completion_rate())
+        .select(*columns(COMPLETION_FIELDS))
     )
 
 
 def hourly_counts(events: DataFrame) -> DataFrame:
     """Play starts by song and hour."""
-    return (
-        play_starts(events)
-        .groupBy("song_id", tumbling(RANKING_WINDOW_MS).alias("w"))
-        .agg(F.count("*").alias("play_count"))
-        .select("song_id", *_bounds(), "play_count")
+    counts = [F.count("*").alias("play_count")]
+    return _per_window(play_starts(events), RANKING_WINDOW_MS, counts).select(
+        *columns(HOURLY_FIELDS)
     )
 
 

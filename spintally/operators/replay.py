@@ -36,18 +36,22 @@ def closing_arrivals(events: DataFrame, size_ms: int, grace_ms: int) -> DataFram
 
     An event closes every window that ends at or before its time minus grace. It is
     noted at the newest such window; the earliest note at a window or any newer one
-    is the window's closing arrival. Notes shrink to one row per partition and
-    window before any shuffle, whatever the number of events.
+    is the window's closing arrival. Before any shuffle the events shrink to two rows
+    per partition and window at most, whatever their number.
     """
-    held = floor_to_window("ts_ms", size_ms)
-    closed = floor_to_window(F.col("ts_ms") - grace_ms, size_ms) - size_ms
-    nobody = F.lit(None).cast("bigint")
+    first = events.groupBy(
+        "part",
+        floor_to_window("ts_ms", size_ms).alias("held"),
+        (floor_to_window(F.col("ts_ms") - grace_ms, size_ms) - size_ms).alias("closed"),
+    ).agg(F.min("seq").alias("seq"))
     notes = F.array(
-        F.struct(held.alias("window_start"), nobody.alias("closer")),
-        F.struct(closed.alias("window_start"), F.col("seq").alias("closer")),
+        F.struct(
+            F.col("held").alias("window_start"), F.lit(None).cast("bigint").alias("closer")
+        ),
+        F.struct(F.col("closed").alias("window_start"), F.col("seq").alias("closer")),
     )
     per_window = (
-        events.select("part", F.inline(notes))
+        first.select("part", F.inline(notes))
         .groupBy("part", "window_start")
         .agg(F.min("closer").alias("closer"))
     )
@@ -113,7 +117,7 @@ def running_counts(
         *group,
         "seq",
         "arrival_ms",
-        F.floor(F.col("seq") / F.lit(chunk_rows)).alias("chunk"),
+        floor_to_window("seq", chunk_rows).alias("chunk"),
         *[hit.cast("bigint").alias(name) for name, hit in counters.items()],
     )
     before = (

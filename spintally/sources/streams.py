@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spintally.functions.times import event_time
 from spintally.schema import EVENTS_TOPIC, PLAY_EVENT_FIELDS, table_schema
 from spintally.sources.wire import decode_play_events, encode
 
@@ -78,4 +79,4 @@ def read_event_files(
     reader = spark.readStream.schema(table_schema(PLAY_EVENT_FIELDS))
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(path).withColumn("ts", event_time())

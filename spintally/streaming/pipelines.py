@@ -15,7 +15,9 @@ from spintally.schema import (
     COMPLETION_GRACE_MS,
     HOURLY_FIELDS,
     RANKING_GRACE_MS,
+    table_schema,
 )
+from spintally.sources.wire import quarantine
 from spintally.streaming.sinks import history_sink
 
 COMPLETION_QUERY = "completion-stats"
@@ -63,8 +65,20 @@ def start_hourly(events: DataFrame, root: str, available_now: bool = False) -> S
     return start(hourly_updates(events), sink, f"{root}/checkpoint", HOURLY_QUERY, available_now)
 
 
+def start_quarantine(decoded: DataFrame, root: str, available_now: bool = False) -> StreamingQuery:
+    """Rejected messages, as received and with the reason, into ``root/rejected``."""
+    writer = (
+        quarantine(decoded)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", f"{root}/rejected")
+        .option("checkpointLocation", f"{root}/checkpoint")
+    )
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=FLUSH_INTERVAL).start()
+
+
 def read_results(spark: SparkSession, root: str, fields) -> DataFrame:
     """Stream of the stored result records from the earliest batch on."""
-    from spintally.schema import table_schema
-
     return spark.readStream.schema(table_schema(fields)).parquet(f"{root}/history/batch_id=*")
