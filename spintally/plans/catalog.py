@@ -57,6 +57,11 @@ def _late_view(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return tables.delayed(_events(spark, sf_dir)), tables.delayed(_starts(spark, sf_dir))
 
 
+def _late_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delayed arrivals of many songs: for some the last one belongs to an older window."""
+    return tables.delayed(tables.load_play_events(spark, sf_dir, songs=tables.BY_TRACK))
+
+
 # --- Events ---
 
 
@@ -134,7 +139,7 @@ def completion_stats(spark, sf_dir):
 @query
 def completion_stats_many_songs(spark, sf_dir):
     return aggregates.completion_stats(
-        tables.load_play_events(spark, sf_dir, listener_songs=True)
+        tables.load_play_events(spark, sf_dir, songs=tables.BY_LISTENER)
     )
 
 
@@ -248,6 +253,18 @@ def latest_completion_by_arrival(spark, sf_dir):
     return latest.latest_completion_by_arrival(replay.completion_emissions(events))
 
 
+@query
+def latest_tracks_replayed(spark, sf_dir):
+    return latest.latest_completion(replay.completion_emissions(_late_tracks(spark, sf_dir)))
+
+
+@query
+def latest_tracks_by_arrival(spark, sf_dir):
+    return latest.latest_completion_by_arrival(
+        replay.completion_emissions(_late_tracks(spark, sf_dir))
+    )
+
+
 @query
 def song_scores_by_arrival(spark, sf_dir):
     _, starts = _late_view(spark, sf_dir)
@@ -346,7 +363,7 @@ def reconcile_summary(spark, sf_dir):
 def _crowded_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranking with the many entries that load tests left behind."""
     leftovers = tables.load_play_events(
-        spark, sf_dir, types=(PLAY_START,), listener_songs=True
+        spark, sf_dir, types=(PLAY_START,), songs=tables.BY_LISTENER
     )
     return song_scores(spark, sf_dir).union(
         latest.song_scores(aggregates.hourly_counts(leftovers))

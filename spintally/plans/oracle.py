@@ -18,6 +18,7 @@ play AS (
   SELECT CAST(seq AS VARCHAR) AS event_id,
          'user-' || user_id AS user_id,
          'song-' || sidx AS song_id,
+         'song-' || k AS track_song,
          'song-' || user_id || '-' || k AS listener_song,
          CASE action WHEN 'view' THEN 'PLAY_START' WHEN 'click' THEN 'PLAY_START'
               WHEN 'purchase' THEN 'PLAY_END' WHEN 'signup' THEN 'PLAY_PROGRESS'
@@ -114,6 +115,10 @@ hist60 AS (
     FROM log60) WHERE rn = 1)
 """
 
+LATE_TRACKS = LATE.replace(
+    "SELECT * REPLACE (", "SELECT * REPLACE (track_song AS song_id, "
+)
+
 # The reconciled run: plays from 17850000 ms after the origin on, in the window that
 # starts 17700000 ms after it.
 EXPECTED = f"""
@@ -275,6 +280,14 @@ ORACLE: dict[str, str] = {
          SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY window_start DESC) AS rn
          FROM hist5) WHERE rn = 1""",
     "latest_completion_by_arrival": _with(PLAY, LATE)
+    + """SELECT * EXCLUDE (seq, rn) FROM (
+         SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seq DESC) AS rn
+         FROM log5) WHERE rn = 1""",
+    "latest_tracks_replayed": _with(PLAY, LATE_TRACKS)
+    + """SELECT * EXCLUDE (seq, rn) FROM (
+         SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY window_start DESC) AS rn
+         FROM hist5) WHERE rn = 1""",
+    "latest_tracks_by_arrival": _with(PLAY, LATE_TRACKS)
     + """SELECT * EXCLUDE (seq, rn) FROM (
          SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seq DESC) AS rn
          FROM log5) WHERE rn = 1""",

@@ -28,6 +28,8 @@ TRACK_PATTERN = r'"k"\s*:\s*(\d+)'
 SHORT_DELAY_MS = 200_000
 LONG_DELAY_MS = 600_000
 
+BY_RANK, BY_TRACK, BY_LISTENER = "rank", "track", "listener"
+
 
 def read_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -48,14 +50,14 @@ def _event_type() -> Column:
 
 
 def play_events(
-    actions: DataFrame, types: tuple[str, ...] | None = None, listener_songs: bool = False
+    actions: DataFrame, types: tuple[str, ...] | None = None, songs: str = BY_RANK
 ) -> DataFrame:
     """Map action rows to play events.
 
     ``types`` keeps only those play-event types. The restriction is put on the raw
     column, where the scan can use it; a filter on the mapped column could not be
-    pushed down. ``listener_songs`` names songs by listener and track number, the many
-    keys a load test leaves behind, instead of the ten popular ones.
+    pushed down. ``songs`` says how songs are told apart: ten of them by popularity, a
+    hundred by track, or the many that a load test leaves behind, by listener and track.
     """
     if types is not None:
         wanted = [action for action, mapped in TYPE_OF_ACTION.items() if mapped in types]
@@ -64,7 +66,11 @@ def play_events(
     # One flat field is wanted; a pattern costs a quarter of parsing the JSON text.
     k = F.regexp_extract("props", TRACK_PATTERN, 1).cast("int")
     rank = F.lit(9) - F.floor(F.sqrt(F.col("k").cast("double")))
-    names = [F.col("user_id"), F.lit("-"), F.col("k")] if listener_songs else [F.col("song_rank")]
+    names = {
+        BY_RANK: [F.col("song_rank")],
+        BY_TRACK: [F.col("k")],
+        BY_LISTENER: [F.col("user_id"), F.lit("-"), F.col("k")],
+    }[songs]
     reached = F.least(F.col("value") / F.lit(50.0), F.lit(1.0)) * F.col("duration_ms").cast("double")
     return (
         actions.select(
@@ -97,9 +103,9 @@ def load_play_events(
     spark: SparkSession,
     sf_dir: str,
     types: tuple[str, ...] | None = None,
-    listener_songs: bool = False,
+    songs: str = BY_RANK,
 ) -> DataFrame:
-    return play_events(read_actions(spark, sf_dir), types, listener_songs)
+    return play_events(read_actions(spark, sf_dir), types, songs)
 
 
 def delayed(events: DataFrame) -> DataFrame:

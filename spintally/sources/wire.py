@@ -58,7 +58,7 @@ def decode_play_events(messages: DataFrame, value: str = "value") -> DataFrame:
     for name in names:
         absent = absent | F.col(name).isNull()
     reason = (
-        F.when(F.col(corrupt).isNotNull() | F.col(value).isNull(), BROKEN_JSON)
+        F.when(F.col("record").isNull() | F.col(corrupt).isNotNull(), BROKEN_JSON)
         .when(absent, MISSING_FIELD)
         .when(~F.col("event_type").isin(*EVENT_TYPES), UNKNOWN_TYPE)
     )
@@ -70,9 +70,10 @@ def decode_play_events(messages: DataFrame, value: str = "value") -> DataFrame:
             value,
             *[F.col(f"record.{name}").alias(column) for name, column, _ in PLAY_EVENT_FIELDS],
             F.col(f"record.{corrupt}").alias(corrupt),
+            "record",
         )
         .withColumn("reject_reason", reason)
-        .drop(corrupt)
+        .drop(corrupt, "record")
     )
 
 

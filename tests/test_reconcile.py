@@ -1,0 +1,120 @@
+from cases import ALIGNED, CATALOG, FIVE_MIN, event, sessions, table, totals
+
+from spintally.operators import aggregates, latest, reconcile
+
+TOTALS = "song_id string, starts bigint, completes bigint, completion_rate double"
+
+
+def expected_rows(spark, *rows):
+    schema = "song_id string, starts bigint, completes bigint, completion_rate double, baseline_starts bigint"
+    return spark.createDataFrame([(*r, 0) for r in rows], schema)
+
+
+def verdicts(spark):
+    expected = expected_rows(
+        spark,
+        ("ok", 9, 5, 5 / 9),
+        ("gone", 8, 1, 1 / 8),
+        ("short", 7, 1, 1 / 7),
+        ("over", 6, 1, 1 / 6),
+        ("off", 5, 1, 1 / 5),
+    )
+    actual = spark.createDataFrame(
+        [
+            ("ok", 9, 5, 5 / 9),
+            ("short", 6, 1, 1 / 6),
+            ("over", 8, 1, 1 / 8),
+            ("off", 5, 2, 2 / 5),
+            ("other", 1, 1, 1.0),
+        ],
+        TOTALS,
+    )
+    return reconcile.reconcile(expected, actual)
+
+
+def test_every_verdict(spark):
+    rows = verdicts(spark).collect()
+    assert [r.song_id for r in rows] == ["ok", "gone", "short", "over", "off"]
+    assert {r.song_id: (r.status, r.direction) for r in rows} == {
+        "ok": ("ok", None),
+        "gone": ("missing", None),
+        "short": ("mismatch", "short"),
+        "over": ("mismatch", "over"),
+        "off": ("mismatch", None),
+    }
+
+
+def test_summary(spark):
+    row = reconcile.reconcile_summary(verdicts(spark), min_plays=7).first()
+    assert (row.songs, row.matched, row.missing, row.mismatched) == (5, 1, 1, 3)
+    assert (row.short, row.over, row.excluded, row.passed) == (1, 1, 2, False)
+
+
+def test_report_texts(spark):
+    rows = {r.song_id: r for r in reconcile.completion_report(verdicts(spark)).collect()}
+    assert (rows["ok"].actual_percent, rows["gone"].actual_percent) == ("55.6%", None)
+    assert rows["gone"].expected_percent == "12.5%"
+
+
+def test_end_to_end_run_on_top_of_a_baseline(spark):
+    """A second run in the same window is expected on top of the first; older windows are not."""
+    old = [event("winter-static", "PLAY_START", ALIGNED - FIVE_MIN)]
+    first, second = sessions(80, seed=1), sessions(200, seed=2)
+    before = latest.latest_completion(aggregates.completion_stats(table(spark, old + first)))
+    songs = spark.createDataFrame([(c[0],) for c in CATALOG], "song_id string")
+    injected = songs.join(aggregates.song_totals(table(spark, second)), "song_id", "left").na.fill(0)
+    expected = reconcile.expected_totals(injected, before, ALIGNED)
+    served = latest.latest_completion(
+        aggregates.completion_stats(table(spark, old + first + second))
+    )
+    rows = reconcile.reconcile(expected, served).collect()
+    counted = totals(first + second, FIVE_MIN)
+    assert len(rows) == len(CATALOG)
+    for r in rows:
+        if (r.song_id, ALIGNED) in counted:
+            assert r.status == "ok"
+            assert (r.actual_starts, r.actual_completes) == counted[r.song_id, ALIGNED]
+    summary = reconcile.reconcile_summary(reconcile.reconcile(expected, served)).first()
+    assert summary.carried_over_starts == sum(e["event_type"] == "PLAY_START" for e in first)
+
+
+def test_ranking_splits_into_expected_and_leftover(spark):
+    ranking = spark.createDataFrame([("a", 3), ("old", 9)], "song_id string, play_count bigint")
+    expected = expected_rows(spark, ("a", 3, 0, 0.0), ("b", 1, 0, 0.0))
+    assert [r.song_id for r in reconcile.ranking_expected(ranking, expected).collect()] == ["a"]
+    assert [r.song_id for r in reconcile.ranking_leftover(ranking, expected).collect()] == ["old"]
+
+
+def test_ranking_notes_and_report(spark):
+    ranking = spark.createDataFrame(
+        [("a", 48), ("b", 24), ("c", 2), ("old", 99)], "song_id string, play_count bigint"
+    )
+    injected = expected_rows(spark, ("a", 40, 0, 0.0), ("b", 24, 0, 0.0), ("c", 5, 0, 0.0))
+    rows = reconcile.ranking_report(ranking, injected).orderBy("position").collect()
+    assert [tuple(r) for r in rows] == [
+        (1, "a", 48, 40, 24, "accumulated"),
+        (2, "b", 24, 24, 12, "ok"),
+        (3, "c", 2, 5, 1, "short"),
+    ]
+
+
+def test_extremes_with_ties_and_exclusions(spark):
+    rows = [
+        ("a", 30, 15, 0.5),
+        ("b", 40, 20, 0.5),
+        ("c", 50, 5, 0.1),
+        ("d", 20, 2, 0.1),
+        ("rare", 3, 3, 1.0),
+    ]
+    reconciled = reconcile.reconcile(
+        expected_rows(spark, *rows), spark.createDataFrame(rows, TOTALS)
+    )
+    ranking = spark.createDataFrame(
+        [("a", 30), ("b", 40), ("c", 40), ("stale", 99)], "song_id string, play_count bigint"
+    )
+    row = reconcile.completion_extremes(reconciled, ranking).first()
+    assert (row.most_played, row.most_played_plays) == ("c", 40)
+    assert (row.best_song, row.best_rate, row.best_plays) == ("b", 0.5, 40)
+    assert (row.worst_song, row.worst_rate, row.worst_plays) == ("c", 0.1, 50)
+    assert (row.excluded, row.same_song) == (1, False)
+    assert reconcile.completion_extremes(reconciled, ranking, min_plays=1000).collect() == []
