@@ -2,38 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spintally.functions.times import floor_to_window
 from spintally.schema import RATE_SPAN_MS, RATE_STEP_MS
 
 
-def sliding_rate(
-    rows: DataFrame,
-    series: str,
-    ms: str,
-    span_ms: int = RATE_SPAN_MS,
-    step_ms: int = RATE_STEP_MS,
-) -> DataFrame:
-    """Rows per second of each series over ``span_ms``, every ``step_ms``.
+def step_start(ms: str, step_ms: int = RATE_STEP_MS) -> Column:
+    """Start of the step that holds ``ms``; rates are given once per step."""
+    return floor_to_window(ms, step_ms)
 
-    Rows are counted per step first, and only those counts are spread over the
-    windows they belong to: the sliding window multiplies a few counts, not the rows.
-    """
-    panes = rows.groupBy(series, floor_to_window(ms, step_ms).alias("pane")).agg(
-        F.count("*").alias("n")
-    )
+
+def spread_over_windows(
+    counts: DataFrame, series: str, span_ms: int = RATE_SPAN_MS, step_ms: int = RATE_STEP_MS
+) -> DataFrame:
+    """Rates from counts per step (``pane``, ``n``): each adds to every window that holds it."""
     sliding = F.window(
         F.timestamp_millis("pane"), f"{span_ms} milliseconds", f"{step_ms} milliseconds"
     )
     return (
-        panes.groupBy(series, sliding.alias("w"))
+        counts.groupBy(series, sliding.alias("w"))
         .agg((F.sum("n") / F.lit(span_ms / 1000.0)).alias("per_second"))
         .select(series, F.unix_millis("w.start").alias("window_start"), "per_second")
     )
 
 
+def sliding_rate(rows: DataFrame, series: str, ms: str) -> DataFrame:
+    """Rows per second of each series over the last minute, every step.
+
+    Rows are counted per step first, and only those counts are spread over the
+    windows they belong to: the sliding window multiplies a few counts, not the rows.
+    """
+    counts = rows.groupBy(series, step_start(ms).alias("pane")).agg(F.count("*").alias("n"))
+    return spread_over_windows(counts, series)
+
+
 def peak_rate(rates: DataFrame) -> DataFrame:
     """The highest total over all series."""
     totals = rates.groupBy("window_start").agg(F.sum("per_second").alias("per_second"))

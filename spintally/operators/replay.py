@@ -18,7 +18,8 @@ from spintally.functions.plays import completion_rate, is_completed_play, is_sta
 from spintally.functions.times import floor_to_window
 from spintally.operators.aggregates import play_starts
 from spintally.operators.latest import window_end
-from spintally.operators.sizing import BROADCAST_ROWS, broadcast_if_small
+from spintally.operators.rates import spread_over_windows, step_start
+from spintally.operators.sizing import BROADCAST_ROWS, broadcast_if_small, stored
 from spintally.schema import (
     COMPLETION_GRACE_MS,
     COMPLETION_METRIC,
@@ -29,6 +30,7 @@ from spintally.schema import (
 )
 
 CHUNK_ROWS = 1 << 22
+WHOLE_MINUTE_MS = 60_000
 
 
 def closing_arrivals(events: DataFrame, size_ms: int, grace_ms: int) -> DataFrame:
@@ -63,17 +65,23 @@ def closing_arrivals(events: DataFrame, size_ms: int, grace_ms: int) -> DataFram
     return per_window.select("part", "window_start", F.min("closer").over(newer).alias("closer"))
 
 
+def _with_lateness(
+    events: DataFrame, closing: DataFrame, size_ms: int, window: str, late: str
+) -> DataFrame:
+    return (
+        events.withColumn(window, floor_to_window("ts_ms", size_ms))
+        .join(closing.withColumnRenamed("window_start", window), ["part", window], "left")
+        .withColumn(late, F.coalesce(F.col("seq") > F.col("closer"), F.lit(False)))
+        .drop("closer")
+    )
+
+
 def mark_late(
     events: DataFrame, size_ms: int, grace_ms: int, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Add ``window_start`` and ``late``, whether the event came after its window was closed."""
     closing = broadcast_if_small(closing_arrivals(events, size_ms, grace_ms), broadcast_rows)
-    return (
-        events.withColumn("window_start", floor_to_window("ts_ms", size_ms))
-        .join(closing, ["part", "window_start"], "left")
-        .withColumn("late", F.coalesce(F.col("seq") > F.col("closer"), F.lit(False)))
-        .drop("closer")
-    )
+    return _with_lateness(events, closing, size_ms, "window_start", "late")
 
 
 def completion_arrivals(events: DataFrame) -> DataFrame:
@@ -90,17 +98,79 @@ def accepted(marked: DataFrame) -> DataFrame:
     return marked.filter(~F.col("late")).drop("late")
 
 
-def late_events(events: DataFrame, starts: DataFrame) -> DataFrame:
+def first_arrivals(events: DataFrame) -> DataFrame:
+    """The first arrival of every partition, minute of event time and kind (start or not).
+
+    All window bounds and graces are whole minutes, so the closing arrivals of both
+    aggregations can be told from these few rows as from the events themselves.
+    """
+    return events.groupBy(
+        "part",
+        is_start().alias("start"),
+        floor_to_window("ts_ms", WHOLE_MINUTE_MS).alias("ts_ms"),
+    ).agg(F.min("seq").alias("seq"))
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    """Events marked for both aggregations at once, reading them twice in all.
+
+    Adds ``window_start`` and ``late`` for the five-minute windows, and ``hour_start``
+    and ``late_play`` for the hourly ones, the latter two meaningful for starts only.
+    """
+    first = stored(first_arrivals(events))
+    closing = closing_arrivals(first, COMPLETION_WINDOW_MS, COMPLETION_GRACE_MS)
+    closing_hours = closing_arrivals(first.filter("start"), RANKING_WINDOW_MS, RANKING_GRACE_MS)
+    marked = _with_lateness(
+        events, broadcast_if_small(closing), COMPLETION_WINDOW_MS, "window_start", "late"
+    )
+    return _with_lateness(
+        marked, broadcast_if_small(closing_hours), RANKING_WINDOW_MS, "hour_start", "late_play"
+    )
+
+
+def late_events(events: DataFrame) -> DataFrame:
     """The dropped events of both aggregations."""
 
-    def dropped(marked: DataFrame, metric: str) -> DataFrame:
-        return marked.filter("late").select(
-            F.lit(metric).alias("metric"), "seq", "part", "song_id", "ts_ms", "window_start"
+    def entry(metric: str, window: str, dropped: Column):
+        return F.when(
+            dropped, F.struct(F.lit(metric).alias("metric"), F.col(window).alias("window_start"))
         )
 
-    return dropped(completion_arrivals(events), COMPLETION_METRIC).union(
-        dropped(ranking_arrivals(starts), RANKING_METRIC)
+    entries = F.array(
+        entry(COMPLETION_METRIC, "window_start", F.col("late")),
+        entry(RANKING_METRIC, "hour_start", is_start() & F.col("late_play")),
     )
+    return (
+        arrivals(events)
+        .filter(F.col("late") | (is_start() & F.col("late_play")))
+        .select("seq", "part", "song_id", "ts_ms", F.inline(F.array_compact(entries)))
+        .select("metric", "seq", "part", "song_id", "ts_ms", "window_start")
+    )
+
+
+def _updates() -> list[Column]:
+    """Number of updates each aggregation emits: one per accepted event."""
+    return [
+        F.count_if(~F.col("late")).alias(COMPLETION_METRIC),
+        F.count_if(is_start() & ~F.col("late_play")).alias(RANKING_METRIC),
+    ]
+
+
+def _by_metric(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
+    metrics = [COMPLETION_METRIC, RANKING_METRIC]
+    return counts.unpivot(keys, metrics, "metric", name)
+
+
+def windows_emitted(events: DataFrame) -> DataFrame:
+    """Number of updates emitted by each aggregation."""
+    return _by_metric(arrivals(events).agg(*_updates()), [], "updates")
+
+
+def emit_rate(events: DataFrame) -> DataFrame:
+    """Updates per second of each aggregation over a sliding minute of arrival time."""
+    panes = arrivals(events).groupBy(step_start("arrival_ms").alias("pane")).agg(*_updates())
+    counts = _by_metric(panes, ["pane"], "n").filter(F.col("n") > 0)
+    return spread_over_windows(counts, "metric")
 
 
 def running_counts(
@@ -202,18 +272,3 @@ def completion_emissions(events: DataFrame) -> DataFrame:
 
 def hourly_emissions(starts: DataFrame) -> DataFrame:
     return last_emissions(accepted(ranking_arrivals(starts)), ranking_counters())
-
-
-def emitted_updates(events: DataFrame, starts: DataFrame) -> DataFrame:
-    """Metric and arrival time of every emitted update; one per accepted event."""
-
-    def updates(marked: DataFrame, metric: str) -> DataFrame:
-        return accepted(marked).select(F.lit(metric).alias("metric"), "arrival_ms")
-
-    return updates(completion_arrivals(events), COMPLETION_METRIC).union(
-        updates(ranking_arrivals(starts), RANKING_METRIC)
-    )
-
-
-def windows_emitted(events: DataFrame, starts: DataFrame) -> DataFrame:
-    return emitted_updates(events, starts).groupBy("metric").agg(F.count("*").alias("updates"))

@@ -10,15 +10,19 @@ from spintally.session import shared_dir
 BROADCAST_ROWS = 500_000
 
 
+def stored(narrow: DataFrame) -> DataFrame:
+    """Keep a reduced table in the shared folder: computed once, and safe from lost executors."""
+    shared_dir(narrow.sparkSession)
+    return narrow.checkpoint()
+
+
 def broadcast_if_small(narrow: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the table has at most ``limit`` rows, else leave the join to AQE.
 
     For tables of a few fixed-width columns only: the default is some tens of
-    megabytes. The table is checkpointed to the shared folder, so that it is
-    computed once for the count and the join, and outlives lost executors.
+    megabytes. The table is stored first, so that the count does not compute it twice.
     """
-    shared_dir(narrow.sparkSession)
-    stored = narrow.checkpoint()
-    if stored.count() <= limit:
-        return F.broadcast(stored)
-    return stored
+    kept = stored(narrow)
+    if kept.count() <= limit:
+        return F.broadcast(kept)
+    return kept

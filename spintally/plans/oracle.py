@@ -227,10 +227,10 @@ ORACLE: dict[str, str] = {
     "completed_plays": _with(PLAY)
     + """SELECT seq, song_id, event_type, ts_ms, position_ms, duration_ms
        FROM marked WHERE is_done = 1""",
-    "window_remaining_ms": _with(PLAY)
+    "window_remaining": _with(PLAY)
     + """SELECT seq, ts_ms // 300000 * 300000 AS window_start,
          300000 - ts_ms % 300000 AS remaining_ms FROM play""",
-    "song_slugs": "SELECT p_partkey, replace(lower(p_name), ' ', '-') AS slug FROM part",
+    "song_slug": "SELECT p_partkey, replace(lower(p_name), ' ', '-') AS slug FROM part",
     "completion_stats": _with(PLAY, STATS) + "SELECT * FROM stats",
     "completion_stats_many_songs": _with(
         PLAY, STATS.replace("song_id, ts_ms", "listener_song AS song_id, ts_ms")
@@ -318,7 +318,7 @@ ORACLE: dict[str, str] = {
                 UNION ALL SELECT 'top_songs', arrival_ms FROM kept60)"""
     + _rate_sql("u", "metric"),
     "expected_with_baseline": _with(PLAY, STATS, LATEST, EXPECTED) + "SELECT * FROM expected",
-    "reconcile_songs": _with(PLAY, STATS, LATEST, EXPECTED) + "SELECT * FROM reconciled",
+    "reconcile": _with(PLAY, STATS, LATEST, EXPECTED) + "SELECT * FROM reconciled",
     "completion_report": _with(PLAY, STATS, LATEST, EXPECTED)
     + """SELECT song_id, actual_starts, actual_completes,
          CASE WHEN actual_rate IS NOT NULL

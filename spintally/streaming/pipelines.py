@@ -15,6 +15,7 @@ from spintally.schema import (
     COMPLETION_GRACE_MS,
     HOURLY_FIELDS,
     RANKING_GRACE_MS,
+    columns,
     table_schema,
 )
 from spintally.sources.wire import quarantine
@@ -81,4 +82,5 @@ def start_quarantine(decoded: DataFrame, root: str, available_now: bool = False)
 
 def read_results(spark: SparkSession, root: str, fields) -> DataFrame:
     """Stream of the stored result records from the earliest batch on."""
-    return spark.readStream.schema(table_schema(fields)).parquet(f"{root}/history/batch_id=*")
+    stored = spark.readStream.schema(table_schema(fields)).parquet(f"{root}/history")
+    return stored.select(*columns(fields))

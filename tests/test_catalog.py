@@ -38,7 +38,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_reconciliation_reaches_every_verdict(spark):
-    rows = QUERIES["reconcile_songs"](spark, SF).collect()
+    rows = QUERIES["reconcile"](spark, SF).collect()
     assert {r.status for r in rows} == {"ok", "missing", "mismatch"}
     assert {r.direction for r in rows} == {"", "short", "over"}
     notes = {r.note for r in QUERIES["ranking_check"](spark, SF).collect()}

@@ -103,10 +103,10 @@ def test_replay_matches_row_by_row(spark, events, chunk_rows):
     assert sorted((r.seq, r.song_id, r.window_start, r.play_count) for r in rows) == [
         entry[:4] for entry in log60
     ]
-    counted = {r.metric: r.updates for r in rp.windows_emitted(df, df).collect()}
+    counted = {r.metric: r.updates for r in rp.windows_emitted(df).collect()}
     assert counted.get("completion_rate", 0) == len(kept)
     assert counted.get("top_songs", 0) == len(kept60)
-    late = rp.late_events(df, df).collect()
+    late = rp.late_events(df).collect()
     assert sorted((r.metric, r.seq) for r in late) == sorted(
         [("completion_rate", s) for s in dropped] + [("top_songs", s) for s in dropped60]
     )
