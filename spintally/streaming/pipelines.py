@@ -52,17 +52,21 @@ def start(
     return writer.trigger(processingTime=FLUSH_INTERVAL).start()
 
 
-def start_completion(events: DataFrame, root: str, available_now: bool = False) -> StreamingQuery:
+def start_completion(
+    events: DataFrame, root: str, available_now: bool = False, writers: int | None = None
+) -> StreamingQuery:
     """Completion records into ``root/history`` and ``root/latest``."""
-    sink = history_sink(COMPLETION_FIELDS, f"{root}/history", f"{root}/latest")
+    sink = history_sink(COMPLETION_FIELDS, f"{root}/history", f"{root}/latest", writers)
     return start(
         completion_updates(events), sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now
     )
 
 
-def start_hourly(events: DataFrame, root: str, available_now: bool = False) -> StreamingQuery:
+def start_hourly(
+    events: DataFrame, root: str, available_now: bool = False, writers: int | None = None
+) -> StreamingQuery:
     """Hourly records into ``root/history`` and ``root/latest``."""
-    sink = history_sink(HOURLY_FIELDS, f"{root}/history", f"{root}/latest")
+    sink = history_sink(HOURLY_FIELDS, f"{root}/history", f"{root}/latest", writers)
     return start(hourly_updates(events), sink, f"{root}/checkpoint", HOURLY_QUERY, available_now)
 
 

@@ -27,12 +27,20 @@ def batch_path(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id}"
 
 
-def write_history_batch(updates: DataFrame, root: str, batch_id: int) -> None:
-    """Store one batch of updates, by day and sorted by song for file skipping."""
+def write_history_batch(
+    updates: DataFrame, root: str, batch_id: int, writers: int | None = None
+) -> None:
+    """Store one batch of updates, by day and sorted by song for file skipping.
+
+    The rows keep the partitions of the state, or are spread over ``writers`` tasks by
+    song: a batch holds one row per song and window, so no song is large. They are not
+    gathered by day, as nearly all of a batch belongs to the same one.
+    """
+    if writers is not None:
+        updates = updates.repartition(writers, "song_id")
     (
         updates.withColumn("window_date", F.timestamp_millis("window_start").cast("date"))
         .withColumn("updated_at", F.current_timestamp())
-        .hint("rebalance", "window_date")
         .sortWithinPartitions("window_date", "song_id", "window_start")
         .write.mode("overwrite")
         .partitionBy("window_date")
@@ -72,7 +80,11 @@ def read_hourly_history(spark: SparkSession, *roots: str) -> DataFrame:
 
 
 def compact_history(history: DataFrame, target: str) -> None:
-    """Write one row per key to a new root; the old one stays until the caller drops it."""
+    """Write one row per key to a new root; the old one stays until the caller drops it.
+
+    Rebalancing gathers a day's rows from the many small batch files and, under
+    adaptive execution, still splits a day that is too large for one task.
+    """
     (
         history.hint("rebalance", "window_date")
         .sortWithinPartitions("window_date", "song_id", "window_start")
@@ -93,12 +105,7 @@ def write_latest_batch(
     names = columns(fields)
     stored = spark.read.schema(table_schema(fields)).parquet(batch_path(history_root, batch_id))
     newest = latest_per_key(stored.select(*names), ("song_id",), "window_start")
-    (
-        newest.select(*names)
-        .hint("rebalance")
-        .write.mode("overwrite")
-        .parquet(batch_path(latest_root, batch_id))
-    )
+    newest.select(*names).write.mode("overwrite").parquet(batch_path(latest_root, batch_id))
 
 
 def _latest(spark: SparkSession, root: str, fields, by_arrival: bool) -> DataFrame:
@@ -139,11 +146,11 @@ def rebuild_latest(history: DataFrame, fields, target: str) -> None:
     )
 
 
-def history_sink(fields, history_root: str, latest_root: str):
+def history_sink(fields, history_root: str, latest_root: str, writers: int | None = None):
     """``foreachBatch`` function: history first, then the latest view, both retry-safe."""
 
     def store(updates: DataFrame, batch_id: int) -> None:
-        write_history_batch(updates, history_root, batch_id)
+        write_history_batch(updates, history_root, batch_id, writers)
         write_latest_batch(updates.sparkSession, fields, history_root, latest_root, batch_id)
 
     return store
@@ -152,8 +159,9 @@ def history_sink(fields, history_root: str, latest_root: str):
 def publish_events(events: DataFrame, root: str, partitions: int = EVENT_PARTITIONS) -> None:
     """Store events by stream partition, the song deciding the partition.
 
-    Rebalancing splits a partition that a hot song has made large into several
-    files, so that the number of stream partitions does not limit the writers.
+    Rebalancing under adaptive execution splits a partition that a hot song has made
+    large into several tasks, so that the number of stream partitions does not limit
+    the writers.
     """
     (
         events.withColumn("part", F.pmod(F.hash("song_id"), F.lit(partitions)))

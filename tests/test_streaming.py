@@ -186,6 +186,13 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     assert set(sinks.read_latest_completion(spark, f"{tmp_path}/latest").collect()) == latest
 
 
+def test_writers_limit_the_files_of_a_batch(spark, tmp_path):
+    rows = stats(spark, *[(f"song-{i}", BASE, 2, 1) for i in range(50)]).repartition(10)
+    sinks.write_history_batch(rows, f"{tmp_path}/history", 0, writers=2)
+    stored = spark.read.parquet(f"{tmp_path}/history")
+    assert (stored.count(), len(stored.inputFiles())) == (50, 2)
+
+
 def test_late_batch_leaves_the_newest_window_in_the_view(spark, tmp_path):
     store = store_two_batches(spark, tmp_path)
     store(stats(spark, ("song-H", BASE, 13, 9)), 2)
@@ -243,6 +250,24 @@ def test_published_events_are_split_by_song(spark, tmp_path):
     assert set(stored.select("part").distinct().toPandas().part) <= set(range(6))
 
 
+def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    """One song holds all rows; adaptive execution splits its stream partition."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64kb")
+    try:
+        rows = spark.range(0, 60_000, 1, 8).selectExpr(
+            "uuid() AS event_id", "'song-hot' AS song_id", "id AS seq"
+        )
+        sinks.publish_events(rows, f"{tmp_path}/published")
+    finally:
+        spark.conf.set(size, before)
+    stored = spark.read.parquet(f"{tmp_path}/published")
+    assert stored.select("part").distinct().count() == 1
+    assert len(stored.inputFiles()) > 4
+    assert stored.count() == 60_000
+
+
 @settings(
     max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
