@@ -28,3 +28,8 @@ def event_time(ms="ts_ms") -> Column:
 
 def tumbling(size_ms: int) -> Column:
     return F.window("ts", f"{size_ms} milliseconds")
+
+
+def utc_date(ms) -> Column:
+    """Day of an epoch-millisecond value, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(_col(ms) / F.lit(86_400_000)).cast("int"))

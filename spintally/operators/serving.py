@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spintally.functions.text import bar_length, completion_key
+from spintally.functions.times import utc_date
 from spintally.schema import (
     COMPLETION_FIELDS,
     DEFAULT_LOOKBACK_MS,
@@ -31,9 +32,9 @@ def resolve_range(
     if from_ms is None:
         from_ms = to_ms - DEFAULT_LOOKBACK_MS
     if from_ms >= to_ms:
-        raise ValueError("'from' must be earlier than 'to'")
+        raise ValueError(f"empty range: {from_ms} to {to_ms}")
     if to_ms - from_ms > MAX_LOOKBACK_MS:
-        raise ValueError(f"range must not exceed {MAX_LOOKBACK_MS // 3_600_000} hours")
+        raise ValueError(f"range too long: {to_ms - from_ms} ms, at most {MAX_LOOKBACK_MS}")
     return from_ms, to_ms
 
 
@@ -45,7 +46,7 @@ def _in_range(history: DataFrame, song_id: str, from_ms: int, to_ms: int) -> Dat
     )
     if "window_date" in history.columns:
         # Stored histories are partitioned by day, so whole days can be skipped.
-        first, last = (F.timestamp_millis(F.lit(ms)).cast("date") for ms in (from_ms, to_ms))
+        first, last = (utc_date(F.lit(ms)) for ms in (from_ms, to_ms))
         wanted = wanted & F.col("window_date").between(first, last)
     return history.filter(wanted)
 

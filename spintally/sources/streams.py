@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spintally.functions.times import event_time
 from spintally.schema import EVENTS_TOPIC, PLAY_EVENT_FIELDS, table_schema
@@ -21,22 +22,38 @@ def kafka_source_options(servers: str, topic: str, max_offsets: int | None = Non
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    max_offsets: int | None = None,
+    stream: bool = True,
 ) -> DataFrame:
-    """Messages of a topic from its beginning, with key and value as text."""
-    options = kafka_source_options(servers, topic, max_offsets)
-    messages = spark.readStream.format("kafka").options(**options).load()
-    return messages.selectExpr(
-        "cast(key AS string) AS key",
-        "cast(value AS string) AS value",
-        "partition AS part",
-        "offset AS seq",
+    """Messages of a topic from its beginning, with key and value as text.
+
+    The broker's partition and offset give the arrival order that a replay needs; for
+    one, read the topic as a table (``stream=False``).
+    """
+    options = kafka_source_options(servers, topic, max_offsets if stream else None)
+    reader = spark.readStream if stream else spark.read
+    return (
+        reader.format("kafka")
+        .options(**options)
+        .load()
+        .select(
+            F.col("key").cast("string"),
+            F.col("value").cast("string"),
+            F.col("partition").alias("part"),
+            F.col("offset").alias("seq"),
+            F.unix_millis("timestamp").alias("arrival_ms"),
+        )
     )
 
 
-def read_event_topic(spark: SparkSession, servers: str, max_offsets: int | None = None) -> DataFrame:
+def read_event_topic(
+    spark: SparkSession, servers: str, max_offsets: int | None = None, stream: bool = True
+) -> DataFrame:
     """Decoded play events with the reason for rejection, if any."""
-    return decode_play_events(read_topic(spark, servers, EVENTS_TOPIC, max_offsets))
+    return decode_play_events(read_topic(spark, servers, EVENTS_TOPIC, max_offsets, stream))
 
 
 def write_topic(records: DataFrame, fields, servers: str, topic: str, checkpoint: str):

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spintally.functions.times import utc_date
 from spintally.operators.latest import HISTORY_KEY, latest_per_key
 from spintally.schema import (
     COMPLETION_FIELDS,
@@ -39,7 +40,7 @@ def write_history_batch(
     if writers is not None:
         updates = updates.repartition(writers, "song_id")
     (
-        updates.withColumn("window_date", F.timestamp_millis("window_start").cast("date"))
+        updates.withColumn("window_date", utc_date("window_start"))
         .withColumn("updated_at", F.current_timestamp())
         .sortWithinPartitions("window_date", "song_id", "window_start")
         .write.mode("overwrite")

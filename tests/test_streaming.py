@@ -85,8 +85,10 @@ def test_late_arrivals_one_per_batch(spark, tmp_path, base, first_window):
     feed = Feed(tmp_path / "in")
     for e in late_arrivals(base):
         feed.add_events([e])
-    run_completion(spark, feed, tmp_path / "out")
+    query = run_completion(spark, feed, tmp_path / "out")
     assert history(spark, tmp_path / "out")["song-E", base // FIVE_MIN * FIVE_MIN] == (first_window, 0)
+    dropped = sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress)
+    assert dropped == 3 - first_window
 
 
 @pytest.mark.parametrize("ahead,starts", [(0, 1), (-1, 2)])
@@ -134,6 +136,25 @@ def test_restart_resumes_with_state(spark, tmp_path):
     assert history(spark, root) == totals(events, FIVE_MIN)
 
 
+def test_both_queries_run_side_by_side_on_a_clock(spark, tmp_path):
+    events = sessions(60, seed=11)
+    feed = Feed(tmp_path / "in")
+    feed.add_events(events[:60])
+    running = [
+        pipelines.start_completion(feed.events(spark), f"{tmp_path}/five", writers=2),
+        pipelines.start_hourly(feed.events(spark), f"{tmp_path}/hour", writers=2),
+    ]
+    for query in running:
+        query.processAllAvailable()
+    feed.add_events(events[60:])
+    for query in running:
+        query.processAllAvailable()
+        query.stop()
+    assert history(spark, f"{tmp_path}/five") == totals(events, FIVE_MIN)
+    rows = sinks.read_hourly_history(spark, f"{tmp_path}/hour/history").collect()
+    assert sum(r.play_count for r in rows) == 60
+
+
 def test_bad_messages_go_to_quarantine(spark, tmp_path):
     good = wire_text(numbered([event("a", "PLAY_START", BASE)])[0])
     unknown = json.dumps({**json.loads(good), "eventType": "PAUSE"})
@@ -230,6 +251,24 @@ def test_history_filters_reach_the_scan(spark, tmp_path):
     assert "EqualTo(song_id,song-H)" in text
 
 
+def test_history_days_do_not_depend_on_the_time_zone(spark, tmp_path):
+    store_two_batches(spark, tmp_path)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        stored = sinks.read_completion_history(spark, f"{tmp_path}/history")
+        rows = serving.completion_history(stored, "song-H", BASE, BASE + 1).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.starts for r in rows] == [12]
+
+
+def test_lookup_reaches_the_scan_of_the_view(spark, tmp_path):
+    store_two_batches(spark, tmp_path)
+    view = sinks.read_latest_completion(spark, f"{tmp_path}/latest")
+    text = serving.completion_lookup(view, "song-H")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(song_id,song-H)" in text
+
+
 def test_results_can_be_read_as_a_stream(spark, tmp_path):
     store_two_batches(spark, tmp_path)
     sibling = streaming_session(spark)
