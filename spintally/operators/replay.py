@@ -65,9 +65,14 @@ def closing_arrivals(events: DataFrame, size_ms: int, grace_ms: int) -> DataFram
     return per_window.select("part", "window_start", F.min("closer").over(newer).alias("closer"))
 
 
-def _with_lateness(
-    events: DataFrame, closing: DataFrame, size_ms: int, window: str, late: str
+def with_lateness(
+    events: DataFrame,
+    closing: DataFrame,
+    size_ms: int,
+    window: str = "window_start",
+    late: str = "late",
 ) -> DataFrame:
+    """Look up the closing arrival of each event's window and compare."""
     return (
         events.withColumn(window, floor_to_window("ts_ms", size_ms))
         .join(closing.withColumnRenamed("window_start", window), ["part", window], "left")
@@ -81,7 +86,7 @@ def mark_late(
 ) -> DataFrame:
     """Add ``window_start`` and ``late``, whether the event came after its window was closed."""
     closing = broadcast_if_small(closing_arrivals(events, size_ms, grace_ms), broadcast_rows)
-    return _with_lateness(events, closing, size_ms, "window_start", "late")
+    return with_lateness(events, closing, size_ms)
 
 
 def completion_arrivals(events: DataFrame) -> DataFrame:
@@ -103,12 +108,14 @@ def first_arrivals(events: DataFrame) -> DataFrame:
 
     All window bounds and graces are whole minutes, so the closing arrivals of both
     aggregations can be told from these few rows as from the events themselves.
+    ``newest_ms`` keeps the highest exact time of each minute.
     """
-    return events.groupBy(
+    minutes = events.groupBy(
         "part",
         is_start().alias("start"),
-        floor_to_window("ts_ms", WHOLE_MINUTE_MS).alias("ts_ms"),
-    ).agg(F.min("seq").alias("seq"))
+        floor_to_window("ts_ms", WHOLE_MINUTE_MS).alias("minute"),
+    ).agg(F.min("seq").alias("seq"), F.max("ts_ms").alias("newest_ms"))
+    return minutes.withColumnRenamed("minute", "ts_ms")
 
 
 def arrivals(events: DataFrame) -> DataFrame:
@@ -120,10 +127,8 @@ def arrivals(events: DataFrame) -> DataFrame:
     first = stored(first_arrivals(events))
     closing = closing_arrivals(first, COMPLETION_WINDOW_MS, COMPLETION_GRACE_MS)
     closing_hours = closing_arrivals(first.filter("start"), RANKING_WINDOW_MS, RANKING_GRACE_MS)
-    marked = _with_lateness(
-        events, broadcast_if_small(closing), COMPLETION_WINDOW_MS, "window_start", "late"
-    )
-    return _with_lateness(
+    marked = with_lateness(events, broadcast_if_small(closing), COMPLETION_WINDOW_MS)
+    return with_lateness(
         marked, broadcast_if_small(closing_hours), RANKING_WINDOW_MS, "hour_start", "late_play"
     )
 

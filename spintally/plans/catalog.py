@@ -22,7 +22,7 @@ from spintally.schema import (
 )
 from spintally.session import run_dir, streaming_session
 from spintally.sources import tables, wire
-from spintally.streaming import pipelines, sinks
+from spintally.streaming import exact, pipelines, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -456,6 +456,28 @@ def stream_top_songs(spark, sf_dir):
     return serving.ranked_songs(scores)
 
 
+def _run_exact(spark: SparkSession, sf_dir: str, start) -> str:
+    """A stream of the delayed arrivals under the exact late rule."""
+    root = run_dir(spark, "exact")
+    events = tables.delayed(_event_stream(streaming_session(spark), sf_dir))
+    start(events, root, available_now=True).awaitTermination()
+    return root
+
+
+@query
+def exact_stream_completion_history(spark, sf_dir):
+    root = _run_exact(spark, sf_dir, exact.start_exact_completion)
+    history = sinks.read_completion_history(spark, f"{root}/history")
+    return history.select(*columns(COMPLETION_FIELDS))
+
+
+@query
+def exact_stream_hourly_history(spark, sf_dir):
+    root = _run_exact(spark, sf_dir, exact.start_exact_hourly)
+    history = sinks.read_hourly_history(spark, f"{root}/history")
+    return history.select(*columns(HOURLY_FIELDS))
+
+
 @query
 def published_spread(spark, sf_dir):
     """Events stored by stream partition, counted from the stored table."""

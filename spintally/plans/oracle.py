@@ -363,6 +363,8 @@ ORACLE: dict[str, str] = {
     "stream_top_songs": _with(PLAY, HOURS, SCORES)
     + RANKED
     + "FROM scores ORDER BY play_count DESC, song_id DESC LIMIT 10",
+    "exact_stream_completion_history": _with(PLAY, LATE) + "SELECT * EXCLUDE (seq) FROM hist5",
+    "exact_stream_hourly_history": _with(PLAY, LATE) + "SELECT * EXCLUDE (seq) FROM hist60",
     "published_spread": _with(PLAY)
     + """SELECT song_id, CAST(1 AS BIGINT) AS partitions, count(*) AS events,
          CAST(sum(is_start) AS BIGINT) AS starts FROM marked GROUP BY song_id""",

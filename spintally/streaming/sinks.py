@@ -28,6 +28,12 @@ def batch_path(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id}"
 
 
+def drop_batch(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Delete the folder of a batch that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(batch_path(root, batch_id))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_history_batch(
     updates: DataFrame, root: str, batch_id: int, writers: int | None = None
 ) -> None:

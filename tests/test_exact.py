@@ -1,0 +1,110 @@
+import os
+
+import pandas as pd
+import pytest
+from cases import ALIGNED, BASE, FIVE_MIN, HOUR, SCHEMA, event, late_arrivals, numbered, replay
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from test_replay import arrivals
+
+from spintally.functions.times import event_time
+from spintally.schema import COMPLETION_GRACE_MS, RANKING_GRACE_MS
+from spintally.session import streaming_session
+from spintally.streaming import exact, sinks
+
+
+def feed(folder, events, cuts=()):
+    """Parquet files in order of arrival, cut at the given positions."""
+    os.makedirs(folder, exist_ok=True)
+    rows = numbered(events)
+    bounds = [0, *sorted(cuts), len(rows)]
+    for i, (start, stop) in enumerate(zip(bounds, bounds[1:])):
+        if start < stop:
+            path = f"{folder}/{start:04d}.parquet"
+            frame = pd.DataFrame(rows[start:stop])
+            frame.astype({"part": "int32"}).to_parquet(path)
+            os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def stream(spark, folder):
+    reader = streaming_session(spark).readStream.schema(SCHEMA)
+    return reader.option("maxFilesPerTrigger", 1).parquet(str(folder)).withColumn("ts", event_time())
+
+
+def completion(spark, folder, root):
+    exact.start_exact_completion(stream(spark, folder), str(root), True).awaitTermination()
+    rows = sinks.read_completion_history(spark, f"{root}/history").collect()
+    return {(r.song_id, r.window_start): (r.starts, r.completes) for r in rows}
+
+
+def hourly(spark, folder, root):
+    exact.start_exact_hourly(stream(spark, folder), str(root), True).awaitTermination()
+    rows = sinks.read_hourly_history(spark, f"{root}/history").collect()
+    return {(r.song_id, r.window_start): r.play_count for r in rows}
+
+
+def last(log):
+    return {(song, start): (starts, completes) for _, song, start, starts, completes in log}
+
+
+@pytest.mark.parametrize("cuts", [(), (1, 2, 3, 4), (2,)])
+@pytest.mark.parametrize("base,first_window", [(BASE, 1), (ALIGNED, 2)])
+def test_late_arrivals_however_cut(spark, tmp_path, cuts, base, first_window):
+    feed(tmp_path / "in", late_arrivals(base), cuts)
+    counts = completion(spark, tmp_path / "in", tmp_path / "out")
+    assert counts["song-E", base // FIVE_MIN * FIVE_MIN] == (first_window, 0)
+
+
+def test_other_partitions_do_not_close_windows(spark, tmp_path):
+    events = [
+        event("a", "PLAY_START", ALIGNED, part=0),
+        event("b", "PLAY_START", ALIGNED + HOUR, part=1),
+        event("a", "PLAY_START", ALIGNED + 1, part=0),
+    ]
+    feed(tmp_path / "in", events, (1, 2))
+    assert completion(spark, tmp_path / "in", tmp_path / "out")["a", ALIGNED] == (2, 0)
+
+
+def test_closed_windows_leave_the_state(spark, tmp_path):
+    """A window goes with the batch after the one that closed it; its history stays."""
+    events = [event("a", "PLAY_START", ALIGNED + i * HOUR) for i in range(4)]
+    feed(tmp_path / "in", events, (1, 2, 3))
+    completion(spark, tmp_path / "in", tmp_path / "out")
+    kept = spark.read.parquet(f"{tmp_path}/out/windows/batch_id=3").collect()
+    assert {r.window_start for r in kept} == {ALIGNED + 2 * HOUR, ALIGNED + 3 * HOUR}
+    assert len(sinks.read_completion_history(spark, f"{tmp_path}/out/history").collect()) == 4
+    for table in ("windows", "clocks"):
+        assert sorted(os.listdir(tmp_path / "out" / table)) == ["batch_id=2", "batch_id=3"]
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    feed(tmp_path / "in", late_arrivals(ALIGNED), (2,))
+    before = completion(spark, tmp_path / "in", tmp_path / "out")
+    batch = spark.read.schema(SCHEMA).parquet(f"{tmp_path}/in/0002.parquet")
+    exact.exact_sink(exact.COMPLETION, f"{tmp_path}/out")(batch, 1)
+    rows = sinks.read_completion_history(spark, f"{tmp_path}/out/history").collect()
+    assert {(r.song_id, r.window_start): (r.starts, r.completes) for r in rows} == before
+
+
+def test_restart_resumes_clocks_and_windows(spark, tmp_path):
+    events = late_arrivals(ALIGNED)
+    feed(tmp_path / "in", events[:3], (1,))
+    completion(spark, tmp_path / "in", tmp_path / "out")
+    rows = pd.DataFrame(numbered(events)[3:]).astype({"part": "int32"})
+    rows.to_parquet(tmp_path / "in" / "later.parquet")
+    counts = completion(spark, tmp_path / "in", tmp_path / "out")
+    assert counts == last(replay(events, FIVE_MIN, COMPLETION_GRACE_MS)[2])
+
+
+@settings(
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(arrivals, st.sets(st.integers(1, 59), max_size=3))
+def test_any_cut_of_any_arrivals_gives_the_replay(spark, tmp_path_factory, events, cuts):
+    folder, root = tmp_path_factory.mktemp("in"), tmp_path_factory.mktemp("out")
+    feed(folder, events, [c for c in cuts if c < len(events)])
+    assert completion(spark, folder, root / "five") == last(
+        replay(events, FIVE_MIN, COMPLETION_GRACE_MS)[2]
+    )
+    hours = last(replay(events, HOUR, RANKING_GRACE_MS, starts_only=True)[2])
+    assert hourly(spark, folder, root / "hour") == {key: starts for key, (starts, _) in hours.items()}
