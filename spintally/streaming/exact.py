@@ -49,6 +49,8 @@ from spintally.streaming.sinks import (
     write_latest_batch,
 )
 
+# A batch function gets the whole rows of its stream, so these are picked before.
+EVENT_COLUMNS = ("part", "seq", "song_id", "event_type", "ts_ms", "position_ms", "duration_ms")
 WINDOW_KEY = ("part", "song_id", "window_start")
 
 
@@ -157,7 +159,8 @@ def start_exact_completion(
 ) -> StreamingQuery:
     """Completion records under the exact rule into ``root/history`` and ``root/latest``."""
     sink = exact_sink(COMPLETION, root, writers)
-    return start(events, sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now)
+    needed = events.select(*EVENT_COLUMNS)
+    return start(needed, sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now)
 
 
 def start_exact_hourly(
@@ -165,4 +168,5 @@ def start_exact_hourly(
 ) -> StreamingQuery:
     """Hourly records under the exact rule into ``root/history`` and ``root/latest``."""
     sink = exact_sink(RANKING, root, writers)
-    return start(events, sink, f"{root}/checkpoint", HOURLY_QUERY, available_now)
+    needed = play_starts(events).select(*EVENT_COLUMNS)
+    return start(needed, sink, f"{root}/checkpoint", HOURLY_QUERY, available_now)
