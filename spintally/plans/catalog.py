@@ -272,15 +272,38 @@ def song_scores_by_arrival(spark, sf_dir):
     return latest.song_scores_by_arrival(replay.hourly_emissions(starts))
 
 
+def _stored_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "completion")
+    sinks.store_history(completion_history_upsert(spark, sf_dir), root)
+    return sinks.read_completion_history(spark, root)
+
+
+def _stored_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "hourly")
+    sinks.store_history(hourly_history_upsert(spark, sf_dir), root)
+    return sinks.read_hourly_history(spark, root)
+
+
 @query
-def rebuild_read_model(spark, sf_dir):
-    events, starts = _late_view(spark, sf_dir)
-    return latest.read_model(
-        latest.completion_records(replay.completion_emissions(events)),
-        latest.hourly_records(replay.hourly_emissions(starts)),
+def stored_completion_history(spark, sf_dir):
+    """The replayed history, stored and read by song and time."""
+    return serving.completion_history(
+        _stored_completion(spark, sf_dir), LOOKUP_SONG, LAST_HOUR_MS, END_MS
     )
 
 
+@query
+def stored_play_history(spark, sf_dir):
+    """The replayed hours, stored and read by song and time."""
+    return serving.play_history(_stored_hourly(spark, sf_dir), LOOKUP_SONG, now_ms=END_MS)
+
+
+@query
+def rebuild_read_model(spark, sf_dir):
+    """Latest completion and score by song, from the stored histories alone."""
+    return latest.read_model(_stored_completion(spark, sf_dir), _stored_hourly(spark, sf_dir))
+
+
 @query
 def windows_emitted(spark, sf_dir):
     return replay.windows_emitted(_late_view(spark, sf_dir)[0])

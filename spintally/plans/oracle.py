@@ -295,6 +295,12 @@ ORACLE: dict[str, str] = {
     + """SELECT song_id, play_count FROM (
          SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seq DESC) AS rn
          FROM log60) WHERE rn = 1""",
+    "stored_completion_history": _with(PLAY, LATE)
+    + """SELECT * EXCLUDE (seq) FROM hist5 WHERE song_id = 'song-0'
+         AND window_start >= 1704081600000 AND window_start < 1704085200000""",
+    "stored_play_history": _with(PLAY, LATE)
+    + """SELECT * EXCLUDE (seq) FROM hist60 WHERE song_id = 'song-0'
+         AND window_start >= 1703998800000 AND window_start < 1704085200000""",
     "rebuild_read_model": _with(PLAY, LATE)
     + """, l AS (SELECT * EXCLUDE (seq, rn) FROM (
            SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY window_start DESC) AS rn

@@ -21,6 +21,7 @@ from spintally.schema import (
     table_schema,
 )
 
+BEFORE_ALL_BATCHES = -1
 DAY_KEY = ("window_date", *HISTORY_KEY)
 
 
@@ -86,21 +87,48 @@ def read_hourly_history(spark: SparkSession, *roots: str) -> DataFrame:
     return _history(spark, roots, HOURLY_FIELDS)
 
 
-def compact_history(history: DataFrame, target: str) -> None:
-    """Write one row per key to a new root; the old one stays until the caller drops it.
+def _write_history(rows: DataFrame, target: str) -> None:
+    """Write whole days to a new root.
 
-    Rebalancing gathers a day's rows from the many small batch files and, under
-    adaptive execution, still splits a day that is too large for one task.
+    Rebalancing gathers a day's rows and, under adaptive execution, still splits a day
+    that is too large for one task.
     """
+    order = ("batch_id", "window_date", "song_id", "window_start")
     (
-        history.hint("rebalance", "window_date")
-        .sortWithinPartitions("window_date", "song_id", "window_start")
+        rows.hint("rebalance", "window_date")
+        .sortWithinPartitions(*order)
         .write.mode("errorifexists")
         .partitionBy("batch_id", "window_date")
         .parquet(target)
     )
 
 
+def store_history(records: DataFrame, target: str) -> None:
+    """Write a whole history to a new root, such as one replayed from stored events.
+
+    It counts as older than any batch, so a stream that goes on from there can write to
+    a root of its own and both are read together.
+    """
+    rows = (
+        records.withColumn("updated_at", F.current_timestamp())
+        .withColumn("batch_id", F.lit(BEFORE_ALL_BATCHES).cast("bigint"))
+        .withColumn("window_date", utc_date("window_start"))
+    )
+    _write_history(rows, target)
+
+
+def compact_history(spark: SparkSession, fields, target: str, *roots: str) -> None:
+    """Write one row per key to a new root; the old ones stay until the caller drops them.
+
+    All rows get the newest batch number found, so they stand in for every batch up to
+    it, whether or not some of those are still there to be read along.
+    """
+    versions = _stored(spark, roots, fields)
+    upto = versions.agg(F.max("batch_id")).first()[0]
+    rows = latest_per_key(versions.filter(F.col("batch_id") <= upto), DAY_KEY, "batch_id")
+    _write_history(rows.withColumn("batch_id", F.lit(upto).cast("bigint")), target)
+
+
 def write_latest_batch(
     spark: SparkSession, fields, history_root: str, latest_root: str, batch_id: int
 ) -> None:
@@ -138,18 +166,11 @@ def read_song_scores(spark: SparkSession, root: str, by_arrival: bool = False) -
 
 
 def rebuild_latest(history: DataFrame, fields, target: str) -> None:
-    """Write the latest view anew from the history, to a fresh root."""
+    """Write the latest view anew from the history, to a fresh root; later batches go on top."""
     names = columns(fields)
-    newest = latest_per_key(
-        history.select(*names, "batch_id").withColumnRenamed("batch_id", "version"),
-        ("song_id",),
-        "window_start",
-    )
-    (
-        newest.select(*names, F.col("version").alias("batch_id"))
-        .write.mode("errorifexists")
-        .partitionBy("batch_id")
-        .parquet(target)
+    newest = latest_per_key(history.select(*names), ("song_id",), "window_start")
+    newest.select(*names).write.mode("errorifexists").parquet(
+        batch_path(target, BEFORE_ALL_BATCHES)
     )
 
 

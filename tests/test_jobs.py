@@ -1,0 +1,82 @@
+import json
+
+import pytest
+from cases import ALIGNED, BASE, FIVE_MIN, numbered, sessions, totals, wire_text
+
+from spintally import jobs
+from spintally.operators import latest
+from spintally.streaming import sinks
+
+
+@pytest.fixture(scope="module")
+def roots(spark, tmp_path_factory):
+    """Both streams run once over a folder of JSON lines."""
+    base = tmp_path_factory.mktemp("jobs")
+    events = sessions(100, seed=4)
+    (base / "in").mkdir()
+    (base / "in" / "0.txt").write_text("\n".join(wire_text(e) for e in numbered(events)) + "\n")
+    for kind in ("completion", "hourly"):
+        jobs.run(
+            spark,
+            ["stream", kind, "--lines", f"{base}/in", "--root", f"{base}/{kind}", "--once", "--writers", "2"],
+        )
+    return base, totals(events, FIVE_MIN)
+
+
+def answer(spark, capsys, *argv):
+    capsys.readouterr()
+    jobs.run(spark, list(argv))
+    return [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+
+
+def test_lookup(spark, roots, capsys):
+    base, counts = roots
+    (row,) = answer(spark, capsys, "lookup", "--root", f"{base}/completion", "--song", "neon-skyline")
+    assert (row["starts"], row["completes"]) == counts["neon-skyline", ALIGNED]
+    assert answer(spark, capsys, "lookup", "--root", f"{base}/completion", "--song", "nobody") == []
+
+
+def test_top(spark, roots, capsys):
+    base, counts = roots
+    rows = answer(spark, capsys, "top", "--root", f"{base}/hourly", "--n", "3")
+    best = sorted(((starts, song) for (song, _), (starts, _) in counts.items()), reverse=True)[:3]
+    assert [(r["play_count"], r["song_id"]) for r in rows] == best
+    assert [r["position"] for r in rows] == [1, 2, 3]
+
+
+def test_history_compact_and_rebuild(spark, roots, capsys):
+    base, counts = roots
+    asked = ["--song", "neon-skyline", "--from", str(ALIGNED), "--to", str(ALIGNED + 1)]
+    found = answer(spark, capsys, "history", "completion", "--root", f"{base}/completion", *asked)
+    assert [(r["starts"], r["completes"]) for r in found] == [counts["neon-skyline", ALIGNED]]
+    for kind in ("completion", "hourly"):
+        jobs.run(spark, ["compact", kind, "--root", f"{base}/{kind}", "--target", f"{base}/c-{kind}"])
+        jobs.run(spark, ["rebuild", kind, "--root", f"{base}/{kind}", "--target", f"{base}/l-{kind}"])
+    again = ["--also", f"{base}/c-completion"]
+    assert found == answer(
+        spark, capsys, "history", "completion", "--root", f"{base}/completion", *asked, *again
+    )
+    rebuilt = sinks.read_song_scores(spark, f"{base}/l-hourly").collect()
+    assert set(rebuilt) == set(sinks.read_song_scores(spark, f"{base}/hourly/latest").collect())
+
+
+def test_exact_rule_needs_a_topic(spark, tmp_path):
+    with pytest.raises(ValueError):
+        jobs.run(spark, ["stream", "hourly", "--lines", "x", "--root", str(tmp_path), "--exact"])
+
+
+def test_stored_history_gives_way_to_later_batches(spark, tmp_path):
+    schema = (
+        "song_id string, window_start bigint, window_end bigint, starts bigint, "
+        "completes bigint, completion_rate double"
+    )
+
+    def rows(*counts):
+        return spark.createDataFrame(
+            [(s, BASE, BASE + FIVE_MIN, a, c, c / a) for s, a, c in counts], schema
+        )
+
+    sinks.store_history(rows(("a", 1, 0), ("b", 2, 1)), f"{tmp_path}/replayed")
+    sinks.write_history_batch(rows(("a", 5, 5)), f"{tmp_path}/live", 0)
+    both = sinks.read_completion_history(spark, f"{tmp_path}/replayed", f"{tmp_path}/live")
+    assert {r.song_id: r.starts for r in latest.latest_completion(both).collect()} == {"a": 5, "b": 2}

@@ -226,15 +226,19 @@ def test_late_batch_leaves_the_newest_window_in_the_view(spark, tmp_path):
 def test_compaction_and_rebuild(spark, tmp_path):
     store = store_two_batches(spark, tmp_path)
     before = history(spark, tmp_path)
-    stored = sinks.read_completion_history(spark, f"{tmp_path}/history")
-    sinks.compact_history(stored, f"{tmp_path}/compacted")
+    sinks.compact_history(spark, COMPLETION_FIELDS, f"{tmp_path}/compacted", f"{tmp_path}/history")
     compacted = sinks.read_completion_history(spark, f"{tmp_path}/compacted")
     assert {(r.song_id, r.window_start): (r.starts, r.completes) for r in compacted.collect()} == before
-    assert spark.read.parquet(f"{tmp_path}/compacted").count() == len(before)
+    stored = spark.read.parquet(f"{tmp_path}/compacted")
+    assert (stored.count(), len(stored.inputFiles())) == (len(before), 1)
     store(stats(spark, ("song-I", BASE, 7, 7)), 2)
-    both = sinks.read_completion_history(spark, f"{tmp_path}/compacted", f"{tmp_path}/history")
+    roots = (f"{tmp_path}/compacted", f"{tmp_path}/history")
+    both = sinks.read_completion_history(spark, *roots)
     now = {(r.song_id, r.window_start): (r.starts, r.completes) for r in both.collect()}
     assert now == {**before, ("song-I", BASE): (7, 7)}
+    sinks.compact_history(spark, COMPLETION_FIELDS, f"{tmp_path}/again", *roots)
+    again = sinks.read_completion_history(spark, f"{tmp_path}/again")
+    assert {(r.song_id, r.window_start): (r.starts, r.completes) for r in again.collect()} == now
     sinks.rebuild_latest(both, COMPLETION_FIELDS, f"{tmp_path}/rebuilt")
     rebuilt = sinks.read_latest_completion(spark, f"{tmp_path}/rebuilt").collect()
     served = sinks.read_latest_completion(spark, f"{tmp_path}/latest").collect()
