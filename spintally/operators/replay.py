@@ -85,8 +85,8 @@ def mark_late(
     events: DataFrame, size_ms: int, grace_ms: int, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Add ``window_start`` and ``late``, whether the event came after its window was closed."""
-    closing = broadcast_if_small(closing_arrivals(events, size_ms, grace_ms), broadcast_rows)
-    return with_lateness(events, closing, size_ms)
+    closing = stored(closing_arrivals(events, size_ms, grace_ms))
+    return with_lateness(events, broadcast_if_small(closing, broadcast_rows), size_ms)
 
 
 def completion_arrivals(events: DataFrame) -> DataFrame:
@@ -125,8 +125,10 @@ def arrivals(events: DataFrame) -> DataFrame:
     and ``late_play`` for the hourly ones, the latter two meaningful for starts only.
     """
     first = stored(first_arrivals(events))
-    closing = closing_arrivals(first, COMPLETION_WINDOW_MS, COMPLETION_GRACE_MS)
-    closing_hours = closing_arrivals(first.filter("start"), RANKING_WINDOW_MS, RANKING_GRACE_MS)
+    closing = stored(closing_arrivals(first, COMPLETION_WINDOW_MS, COMPLETION_GRACE_MS))
+    closing_hours = stored(
+        closing_arrivals(first.filter("start"), RANKING_WINDOW_MS, RANKING_GRACE_MS)
+    )
     marked = with_lateness(events, broadcast_if_small(closing), COMPLETION_WINDOW_MS)
     return with_lateness(
         marked, broadcast_if_small(closing_hours), RANKING_WINDOW_MS, "hour_start", "late_play"

@@ -16,13 +16,12 @@ def stored(narrow: DataFrame) -> DataFrame:
     return narrow.checkpoint()
 
 
-def broadcast_if_small(narrow: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(kept: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the table has at most ``limit`` rows, else leave the join to AQE.
 
-    For tables of a few fixed-width columns only: the default is some tens of
-    megabytes. The table is stored first, so that the count does not compute it twice.
+    For stored tables of a few fixed-width columns only: the default is some tens of
+    megabytes, and counting rows must not compute them anew.
     """
-    kept = stored(narrow)
     if kept.count() <= limit:
         return F.broadcast(kept)
     return kept

@@ -32,7 +32,7 @@ from spintally.operators.replay import (
     ranking_counters,
     with_lateness,
 )
-from spintally.operators.sizing import broadcast_if_small, stored
+from spintally.operators.sizing import broadcast_if_small
 from spintally.schema import (
     COMPLETION_FIELDS,
     COMPLETION_GRACE_MS,
@@ -82,74 +82,77 @@ RANKING = Aggregation(
 )
 
 
-def _read(spark: SparkSession, root: str, batch_id: int, schema: str) -> DataFrame:
-    """The table that a batch left behind; empty before the first one."""
-    if batch_id < 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(batch_path(root, batch_id))
+CLOCKS = "part int, stream_ms bigint"
+FIRST = "part int, ts_ms bigint, seq bigint, newest_ms bigint"
+CLOSING = "part int, window_start bigint, closer bigint"
 
 
 def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
     """``foreachBatch`` function that keeps clocks, open windows, history and latest view."""
-    clocks, windows = f"{root}/clocks", f"{root}/windows"
     history, latest = f"{root}/history", f"{root}/latest"
     counted = list(rule.counters())
-    window_schema = ", ".join(
+    windows = ", ".join(
         ["part int, song_id string, window_start bigint"]
         + [f"{name} bigint" for name in counted]
         + ["changed boolean"]
     )
+    # Tables a batch leaves behind, each with one folder per batch.
+    tables = {"first": FIRST, "closing": CLOSING, "clocks": CLOCKS, "windows": windows}
+
+    def read(spark: SparkSession, table: str, batch_id: int) -> DataFrame:
+        """What a batch left behind; nothing before the first one."""
+        if batch_id < 0:
+            return spark.createDataFrame([], tables[table])
+        return spark.read.schema(tables[table]).parquet(batch_path(f"{root}/{table}", batch_id))
+
+    def keep(rows: DataFrame, table: str, batch_id: int) -> DataFrame:
+        rows.write.mode("overwrite").parquet(batch_path(f"{root}/{table}", batch_id))
+        return read(rows.sparkSession, table, batch_id)
 
     def store(events: DataFrame, batch_id: int) -> None:
         spark = events.sparkSession
         picked = rule.pick(events)
-        clock = _read(spark, clocks, batch_id - 1, "part int, stream_ms bigint")
-        first = stored(first_arrivals(picked))
+        clock = read(spark, "clocks", batch_id - 1)
+        first = keep(first_arrivals(picked).drop("start"), "first", batch_id)
 
         # The clocks act as events that came before all others of the batch.
         carried = clock.select(
             "part", F.col("stream_ms").alias("ts_ms"), F.lit(-1).cast("bigint").alias("seq")
         )
         arrived = first.select("part", "ts_ms", "seq").unionByName(carried)
-        closing = broadcast_if_small(closing_arrivals(arrived, rule.size_ms, rule.grace_ms))
+        closing = keep(
+            closing_arrivals(arrived, rule.size_ms, rule.grace_ms), "closing", batch_id
+        )
         fresh = (
-            accepted(with_lateness(picked, closing, rule.size_ms))
+            accepted(with_lateness(picked, broadcast_if_small(closing), rule.size_ms))
             .groupBy(*WINDOW_KEY)
             .agg(*[F.count_if(hit).alias(name) for name, hit in rule.counters().items()])
             .withColumn("changed", F.lit(True))
         )
 
         still_open = (
-            _read(spark, windows, batch_id - 1, window_schema)
+            read(spark, "windows", batch_id - 1)
             .join(broadcast_if_small(clock), "part")
             .filter(F.col("window_start") + rule.size_ms + rule.grace_ms > F.col("stream_ms"))
             .drop("stream_ms")
             .withColumn("changed", F.lit(False))
         )
-        (
+        merged = (
             fresh.unionByName(still_open)
             .groupBy(*WINDOW_KEY)
             .agg(
                 *[F.sum(name).alias(name) for name in counted],
                 F.max("changed").alias("changed"),
             )
-            .write.mode("overwrite")
-            .parquet(batch_path(windows, batch_id))
-        )
-        (
-            first.select("part", F.col("newest_ms").alias("stream_ms"))
-            .unionByName(clock)
-            .groupBy("part")
-            .agg(F.max("stream_ms").alias("stream_ms"))
-            .write.mode("overwrite")
-            .parquet(batch_path(clocks, batch_id))
         )
+        updates = keep(merged, "windows", batch_id).filter("changed")
+        times = first.select("part", F.col("newest_ms").alias("stream_ms")).unionByName(clock)
+        keep(times.groupBy("part").agg(F.max("stream_ms").alias("stream_ms")), "clocks", batch_id)
 
-        updates = _read(spark, windows, batch_id, window_schema).filter("changed")
         write_history_batch(rule.records(updates), history, batch_id, writers)
         write_latest_batch(spark, rule.fields, history, latest, batch_id)
-        for table in (clocks, windows):
-            drop_batch(spark, table, batch_id - 2)
+        for table in tables:
+            drop_batch(spark, f"{root}/{table}", batch_id - 2)
 
     return store
 
