@@ -20,18 +20,20 @@ from spintally.schema import (
 )
 
 
-def _per_window(events: DataFrame, size_ms: int, counts: list[Column]) -> DataFrame:
+def _per_window(
+    events: DataFrame, size_ms: int, counts: list[Column], also: tuple[str, ...] = ()
+) -> DataFrame:
     """Counts by song and window, with the window bounds in milliseconds.
 
     A stream has to group by Spark's window column, which carries the watermark. A
     table groups by the window start alone, a plain number that hashes faster.
     """
     if events.isStreaming:
-        counted = events.groupBy("song_id", tumbling(size_ms).alias("w")).agg(*counts)
+        counted = events.groupBy("song_id", *also, tumbling(size_ms).alias("w")).agg(*counts)
         start = F.unix_millis("w.start").alias("window_start")
         return counted.select("*", start, F.unix_millis("w.end").alias("window_end"))
     start = floor_to_window("ts_ms", size_ms).alias("window_start")
-    counted = events.groupBy("song_id", start).agg(*counts)
+    counted = events.groupBy("song_id", *also, start).agg(*counts)
     return counted.withColumn("window_end", F.col("window_start") + size_ms)
 
 
@@ -43,17 +45,22 @@ def completed_plays(events: DataFrame) -> DataFrame:
     return events.filter(is_completed_play())
 
 
+def completion_counts(events: DataFrame, *also: str) -> DataFrame:
+    """Starts and completed plays by song and five-minute window, and by ``also`` if given."""
+    counts = [
+        F.count_if(is_start()).alias("starts"),
+        F.count_if(is_completed_play()).alias("completes"),
+    ]
+    return _per_window(events, COMPLETION_WINDOW_MS, counts, also)
+
+
 def completion_stats(events: DataFrame) -> DataFrame:
     """Starts, completed plays and their ratio by song and five-minute window.
 
     Every event opens its window: one with only skips or progress yields 0/0/0.0.
     """
-    counts = [
-        F.count_if(is_start()).alias("starts"),
-        F.count_if(is_completed_play()).alias("completes"),
-    ]
     return (
-        _per_window(events, COMPLETION_WINDOW_MS, counts)
+        completion_counts(events)
         .withColumn("completion_rate", completion_rate())
         .select(*columns(COMPLETION_FIELDS))
     )

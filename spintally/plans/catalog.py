@@ -11,6 +11,7 @@ from spintally.functions.plays import is_start
 from spintally.functions.text import song_slug
 from spintally.functions.times import floor_to_window, window_remaining
 from spintally.operators import aggregates, latest, rates, reconcile, replay, serving
+from spintally.operators.sizing import stored
 from spintally.schema import (
     COMPLETION_FIELDS,
     COMPLETION_WINDOW_MS,
@@ -36,6 +37,8 @@ TARGET_WINDOW_MS = END_MS - COMPLETION_WINDOW_MS
 RUN_START_MS = END_MS - COMPLETION_WINDOW_MS // 2
 LAST_HOUR_MS = END_MS - RANKING_WINDOW_MS
 
+COUNTED = ("starts", "completes")
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -330,57 +333,60 @@ def emit_rate(spark, sf_dir):
 # --- Reconciliation: a run injects plays into the last window; the rest came before ---
 
 
-def _injected(events: DataFrame, from_ms: int) -> DataFrame:
-    """What the run added by song, zero for songs it did not touch."""
-    in_run = F.col("ts_ms") >= from_ms
-    kind = F.when(in_run, F.col("event_type")).otherwise("BEFORE_RUN")
-    return aggregates.song_totals(events.withColumn("event_type", kind))
+def _run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by song, window and whether the run added them.
+
+    The events are read once for both sides of the comparison.
+    """
+    events = _events(spark, sf_dir).withColumn("in_run", F.col("ts_ms") >= RUN_START_MS)
+    return stored(aggregates.completion_counts(events, "in_run"))
 
 
-def _expected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _events(spark, sf_dir)
-    before = events.filter(F.col("ts_ms") < RUN_START_MS)
-    held = latest.latest_completion(aggregates.completion_stats(before))
-    return reconcile.expected_totals(_injected(events, RUN_START_MS), held, TARGET_WINDOW_MS)
+def _expected(counts: DataFrame) -> DataFrame:
+    """What the run added, zero for songs it did not touch, on top of what it found."""
+    added = {c: F.sum(F.when(F.col("in_run"), F.col(c)).otherwise(0)) for c in COUNTED}
+    injected = counts.groupBy("song_id").agg(*[total.alias(c) for c, total in added.items()])
+    found = latest.latest_completion(counts.filter(~F.col("in_run")))
+    return reconcile.expected_totals(injected, found, TARGET_WINDOW_MS)
 
 
-def _served(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _served(counts: DataFrame) -> DataFrame:
     """The latest view with one song lost and others off, so that every verdict occurs."""
     song = F.col("song_id")
     starts_off = F.when(song == "song-3", -1).when(song == "song-4", 1).otherwise(0)
     completes_off = F.when(song == "song-2", 1).otherwise(0)
+    windows = counts.groupBy("song_id", "window_start").agg(*[F.sum(c).alias(c) for c in COUNTED])
     return (
-        latest_completion(spark, sf_dir)
+        latest.latest_completion(windows)
         .filter(song != "song-1")
         .withColumn("starts", F.col("starts") + starts_off)
         .withColumn("completes", F.col("completes") + completes_off)
     )
 
 
+def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = _run_counts(spark, sf_dir)
+    return reconcile.reconcile(_expected(counts), _served(counts))
+
+
 @query
 def expected_with_baseline(spark, sf_dir):
-    return _expected(spark, sf_dir)
+    return _expected(_run_counts(spark, sf_dir))
 
 
 @query
 def reconcile_(spark, sf_dir):
-    return reconcile.reconcile(_expected(spark, sf_dir), _served(spark, sf_dir)).withColumn(
-        "direction", F.coalesce("direction", F.lit(""))
-    )
+    return _reconciled(spark, sf_dir).withColumn("direction", F.coalesce("direction", F.lit("")))
 
 
 @query
 def completion_report(spark, sf_dir):
-    return reconcile.completion_report(
-        reconcile.reconcile(_expected(spark, sf_dir), _served(spark, sf_dir))
-    )
+    return reconcile.completion_report(_reconciled(spark, sf_dir))
 
 
 @query
 def reconcile_summary(spark, sf_dir):
-    return reconcile.reconcile_summary(
-        reconcile.reconcile(_expected(spark, sf_dir), _served(spark, sf_dir))
-    )
+    return reconcile.reconcile_summary(_reconciled(spark, sf_dir))
 
 
 def _crowded_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,16 +420,20 @@ def _off_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return song_scores(spark, sf_dir).withColumn("play_count", F.col("play_count") + off)
 
 
+def _hour_injected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts of a run that fills the last hour, zero for songs it did not touch."""
+    in_run = F.col("ts_ms") >= LAST_HOUR_MS
+    return _starts(spark, sf_dir).groupBy("song_id").agg(F.count_if(in_run).alias("starts"))
+
+
 @query
 def ranking_check(spark, sf_dir):
-    injected = _injected(_events(spark, sf_dir), LAST_HOUR_MS)
-    return reconcile.ranking_check(_off_ranking(spark, sf_dir), injected)
+    return reconcile.ranking_check(_off_ranking(spark, sf_dir), _hour_injected(spark, sf_dir))
 
 
 @query
 def ranking_report(spark, sf_dir):
-    injected = _injected(_events(spark, sf_dir), LAST_HOUR_MS)
-    return reconcile.ranking_report(_off_ranking(spark, sf_dir), injected)
+    return reconcile.ranking_report(_off_ranking(spark, sf_dir), _hour_injected(spark, sf_dir))
 
 
 @query
