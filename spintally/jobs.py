@@ -13,7 +13,13 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from spintally.operators import serving
-from spintally.schema import COMPLETION_FIELDS, DEFAULT_TOP_N, HOURLY_FIELDS
+from spintally.schema import (
+    COMPLETION_FIELDS,
+    COMPLETION_TOPIC,
+    DEFAULT_TOP_N,
+    HOURLY_FIELDS,
+    HOURLY_TOPIC,
+)
 from spintally.session import build_session, streaming_session
 from spintally.sources import streams, wire
 from spintally.streaming import exact, pipelines, sinks
@@ -26,6 +32,8 @@ STARTERS = {
     (HOURLY, True): exact.start_exact_hourly,
 }
 READERS = {COMPLETION: sinks.read_completion_history, HOURLY: sinks.read_hourly_history}
+UPDATES = {COMPLETION: pipelines.completion_updates, HOURLY: pipelines.hourly_updates}
+TOPICS = {COMPLETION: COMPLETION_TOPIC, HOURLY: HOURLY_TOPIC}
 FIELDS = {COMPLETION: COMPLETION_FIELDS, HOURLY: HOURLY_FIELDS}
 
 
@@ -42,6 +50,24 @@ def stream(spark: SparkSession, args) -> None:
     starter(wire.valid_events(decoded), args.root, args.once, args.writers).awaitTermination()
 
 
+def publish(spark: SparkSession, args) -> None:
+    """Aggregate the event topic and send the changed records to the result topic."""
+    decoded = streams.read_event_topic(streaming_session(spark), args.servers)
+    updates = UPDATES[args.kind](wire.valid_events(decoded))
+    writer = streams.write_topic(
+        updates, FIELDS[args.kind], args.servers, TOPICS[args.kind], f"{args.root}/checkpoint"
+    )
+    writer.trigger(processingTime=pipelines.FLUSH_INTERVAL).start().awaitTermination()
+
+
+def consume(spark: SparkSession, args) -> None:
+    """Keep history and latest view from the result topic."""
+    messages = streams.read_topic(streaming_session(spark), args.servers, TOPICS[args.kind])
+    pipelines.start_consumer(
+        messages, FIELDS[args.kind], args.root, args.once, args.writers
+    ).awaitTermination()
+
+
 def lookup(spark: SparkSession, args) -> DataFrame:
     view = sinks.read_latest_completion(spark, f"{args.root}/latest")
     return serving.completion_lookup(view, args.song)
@@ -89,6 +115,13 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--once", action="store_true")
     sub.add_argument("--writers", type=int)
 
+    command("publish", publish).add_argument("--servers", required=True)
+
+    sub = command("consume", consume)
+    sub.add_argument("--servers", required=True)
+    sub.add_argument("--once", action="store_true")
+    sub.add_argument("--writers", type=int)
+
     sub = command("lookup", lookup, kind=False)
     sub.add_argument("--song", required=True)
 

@@ -275,6 +275,25 @@ def song_scores_by_arrival(spark, sf_dir):
     return latest.song_scores_by_arrival(replay.hourly_emissions(starts))
 
 
+def _consumed(changelog: DataFrame, fields) -> DataFrame:
+    """Emitted records sent as messages, read again, and upserted."""
+    messages = wire.encode(changelog, fields, keep=("seq",))
+    records = wire.decode(messages, fields, keep=("seq",))
+    return latest.latest_per_key(records, latest.HISTORY_KEY, "seq").select(*columns(fields))
+
+
+@query
+def consumed_completion_history(spark, sf_dir):
+    events, _ = _late_view(spark, sf_dir)
+    return _consumed(replay.completion_changelog(events), COMPLETION_FIELDS)
+
+
+@query
+def consumed_hourly_history(spark, sf_dir):
+    _, starts = _late_view(spark, sf_dir)
+    return _consumed(replay.hourly_changelog(starts), HOURLY_FIELDS)
+
+
 def _stored_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "completion")
     sinks.store_history(completion_history_upsert(spark, sf_dir), root)

@@ -295,6 +295,8 @@ ORACLE: dict[str, str] = {
     + """SELECT song_id, play_count FROM (
          SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seq DESC) AS rn
          FROM log60) WHERE rn = 1""",
+    "consumed_completion_history": _with(PLAY, LATE) + "SELECT * EXCLUDE (seq) FROM hist5",
+    "consumed_hourly_history": _with(PLAY, LATE) + "SELECT * EXCLUDE (seq) FROM hist60",
     "stored_completion_history": _with(PLAY, LATE)
     + """SELECT * EXCLUDE (seq) FROM hist5 WHERE song_id = 'song-0'
          AND window_start >= 1704081600000 AND window_start < 1704085200000""",

@@ -30,15 +30,16 @@ def from_wire(value: str, fields) -> Column:
     return F.from_json(F.col(value), wire_schema(fields))
 
 
-def encode(records: DataFrame, fields) -> DataFrame:
+def encode(records: DataFrame, fields, keep: tuple[str, ...] = ()) -> DataFrame:
     """Keyed messages: the song is the key, so that one song stays in one partition."""
-    return records.select(F.col("song_id").alias("key"), to_wire(fields).alias("value"))
+    return records.select(*keep, F.col("song_id").alias("key"), to_wire(fields).alias("value"))
 
 
-def decode(messages: DataFrame, fields, value: str = "value") -> DataFrame:
-    record = from_wire(value, fields).alias("record")
-    return messages.select(record).select(
-        *[F.col(f"record.{name}").alias(column) for name, column, _ in fields]
+def decode(messages: DataFrame, fields, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records from the messages' ``value``, next to the ``keep`` columns of the message."""
+    record = from_wire("value", fields).alias("record")
+    return messages.select(*keep, record).select(
+        *keep, *[F.col(f"record.{name}").alias(column) for name, column, _ in fields]
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from spintally.operators.aggregates import completion_stats, hourly_counts, play_starts
+from spintally.operators.latest import HISTORY_KEY, latest_per_key
 from spintally.schema import (
     COMPLETION_FIELDS,
     COMPLETION_GRACE_MS,
@@ -18,11 +19,12 @@ from spintally.schema import (
     columns,
     table_schema,
 )
-from spintally.sources.wire import quarantine
+from spintally.sources.wire import decode, quarantine
 from spintally.streaming.sinks import history_sink
 
 COMPLETION_QUERY = "completion-stats"
 HOURLY_QUERY = "hourly-play-counts"
+CONSUMER_QUERY = "result-consumer"
 FLUSH_INTERVAL = "1 second"
 
 
@@ -70,6 +72,23 @@ def start_hourly(
     return start(hourly_updates(events), sink, f"{root}/checkpoint", HOURLY_QUERY, available_now)
 
 
+def start_consumer(
+    messages: DataFrame, fields, root: str, available_now: bool = False, writers: int | None = None
+) -> StreamingQuery:
+    """Result messages of a topic into ``root/history`` and ``root/latest``.
+
+    For a processor and a read side that run apart, with a topic in between. A batch may
+    hold many messages of one window; the one with the highest ``seq`` counts.
+    """
+    store = history_sink(fields, f"{root}/history", f"{root}/latest", writers)
+
+    def last_of_each(records: DataFrame, batch_id: int) -> None:
+        store(latest_per_key(records, HISTORY_KEY, "seq").drop("seq"), batch_id)
+
+    records = decode(messages, fields, keep=("seq",))
+    return start(records, last_of_each, f"{root}/checkpoint", CONSUMER_QUERY, available_now)
+
+
 def start_quarantine(decoded: DataFrame, root: str, available_now: bool = False) -> StreamingQuery:
     """Rejected messages, as received and with the reason, into ``root/rejected``."""
     writer = (

@@ -273,6 +273,26 @@ def test_lookup_reaches_the_scan_of_the_view(spark, tmp_path):
     assert "EqualTo(song_id,song-H)" in text
 
 
+def test_consumer_keeps_the_last_message_of_each_window(spark, tmp_path):
+    sent = [
+        stats(spark, ("song-H", BASE, 10, 5)),
+        stats(spark, ("song-H", BASE, 12, 9)),
+        stats(spark, ("song-H", BASE + FIVE_MIN, 4, 4)),
+    ]
+    for seq, records in enumerate(sent):
+        messages = wire.encode_completion(records).selectExpr("key", "value", f"{seq}L AS seq")
+        messages.coalesce(1).write.mode("append").parquet(f"{tmp_path}/topic")
+    source = streaming_session(spark).readStream.schema("key string, value string, seq bigint")
+    query = pipelines.start_consumer(
+        source.parquet(f"{tmp_path}/topic"), COMPLETION_FIELDS, f"{tmp_path}/out", True
+    )
+    query.awaitTermination()
+    assert history(spark, f"{tmp_path}/out") == {
+        ("song-H", BASE): (12, 9),
+        ("song-H", BASE + FIVE_MIN): (4, 4),
+    }
+
+
 def test_results_can_be_read_as_a_stream(spark, tmp_path):
     store_two_batches(spark, tmp_path)
     sibling = streaming_session(spark)
