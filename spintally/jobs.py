@@ -22,17 +22,17 @@ from spintally.schema import (
 )
 from spintally.session import build_session, streaming_session
 from spintally.sources import streams, wire
-from spintally.streaming import exact, pipelines, sinks
+from spintally.streaming import exact, sinks, watermarked
 
 COMPLETION, HOURLY = "completion", "hourly"
 STARTERS = {
-    (COMPLETION, False): pipelines.start_completion,
-    (HOURLY, False): pipelines.start_hourly,
+    (COMPLETION, False): watermarked.start_completion,
+    (HOURLY, False): watermarked.start_hourly,
     (COMPLETION, True): exact.start_exact_completion,
     (HOURLY, True): exact.start_exact_hourly,
 }
 READERS = {COMPLETION: sinks.read_completion_history, HOURLY: sinks.read_hourly_history}
-UPDATES = {COMPLETION: pipelines.completion_updates, HOURLY: pipelines.hourly_updates}
+UPDATES = {COMPLETION: watermarked.completion_updates, HOURLY: watermarked.hourly_updates}
 TOPICS = {COMPLETION: COMPLETION_TOPIC, HOURLY: HOURLY_TOPIC}
 FIELDS = {COMPLETION: COMPLETION_FIELDS, HOURLY: HOURLY_FIELDS}
 
@@ -57,13 +57,13 @@ def publish(spark: SparkSession, args) -> None:
     writer = streams.write_topic(
         updates, FIELDS[args.kind], args.servers, TOPICS[args.kind], f"{args.root}/checkpoint"
     )
-    writer.trigger(processingTime=pipelines.FLUSH_INTERVAL).start().awaitTermination()
+    writer.trigger(processingTime=watermarked.FLUSH_INTERVAL).start().awaitTermination()
 
 
 def consume(spark: SparkSession, args) -> None:
     """Keep history and latest view from the result topic."""
     messages = streams.read_topic(streaming_session(spark), args.servers, TOPICS[args.kind])
-    pipelines.start_consumer(
+    watermarked.start_consumer(
         messages, FIELDS[args.kind], args.root, args.once, args.writers
     ).awaitTermination()
 

@@ -93,24 +93,26 @@ def read_completion_json(entries: DataFrame) -> DataFrame:
     )
 
 
-def top_songs(scores: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
-    """The ``n`` highest scores; equal scores by song id, descending."""
-    if n < 1:
-        raise ValueError("n must be at least 1")
-    return scores.orderBy(F.desc("play_count"), F.desc("song_id")).limit(n)
+def ranking(scores: DataFrame) -> DataFrame:
+    """The whole ranking, best first; equal scores by song id, descending."""
+    return scores.orderBy(F.desc("play_count"), F.desc("song_id"))
 
 
-def with_position(top: DataFrame) -> DataFrame:
-    """Number the rows of a top-n listing, best first."""
-    best = Window.orderBy(F.desc("play_count"), F.desc("song_id"))
-    return top.withColumn("position", F.row_number().over(best).cast("bigint"))
+def top_songs(scores: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
+    """The first ``n`` of the ranking.
+
+    A listing is gathered in one task, hence its length is checked; the whole ranking
+    stays distributed.
+    """
+    if not 1 <= n <= LISTING_ROWS:
+        raise ValueError(f"n must be from 1 to {LISTING_ROWS}; for more, read the whole ranking")
+    return ranking(scores).limit(n)
 
 
 def ranked_songs(scores: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
-    """Top songs with their position. A listing is read by people, hence its size is checked."""
-    if n > LISTING_ROWS:
-        raise ValueError(f"a numbered listing holds at most {LISTING_ROWS} songs; use top_songs")
-    return with_position(top_songs(scores, n))
+    """Top songs with their position, best first."""
+    best = Window.orderBy(F.desc("play_count"), F.desc("song_id"))
+    return top_songs(scores, n).withColumn("position", F.row_number().over(best).cast("bigint"))
 
 
 def top_songs_relative(scores: DataFrame, n: int = REPORT_TOP_N) -> DataFrame:

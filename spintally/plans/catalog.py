@@ -23,7 +23,7 @@ from spintally.schema import (
 )
 from spintally.session import run_dir, streaming_session
 from spintally.sources import tables, wire
-from spintally.streaming import exact, pipelines, sinks
+from spintally.streaming import exact, sinks, watermarked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -474,14 +474,14 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_completion(spark: SparkSession, sf_dir: str) -> str:
     root = run_dir(spark, "completion")
     events = _event_stream(streaming_session(spark), sf_dir)
-    pipelines.start_completion(events, root, available_now=True).awaitTermination()
+    watermarked.start_completion(events, root, available_now=True).awaitTermination()
     return root
 
 
 def _run_hourly(spark: SparkSession, sf_dir: str) -> str:
     root = run_dir(spark, "hourly")
     events = _event_stream(streaming_session(spark), sf_dir)
-    pipelines.start_hourly(events, root, available_now=True).awaitTermination()
+    watermarked.start_hourly(events, root, available_now=True).awaitTermination()
     return root
 
 

@@ -41,7 +41,7 @@ from spintally.schema import (
     RANKING_GRACE_MS,
     RANKING_WINDOW_MS,
 )
-from spintally.streaming.pipelines import COMPLETION_QUERY, HOURLY_QUERY, start
+from spintally.streaming.watermarked import COMPLETION_QUERY, HOURLY_QUERY, start
 from spintally.streaming.sinks import (
     batch_path,
     drop_batch,

@@ -77,12 +77,15 @@ def test_top_songs_break_ties_by_song_descending(spark):
     assert [(r.position, r.song_id) for r in rows] == [(1, "b"), (2, "c"), (3, "a"), (4, "d")]
 
 
-def test_top_songs_needs_a_positive_n(spark):
-    for n in (0, -1):
+def test_listing_length_is_checked(spark):
+    for n in (0, -1, serving.LISTING_ROWS + 1):
         with pytest.raises(ValueError):
             serving.top_songs(scores(spark, ("a", 1)), n)
-    with pytest.raises(ValueError):
-        serving.ranked_songs(scores(spark, ("a", 1)), serving.LISTING_ROWS + 1)
+
+
+def test_whole_ranking(spark):
+    ranked = scores(spark, ("a", 5), ("b", 9), ("c", 5), ("d", 1))
+    assert [r.song_id for r in serving.ranking(ranked).collect()] == ["b", "c", "a", "d"]
 
 
 def test_bars_are_relative_to_the_best(spark):

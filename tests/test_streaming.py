@@ -23,7 +23,7 @@ from spintally.operators import aggregates, serving
 from spintally.schema import COMPLETION_FIELDS, HOURLY_FIELDS, columns
 from spintally.session import streaming_session
 from spintally.sources import streams, wire
-from spintally.streaming import pipelines, sinks
+from spintally.streaming import sinks, watermarked
 
 
 class Feed:
@@ -52,13 +52,13 @@ class Feed:
 
 
 def run_completion(spark, feed, root):
-    query = pipelines.start_completion(feed.events(spark), str(root), available_now=True)
+    query = watermarked.start_completion(feed.events(spark), str(root), available_now=True)
     query.awaitTermination()
     return query
 
 
 def run_hourly(spark, feed, root):
-    query = pipelines.start_hourly(feed.events(spark), str(root), available_now=True)
+    query = watermarked.start_hourly(feed.events(spark), str(root), available_now=True)
     query.awaitTermination()
     return query
 
@@ -141,8 +141,8 @@ def test_both_queries_run_side_by_side_on_a_clock(spark, tmp_path):
     feed = Feed(tmp_path / "in")
     feed.add_events(events[:60])
     running = [
-        pipelines.start_completion(feed.events(spark), f"{tmp_path}/five", writers=2),
-        pipelines.start_hourly(feed.events(spark), f"{tmp_path}/hour", writers=2),
+        watermarked.start_completion(feed.events(spark), f"{tmp_path}/five", writers=2),
+        watermarked.start_hourly(feed.events(spark), f"{tmp_path}/hour", writers=2),
     ]
     for query in running:
         query.processAllAvailable()
@@ -162,7 +162,7 @@ def test_bad_messages_go_to_quarantine(spark, tmp_path):
     feed.add(good, "{broken", unknown)
     run_completion(spark, feed, tmp_path / "out")
     assert history(spark, tmp_path / "out") == {("a", ALIGNED): (1, 0)}
-    pipelines.start_quarantine(feed.decoded(spark), f"{tmp_path}/bad", True).awaitTermination()
+    watermarked.start_quarantine(feed.decoded(spark), f"{tmp_path}/bad", True).awaitTermination()
     rows = spark.read.parquet(f"{tmp_path}/bad/rejected").collect()
     assert {r.value: r.reject_reason for r in rows} == {
         "{broken": wire.BROKEN_JSON,
@@ -283,7 +283,7 @@ def test_consumer_keeps_the_last_message_of_each_window(spark, tmp_path):
         messages = wire.encode_completion(records).selectExpr("key", "value", f"{seq}L AS seq")
         messages.coalesce(1).write.mode("append").parquet(f"{tmp_path}/topic")
     source = streaming_session(spark).readStream.schema("key string, value string, seq bigint")
-    query = pipelines.start_consumer(
+    query = watermarked.start_consumer(
         source.parquet(f"{tmp_path}/topic"), COMPLETION_FIELDS, f"{tmp_path}/out", True
     )
     query.awaitTermination()
@@ -296,7 +296,7 @@ def test_consumer_keeps_the_last_message_of_each_window(spark, tmp_path):
 def test_results_can_be_read_as_a_stream(spark, tmp_path):
     store_two_batches(spark, tmp_path)
     sibling = streaming_session(spark)
-    rows = pipelines.read_results(sibling, str(tmp_path), COMPLETION_FIELDS)
+    rows = watermarked.read_results(sibling, str(tmp_path), COMPLETION_FIELDS)
     query = (
         rows.writeStream.format("memory").queryName("results").trigger(availableNow=True).start()
     )
