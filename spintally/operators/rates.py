@@ -17,19 +17,23 @@ def step_start(ms: str, step_ms: int = RATE_STEP_MS) -> Column:
 def spread_over_windows(
     counts: DataFrame, series: str, span_ms: int = RATE_SPAN_MS, step_ms: int = RATE_STEP_MS
 ) -> DataFrame:
-    """Rates from counts per step (``pane``, ``n``): each adds to every window that holds it."""
+    """Counts per window from counts per step (``pane``, ``n``)."""
     sliding = F.window(
         F.timestamp_millis("pane"), f"{span_ms} milliseconds", f"{step_ms} milliseconds"
     )
     return (
         counts.groupBy(series, sliding.alias("w"))
-        .agg((F.sum("n") / F.lit(span_ms / 1000.0)).alias("per_second"))
-        .select(series, F.unix_millis("w.start").alias("window_start"), "per_second")
+        .agg(F.sum("n").alias("n"))
+        .select(series, F.unix_millis("w.start").alias("window_start"), "n")
     )
 
 
-def sliding_rate(rows: DataFrame, series: str, ms: str) -> DataFrame:
-    """Rows per second of each series over the last minute, every step.
+def per_second(count, span_ms: int = RATE_SPAN_MS) -> Column:
+    return count / F.lit(span_ms / 1000.0)
+
+
+def sliding_counts(rows: DataFrame, series: str, ms: str) -> DataFrame:
+    """Rows of each series in the last minute, every step.
 
     Rows are counted per step first, and only those counts are spread over the
     windows they belong to: the sliding window multiplies a few counts, not the rows.
@@ -38,7 +42,16 @@ def sliding_rate(rows: DataFrame, series: str, ms: str) -> DataFrame:
     return spread_over_windows(counts, series)
 
 
-def peak_rate(rates: DataFrame) -> DataFrame:
-    """The highest total over all series."""
-    totals = rates.groupBy("window_start").agg(F.sum("per_second").alias("per_second"))
-    return totals.agg(F.max("per_second").alias("peak_per_second"))
+def as_rates(counts: DataFrame, series: str) -> DataFrame:
+    return counts.select(series, "window_start", per_second(F.col("n")).alias("per_second"))
+
+
+def sliding_rate(rows: DataFrame, series: str, ms: str) -> DataFrame:
+    """Rows per second of each series over the last minute, every step."""
+    return as_rates(sliding_counts(rows, series, ms), series)
+
+
+def peak_rate(rows: DataFrame, series: str, ms: str) -> DataFrame:
+    """The highest rate of all series together; counts are added, as those are exact."""
+    totals = sliding_counts(rows, series, ms).groupBy("window_start").agg(F.sum("n").alias("n"))
+    return totals.agg(per_second(F.max("n")).alias("peak_per_second"))

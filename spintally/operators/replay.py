@@ -18,7 +18,7 @@ from spintally.functions.plays import completion_rate, is_completed_play, is_sta
 from spintally.functions.times import floor_to_window
 from spintally.operators.aggregates import play_starts
 from spintally.operators.latest import window_end
-from spintally.operators.rates import spread_over_windows, step_start
+from spintally.operators.rates import as_rates, spread_over_windows, step_start
 from spintally.operators.sizing import BROADCAST_ROWS, broadcast_if_small, stored
 from spintally.schema import (
     COMPLETION_GRACE_MS,
@@ -179,7 +179,7 @@ def emit_rate(events: DataFrame) -> DataFrame:
     """Updates per second of each aggregation over a sliding minute of arrival time."""
     panes = arrivals(events).groupBy(step_start("arrival_ms").alias("pane")).agg(*_updates())
     counts = _by_metric(panes, ["pane"], "n").filter(F.col("n") > 0)
-    return spread_over_windows(counts, "metric")
+    return as_rates(spread_over_windows(counts, "metric"), "metric")
 
 
 def running_counts(

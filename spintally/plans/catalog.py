@@ -341,7 +341,7 @@ def ingest_rate(spark, sf_dir):
 
 @query
 def peak_ingest_rate(spark, sf_dir):
-    return rates.peak_rate(ingest_rate(spark, sf_dir))
+    return rates.peak_rate(_events(spark, sf_dir), "event_type", "arrival_ms")
 
 
 @query

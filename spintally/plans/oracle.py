@@ -318,9 +318,10 @@ ORACLE: dict[str, str] = {
        UNION ALL SELECT 'top_songs', count(*) FROM log60""",
     "ingest_rate": _with(PLAY) + _rate_sql("play", "event_type"),
     "peak_ingest_rate": _with(PLAY)
-    + f""", r AS ({_rate_sql("play", "event_type")}),
-         t AS (SELECT window_start, sum(per_second) AS per_second FROM r GROUP BY window_start)
-         SELECT max(per_second) AS peak_per_second FROM t""",
+    + """, t AS (
+           SELECT (arrival_ms // 15000) * 15000 - o.i * 15000 AS window_start, count(*) AS n
+           FROM play CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS i) o GROUP BY ALL)
+         SELECT max(n) / CAST(60 AS DOUBLE) AS peak_per_second FROM t""",
     "emit_rate": _with(PLAY, LATE)
     + """, u AS (SELECT 'completion_rate' AS metric, arrival_ms FROM kept5
                 UNION ALL SELECT 'top_songs', arrival_ms FROM kept60)"""

@@ -1,0 +1,53 @@
+from collections import Counter
+
+from cases import ALIGNED, event, sessions, table
+from oracle_check import connect
+
+from spintally.operators import rates, replay
+from spintally.plans.catalog import QUERIES
+from spintally.plans.oracle import PLAY, _rate_sql, _with
+
+SF = "/root/testdata/sf0.01"
+
+
+def sliding(times):
+    """Events of every window of a minute, one starting each 15 seconds, counted one by one."""
+    counts = Counter()
+    for t in times:
+        newest = t // 15_000 * 15_000
+        for start in range(newest - 45_000, newest + 1, 15_000):
+            assert start <= t < start + 60_000
+            counts[start] += 1
+    return counts
+
+
+def test_rates_match_counting_one_by_one(spark):
+    events = sessions(60, seed=9, spread_ms=150_000)
+    rows = rates.sliding_rate(table(spark, events), "event_type", "ts_ms").collect()
+    for kind in {e["event_type"] for e in events}:
+        counted = sliding(e["ts_ms"] for e in events if e["event_type"] == kind)
+        mine = {r.window_start: r.per_second for r in rows if r.event_type == kind}
+        assert mine == {start: n / 60 for start, n in counted.items()}
+    peak = rates.peak_rate(table(spark, events), "event_type", "ts_ms").first()
+    assert peak.peak_per_second == max(sliding(e["ts_ms"] for e in events).values()) / 60
+
+
+def test_edges_of_the_sliding_minute(spark):
+    events = [event("a", "SKIP", ALIGNED), event("a", "SKIP", ALIGNED + 60_000)]
+    rows = rates.sliding_counts(table(spark, events), "event_type", "ts_ms").collect()
+    assert max(r.n for r in rows) == 1
+    assert {r.window_start for r in rows} == {ALIGNED + i * 15_000 for i in range(-3, 5)}
+
+
+def test_emitted_updates_follow_arrival_time(spark):
+    events = [event("a", "PLAY_START", ALIGNED), event("a", "SKIP", ALIGNED + 1)]
+    rows = replay.emit_rate(table(spark, events)).collect()
+    assert {(r.metric, r.per_second) for r in rows} == {("completion_rate", 2 / 60), ("top_songs", 1 / 60)}
+
+
+def test_peak_is_the_highest_sum_of_the_series(spark):
+    con = connect(SF)
+    sql = _with(PLAY) + f""", r AS ({_rate_sql("play", "event_type")})
+      SELECT max(s) FROM (SELECT sum(per_second) AS s FROM r GROUP BY window_start)"""
+    peak = QUERIES["peak_ingest_rate"](spark, SF).first().peak_per_second
+    assert abs(con.execute(sql).fetchone()[0] - peak) < 1e-9
