@@ -1,0 +1,55 @@
+from types import SimpleNamespace
+
+import pytest
+from cases import BASE, event, table
+
+from spintally import session
+from spintally.operators import sizing
+
+
+class FakeContext:
+    def __init__(self, master, checkpoint_dir=None):
+        self.master, self.checkpoint_dir = master, checkpoint_dir
+
+    def getCheckpointDir(self):
+        return self.checkpoint_dir
+
+    def setCheckpointDir(self, path):
+        self.checkpoint_dir = path
+
+
+def fake(master, named=None):
+    conf = SimpleNamespace(get=lambda key, default=None: named)
+    return SimpleNamespace(sparkContext=FakeContext(master), conf=conf)
+
+
+def test_cluster_must_name_the_shared_folder():
+    with pytest.raises(ValueError):
+        session.shared_dir(fake("yarn"))
+
+
+def test_named_folder_is_used():
+    spark = fake("yarn", "hdfs://shared/checkpoints/")
+    assert session.shared_dir(spark) == "hdfs://shared/checkpoints"
+    assert spark.sparkContext.checkpoint_dir == "hdfs://shared/checkpoints/"
+    first, second = (session.run_dir(spark, "run") for _ in range(2))
+    assert first.startswith("hdfs://shared/checkpoints/run-") and first != second
+
+
+def test_local_session_makes_its_own_folder():
+    spark = fake("local[2]")
+    assert session.shared_dir(spark) == spark.sparkContext.checkpoint_dir
+
+
+def test_streaming_settings_stay_in_the_sibling(spark):
+    key = "spark.sql.streaming.statefulOperator.allowMultiple"
+    before = spark.conf.get(key)
+    assert session.streaming_session(spark).conf.get(key) == "false"
+    assert spark.conf.get(key) == before
+
+
+def test_broadcast_hint_depends_on_the_size(spark):
+    kept = sizing.stored(table(spark, [event("a", "SKIP", BASE) for _ in range(3)]))
+    hinted = sizing.broadcast_if_small(kept, 3)._jdf.queryExecution().logical().toString()
+    plain = sizing.broadcast_if_small(kept, 2)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted and "broadcast" not in plain
