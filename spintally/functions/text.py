@@ -32,9 +32,8 @@ def percent_text(rate: str) -> Column:
     excess = (coarse * 20.0 - (tenths * 2 + 1).cast("double")) + rest * 20.0
     rounds_up = (excess > 0.0) | ((excess == 0.0) & (tenths % 2 != 0))
     shown = tenths + rounds_up.cast("bigint")
-    return F.concat(
-        F.floor(shown / F.lit(10)).cast("string"), F.lit("."), (shown % 10).cast("string"), F.lit("%")
-    )
+    whole = F.floor(shown / F.lit(10)).cast("string")
+    return F.concat(whole, F.lit("."), (shown % 10).cast("string"), F.lit("%"))
 
 
 def bar_length(plays: str, top: str, width: int = REPORT_BAR_WIDTH) -> Column:

@@ -12,7 +12,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spintally.operators import serving
+from spintally.operators import latest, replay, serving
 from spintally.schema import (
     COMPLETION_FIELDS,
     COMPLETION_TOPIC,
@@ -50,6 +50,19 @@ def stream(spark: SparkSession, args) -> None:
     starter(wire.valid_events(decoded), args.root, args.once, args.writers).awaitTermination()
 
 
+def backfill(spark: SparkSession, args) -> None:
+    """Replay stored events, a topic or a table with ``part`` and ``seq``, into a new history."""
+    if args.servers:
+        events = wire.valid_events(streams.read_event_topic(spark, args.servers, stream=False))
+    else:
+        events = spark.read.parquet(args.table)
+    if args.kind == COMPLETION:
+        records = latest.completion_records(replay.completion_emissions(events))
+    else:
+        records = latest.hourly_records(replay.hourly_emissions(events))
+    sinks.store_history(records, args.target)
+
+
 def publish(spark: SparkSession, args) -> None:
     """Aggregate the event topic and send the changed records to the result topic."""
     decoded = streams.read_event_topic(streaming_session(spark), args.servers)
@@ -99,12 +112,12 @@ def parser() -> argparse.ArgumentParser:
     main_parser = argparse.ArgumentParser(prog="spintally.jobs")
     commands = main_parser.add_subparsers(required=True)
 
-    def command(name, run, kind=True):
+    def command(name, run, kind=True, place="--root"):
         sub = commands.add_parser(name, help=run.__doc__)
         sub.set_defaults(run=run)
         if kind:
             sub.add_argument("kind", choices=[COMPLETION, HOURLY])
-        sub.add_argument("--root", required=True)
+        sub.add_argument(place, required=True)
         return sub
 
     sub = command("stream", stream)
@@ -115,6 +128,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--once", action="store_true")
     sub.add_argument("--writers", type=int)
 
+    sub = command("backfill", backfill, place="--target")
+    source = sub.add_mutually_exclusive_group(required=True)
+    source.add_argument("--servers")
+    source.add_argument("--table")
+
     command("publish", publish).add_argument("--servers", required=True)
 
     sub = command("consume", consume)

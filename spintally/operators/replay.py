@@ -213,10 +213,9 @@ def running_counts(
         .orderBy("seq")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    running = [F.sum(n).over(inside).alias(n) for n in counters]
     return (
-        counted.select(
-            *group, "chunk", "seq", "arrival_ms", *[F.sum(n).over(inside).alias(n) for n in counters]
-        )
+        counted.select(*group, "chunk", "seq", "arrival_ms", *running)
         .join(carried, [*group, "chunk"])
         .select(
             *group,
@@ -249,7 +248,8 @@ def ranking_counters() -> dict[str, Column]:
 
 def completion_changelog(events: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One completion record per accepted event: every event re-emits its window."""
-    counts = running_counts(accepted(completion_arrivals(events)), completion_counters(), chunk_rows)
+    kept = accepted(completion_arrivals(events))
+    counts = running_counts(kept, completion_counters(), chunk_rows)
     return counts.select(
         "seq",
         "arrival_ms",
@@ -264,7 +264,8 @@ def completion_changelog(events: DataFrame, chunk_rows: int = CHUNK_ROWS) -> Dat
 
 def hourly_changelog(starts: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One hourly record per accepted start."""
-    counts = running_counts(accepted(ranking_arrivals(starts)), ranking_counters(), chunk_rows)
+    kept = accepted(ranking_arrivals(starts))
+    counts = running_counts(kept, ranking_counters(), chunk_rows)
     return counts.select(
         "seq",
         "arrival_ms",

@@ -187,7 +187,8 @@ crowded AS (
 """
 
 # Bars: rounded half to even, at least one.
-BAR = "greatest(1, CAST(round_even(play_count / CAST(greatest(max(play_count) OVER (), 1) AS DOUBLE) * 24, 0) AS BIGINT))"
+BAR = """greatest(1, CAST(round_even(
+    play_count / CAST(greatest(max(play_count) OVER (), 1) AS DOUBLE) * 24, 0) AS BIGINT))"""
 
 RANKED = """
   SELECT row_number() OVER (ORDER BY play_count DESC, song_id DESC) AS position, song_id, play_count

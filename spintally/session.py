@@ -11,7 +11,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def build_session(app_name: str = "spintally", master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings the library is written for; cluster sizing stays with the caller."""
+    """A session with the settings the library is written for; sizing stays with the caller."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")

@@ -1,4 +1,4 @@
-"""Streams and topics. The broker connector is not part of Spark itself and must be on the class path."""
+"""Streams and topics. The broker connector is not part of Spark and must be on the class path."""
 
 from __future__ import annotations
 
@@ -10,7 +10,9 @@ from spintally.schema import EVENTS_TOPIC, PLAY_EVENT_FIELDS, table_schema
 from spintally.sources.wire import decode_play_events, encode
 
 
-def kafka_source_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:
+def kafka_source_options(
+    servers: str, topic: str, max_offsets: int | None = None
+) -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

@@ -71,7 +71,8 @@ def play_events(
         BY_TRACK: [F.col("k")],
         BY_LISTENER: [F.col("user_id"), F.lit("-"), F.col("k")],
     }[songs]
-    reached = F.least(F.col("value") / F.lit(50.0), F.lit(1.0)) * F.col("duration_ms").cast("double")
+    share = F.least(F.col("value") / F.lit(50.0), F.lit(1.0))
+    reached = share * F.col("duration_ms").cast("double")
     return (
         actions.select(
             "event_id",
@@ -79,7 +80,7 @@ def play_events(
             _event_type().alias("event_type"),
             "value",
             k.alias("k"),
-            (F.lit(TIME_ORIGIN_MS) + F.floor(since_origin / F.lit(TIME_COMPRESSION))).alias("ts_ms"),
+            (F.lit(TIME_ORIGIN_MS) + F.floor(since_origin / TIME_COMPRESSION)).alias("ts_ms"),
         )
         .withColumn("song_rank", rank)
         .withColumn("duration_ms", F.lit(168000) + F.lit(20000) * F.col("song_rank"))

@@ -1,7 +1,18 @@
 import json
 
 import pytest
-from cases import ALIGNED, BASE, FIVE_MIN, numbered, sessions, totals, wire_text
+from cases import (
+    ALIGNED,
+    BASE,
+    FIVE_MIN,
+    event,
+    late_arrivals,
+    numbered,
+    sessions,
+    table,
+    totals,
+    wire_text,
+)
 
 from spintally import jobs
 from spintally.operators import latest
@@ -60,6 +71,20 @@ def test_history_compact_and_rebuild(spark, roots, capsys):
     assert set(rebuilt) == set(sinks.read_song_scores(spark, f"{base}/hourly/latest").collect())
 
 
+def test_backfill_replays_a_published_table(spark, tmp_path):
+    events = late_arrivals(ALIGNED) + [event("song-F", "SKIP", ALIGNED)]
+    sinks.publish_events(table(spark, events), f"{tmp_path}/events")
+    for kind in ("completion", "hourly"):
+        jobs.run(
+            spark, ["backfill", kind, "--table", f"{tmp_path}/events", "--target", f"{tmp_path}/{kind}"]
+        )
+    rows = sinks.read_completion_history(spark, f"{tmp_path}/completion").collect()
+    counts = {(r.song_id, r.window_start): r.starts for r in rows}
+    assert counts["song-E", ALIGNED] == 2
+    (row,) = sinks.read_hourly_history(spark, f"{tmp_path}/hourly").collect()
+    assert (row.song_id, row.play_count) == ("song-E", 5)
+
+
 def test_exact_rule_needs_a_topic(spark, tmp_path):
     with pytest.raises(ValueError):
         jobs.run(spark, ["stream", "hourly", "--lines", "x", "--root", str(tmp_path), "--exact"])
