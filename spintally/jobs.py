@@ -1,9 +1,10 @@
 """Command-line jobs: run a stream, ask a stored result, keep the tables.
 
-    spark-submit -m spintally.jobs stream completion --servers broker:9092 --root /data/completion
-    spark-submit -m spintally.jobs top --root /data/hourly --n 10
+    python -m spintally.jobs stream completion --servers broker:9092 --root /data/completion
+    python -m spintally.jobs top --root /data/hourly --n 10
 
-Answers are printed as JSON lines.
+Answers are printed as JSON lines. The same file can be given to ``spark-submit`` with
+the package in ``--py-files``.
 """
 
 from __future__ import annotations
