@@ -43,11 +43,14 @@ def decode(messages: DataFrame, fields, keep: tuple[str, ...] = ()) -> DataFrame
     )
 
 
-def decode_play_events(messages: DataFrame, value: str = "value") -> DataFrame:
+def decode_play_events(
+    messages: DataFrame, value: str = "value", zero_for_absent: bool = False
+) -> DataFrame:
     """Parse every message and say why it is unusable, if it is.
 
     ``from_json`` lets unknown event types and absent fields pass, so both are
-    checked here. All other columns of ``messages`` are kept.
+    checked here. All other columns of ``messages`` are kept. With ``zero_for_absent``
+    a number that is absent or null counts as zero, as in lenient JSON bindings.
     """
     corrupt = "_corrupt"
     schema = T.StructType(
@@ -64,15 +67,15 @@ def decode_play_events(messages: DataFrame, value: str = "value") -> DataFrame:
         .when(~F.col("event_type").isin(*EVENT_TYPES), UNKNOWN_TYPE)
     )
     kept = [c for c in messages.columns if c != value]
+    fields = []
+    for name, column, dtype in PLAY_EVENT_FIELDS:
+        field = F.col(f"record.{name}")
+        if zero_for_absent and isinstance(dtype, T.LongType):
+            field = F.coalesce(field, F.lit(0).cast(dtype))
+        fields.append(field.alias(column))
     return (
         messages.select(*kept, value, parsed.alias("record"))
-        .select(
-            *kept,
-            value,
-            *[F.col(f"record.{name}").alias(column) for name, column, _ in PLAY_EVENT_FIELDS],
-            F.col(f"record.{corrupt}").alias(corrupt),
-            "record",
-        )
+        .select(*kept, value, *fields, F.col(f"record.{corrupt}").alias(corrupt), "record")
         .withColumn("reject_reason", reason)
         .drop(corrupt, "record")
     )

@@ -74,6 +74,15 @@ def test_validity(spark, text, reason):
     assert wire.valid_events(rows).count() == 1 + (reason is None)
 
 
+def test_absent_numbers_may_count_as_zero(spark):
+    texts = [good(positionMs="drop"), good(durationMs=None), good(userId="drop"), good()[:30]]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = wire.decode_play_events(messages, zero_for_absent=True).collect()
+    assert [r.reject_reason for r in rows] == [None, None, wire.MISSING_FIELD, wire.BROKEN_JSON]
+    assert (rows[0].position_ms, rows[0].duration_ms) == (0, 2)
+    assert (rows[1].position_ms, rows[1].duration_ms) == (1, 0)
+
+
 def test_result_records_round_trip(spark):
     stats = spark.createDataFrame(
         [("s", BASE, BASE + 1, 3, 1, 1 / 3)],
