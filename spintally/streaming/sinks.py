@@ -35,10 +35,26 @@ def drop_batch(spark: SparkSession, root: str, batch_id: int) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _write_days(rows: DataFrame, root: str, batch_id: int, mode: str) -> None:
+    """Write rows by day, in each file sorted by song, so that readers can skip files."""
+    (
+        rows.sortWithinPartitions("window_date", "song_id", "window_start")
+        .write.mode(mode)
+        .partitionBy("window_date")
+        .parquet(batch_path(root, batch_id))
+    )
+
+
+def _dated(records: DataFrame) -> DataFrame:
+    return records.withColumn("window_date", utc_date("window_start")).withColumn(
+        "updated_at", F.current_timestamp()
+    )
+
+
 def write_history_batch(
     updates: DataFrame, root: str, batch_id: int, writers: int | None = None
 ) -> None:
-    """Store one batch of updates, by day and sorted by song for file skipping.
+    """Store one batch of updates.
 
     The rows keep the partitions of the state, or are spread over ``writers`` tasks by
     song: a batch holds one row per song and window, so no song is large. They are not
@@ -46,14 +62,7 @@ def write_history_batch(
     """
     if writers is not None:
         updates = updates.repartition(writers, "song_id")
-    (
-        updates.withColumn("window_date", utc_date("window_start"))
-        .withColumn("updated_at", F.current_timestamp())
-        .sortWithinPartitions("window_date", "song_id", "window_start")
-        .write.mode("overwrite")
-        .partitionBy("window_date")
-        .parquet(batch_path(root, batch_id))
-    )
+    _write_days(_dated(updates), root, batch_id, "overwrite")
 
 
 def _stored(spark: SparkSession, roots, fields) -> DataFrame:
@@ -87,20 +96,13 @@ def read_hourly_history(spark: SparkSession, *roots: str) -> DataFrame:
     return _history(spark, roots, HOURLY_FIELDS)
 
 
-def _write_history(rows: DataFrame, target: str) -> None:
-    """Write whole days to a new root.
+def _write_whole(rows: DataFrame, target: str, batch_id: int) -> None:
+    """Write a whole history to a new root.
 
     Rebalancing gathers a day's rows and, under adaptive execution, still splits a day
     that is too large for one task.
     """
-    order = ("batch_id", "window_date", "song_id", "window_start")
-    (
-        rows.hint("rebalance", "window_date")
-        .sortWithinPartitions(*order)
-        .write.mode("errorifexists")
-        .partitionBy("batch_id", "window_date")
-        .parquet(target)
-    )
+    _write_days(rows.hint("rebalance", "window_date"), target, batch_id, "errorifexists")
 
 
 def store_history(records: DataFrame, target: str) -> None:
@@ -109,12 +111,7 @@ def store_history(records: DataFrame, target: str) -> None:
     It counts as older than any batch, so a stream that goes on from there can write to
     a root of its own and both are read together.
     """
-    rows = (
-        records.withColumn("updated_at", F.current_timestamp())
-        .withColumn("batch_id", F.lit(BEFORE_ALL_BATCHES).cast("bigint"))
-        .withColumn("window_date", utc_date("window_start"))
-    )
-    _write_history(rows, target)
+    _write_whole(_dated(records), target, BEFORE_ALL_BATCHES)
 
 
 def compact_history(spark: SparkSession, fields, target: str, *roots: str) -> None:
@@ -126,7 +123,7 @@ def compact_history(spark: SparkSession, fields, target: str, *roots: str) -> No
     versions = _stored(spark, roots, fields)
     upto = versions.agg(F.max("batch_id")).first()[0]
     rows = latest_per_key(versions.filter(F.col("batch_id") <= upto), DAY_KEY, "batch_id")
-    _write_history(rows.withColumn("batch_id", F.lit(upto).cast("bigint")), target)
+    _write_whole(rows.drop("batch_id"), target, upto)
 
 
 def write_latest_batch(

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from cases import (
     ALIGNED,
@@ -245,6 +246,19 @@ def test_compaction_and_rebuild(spark, tmp_path):
     assert set(rebuilt) == set(served)
 
 
+def test_stored_files_are_sorted_by_song(spark, tmp_path):
+    rows = [(f"song-{i * 37 % 100:02d}", BASE + i % 3 * 86_400_000, 2, 1) for i in range(300)]
+    records = stats(spark, *dict.fromkeys(rows)).repartition(4)
+    sinks.write_history_batch(records, f"{tmp_path}/live", 0, writers=2)
+    sinks.store_history(records, f"{tmp_path}/whole")
+    sinks.compact_history(spark, COMPLETION_FIELDS, f"{tmp_path}/compacted", f"{tmp_path}/live")
+    files = list(tmp_path.rglob("*.parquet"))
+    assert len(files) >= 9
+    for path in files:
+        songs = pq.ParquetFile(path).read(columns=["song_id"])["song_id"].to_pylist()
+        assert songs == sorted(songs)
+
+
 def test_history_filters_reach_the_scan(spark, tmp_path):
     store_two_batches(spark, tmp_path)
     stored = sinks.read_completion_history(spark, f"{tmp_path}/history")
