@@ -4,16 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spintally.llm import simhash
+import public_tokenizers
+
+from spintally.llm import bpe, licenses, pii, repetition, secrets, simhash, spans, tokenfile
+from spintally.session import run_dir
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document, read back from a token file."""
+    target = run_dir(spark, "tokens")
+    tokenfile.write(
+        documents(spark, sf_dir),
+        target,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        end_id=0,
+    )
+    return tokenfile.read(spark, target).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
@@ -22,8 +52,59 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    made = repetition.quality(documents(spark, sf_dir))
+    return made.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_covered", "longest_repeat",
+    )
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the base spans of every document, and all spans."""
+    found = secrets.find_secrets(documents(spark, sf_dir))
+    base = [rule.kind for rule in secrets.BASE_RULES]
+    return found.select(
+        "doc_id",
+        *[spans.count("spans", kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(spans.joined(spans.of_kinds("spans", base)), 256).alias("base_sha256"),
+        spans.joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the base phrases and all labels of every document."""
+    found = licenses.find_licenses(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.concat_ws(",", "base_labels").alias("base_labels"),
+        F.concat_ws(",", "labels").alias("labels"),
+        "score",
+    )
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the base spans of every document, and all spans."""
+    docs = documents(spark, sf_dir)
+    model = pii.fit(docs)
+    found = pii.find_pii(docs, model)
+    return found.select(
+        "doc_id",
+        *[spans.count("base_spans", kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(spans.joined(F.col("base_spans")), 256).alias("base_sha256"),
+        spans.joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_token_file": op2_token_file,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_license_scan": op9_license_scan,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,91 @@
+import base64
+import random
+
+import numpy as np
+import public_tokenizers as P
+import pyarrow as pa
+import pytest
+import tiktoken
+
+from cases_llm import SCHEMA, clashing, odd_rows, prose, rows
+from spintally.llm import bpe
+
+RANKS = P.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    lines = open(RANKS, "rb")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def own():
+    return bpe.vocabulary(bpe.read_ranks(RANKS))
+
+
+def as_ids(data):
+    return np.frombuffer(data, "<u4").tolist()
+
+
+def encoded(spark, data):
+    docs = clashing(spark.createDataFrame(data, SCHEMA))
+    made = bpe.encode(docs, RANKS, P.PATTERN)
+    return [(r.doc_id, r.n_tokens, as_ids(r.ids)) for r in made.collect()]
+
+
+def test_same_ids_as_the_library(spark, library):
+    data = odd_rows() + rows([prose(s, 300) for s in range(20)], 100)
+    expected = [(d, library.encode_ordinary(t or "")) for d, t, *_ in data]
+    found = encoded(spark, data)
+    assert sorted((str(d), ids) for d, _, ids in found) == sorted((str(d), ids) for d, ids in expected)
+    assert all(n == len(ids) for _, n, ids in found)
+
+
+def test_every_code_point_as_the_library(library, own):
+    from spintally.llm.pretokens import encode_slice
+
+    points = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c} {c}1{c}" for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+    ids, counts = encode_slice(texts, P.PATTERN, own.encode_pieces)
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    wrong = [i for i, (t, p) in enumerate(zip(texts, parts)) if library.encode_ordinary(t) != p.tolist()]
+    assert not wrong
+
+
+def test_random_bytes_merge_like_the_library(library, own):
+    rng = random.Random(5)
+    for _ in range(400):
+        piece = bytes(rng.choice(b"aeinrst \xc3\xa9\xff") for _ in range(rng.randrange(1, 40)))
+        assert own.merge(piece) == library._encode_single_piece(piece) or piece in own.ranks
+
+
+def test_perfect_hash_is_minimal_and_misses_are_seen(own):
+    assert sorted(own.slot_of_id[own.slot_of_id >= 0]) == list(range(len(own.ranks)))
+    keys = [k for k in own.ranks]
+    found = own.whole(*flat(keys))
+    assert found.tolist() == [own.ranks[k] for k in keys]
+    absent = [k + b"\x00\x01" for k in keys if k + b"\x00\x01" not in own.ranks]
+    assert (own.whole(*flat(absent)) == -1).all()
+
+
+def flat(keys):
+    from spintally.llm import ragged
+
+    return ragged.flat(pa.array(keys, pa.binary()))
+
+
+def test_round_trip_gives_the_bytes_back(spark):
+    data = odd_rows()
+    docs = spark.createDataFrame(data, SCHEMA)
+    back = bpe.decode(bpe.encode(docs, RANKS, P.PATTERN), RANKS).collect()
+    expected = sorted((t or "").encode() for _, t, *_ in data)
+    assert sorted(bytes(r.decoded) for r in back) == expected
+
+
+def test_unknown_ids_and_empty_tables(spark, own):
+    with pytest.raises(ValueError):
+        own.bytes_of(np.array([60_000]))
+    empty = spark.createDataFrame([], SCHEMA)
+    assert bpe.decode(bpe.encode(empty, RANKS, P.PATTERN), RANKS).collect() == []
