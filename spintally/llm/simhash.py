@@ -19,7 +19,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spintally.llm.rows import map_texts
@@ -159,22 +159,22 @@ def neighbour_links(fps: DataFrame, max_bits: int) -> DataFrame:
     Each value's fingerprints are tied to one of them: rows grow with the fingerprints.
     """
     up, down = (max_bits + 1) // 2, max_bits // 2
-    masks = [(0, 0)]
-    level = [0]
-    for reach in range(1, up + 1):
-        level = [m | 1 << bit for m in level for bit in range(m.bit_length(), BITS)]
-        masks += [(signed(m), reach) for m in level]
-    spark = fps.sparkSession
-    flips = spark.createDataFrame(masks, "flip long, reach int")
-    around = fps.join(F.broadcast(flips)).select(  # a fixed set of flips, not data
-        "fp", "reach", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle")
-    )
-    root = around.filter(F.col("reach") <= down).groupBy("middle").agg(F.min("fp").alias("a"))
-    inner = around.filter(F.col("reach") <= down).join(root, "middle").select("a", F.col("fp").alias("b"))
-    if up == down:
-        return inner.filter("a != b").distinct()
-    outer = around.join(root, "middle").select("a", F.col("fp").alias("b"))
-    return inner.union(outer).filter("a != b").distinct()
+    around = fps.select("fp", F.col("fp").alias("middle"), F.lit(-1).alias("last"), F.lit(0).alias("reach"))
+    for _ in range(up):  # flip one more bit above the last, or (bit 64) none any more
+        bits = F.when(F.col("last") < BITS, F.sequence(F.col("last") + 1, F.lit(BITS)))
+        bit = F.col("bit")
+        around = around.withColumn("bit", F.explode(F.coalesce(bits, F.array(F.lit(BITS))))).select(
+            "fp",
+            F.when(bit < BITS, F.col("middle").bitwiseXOR(F.expr("shiftleft(1L, bit)")))
+            .otherwise(F.col("middle"))
+            .alias("middle"),
+            bit.alias("last"),
+            (F.col("reach") + (bit < BITS).cast("int")).alias("reach"),
+        )
+    # a middle has as many fingerprints around it as there are ways to flip, at most
+    shared = Window.partitionBy("middle")
+    near = F.min(F.when(F.col("reach") <= down, F.col("fp"))).over(shared)
+    return around.select(near.alias("a"), F.col("fp").alias("b")).filter("a != b").distinct()
 
 
 def links(

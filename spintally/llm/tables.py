@@ -14,35 +14,49 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def normalised(edges: DataFrame) -> DataFrame:
+    """Each undirected edge once, smaller node first, without loops."""
+    ends = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return ends.filter("a != b").distinct()
+
+
+def compressed(parents: DataFrame) -> DataFrame:
+    """``(node, root)``: every node of a forest with its tree's root, by doubling jumps."""
+    while True:
+        up = parents.select(F.col("node").alias("via"), F.col("root").alias("far"))
+        jumped = saved(
+            parents.join(up, F.col("root") == F.col("via")).select(
+                "node", F.col("far").alias("root"), (F.col("far") != F.col("root")).alias("moved")
+            )
+        )
+        parents = jumped.select("node", "root")
+        if not jumped.filter("moved").limit(1).count():
+            return parents
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of undirected ``(a, b)`` edges; root is the smallest node.
 
-    Minimum labels spread over the edges and then jump to their label's label, so the
-    rounds grow with the logarithm of a chain's length. Every round shrinks to one row
-    per node before its shuffle; a hub is joined as any other skewed key.
+    Every node hangs on its smallest neighbour if that is smaller; the trees shrink to
+    their roots, and only edges between different roots go on, each once. The nodes
+    left at least halve every round. Hubs shrink before each shuffle.
     """
-    both = saved(
-        edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct()
-    )
-    labels = saved(
-        both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("root"))
-    )
+    live = saved(normalised(edges))
+    labels = None
     while True:
-        near = (
-            both.join(labels, F.col("b") == F.col("node"))
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("root").alias("near"))
-        )
-        spread = labels.join(near, "node").select(
-            "node", F.col("root").alias("was"), F.least("root", "near").alias("root")
-        )
-        jump = labels.select(F.col("node").alias("via"), F.col("root").alias("far"))
-        new = saved(
-            spread.join(jump, F.col("root") == F.col("via")).select(
-                "node", "was", F.least("root", "far").alias("root")
+        both = live.union(live.select(F.col("b"), F.col("a"))).toDF("node", "near")
+        tree = both.groupBy("node").agg(F.least("node", F.min("near")).alias("root"))
+        roots = compressed(saved(tree))
+        if labels is None:
+            labels = roots
+        else:
+            then = roots.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            labels = saved(
+                labels.join(then, "root", "left").select(
+                    "node", F.coalesce("next", "root").alias("root")
+                )
             )
-        )
-        changed = new.filter(F.col("was") != F.col("root")).limit(1).count()
-        labels = new.select("node", "root")
-        if not changed:
+        moved = live.join(roots.toDF("a", "root_a"), "a").join(roots.toDF("b", "root_b"), "b")
+        live = saved(normalised(moved.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))))
+        if not live.limit(1).count():
             return labels
