@@ -9,12 +9,28 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from spintally.llm import bpe, licenses, pii, repetition, secrets, simhash, spans, tokenfile
+from spintally.llm import (
+    bpe,
+    decontaminate,
+    html,
+    licenses,
+    pii,
+    repetition,
+    secrets,
+    simhash,
+    spans,
+    tokenfile,
+    toxicity,
+)
 from spintally.session import run_dir
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +60,21 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that contains a benchmark item, with the item."""
+    found = decontaminate.contamination(
+        documents(spark, sf_dir), table(spark, sf_dir, "benchmark")
+    )
+    return found.filter("contaminated").select(
+        "doc_id", "item_id", "n_windows", "n_matched", "coverage", "slot_consistency"
+    )
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
@@ -73,6 +104,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity and verdict of every document."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumnRenamed("rejected", "toxic")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of the base phrases and all labels of every document."""
     found = licenses.find_licenses(documents(spark, sf_dir))
@@ -100,9 +138,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_file": op2_token_file,
+    "op3_decontamination": op3_decontamination,
+    "op4_html_extraction": op4_html_extraction,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
+    "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_pii": op10_pii,
 }

@@ -73,18 +73,18 @@ def map_column(
     ship(df.sparkSession)
     new = T.StructType.fromDDL(fields)
     kept = [c for c in dict.fromkeys(keep) if c not in new.names]
-    source = df.select(
-        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)],
-        F.col(f"`{value_col}`").alias("value"),
-    )
+    read = kept if value_col in kept else [*kept, value_col]
+    value = read.index(value_col)
+    source = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(read)])
     schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in kept] + new.fields)
     names = schema.names
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, len(kept), slice_bytes):
-                made = compute(part.column(len(kept)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=names)
+            for part in slices(batch, value, slice_bytes):
+                made = compute(part.column(value))
+                own = part.columns[: len(kept)]
+                yield pa.RecordBatch.from_arrays([*own, *made], names=names)
 
     return source.mapInArrow(run, schema)
 

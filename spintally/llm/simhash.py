@@ -14,6 +14,7 @@ made of null ids only has a null id; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 import numpy as np
@@ -61,15 +62,15 @@ def fingerprint(hashes: list[int]) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+    docs: DataFrame, text_col: str = "text", keep: Iterable[str] = ("doc_id",), shingle: int = SHINGLE
 ) -> DataFrame:
-    """One row per input row: ``id_col`` and its 64-bit ``fp`` (as Spark's signed long)."""
+    """One row per input row: ``keep`` and the 64-bit ``fp`` (as Spark's signed long)."""
 
     def compute(texts):
         made = [fingerprint(shingle_hashes(text, shingle)) for text in texts]
         return [pa.array(np.array(made, dtype=np.uint64).view(np.int64), pa.int64())]
 
-    return map_texts(docs, compute, "fp long", text_col, [id_col])
+    return map_texts(docs, compute, "fp long", text_col, keep)
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -186,6 +187,8 @@ def links(
     so many fingerprints around the same segments that pairs would grow with its
     square; its members are tied through shared neighbours, which is exact as well.
     """
+    # a row here becomes dozens of keys, so the rows are dealt to all tasks
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     if max_bits == 0:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     sizes = ring_keys(fps, max_bits, variants=False).groupBy("start", "key").count()
@@ -205,20 +208,55 @@ def near_duplicates(
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
     dense_bucket: int = DENSE_BUCKET,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
-    """One row per input row: ``id_col``, ``fp``, ``component_id``.
+    """One row per input row: ``id_col``, ``keep``, ``fp``, ``root``, ``component_id``.
 
     Copies share a fingerprint, so links are sought between distinct fingerprints only,
     however many rows a group of copies has. ``component_id`` is the smallest id that
-    can be reached over links of at most ``max_bits`` differing bits.
+    can be reached over links of at most ``max_bits`` differing bits, ``root`` the
+    smallest fingerprint.
     """
-    marked = saved(fingerprints(docs, id_col, text_col, shingle))
-    classes = saved(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")))
+    columns = list(dict.fromkeys([id_col, *keep]))
+    marked = saved(fingerprints(docs, text_col, columns, shingle))
+    classes = saved(marked.groupBy("fp").agg(F.min(f"`{id_col}`").alias("first_id")))
     edges = saved(links(classes.select("fp"), max_bits, dense_bucket))
     roots = components(edges)
     placed = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     ids = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = placed.join(ids, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(F.col(f"`{id_col}`"), "fp", "component_id")
+    named = placed.join(ids, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select(
+        *[F.col(f"`{c}`") for c in columns], "fp", "root", "component_id"
+    )
+
+
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """One row of each group, all columns: that of the smallest id (null last) and text hash.
+
+    Rows that repeat both are one document. They are told apart only where they occur,
+    so no other text is shuffled for their sake.
+    """
+    text_hash = F.xxhash64(F.col(f"`{text_col}`"))
+    keyed = docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("value"), text_hash.alias("text_hash")
+    )
+    found = near_duplicates(keyed, "id", "value", keep=["text_hash"], **options)
+    copies = found.groupBy("root", "id", "text_hash").agg(F.count("*").alias("copies"))
+    first = copies.groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull(), "id", "text_hash", "copies")).alias("first")
+    )
+    chosen = first.select("first.id", "first.text_hash", "first.copies").alias("chosen")
+    own = docs.alias("own")
+    kept = own.join(
+        chosen,
+        F.col(f"own.`{id_col}`").eqNullSafe(F.col("chosen.id"))
+        & (F.xxhash64(F.col(f"own.`{text_col}`")) == F.col("chosen.text_hash")),
+    )
+    columns = [F.col(f"own.`{c}`") for c in docs.columns]
+    single = kept.filter("chosen.copies = 1").select(*columns)
+    repeated = kept.filter("chosen.copies > 1").select(*columns).dropDuplicates([id_col, text_col])
+    return single.union(repeated)
