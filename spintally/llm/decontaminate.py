@@ -72,7 +72,7 @@ def kind_and_hash(token: str) -> tuple[int, int]:
         kind = SIGN
     elif lower in UNITS:
         kind = UNIT
-    elif first.isupper() and (len(token) == 1 or token[1:].islower()):
+    elif first.isupper() and len(token) > 1 and token[1:].islower():
         kind = TITLE
     else:
         kind = PLAIN

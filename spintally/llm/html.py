@@ -55,6 +55,9 @@ SAME_LEVEL = {
 }
 STOPS = {"li": {"ul", "ol", "menu"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 
+#: Elements that are part of a text rather than a section of the page.
+TEXT_PARTS = set("p ul ol li dl dt dd table tbody tr td th h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption".split())
+
 TAGS = set(
     "html head title body nav header footer aside article main section div p ul ol li dl dt dd table "
     "tbody tr td th h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption form label button fieldset "
@@ -213,8 +216,9 @@ def features(tree: Tree) -> list[tuple[str, ...]]:
 class Model:
     #: Log-odds of main text by feature.
     unary: dict[str, float]
-    #: Log-potential of (parent, child) being (0, 1), (1, 0) and (1, 1), against (0, 0).
-    pair: tuple[float, float, float]
+    #: For parts of a text and for sections: log-potential of (parent, child) being (0, 1),
+    #: (1, 0) and (1, 1), against (0, 0).
+    pair: tuple[tuple[float, float, float], tuple[float, float, float]]
 
 
 def message(odds: float, from_zero: float, from_one: float, both: float) -> float:
@@ -227,16 +231,22 @@ def message(odds: float, from_zero: float, from_one: float, both: float) -> floa
     return log((e0 * exp(from_one) + e1 * exp(both)) / (e0 + e1 * exp(from_zero)))
 
 
-def beliefs(parents: list[int], unary: list[float], pair: tuple[float, float, float]):
+def sections(tree: Tree) -> list[int]:
+    """Which of the two shared potentials ties each element to its parent."""
+    return [int(tag not in TEXT_PARTS) for tag in tree.tags]
+
+
+def beliefs(parents: list[int], kinds: list[int], unary: list[float], pair):
     """Log-odds of each element, those it sends up without its parent, and its parent's without it."""
-    child_only, parent_only, both = pair
     up = list(unary)
     sent = [0.0] * len(parents)
     for i in range(len(parents) - 1, 0, -1):
+        child_only, parent_only, both = pair[kinds[i]]
         sent[i] = message(up[i], child_only, parent_only, both)
         up[parents[i]] += sent[i]
     whole, above = list(up), [0.0] * len(parents)
     for i in range(1, len(parents)):
+        child_only, parent_only, both = pair[kinds[i]]
         above[i] = whole[parents[i]] - sent[i]
         whole[i] = up[i] + message(above[i], parent_only, child_only, both)
     return whole, up, above
@@ -255,33 +265,41 @@ def marks(tree: Tree) -> list[int]:
     return out
 
 
-def train(pages: list[str], steps: int = 150, ridge: float = 0.3) -> Model:
+def train(pages: list[str], steps: int = 200, ridge: float = 0.1) -> Model:
     """The most likely potentials of labelled pages under a ridge, by gradient ascent."""
     trees = [parse(page) for page in pages]
     found = [features(tree) for tree in trees]
     labels = [marks(tree) for tree in trees]
+    kinds = [sections(tree) for tree in trees]
     names = sorted({f for page in found for own in page for f in own})
     place = {name: i for i, name in enumerate(names)}
-    free, scale = np.zeros(len(names) + 3), np.full(len(names) + 3, 1e-8)
+    n = len(names)
+    free, scale = np.zeros(n + 6), np.full(n + 6, 1e-8)
+
+    def model_of(free):
+        return Model(dict(zip(names, free.tolist())), (tuple(free[n : n + 3].tolist()), tuple(free[n + 3 :].tolist())))
+
     for _ in range(steps):
-        model = Model(dict(zip(names, free.tolist())), tuple(free[-3:].tolist()))
+        model = model_of(free)
         gradient = -ridge * free
-        for tree, page, label in zip(trees, found, labels):
+        for tree, page, label, kind in zip(trees, found, labels, kinds):
             unary = [unary_of(model, own) for own in page]
-            whole, up, above = beliefs(tree.parents, unary, model.pair)
+            whole, up, above = beliefs(tree.parents, kind, unary, model.pair)
             for i, own in enumerate(page):
                 surplus = label[i] - 1 / (1 + exp(-max(-30.0, min(30.0, whole[i]))))
                 for f in own:
                     gradient[place[f]] += surplus
                 if i:
-                    weights = [1.0, exp(free[-3] + up[i]), exp(free[-2] + above[i])]
-                    weights.append(exp(free[-1] + up[i] + above[i]))
+                    shared = model.pair[kind[i]]
+                    weights = [1.0, exp(shared[0] + up[i]), exp(shared[1] + above[i])]
+                    weights.append(exp(shared[2] + up[i] + above[i]))
                     chances = np.array(weights[1:]) / sum(weights)
                     seen = (label[tree.parents[i]], label[i])
-                    gradient[-3:] += np.array([seen == (0, 1), seen == (1, 0), seen == (1, 1)]) - chances
+                    at = n + 3 * kind[i]
+                    gradient[at : at + 3] += np.array([seen == (0, 1), seen == (1, 0), seen == (1, 1)]) - chances
         scale += gradient**2
         free = free + 0.5 * gradient / np.sqrt(scale)
-    return Model(dict(zip(names, free.tolist())), tuple(free[-3:].tolist()))
+    return model_of(free)
 
 
 @lru_cache(maxsize=1)
@@ -298,7 +316,7 @@ def main_text(page: str, model: Model, memo: dict) -> str:
         if odds is None:
             odds = memo[own] = unary_of(model, own)
         unary.append(odds)
-    whole, _, _ = beliefs(tree.parents, unary, model.pair)
+    whole, _, _ = beliefs(tree.parents, sections(tree), unary, model.pair)
     blocks, open_block = [], []
     for element, text, _ in tree.runs:
         if element < 0:

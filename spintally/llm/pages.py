@@ -81,6 +81,37 @@ LAYOUTS = [
         ("div", 'role="complementary"', "", [("p", "", "", ["sentence"])]),
         ("div", 'role="contentinfo"', "", ["legal"]),
     ],
+    # comments and boxes with names inside the article, columns beside it
+    [
+        ("div", 'class="topbar menu"', "", ["links"]),
+        ("div", 'class="left sidebar"', "", ["paragraphs", ("ul", "", "", ["links"])]),
+        ("article", 'class="story entry"', "*", [
+            ("h1", "", "", ["title"]),
+            ("p", "", "", ["short"]),
+            "paragraphs",
+            ("div", 'class="comments"', "-", [("p", "", "", ["sentence"])]),
+        ]),
+        ("aside", "", "", ["paragraphs"]),
+        ("aside", "", "", [("h3", "", "", ["title"]), ("p", "", "", ["sentence"])]),
+        ("section", 'class="comments"', "", ["paragraphs"]),
+        ("div", 'class="subscribe form"', "", [("p", "", "", ["sentence"]), ("form", "", "", [("input", "", "", []), ("button", "", "", ["short"])])]),
+        ("footer", "", "", [("p", "", "", ["legal"]), ("p", "", "", ["sentence"])]),
+    ],
+    # article in a column, with sections that carry no names
+    [
+        ("header", "", "", [("h1", "", "", ["short"]), ("p", "", "", ["sentence"])]),
+        ("div", 'class="notice"', "", ["sentence"]),
+        ("div", 'class="columns"', "", [
+            ("main", "", "*", [
+                ("div", "", "", [("h2", "", "", ["title"]), "paragraphs"]),
+                ("div", "", "", ["paragraphs", ("h3", "", "", ["short"]), "paragraphs"]),
+                ("div", 'class="ad"', "-", ["sentence"]),
+                ("div", 'id="reader-comments"', "-", [("h3", "", "", ["short"]), ("p", "", "", ["sentence"]), ("p", "", "", ["sentence"])]),
+            ]),
+            ("aside", 'class="side"', "", ["paragraphs"]),
+        ]),
+        ("footer", "", "", ["legal"]),
+    ],
     # very short article
     [
         ("nav", "", "", ["links"]),
@@ -133,7 +164,7 @@ def rendered(part, rng: random.Random) -> str:
     return f"<{tag} {attributes}{marked}>{inner}</{tag}>"
 
 
-def labelled_pages(copies: int = 6, seed: int = 1) -> list[str]:
+def labelled_pages(copies: int = 12, seed: int = 1) -> list[str]:
     """``copies`` pages of every layout with their marks, filled with different words."""
     rng = random.Random(seed)
     out = []

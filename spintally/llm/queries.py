@@ -88,7 +88,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = repetition.quality(documents(spark, sf_dir))
     return made.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "n_covered", "longest_repeat",
+        "base_failed", "kept", "n_covered",
     )
 
 
@@ -148,4 +148,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
-ORACLE: dict[str, str] = {}
+# Words as the contract writes them; a window is repeated if it stands at two places of a text.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _covered(size: int) -> str:
+    """SQL for the words of each document that lie in repeated windows of ``size`` words."""
+    return f"""
+      (SELECT r, count(*) AS n FROM (
+         SELECT DISTINCT r, i + k AS place FROM (
+           SELECT r, i, count(*) OVER (PARTITION BY r, w) AS times FROM (
+             SELECT r, i, array_to_string(list_slice(words, i, i + {size} - 1), ' ') AS w
+             FROM (SELECT r, words, unnest(range(1, len(words) - {size} + 2)) AS i FROM d)))
+         , range({size}) AS ks(k) WHERE times > 1)
+       GROUP BY r)"""
+
+
+ORACLE: dict[str, str] = {
+    "op4_html_extraction": r"""
+        WITH a AS (
+          SELECT page_id, url,
+                 regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS inner_html
+          FROM pages),
+        b AS (
+          SELECT page_id, url, regexp_replace(regexp_replace(inner_html,
+                 '</?(b|i|em|strong|a)( [^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM a),
+        c AS (
+          SELECT page_id, url, replace(replace(replace(replace(t,
+                 '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS t FROM b)
+        SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text,
+               length(trim(regexp_replace(t, '\s+', ' ', 'g'))) AS n_chars
+        FROM c""",
+    "op6_quality_rules": rf"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS} AS words
+          FROM documents),
+        l AS (
+          SELECT r, count(*) - count(DISTINCT line) AS n FROM (
+            SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+        c AS (
+          SELECT d.r, doc_id, len(words)::BIGINT AS n_words,
+                 length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+                 (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                 coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(w8.n, 0)::BIGINT AS n_repeat_words,
+                 coalesce(w5.n, 0)::BIGINT AS n_covered, coalesce(w101.n, 0) > 0 AS over_long
+          FROM d LEFT JOIN l ON l.r = d.r
+          LEFT JOIN {_covered(repetition.WINDOW)} w8 ON w8.r = d.r
+          LEFT JOIN {_covered(repetition.MIN_REPEAT)} w5 ON w5.r = d.r
+          LEFT JOIN {_covered(repetition.MAX_LONGEST + 1)} w101 ON w101.r = d.r)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered,
+               n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+               AND n_covered <= n_words * {repetition.MAX_COVERED} AND NOT over_long AS kept
+        FROM c""",
+}

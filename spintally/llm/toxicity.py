@@ -3,8 +3,8 @@
 Features are words and the beginnings of longer words, lower-cased. Those that occur
 more often in documents labelled toxic than chance allows are kept; a document's value
 is ``log(1 + occurrences)``. The labels say toxic or not; the grades among the toxic
-come from how densely such features stand in them: the labelled toxic documents are
-cut into equal parts by that density. One set of weights serves all thresholds,
+come from how often such features stand in them: the labelled toxic documents are
+cut into equal parts by that number. One set of weights serves all thresholds,
 
     P(grade > k) = sigmoid(score - threshold_k),   threshold_0 < threshold_1 < ...
 
@@ -40,7 +40,7 @@ MAX_LABELLED = 20_000
 MAX_FEATURES = 20_000
 MIN_TOXIC_DOCS = 3
 #: Least standard score of a feature's excess among toxic documents.
-MIN_EXCESS = 4.0
+MIN_EXCESS = 5.0
 PREFIXES = (4, 5, 6)
 WORD = regex.compile(r"[^\W\d_]+")
 MEMO_WORDS = 200_000
@@ -130,26 +130,24 @@ def fit(
         return [
             pa.array([[known[f] for f in row] for row in rows], pa.list_(pa.int32())),
             pa.array([list(row.values()) for row in rows], pa.list_(pa.int32())),
-            pa.array([max(1, len(text.split())) for text in texts], pa.int64()),
         ]
 
-    fields = "place array<int>, times array<int>, n_words long"
+    fields = "place array<int>, times array<int>"
     rows = map_texts(sample, compute, fields, "text", ["toxic"]).collect()  # max_labelled at most
     toxic = np.array([r.toxic > 0 for r in rows])
     which = np.repeat(np.arange(len(rows)), [len(r.place) for r in rows])
     place = np.array([p for r in rows for p in r.place], np.int64)
     times = np.array([t for r in rows for t in r.times], float)
-    density = np.bincount(which, times, len(rows)) / np.array([r.n_words for r in rows])
-    target = np.where(toxic, grade_of(density, toxic, grades), 0)
+    target = np.where(toxic, grade_of(np.bincount(which, times, len(rows)), toxic, grades), 0)
     weights, thresholds = cumulative_link(which, place, np.log1p(times), target, len(names), grades)
     kept = {name: float(w) for name, w in zip(names, weights) if abs(w) > 1e-4}
     return Model(kept, tuple(thresholds.tolist()))
 
 
-def grade_of(density: np.ndarray, toxic: np.ndarray, grades: int) -> np.ndarray:
-    """Grade 1 to ``grades`` by the density's place among the toxic documents."""
-    cuts = np.quantile(density[toxic], np.arange(1, grades) / grades)
-    return 1 + np.searchsorted(cuts, density, "left")
+def grade_of(evidence: np.ndarray, toxic: np.ndarray, grades: int) -> np.ndarray:
+    """Grade 1 to ``grades`` by the evidence's place among the toxic documents."""
+    cuts = np.quantile(evidence[toxic], np.arange(1, grades) / grades)
+    return 1 + np.searchsorted(cuts, evidence, "left")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -163,7 +161,7 @@ def cumulative_link(
     target: np.ndarray,
     n_features: int,
     grades: int,
-    ridge: float = 0.5,
+    ridge: float = 0.1,
     steps: int = 600,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and ordered thresholds of the most likely model, by Adam.

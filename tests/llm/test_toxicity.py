@@ -1,0 +1,87 @@
+import random
+
+import numpy as np
+import pytest
+
+from cases_llm import SCHEMA, clashing, odd_rows, prose, rows
+from spintally.llm import toxicity
+
+BAD = ["vileword", "nastyterm", "grobheit"]
+
+
+def corpus(n=400, seed=1):
+    rng = random.Random(seed)
+    texts, labels = [], []
+    for i in range(n):
+        words = prose(i + 1000 * seed, rng.randrange(20, 200), 50).split()
+        toxic = i % 5 == 0
+        for _ in range(rng.randrange(1, 9) if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(BAD) + rng.choice(["", "en", "s"]))
+        texts.append(" ".join(words))
+        labels.append(int(toxic))
+    return texts, labels
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    texts, marks = corpus()
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    labels = spark.createDataFrame(
+        [(i, None, m) for i, m in enumerate(marks)] + [(3, None, None), (None, None, 1), (3, None, marks[3])],
+        "doc_id long, quality int, toxic int",
+    )
+    return toxicity.fit(clashing(docs), labels), labels
+
+
+def test_held_out_accuracy(spark, fitted):
+    texts, marks = corpus(200, seed=7)
+    docs = clashing(spark.createDataFrame(rows(texts), SCHEMA))
+    found = {r.doc_id: r for r in toxicity.score(docs, fitted[0]).collect()}
+    rejected = [found[i].rejected for i in range(len(texts))]
+    assert np.mean([r == bool(m) for r, m in zip(rejected, marks)]) > 0.97
+    assert not any(r and not m for r, m in zip(rejected, marks))  # clean documents stay
+    few, many = found[0], toxicity.score(
+        spark.createDataFrame(rows([" ".join(BAD * 8)]), SCHEMA), fitted[0]
+    ).first()
+    assert many.severity >= few.severity and many.grade == toxicity.GRADES
+
+
+def test_thresholds_are_ordered_and_weights_shared(fitted):
+    model = fitted[0]
+    assert list(model.thresholds) == sorted(model.thresholds) and len(model.thresholds) == 3
+    assert min(model.weights.values()) > 0
+
+
+def test_gradient_reaches_the_likeliest_model():
+    rng = np.random.default_rng(3)
+    n, true = 4000, np.array([1.5, 0.7])
+    x = rng.random((n, 2)) * 2
+    latent = x @ true + rng.logistic(size=n)
+    target = np.searchsorted([1.0, 2.0, 3.0], latent)
+    which, place = np.repeat(np.arange(n), 2), np.tile([0, 1], n)
+    weights, thresholds = toxicity.cumulative_link(which, place, x.reshape(-1), target, 2, 3)
+    assert np.abs(weights - true).max() < 0.25 and np.abs(thresholds - [1, 2, 3]).max() < 0.3
+
+
+def test_expected_severity_is_the_sum_over_grades(spark, fitted):
+    model = fitted[0]
+    row = toxicity.score(spark.createDataFrame(rows([f"{BAD[0]} word"]), SCHEMA), model).first()
+    total = sum(model.weights.get(f, 0) for f in toxicity.features_of(BAD[0])) * np.log(2)
+    above = [1 / (1 + np.exp(t - total)) for t in model.thresholds]
+    assert row.severity == pytest.approx(sum(above)) and row.p_toxic == pytest.approx(above[0])
+
+
+def test_odd_rows_and_bounds(spark, fitted):
+    model, labels = fitted
+    found = toxicity.score(clashing(spark.createDataFrame(odd_rows(), SCHEMA)), model, keep=("doc_id", "fp"))
+    assert found.columns == ["doc_id", "fp", "severity", "grade", "p_toxic", "rejected"]
+    made = found.collect()
+    assert len(made) == len(odd_rows()) and not any(r.rejected for r in made)
+    empty = spark.createDataFrame([], SCHEMA)
+    nothing = toxicity.fit(empty, labels)
+    assert nothing.weights == {} and toxicity.score(empty, nothing).collect() == []
+    assert toxicity.score(spark.createDataFrame(rows(["x"]), SCHEMA), nothing).first().severity < 1e-6
+    texts, _ = corpus(60)
+    docs = spark.createDataFrame(rows(texts + texts[:10]), SCHEMA)
+    sample = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 25)
+    assert sample.count() <= 25
