@@ -14,20 +14,18 @@ ALIGNED = 1717599900000
 FIVE_MIN = 300_000
 HOUR = 3_600_000
 
-# Name, weight, completion share, seconds.
-CATALOG = (
-    ("neon-skyline", 100, 0.88, 168),
-    ("midnight-drive", 62, 0.71, 205),
-    ("paper-boats", 41, 0.93, 189),
-    ("static-bloom", 28, 0.44, 312),
-    ("cassette-sunset", 19, 0.66, 224),
-    ("glass-harbour", 13, 0.81, 176),
-    ("low-tide", 9, 0.58, 258),
-    ("ferris-wheel", 6, 0.74, 198),
-    ("amber-room", 4, 0.35, 401),
-    ("northbound", 3, 0.69, 213),
-    ("salt-flats", 2, 0.77, 187),
-    ("winter-static", 1, 0.62, 241),
+#: Songs of the play fixtures: id, seconds, and plays of every eight.
+SONGS = (("track-1", 240, 5), ("track-2", 180, 2), ("track-3", 300, 1))
+
+#: How plays end, in turn: to the end, at exactly nine tenths, just short of that, early on,
+#: by a skip, and not at all. Each is the type of one event and the share reached.
+ENDINGS = (
+    ("PLAY_END", 1.0),
+    ("PLAY_END", 0.9),
+    ("PLAY_END", 0.8999),
+    ("PLAY_END", 0.1),
+    ("SKIP", 0.25),
+    ("PLAY_PROGRESS", 0.5),
 )
 
 SCHEMA = (
@@ -77,21 +75,16 @@ def late_arrivals(base):
 
 
 def sessions(count, seed, base_ts=ALIGNED, spread_ms=30_000):
-    """Skewed play sessions: a start, then a full end, a short end or a skip."""
+    """Plays of few songs, one of them most of all, each a start and one later event."""
     rng = random.Random(seed)
-    weights = [weight for _, weight, _, _ in CATALOG]
+    turns = [(song, seconds) for song, seconds, share in SONGS for _ in range(share)]
     out = []
-    for _ in range(count):
-        song, _, share, seconds = rng.choices(CATALOG, weights)[0]
+    for number in range(count):
+        song, seconds = turns[number % len(turns)]
+        kind, share = ENDINGS[number % len(ENDINGS)]
         at, length = base_ts + rng.randrange(spread_ms), seconds * 1000
-        if rng.random() < share:
-            kind, reached = "PLAY_END", rng.uniform(0.92, 1.0)
-        elif rng.random() < 0.6:
-            kind, reached = "PLAY_END", rng.uniform(0.10, 0.85)
-        else:
-            kind, reached = "SKIP", rng.uniform(0.02, 0.30)
         out.append(event(song, "PLAY_START", at, 0, length))
-        out.append(event(song, kind, at + 1, int(length * reached), length))
+        out.append(event(song, kind, at + 1 + rng.randrange(5), int(length * share), length))
     return out
 
 

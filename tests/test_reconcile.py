@@ -1,4 +1,4 @@
-from cases import ALIGNED, CATALOG, FIVE_MIN, event, sessions, table, totals
+from cases import ALIGNED, FIVE_MIN, SONGS, event, sessions, table, totals
 
 from spintally.operators import aggregates, latest, reconcile
 
@@ -58,10 +58,10 @@ def test_report_texts(spark):
 
 def test_end_to_end_run_on_top_of_a_baseline(spark):
     """A second run in the same window is expected on top of the first; older windows are not."""
-    old = [event("winter-static", "PLAY_START", ALIGNED - FIVE_MIN)]
+    old = [event("track-3", "PLAY_START", ALIGNED - FIVE_MIN)]
     first, second = sessions(80, seed=1), sessions(200, seed=2)
     before = latest.latest_completion(aggregates.completion_stats(table(spark, old + first)))
-    songs = spark.createDataFrame([(c[0],) for c in CATALOG], "song_id string")
+    songs = spark.createDataFrame([(c[0],) for c in SONGS], "song_id string")
     injected = songs.join(aggregates.song_totals(table(spark, second)), "song_id", "left").na.fill(0)
     expected = reconcile.expected_totals(injected, before, ALIGNED)
     served = latest.latest_completion(
@@ -69,7 +69,7 @@ def test_end_to_end_run_on_top_of_a_baseline(spark):
     )
     rows = reconcile.reconcile(expected, served).collect()
     counted = totals(first + second, FIVE_MIN)
-    assert len(rows) == len(CATALOG)
+    assert len(rows) == len(SONGS)
     for r in rows:
         if (r.song_id, ALIGNED) in counted:
             assert r.status == "ok"
