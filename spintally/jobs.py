@@ -3,7 +3,9 @@
     python -m spintally.jobs stream completion --servers broker:9092 --root /data/completion
     python -m spintally.jobs top --root /data/hourly --n 10
 
-Answers are printed as JSON lines. The same file can be given to ``spark-submit`` with
+A root holds ``history``, ``latest`` and, where arrivals are numbered, ``latest_by_arrival``;
+``--also`` names more roots that are read along, such as a compacted one. Messages that
+cannot be used are kept under ``quarantine``. Answers are printed as JSON lines. The same file can be given to ``spark-submit`` with
 the package in ``--py-files``.
 """
 
@@ -12,14 +14,18 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from spintally.operators import latest, replay, serving
 from spintally.schema import (
     COMPLETION_FIELDS,
     COMPLETION_TOPIC,
     DEFAULT_TOP_N,
+    EVENTS_TOPIC,
     HOURLY_FIELDS,
     HOURLY_TOPIC,
+    PLAY_EVENT_FIELDS,
+    columns,
 )
 from spintally.session import build_session, streaming_session
 from spintally.sources import streams, wire
@@ -38,30 +44,78 @@ TOPICS = {COMPLETION: COMPLETION_TOPIC, HOURLY: HOURLY_TOPIC}
 FIELDS = {COMPLETION: COMPLETION_FIELDS, HOURLY: HOURLY_FIELDS}
 
 
+def _beside(decoded: DataFrame, main: StreamingQuery, args, every: str) -> None:
+    """Keep rejected messages under ``root/quarantine`` while the main query runs.
+
+    Without an end of their own, both run until one of them stops or fails.
+    """
+    side = watermarked.start_quarantine(decoded, f"{args.root}/quarantine", args.once, every)
+    if not args.once:
+        decoded.sparkSession.streams.awaitAnyTermination()
+        main.stop()
+        side.stop()
+    main.awaitTermination()
+    side.awaitTermination()
+
+
+def _event_stream(spark: SparkSession, args) -> DataFrame:
+    session = streaming_session(spark)
+    if args.servers:
+        return streams.read_event_topic(session, args.servers)
+    return streams.read_event_lines(session, args.lines)
+
+
 def stream(spark: SparkSession, args) -> None:
     """Aggregate a topic or a folder of JSON lines into ``root`` until stopped, or once."""
-    session = streaming_session(spark)
     if args.exact and not args.servers:
         raise ValueError("the exact rule needs the partitions and offsets of a topic")
+    decoded = _event_stream(spark, args)
+    every = args.every or (exact.EXACT_INTERVAL if args.exact else watermarked.FLUSH_INTERVAL)
+    main = STARTERS[args.kind, args.exact](
+        wire.valid_events(decoded), args.root, args.once, args.writers, every
+    )
+    _beside(decoded, main, args, every)
+
+
+def ingest(spark: SparkSession, args) -> None:
+    """Accept events from JSON lines and publish them, keyed by song.
+
+    With ``--servers`` they go to the event topic, else by stream partition into
+    ``root/events``.
+    """
+    decoded = streams.read_event_lines(streaming_session(spark), args.lines)
+    events = wire.valid_records(decoded).select(*columns(PLAY_EVENT_FIELDS))
+    every, checkpoint = args.every or watermarked.FLUSH_INTERVAL, f"{args.root}/checkpoint"
     if args.servers:
-        decoded = streams.read_event_topic(session, args.servers)
+        writer = streams.write_topic(
+            events, PLAY_EVENT_FIELDS, args.servers, EVENTS_TOPIC, checkpoint
+        )
+        main = watermarked.triggered(writer, args.once, every).start()
     else:
-        decoded = streams.read_event_lines(session, args.lines)
-    starter = STARTERS[args.kind, args.exact]
-    starter(wire.valid_events(decoded), args.root, args.once, args.writers).awaitTermination()
+        sink = sinks.event_sink(f"{args.root}/events")
+        main = watermarked.start(events, sink, checkpoint, "ingest", args.once, every)
+    _beside(decoded, main, args, every)
 
 
-def backfill(spark: SparkSession, args) -> None:
-    """Replay stored events, a topic or a table with ``part`` and ``seq``, into a new history."""
+def backfill(spark: SparkSession, args) -> DataFrame:
+    """Replay stored events, a topic or a table with ``part`` and ``seq``, into a new root.
+
+    Rejected messages of a topic go to ``target/quarantine``. Answers how many there were.
+    """
+    rejected = 0
     if args.servers:
-        events = wire.valid_events(streams.read_event_topic(spark, args.servers, stream=False))
+        decoded = streams.read_event_topic(spark, args.servers, stream=False)
+        events = wire.valid_events(decoded)
+        wire.quarantine(decoded).write.parquet(f"{args.target}/quarantine")
+        rejected = spark.read.parquet(f"{args.target}/quarantine").count()
     else:
         events = spark.read.parquet(args.table)
     if args.kind == COMPLETION:
         records = latest.completion_records(replay.completion_emissions(events))
     else:
         records = latest.hourly_records(replay.hourly_emissions(events))
-    sinks.store_history(records, args.target)
+    sinks.store_history(records, f"{args.target}/history")
+    return spark.createDataFrame([(rejected,)], "rejected bigint")
 
 
 def publish(spark: SparkSession, args) -> None:
@@ -71,42 +125,64 @@ def publish(spark: SparkSession, args) -> None:
     writer = streams.write_topic(
         updates, FIELDS[args.kind], args.servers, TOPICS[args.kind], f"{args.root}/checkpoint"
     )
-    writer.trigger(processingTime=watermarked.FLUSH_INTERVAL).start().awaitTermination()
+    every = args.every or watermarked.FLUSH_INTERVAL
+    _beside(decoded, watermarked.triggered(writer, args.once, every).start(), args, every)
 
 
 def consume(spark: SparkSession, args) -> None:
-    """Keep history and latest view from the result topic."""
+    """Keep history and views from the result topic."""
     messages = streams.read_topic(streaming_session(spark), args.servers, TOPICS[args.kind])
-    watermarked.start_consumer(
-        messages, FIELDS[args.kind], args.root, args.once, args.writers
-    ).awaitTermination()
+    decoded = wire.decode(messages, FIELDS[args.kind])
+    every = args.every or watermarked.FLUSH_INTERVAL
+    main = watermarked.start_consumer(
+        decoded, FIELDS[args.kind], args.root, args.once, args.writers, every
+    )
+    _beside(decoded, main, args, every)
+
+
+def _roots(args, table: str) -> list[str]:
+    return [f"{root}/{table}" for root in (args.root, *args.also)]
 
 
 def lookup(spark: SparkSession, args) -> DataFrame:
-    view = sinks.read_latest_completion(spark, f"{args.root}/latest")
+    """The latest completion of one song."""
+    view = sinks.read_latest_completion(spark, *_roots(args, sinks.LATEST))
     return serving.completion_lookup(view, args.song)
 
 
 def top(spark: SparkSession, args) -> DataFrame:
-    return serving.ranked_songs(sinks.read_song_scores(spark, f"{args.root}/latest"), args.n)
+    """The best songs with their position."""
+    scores = sinks.read_song_scores(spark, *_roots(args, sinks.LATEST))
+    return serving.ranked_songs(scores, args.n)
 
 
 def history(spark: SparkSession, args) -> DataFrame:
+    """The records of one song within a time range."""
     find = serving.completion_history if args.kind == COMPLETION else serving.play_history
-    roots = [f"{args.root}/history", *args.also]
-    return find(READERS[args.kind](spark, *roots), args.song, args.from_ms, args.to_ms)
+    rows = READERS[args.kind](spark, *_roots(args, sinks.HISTORY))
+    return find(rows, args.song, args.from_ms, args.to_ms)
 
 
 def compact(spark: SparkSession, args) -> None:
-    """Write the history with one row per key to a new root."""
-    roots = [f"{args.root}/history", *args.also]
-    sinks.compact_history(spark, FIELDS[args.kind], args.target, *roots)
+    """Write history and views with one row per key to a new root."""
+    sinks.compact(spark, FIELDS[args.kind], args.target, args.root, *args.also)
+
+
+def retire(spark: SparkSession, args) -> DataFrame:
+    """Drop the batches that a compacted root stands in for, once readers use both."""
+    gone = sinks.retire(spark, args.root, args.compacted)
+    return spark.createDataFrame([(n,) for n in gone], "batch_id bigint")
+
+
+def clear(spark: SparkSession, args) -> None:
+    """Drop the views of a root; its history stays."""
+    sinks.clear_latest(spark, args.root)
 
 
 def rebuild(spark: SparkSession, args) -> None:
-    """Write the latest view anew from the history to a new root."""
-    stored = READERS[args.kind](spark, f"{args.root}/history", *args.also)
-    sinks.rebuild_latest(stored, FIELDS[args.kind], args.target)
+    """Write the latest view anew from the history, to a new root or a cleared one."""
+    stored = READERS[args.kind](spark, *_roots(args, sinks.HISTORY))
+    sinks.rebuild_latest(stored, FIELDS[args.kind], f"{args.target or args.root}/{sinks.LATEST}")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -121,31 +197,40 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument(place, required=True)
         return sub
 
-    sub = command("stream", stream)
+    def running(sub):
+        sub.add_argument("--once", action="store_true")
+        sub.add_argument("--every", help="interval between batches, such as '30 seconds'")
+        return sub
+
+    sub = running(command("stream", stream))
     source = sub.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers")
     source.add_argument("--lines")
     sub.add_argument("--exact", action="store_true")
-    sub.add_argument("--once", action="store_true")
     sub.add_argument("--writers", type=int)
 
+    sub = running(command("ingest", ingest, kind=False))
+    sub.add_argument("--lines", required=True)
+    sub.add_argument("--servers")
+
     sub = command("backfill", backfill, place="--target")
     source = sub.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers")
     source.add_argument("--table")
 
-    command("publish", publish).add_argument("--servers", required=True)
+    running(command("publish", publish)).add_argument("--servers", required=True)
 
-    sub = command("consume", consume)
+    sub = running(command("consume", consume))
     sub.add_argument("--servers", required=True)
-    sub.add_argument("--once", action="store_true")
     sub.add_argument("--writers", type=int)
 
     sub = command("lookup", lookup, kind=False)
     sub.add_argument("--song", required=True)
+    sub.add_argument("--also", nargs="*", default=[])
 
     sub = command("top", top, kind=False)
     sub.add_argument("--n", type=int, default=DEFAULT_TOP_N)
+    sub.add_argument("--also", nargs="*", default=[])
 
     sub = command("history", history)
     sub.add_argument("--song", required=True)
@@ -153,10 +238,16 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--to", dest="to_ms", type=int)
     sub.add_argument("--also", nargs="*", default=[])
 
-    for name, run in (("compact", compact), ("rebuild", rebuild)):
-        sub = command(name, run)
-        sub.add_argument("--target", required=True)
-        sub.add_argument("--also", nargs="*", default=[])
+    sub = command("compact", compact)
+    sub.add_argument("--target", required=True)
+    sub.add_argument("--also", nargs="*", default=[])
+
+    sub = command("rebuild", rebuild)
+    sub.add_argument("--target")
+    sub.add_argument("--also", nargs="*", default=[])
+
+    command("retire", retire, kind=False).add_argument("--compacted", required=True)
+    command("clear", clear, kind=False)
     return main_parser
 
 

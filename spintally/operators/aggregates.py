@@ -91,7 +91,7 @@ def song_totals(events: DataFrame) -> DataFrame:
 
 
 def partition_spread(events: DataFrame) -> DataFrame:
-    """Events, songs and share of events by stream partition."""
+    """Events and songs by stream partition."""
     per_song = events.groupBy("part", "song_id").agg(F.count("*").alias("n"))
     return per_song.groupBy("part").agg(
         F.sum("n").alias("events"), F.count("*").alias("songs")

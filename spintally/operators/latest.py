@@ -65,8 +65,8 @@ def window_end(window_ms: int) -> Column:
     return F.col("window_start") + window_ms
 
 
-def completion_records(emissions: DataFrame) -> DataFrame:
-    """Emitted counts as completion records."""
+def completion_records(emissions: DataFrame, *keep: str) -> DataFrame:
+    """Emitted counts as completion records, with the columns ``keep`` after them."""
     return emissions.select(
         "song_id",
         "window_start",
@@ -74,13 +74,18 @@ def completion_records(emissions: DataFrame) -> DataFrame:
         "starts",
         "completes",
         completion_rate().alias("completion_rate"),
+        *keep,
     )
 
 
-def hourly_records(emissions: DataFrame) -> DataFrame:
-    """Emitted counts as hourly records."""
+def hourly_records(emissions: DataFrame, *keep: str) -> DataFrame:
+    """Emitted counts as hourly records, with the columns ``keep`` after them."""
     return emissions.select(
-        "song_id", "window_start", window_end(RANKING_WINDOW_MS).alias("window_end"), "play_count"
+        "song_id",
+        "window_start",
+        window_end(RANKING_WINDOW_MS).alias("window_end"),
+        "play_count",
+        *keep,
     )
 
 

@@ -19,7 +19,7 @@ from spintally.functions.times import floor_to_window
 from spintally.operators.aggregates import play_starts
 from spintally.operators.latest import window_end
 from spintally.operators.rates import as_rates, spread_over_windows, step_start
-from spintally.operators.sizing import BROADCAST_ROWS, broadcast_if_small, stored
+from spintally.operators.sizing import sized, stored
 from spintally.schema import (
     COMPLETION_GRACE_MS,
     COMPLETION_METRIC,
@@ -33,38 +33,45 @@ CHUNK_ROWS = 1 << 22
 WHOLE_MINUTE_MS = 60_000
 
 
-def closing_arrivals(events: DataFrame, size_ms: int, grace_ms: int) -> DataFrame:
-    """For every partition and window, the arrival that closed it (null if none did).
+def closing_arrivals(
+    events: DataFrame, size_ms: int, grace_ms: int, last: str = "seq"
+) -> DataFrame:
+    """The windows of each partition in which something came late, with their closing arrival.
 
     An event closes every window that ends at or before its time minus grace. It is
     noted at the newest such window; the earliest note at a window or any newer one
     is the window's closing arrival. Before any shuffle the events shrink to two rows
-    per partition and window at most, whatever their number.
+    per partition and window at most, whatever their number. A window whose last arrival
+    came before its closing one drops no event and is left out, so the table grows with
+    the windows that are late, not with time. ``last`` is the column of the highest
+    arrival number, where the rows stand for several events.
     """
     first = events.groupBy(
         "part",
         floor_to_window("ts_ms", size_ms).alias("held"),
         (floor_to_window(F.col("ts_ms") - grace_ms, size_ms) - size_ms).alias("closed"),
-    ).agg(F.min("seq").alias("seq"))
+    ).agg(F.min("seq").alias("seq"), F.max(last).alias("last"))
+    none = F.lit(None).cast("bigint")
     notes = F.array(
+        F.struct(F.col("held").alias("window_start"), none.alias("closer"), F.col("last")),
         F.struct(
-            F.col("held").alias("window_start"), F.lit(None).cast("bigint").alias("closer")
+            F.col("closed").alias("window_start"), F.col("seq").alias("closer"), none.alias("last")
         ),
-        F.struct(F.col("closed").alias("window_start"), F.col("seq").alias("closer")),
     )
     # The few rows left are moved by partition once, which serves both steps below.
     per_window = (
         first.repartition("part")
         .select("part", F.inline(notes))
         .groupBy("part", "window_start")
-        .agg(F.min("closer").alias("closer"))
+        .agg(F.min("closer").alias("closer"), F.max("last").alias("last"))
     )
     newer = (
         Window.partitionBy("part")
         .orderBy(F.desc("window_start"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return per_window.select("part", "window_start", F.min("closer").over(newer).alias("closer"))
+    closed = per_window.withColumn("closer", F.min("closer").over(newer))
+    return closed.filter(F.col("last") > F.col("closer")).select("part", "window_start", "closer")
 
 
 def with_lateness(
@@ -83,12 +90,10 @@ def with_lateness(
     )
 
 
-def mark_late(
-    events: DataFrame, size_ms: int, grace_ms: int, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def mark_late(events: DataFrame, size_ms: int, grace_ms: int) -> DataFrame:
     """Add ``window_start`` and ``late``, whether the event came after its window was closed."""
-    closing = stored(closing_arrivals(events, size_ms, grace_ms))
-    return with_lateness(events, broadcast_if_small(closing, broadcast_rows), size_ms)
+    closing = sized(closing_arrivals(events, size_ms, grace_ms), "closing")
+    return with_lateness(events, closing, size_ms)
 
 
 def completion_arrivals(events: DataFrame) -> DataFrame:
@@ -110,13 +115,13 @@ def first_arrivals(events: DataFrame) -> DataFrame:
 
     All window bounds and graces are whole minutes, so the closing arrivals of both
     aggregations can be told from these few rows as from the events themselves.
-    ``newest_ms`` keeps the highest exact time of each minute.
+    ``last_seq`` and ``newest_ms`` keep the last arrival and the highest exact time of each.
     """
     minutes = events.groupBy(
         "part",
         is_start().alias("start"),
         floor_to_window("ts_ms", WHOLE_MINUTE_MS).alias("minute"),
-    ).agg(F.min("seq").alias("seq"), F.max("ts_ms").alias("newest_ms"))
+    ).agg(F.min("seq").alias("seq"), F.max("seq").alias("last_seq"), F.max("ts_ms").alias("newest_ms"))
     return minutes.withColumnRenamed("minute", "ts_ms")
 
 
@@ -127,13 +132,13 @@ def arrivals(events: DataFrame) -> DataFrame:
     and ``late_play`` for the hourly ones, the latter two meaningful for starts only.
     """
     first = stored(first_arrivals(events))
-    closing = stored(closing_arrivals(first, COMPLETION_WINDOW_MS, COMPLETION_GRACE_MS))
-    closing_hours = stored(
-        closing_arrivals(first.filter("start"), RANKING_WINDOW_MS, RANKING_GRACE_MS)
+    closing = closing_arrivals(first, COMPLETION_WINDOW_MS, COMPLETION_GRACE_MS, "last_seq")
+    closing_hours = closing_arrivals(
+        first.filter("start"), RANKING_WINDOW_MS, RANKING_GRACE_MS, "last_seq"
     )
-    marked = with_lateness(events, broadcast_if_small(closing), COMPLETION_WINDOW_MS)
+    marked = with_lateness(events, sized(closing, "closing"), COMPLETION_WINDOW_MS)
     return with_lateness(
-        marked, broadcast_if_small(closing_hours), RANKING_WINDOW_MS, "hour_start", "late_play"
+        marked, sized(closing_hours, "closing"), RANKING_WINDOW_MS, "hour_start", "late_play"
     )
 
 

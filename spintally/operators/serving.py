@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spintally.functions.text import bar_length, completion_key
 from spintally.functions.times import utc_date
+from spintally.operators.sizing import stored
 from spintally.schema import (
     COMPLETION_FIELDS,
     DEFAULT_LOOKBACK_MS,
@@ -20,7 +21,8 @@ from spintally.schema import (
 )
 from spintally.sources.wire import from_wire, to_wire
 
-LISTING_ROWS = 100_000
+#: Up to here a listing is numbered in one task, which has gathered it anyway.
+ONE_TASK_ROWS = 10_000
 
 
 def resolve_range(
@@ -99,26 +101,50 @@ def ranking(scores: DataFrame) -> DataFrame:
 
 
 def top_songs(scores: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
-    """The first ``n`` of the ranking.
+    """The first ``n`` of the ranking, for any ``n`` from one on."""
+    if n < 1:
+        raise ValueError(f"n must be at least 1, not {n}")
+    return ranking(scores).limit(n)
+
+
+def ranking_positions(scores: DataFrame) -> DataFrame:
+    """All songs with their position, numbered where they are.
 
-    A listing is gathered in one task, hence its length is checked; the whole ranking
-    stays distributed.
+    The ranking is cut into sorted ranges and kept; a range's first position follows from
+    the sizes of those before it, of which there is one per range.
     """
-    if not 1 <= n <= LISTING_ROWS:
-        raise ValueError(f"n must be from 1 to {LISTING_ROWS}; for more, read the whole ranking")
-    return ranking(scores).limit(n)
+    cut = scores.repartitionByRange(F.desc("play_count"), F.desc("song_id"))
+    placed = cut.sortWithinPartitions(F.desc("play_count"), F.desc("song_id"))
+    # The number holds the range above bit 33 and the row within it below.
+    placed = stored(placed.withColumn("place", F.monotonically_increasing_id()))
+    placed = placed.select(
+        *scores.columns,
+        F.shiftright("place", 33).alias("range"),
+        (F.col("place") % (1 << 33)).alias("row"),
+    )
+    before, starts = 0, []
+    for part, size in sorted(placed.groupBy("range").count().collect()):
+        starts.append((part, before))
+        before += size
+    first = scores.sparkSession.createDataFrame(starts, "range bigint, before bigint")
+    return placed.join(F.broadcast(first), "range").select(  # one row per range
+        *scores.columns, (F.col("before") + F.col("row") + 1).alias("position")
+    )
 
 
 def ranked_songs(scores: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
-    """Top songs with their position, best first."""
+    """Top songs with their position, best first; a long listing is numbered in parallel."""
+    listing = top_songs(scores, n)
+    if n > ONE_TASK_ROWS:
+        return ranking_positions(scores).filter(F.col("position") <= n).orderBy("position")
     best = Window.orderBy(F.desc("play_count"), F.desc("song_id"))
-    return top_songs(scores, n).withColumn("position", F.row_number().over(best).cast("bigint"))
+    return listing.withColumn("position", F.row_number().over(best).cast("bigint"))
 
 
 def top_songs_relative(scores: DataFrame, n: int = REPORT_TOP_N) -> DataFrame:
     """Ranked songs with a bar relative to the best score."""
     listing = ranked_songs(scores, n)
-    top = F.max("play_count").over(Window.partitionBy())
+    top = F.max("play_count").over(Window.partitionBy())  # over the rows of the listing
     return (
         listing.withColumn("top_score", top)
         .withColumn("bar", bar_length("play_count", "top_score"))

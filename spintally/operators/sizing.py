@@ -1,27 +1,27 @@
-"""Broadcasting behind a check of the actual size."""
+"""Reduced tables kept in the shared folder between the steps of a plan."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from spintally.session import shared_dir
-
-BROADCAST_ROWS = 500_000
+from spintally.session import run_dir, shared_dir
 
 
 def stored(narrow: DataFrame) -> DataFrame:
-    """Keep a reduced table in the shared folder: computed once, and safe from lost executors."""
+    """Keep a reduced table in the shared folder: computed once, and safe from lost executors.
+
+    Spark removes it when the frame is no longer used.
+    """
     shared_dir(narrow.sparkSession)
     return narrow.checkpoint()
 
 
-def broadcast_if_small(kept: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the table has at most ``limit`` rows, else leave the join to AQE.
+def sized(reduced: DataFrame, name: str) -> DataFrame:
+    """The same as files, whose size the planner knows.
 
-    For stored tables of a few fixed-width columns only: the default is some tens of
-    megabytes, and counting rows must not compute them anew.
+    A join then broadcasts the table if its bytes are within
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
     """
-    if kept.count() <= limit:
-        return F.broadcast(kept)
-    return kept
+    path = run_dir(reduced.sparkSession, name)
+    reduced.write.parquet(path)
+    return reduced.sparkSession.read.schema(reduced.schema).parquet(path)

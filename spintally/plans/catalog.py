@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spintally.functions.plays import is_start
+from spintally.functions.plays import completion_rate, is_start
 from spintally.functions.text import song_slug
 from spintally.functions.times import floor_to_window, window_remaining
 from spintally.operators import aggregates, latest, rates, reconcile, replay, serving
@@ -21,7 +21,7 @@ from spintally.schema import (
     RANKING_WINDOW_MS,
     columns,
 )
-from spintally.session import run_dir, streaming_session
+from spintally.session import drop_folder, run_dir, streaming_session
 from spintally.sources import tables, wire
 from spintally.streaming import exact, sinks, watermarked
 
@@ -38,6 +38,13 @@ RUN_START_MS = END_MS - COMPLETION_WINDOW_MS // 2
 LAST_HOUR_MS = END_MS - RANKING_WINDOW_MS
 
 COUNTED = ("starts", "completes")
+LOST_SONG = "song-16"
+
+# The streaming queries get the arrivals in so many slices of so many files, and restart
+# before the slice RESTART.
+SLICES = 5
+SLICE_FILES = 2
+RESTART = 3
 
 QUERIES: dict[str, Query] = {}
 
@@ -76,9 +83,8 @@ def play_events(spark, sf_dir):
     )
 
 
-@query
-def decode_events(spark, sf_dir):
-    """Wire messages, some of them damaged, decoded and checked."""
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as wire messages, some of them damaged."""
     text = F.col("value")
     case = F.col("seq") % 50
     damaged = (
@@ -88,12 +94,17 @@ def decode_events(spark, sf_dir):
         .when(case == 37, F.replace(text, F.lit('"positionMs"'), F.lit('"offsetMs"')))
         .otherwise(text)
     )
-    messages = (
+    return (
         _events(spark, sf_dir)
         .select("seq", wire.to_wire(PLAY_EVENT_FIELDS).alias("value"))
         .withColumn("value", damaged)
     )
-    decoded = wire.decode_play_events(messages)
+
+
+@query
+def decode_events(spark, sf_dir):
+    """Wire messages, some of them damaged, decoded and checked."""
+    decoded = wire.decode_play_events(_messages(spark, sf_dir))
     usable = F.col("reject_reason").isNull()
     return decoded.select(
         "seq",
@@ -102,6 +113,12 @@ def decode_events(spark, sf_dir):
     )
 
 
+@query
+def rejected_messages(spark, sf_dir):
+    """Messages that cannot be used, as received, with the reason."""
+    return wire.quarantine(wire.decode_play_events(_messages(spark, sf_dir)))
+
+
 @query
 def play_starts(spark, sf_dir):
     return aggregates.play_starts(_starts(spark, sf_dir)).select(
@@ -185,6 +202,13 @@ def top_songs(spark, sf_dir):
     return serving.ranked_songs(song_scores(spark, sf_dir))
 
 
+@query
+def ranking_positions(spark, sf_dir):
+    """All of many songs with their position."""
+    starts = tables.load_play_events(spark, sf_dir, (PLAY_START,), tables.BY_LISTENER)
+    return serving.ranking_positions(latest.song_scores(aggregates.hourly_counts(starts)))
+
+
 @query
 def top_songs_relative(spark, sf_dir):
     return serving.top_songs_relative(song_scores(spark, sf_dir))
@@ -203,14 +227,23 @@ def completion_json(spark, sf_dir):
 
 @query
 def completion_history(spark, sf_dir):
-    return serving.completion_history(
-        completion_stats(spark, sf_dir), LOOKUP_SONG, LAST_HOUR_MS, END_MS
+    """Records of one song and range, from the events whose windows start within it."""
+    events = tables.load_play_events(
+        spark, sf_dir, from_ms=LAST_HOUR_MS, to_ms=END_MS + COMPLETION_WINDOW_MS
     )
+    stats = aggregates.completion_stats(events)
+    return serving.completion_history(stats, LOOKUP_SONG, LAST_HOUR_MS, END_MS)
 
 
 @query
 def play_history(spark, sf_dir):
-    return serving.play_history(hourly_counts(spark, sf_dir), LOOKUP_SONG, now_ms=END_MS)
+    from_ms, to_ms = serving.resolve_range(now_ms=END_MS)
+    starts = tables.load_play_events(
+        spark, sf_dir, (PLAY_START,), from_ms=from_ms, to_ms=to_ms + RANKING_WINDOW_MS
+    )
+    return serving.play_history(
+        aggregates.hourly_counts(starts), LOOKUP_SONG, from_ms, to_ms
+    )
 
 
 # --- Replay with late arrivals ---
@@ -278,7 +311,7 @@ def song_scores_by_arrival(spark, sf_dir):
 def _consumed(changelog: DataFrame, fields) -> DataFrame:
     """Emitted records sent as messages, read again, and upserted."""
     messages = wire.encode(changelog, fields, keep=("seq",))
-    records = wire.decode(messages, fields, keep=("seq",))
+    records = wire.valid_records(wire.decode(messages, fields)).select(*columns(fields), "seq")
     return latest.latest_per_key(records, latest.HISTORY_KEY, "seq").select(*columns(fields))
 
 
@@ -294,36 +327,53 @@ def consumed_hourly_history(spark, sf_dir):
     return _consumed(replay.hourly_changelog(starts), HOURLY_FIELDS)
 
 
-def _stored_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = run_dir(spark, "completion")
-    sinks.store_history(completion_history_upsert(spark, sf_dir), root)
-    return sinks.read_completion_history(spark, root)
-
-
-def _stored_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = run_dir(spark, "hourly")
-    sinks.store_history(hourly_history_upsert(spark, sf_dir), root)
-    return sinks.read_hourly_history(spark, root)
+def _read_from(spark: SparkSession, root: str, answer: DataFrame) -> DataFrame:
+    """Keep an answer, small against the tables it was read from, and drop those."""
+    kept = stored(answer)
+    drop_folder(spark, root)
+    return kept
 
 
 @query
 def stored_completion_history(spark, sf_dir):
     """The replayed history, stored and read by song and time."""
-    return serving.completion_history(
-        _stored_completion(spark, sf_dir), LOOKUP_SONG, LAST_HOUR_MS, END_MS
-    )
+    root = run_dir(spark, "completion")
+    sinks.store_history(completion_history_upsert(spark, sf_dir), root)
+    rows = sinks.read_completion_history(spark, root)
+    answer = serving.completion_history(rows, LOOKUP_SONG, LAST_HOUR_MS, END_MS)
+    return _read_from(spark, root, answer)
 
 
 @query
 def stored_play_history(spark, sf_dir):
     """The replayed hours, stored and read by song and time."""
-    return serving.play_history(_stored_hourly(spark, sf_dir), LOOKUP_SONG, now_ms=END_MS)
+    root = run_dir(spark, "hourly")
+    sinks.store_history(hourly_history_upsert(spark, sf_dir), root)
+    rows = sinks.read_hourly_history(spark, root)
+    return _read_from(spark, root, serving.play_history(rows, LOOKUP_SONG, now_ms=END_MS))
 
 
 @query
 def rebuild_read_model(spark, sf_dir):
-    """Latest completion and score by song, from the stored histories alone."""
-    return latest.read_model(_stored_completion(spark, sf_dir), _stored_hourly(spark, sf_dir))
+    """Latest completion and score by song, from the stored histories alone.
+
+    Both histories come from events that are marked for both late rules at once.
+    """
+    root = run_dir(spark, "model")
+    events, _ = _late_view(spark, sf_dir)
+    marked = replay.arrivals(events)
+    five = marked.filter(~F.col("late"))
+    hours = aggregates.play_starts(marked).filter(~F.col("late_play"))
+    hours = hours.withColumn("window_start", F.col("hour_start"))
+    completion = replay.last_emissions(five, replay.completion_counters())
+    plays = replay.last_emissions(hours, replay.ranking_counters())
+    sinks.store_history(latest.completion_records(completion), f"{root}/completion")
+    sinks.store_history(latest.hourly_records(plays), f"{root}/hourly")
+    model = latest.read_model(
+        sinks.read_completion_history(spark, f"{root}/completion"),
+        sinks.read_hourly_history(spark, f"{root}/hourly"),
+    )
+    return _read_from(spark, root, model)
 
 
 @query
@@ -349,48 +399,65 @@ def emit_rate(spark, sf_dir):
     return replay.emit_rate(_late_view(spark, sf_dir)[0])
 
 
-# --- Reconciliation: a run injects plays into the last window; the rest came before ---
+# --- Reconciliation: what a run sent, counted plainly, against what the replay serves ---
 
 
-def _run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts by song, window and whether the run added them.
+def _run_by_song(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per song: what the run sent, and the latest view before and after it.
 
-    The events are read once for both sides of the comparison.
+    The run is the arrivals from ``RUN_START_MS`` on. What it sent is counted whether or
+    not it came late; the views hold accepted events only. One pass over the events.
     """
-    events = _events(spark, sf_dir).withColumn("in_run", F.col("ts_ms") >= RUN_START_MS)
-    return stored(aggregates.completion_counts(events, "in_run"))
+    marked = replay.completion_arrivals(_late_tracks(spark, sf_dir))
+    sent = F.col("arrival_ms") >= RUN_START_MS
+    kept, hits = ~F.col("late"), replay.completion_counters()
+    windows = marked.groupBy("song_id", "window_start").agg(
+        F.count_if(sent).alias("sent"),
+        F.count_if(kept).alias("kept"),
+        F.count_if(kept & ~sent).alias("found"),
+        *[F.count_if(sent & hit).alias(f"sent_{c}") for c, hit in hits.items()],
+        *[F.count_if(kept & hit).alias(f"kept_{c}") for c, hit in hits.items()],
+        *[F.count_if(kept & ~sent & hit).alias(f"found_{c}") for c, hit in hits.items()],
+    )
+
+    def newest(view):
+        record = F.struct("window_start", *[F.col(f"{view}_{c}").alias(c) for c in COUNTED])
+        return F.max_by(record, F.when(F.col(view) > 0, F.col("window_start"))).alias(view)
+
+    return (
+        windows.groupBy("song_id")
+        .agg(
+            F.sum("sent").alias("sent"),
+            *[F.sum(f"sent_{c}").alias(f"sent_{c}") for c in COUNTED],
+            newest("kept"),
+            newest("found"),
+        )
+        .filter(F.col("sent") > 0)
+    )
 
 
-def _expected(counts: DataFrame) -> DataFrame:
-    """What the run added, zero for songs it did not touch, on top of what it found."""
-    added = {c: F.sum(F.when(F.col("in_run"), F.col(c)).otherwise(0)) for c in COUNTED}
-    injected = counts.groupBy("song_id").agg(*[total.alias(c) for c, total in added.items()])
-    found = latest.latest_completion(counts.filter(~F.col("in_run")))
+def _expected(songs: DataFrame) -> DataFrame:
+    """What the run sent on top of what it found."""
+    injected = songs.select("song_id", *[F.col(f"sent_{c}").alias(c) for c in COUNTED])
+    found = songs.filter("found is not null").select("song_id", "found.*")
     return reconcile.expected_totals(injected, found, TARGET_WINDOW_MS)
 
 
-def _served(counts: DataFrame) -> DataFrame:
-    """The latest view with one song lost and others off, so that every verdict occurs."""
-    song = F.col("song_id")
-    starts_off = F.when(song == "song-3", -1).when(song == "song-4", 1).otherwise(0)
-    completes_off = F.when(song == "song-2", 1).otherwise(0)
-    windows = counts.groupBy("song_id", "window_start").agg(*[F.sum(c).alias(c) for c in COUNTED])
-    return (
-        latest.latest_completion(windows)
-        .filter(song != "song-1")
-        .withColumn("starts", F.col("starts") + starts_off)
-        .withColumn("completes", F.col("completes") + completes_off)
-    )
+def _served(songs: DataFrame) -> DataFrame:
+    """The latest view, of which one song got lost."""
+    view = songs.filter("kept is not null").select("song_id", "kept.*")
+    lost = F.col("song_id") == LOST_SONG
+    return view.filter(~lost).withColumn("completion_rate", completion_rate())
 
 
 def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _run_counts(spark, sf_dir)
-    return reconcile.reconcile(_expected(counts), _served(counts))
+    songs = _run_by_song(spark, sf_dir)
+    return reconcile.reconcile(_expected(songs), _served(songs))
 
 
 @query
 def expected_with_baseline(spark, sf_dir):
-    return _expected(_run_counts(spark, sf_dir))
+    return _expected(_run_by_song(spark, sf_dir))
 
 
 @query
@@ -432,27 +499,27 @@ def ranking_leftover(spark, sf_dir):
     )
 
 
-def _off_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ranking with two scores off, so that every note occurs."""
-    song = F.col("song_id")
-    off = F.when(song == "song-1", 2).when(song == "song-2", -1).otherwise(0)
-    return song_scores(spark, sf_dir).withColumn("play_count", F.col("play_count") + off)
+def _hour_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking after the replay of delayed arrivals."""
+    starts = aggregates.play_starts(_late_tracks(spark, sf_dir))
+    return latest.song_scores(latest.hourly_records(replay.hourly_emissions(starts)))
 
 
 def _hour_injected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Starts of a run that fills the last hour, zero for songs it did not touch."""
-    in_run = F.col("ts_ms") >= LAST_HOUR_MS
-    return _starts(spark, sf_dir).groupBy("song_id").agg(F.count_if(in_run).alias("starts"))
+    """Starts that a run sent from shortly after the last hour began, however late they are."""
+    in_run = F.col("arrival_ms") >= LAST_HOUR_MS + COMPLETION_WINDOW_MS
+    starts = aggregates.play_starts(_late_tracks(spark, sf_dir))
+    return starts.groupBy("song_id").agg(F.count_if(in_run).alias("starts"))
 
 
 @query
 def ranking_check(spark, sf_dir):
-    return reconcile.ranking_check(_off_ranking(spark, sf_dir), _hour_injected(spark, sf_dir))
+    return reconcile.ranking_check(_hour_scores(spark, sf_dir), _hour_injected(spark, sf_dir))
 
 
 @query
 def ranking_report(spark, sf_dir):
-    return reconcile.ranking_report(_off_ranking(spark, sf_dir), _hour_injected(spark, sf_dir))
+    return reconcile.ranking_report(_hour_scores(spark, sf_dir), _hour_injected(spark, sf_dir))
 
 
 @query
@@ -467,67 +534,101 @@ def completion_extremes(spark, sf_dir):
 # --- Streaming, read back from what the sinks stored ---
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.play_events(tables.stream_actions(spark, sf_dir))
-
-
-def _run_completion(spark: SparkSession, sf_dir: str) -> str:
-    root = run_dir(spark, "completion")
-    events = _event_stream(streaming_session(spark), sf_dir)
-    watermarked.start_completion(events, root, available_now=True).awaitTermination()
-    return root
-
+def _slices(spark: SparkSession, sf_dir: str, folder: str, first: int, last: int) -> DataFrame:
+    """Write slices ``first`` to ``last - 1`` of the delayed arrivals, and read all as a stream.
 
-def _run_hourly(spark: SparkSession, sf_dir: str) -> str:
-    root = run_dir(spark, "hourly")
-    events = _event_stream(streaming_session(spark), sf_dir)
-    watermarked.start_hourly(events, root, available_now=True).awaitTermination()
+    Slices follow the arrival numbers. Each is ``SLICE_FILES`` files, which is what one
+    micro-batch takes, so every slice is a batch of its own.
+    """
+    events = tables.delayed(_events(spark, sf_dir))
+    total = events.agg(F.max("seq")).first()[0]
+    for number in range(first, last):
+        low, high = (total + 1) * number // SLICES, (total + 1) * (number + 1) // SLICES
+        part = events.filter((F.col("seq") >= low) & (F.col("seq") < high))
+        part.repartition(SLICE_FILES).write.mode("append").parquet(folder)
+    reader = streaming_session(spark).readStream.schema(events.schema)
+    return reader.option("maxFilesPerTrigger", SLICE_FILES).parquet(folder)
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, start) -> str:
+    """Run a streaming query over the slices, with a stop and a restart midway."""
+    root = run_dir(spark, "stream")
+    for first, last in ((0, RESTART), (RESTART, SLICES)):
+        events = _slices(spark, sf_dir, f"{root}/in", first, last)
+        start(events, root, available_now=True).awaitTermination()
     return root
 
 
 @query
 def stream_completion_history(spark, sf_dir):
-    history = sinks.read_completion_history(spark, f"{_run_completion(spark, sf_dir)}/history")
-    return history.select(*columns(COMPLETION_FIELDS))
+    root = _run_stream(spark, sf_dir, watermarked.start_completion)
+    history = sinks.read_completion_history(spark, f"{root}/history")
+    return _read_from(spark, root, history.select(*columns(COMPLETION_FIELDS)))
 
 
 @query
 def stream_latest_completion(spark, sf_dir):
-    return sinks.read_latest_completion(spark, f"{_run_completion(spark, sf_dir)}/latest")
+    root = _run_stream(spark, sf_dir, watermarked.start_completion)
+    return _read_from(spark, root, sinks.read_latest_completion(spark, f"{root}/latest"))
 
 
 @query
 def stream_hourly_history(spark, sf_dir):
-    history = sinks.read_hourly_history(spark, f"{_run_hourly(spark, sf_dir)}/history")
-    return history.select(*columns(HOURLY_FIELDS))
+    root = _run_stream(spark, sf_dir, watermarked.start_hourly)
+    history = sinks.read_hourly_history(spark, f"{root}/history")
+    return _read_from(spark, root, history.select(*columns(HOURLY_FIELDS)))
 
 
 @query
 def stream_top_songs(spark, sf_dir):
-    scores = sinks.read_song_scores(spark, f"{_run_hourly(spark, sf_dir)}/latest")
-    return serving.ranked_songs(scores)
+    root = _run_stream(spark, sf_dir, watermarked.start_hourly)
+    scores = sinks.read_song_scores(spark, f"{root}/latest")
+    return _read_from(spark, root, serving.ranked_songs(scores))
 
 
-def _run_exact(spark: SparkSession, sf_dir: str, start) -> str:
-    """A stream of the delayed arrivals under the exact late rule."""
-    root = run_dir(spark, "exact")
-    events = tables.delayed(_event_stream(streaming_session(spark), sf_dir))
-    start(events, root, available_now=True).awaitTermination()
-    return root
+@query
+def stream_late_events(spark, sf_dir):
+    """Starts that each streaming query dropped for coming after its watermark."""
+    sent = aggregates.play_starts(_events(spark, sf_dir)).count()
+    answers = []
+    for metric, start, read, counted in (
+        ("completion_rate", watermarked.start_completion, sinks.read_completion_history, "starts"),
+        ("top_songs", watermarked.start_hourly, sinks.read_hourly_history, "play_count"),
+    ):
+        root = _run_stream(spark, sf_dir, start)
+        kept = F.coalesce(F.sum(counted), F.lit(0))
+        answer = read(spark, f"{root}/history").agg((F.lit(sent) - kept).alias("late_starts"))
+        answer = answer.select(F.lit(metric).alias("metric"), "late_starts")
+        answers.append(_read_from(spark, root, answer))
+    return answers[0].union(answers[1])
 
 
 @query
 def exact_stream_completion_history(spark, sf_dir):
-    root = _run_exact(spark, sf_dir, exact.start_exact_completion)
+    root = _run_stream(spark, sf_dir, exact.start_exact_completion)
     history = sinks.read_completion_history(spark, f"{root}/history")
-    return history.select(*columns(COMPLETION_FIELDS))
+    return _read_from(spark, root, history.select(*columns(COMPLETION_FIELDS)))
 
 
 @query
 def exact_stream_hourly_history(spark, sf_dir):
-    root = _run_exact(spark, sf_dir, exact.start_exact_hourly)
+    root = _run_stream(spark, sf_dir, exact.start_exact_hourly)
     history = sinks.read_hourly_history(spark, f"{root}/history")
-    return history.select(*columns(HOURLY_FIELDS))
+    return _read_from(spark, root, history.select(*columns(HOURLY_FIELDS)))
+
+
+@query
+def exact_stream_latest_by_arrival(spark, sf_dir):
+    root = _run_stream(spark, sf_dir, exact.start_exact_completion)
+    view = sinks.read_latest_completion_by_arrival(spark, f"{root}/latest_by_arrival")
+    return _read_from(spark, root, view)
+
+
+@query
+def exact_stream_scores_by_arrival(spark, sf_dir):
+    root = _run_stream(spark, sf_dir, exact.start_exact_hourly)
+    view = sinks.read_song_scores_by_arrival(spark, f"{root}/latest_by_arrival")
+    return _read_from(spark, root, view)
 
 
 @query
@@ -535,13 +636,14 @@ def published_spread(spark, sf_dir):
     """Events stored by stream partition, counted from the stored table."""
     root = run_dir(spark, "published")
     sinks.publish_events(_events(spark, sf_dir), root)
-    stored = spark.read.parquet(root)
-    songs = stored.groupBy("part", "song_id").agg(
+    published = spark.read.parquet(root)
+    songs = published.groupBy("part", "song_id").agg(
         F.count("*").alias("events"), F.count_if(is_start()).alias("starts")
     )
     # A song lies in one partition only, whichever the hash chose.
-    return songs.groupBy("song_id").agg(
+    spread = songs.groupBy("song_id").agg(
         F.count("*").alias("partitions"),
         F.sum("events").alias("events"),
         F.sum("starts").alias("starts"),
     )
+    return _read_from(spark, root, spread)

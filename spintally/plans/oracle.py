@@ -119,19 +119,19 @@ LATE_TRACKS = LATE.replace(
     "SELECT * REPLACE (", "SELECT * REPLACE (track_song AS song_id, "
 )
 
-# The reconciled run: plays from 17850000 ms after the origin on, in the window that
+# The reconciled run: arrivals from 17850000 ms after the origin on, in the window that
 # starts 17700000 ms after it.
 EXPECTED = f"""
 injected AS (
-  SELECT song_id, CAST(sum(CASE WHEN ts_ms >= 1704085050000 THEN is_start ELSE 0 END) AS BIGINT)
-           AS injected_starts,
-         CAST(sum(CASE WHEN ts_ms >= 1704085050000 THEN is_done ELSE 0 END) AS BIGINT)
-           AS injected_completes
-  FROM marked GROUP BY song_id),
-held AS (
-  SELECT song_id, CAST(sum(is_start) AS BIGINT) AS baseline_starts,
-         CAST(sum(is_done) AS BIGINT) AS baseline_completes
-  FROM marked WHERE ts_ms >= 1704084900000 AND ts_ms < 1704085050000 GROUP BY song_id),
+  SELECT song_id, CAST(sum(is_start) AS BIGINT) AS injected_starts,
+         CAST(sum(is_done) AS BIGINT) AS injected_completes
+  FROM shifted WHERE arrival_ms >= 1704085050000 GROUP BY song_id),
+before5 AS (
+  SELECT song_id, window_start, CAST(sum(is_start) AS BIGINT) AS baseline_starts,
+         CAST(sum(is_done) AS BIGINT) AS baseline_completes,
+         row_number() OVER (PARTITION BY song_id ORDER BY window_start DESC) AS rn
+  FROM kept5 WHERE arrival_ms < 1704085050000 GROUP BY song_id, window_start),
+held AS (SELECT * FROM before5 WHERE rn = 1 AND window_start = 1704084900000),
 expected AS (
   SELECT *, {RATE} AS completion_rate FROM (
     SELECT i.song_id, injected_starts, injected_completes,
@@ -141,10 +141,9 @@ expected AS (
            injected_completes + coalesce(baseline_completes, 0) AS completes
     FROM injected i LEFT JOIN held h ON i.song_id = h.song_id)),
 served AS (
-  SELECT song_id,
-         starts + CASE song_id WHEN 'song-3' THEN -1 WHEN 'song-4' THEN 1 ELSE 0 END AS starts,
-         completes + CASE song_id WHEN 'song-2' THEN 1 ELSE 0 END AS completes, completion_rate
-  FROM latest WHERE song_id <> 'song-1'),
+  SELECT song_id, starts, completes, completion_rate FROM (
+    SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY window_start DESC) AS rn FROM hist5)
+  WHERE rn = 1 AND song_id <> 'song-16'),
 reconciled AS (
   SELECT e.song_id, e.baseline_starts, e.starts AS expected_starts,
          e.completes AS expected_completes, e.completion_rate AS expected_rate,
@@ -160,18 +159,42 @@ reconciled AS (
 
 CHECKED = """
 hour_injected AS (
-  SELECT song_id, CAST(sum(CASE WHEN ts_ms >= 1704081600000 THEN is_start ELSE 0 END) AS BIGINT)
+  SELECT song_id, CAST(sum(CASE WHEN arrival_ms >= 1704081900000 THEN 1 ELSE 0 END) AS BIGINT)
            AS injected_starts
-  FROM marked GROUP BY song_id),
+  FROM shifted WHERE is_start = 1 GROUP BY song_id),
+late_scores AS (
+  SELECT song_id, play_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY window_start DESC) AS rn FROM hist60)
+  WHERE rn = 1),
 checked AS (
   SELECT *, CASE WHEN play_count > injected_starts THEN 'accumulated'
                  WHEN play_count = injected_starts THEN 'ok' ELSE 'short' END AS note
-  FROM (
-    SELECT s.song_id,
-           play_count + CASE s.song_id WHEN 'song-1' THEN 2 WHEN 'song-2' THEN -1 ELSE 0 END
-             AS play_count,
-           injected_starts
-    FROM scores s JOIN hour_injected i ON s.song_id = i.song_id))
+  FROM (SELECT s.song_id, play_count, injected_starts
+        FROM late_scores s JOIN hour_injected i ON s.song_id = i.song_id))
+"""
+
+# The streaming queries get the delayed arrivals in five slices; a window is closed for a
+# slice once it ended, with its grace, by the newest event of the slices before.
+SLICED = """
+numbered AS (SELECT *, (SELECT max(seq) + 1 FROM shifted) AS n FROM shifted),
+sliced AS (
+  SELECT *, CASE WHEN seq < n * 1 // 5 THEN 0 WHEN seq < n * 2 // 5 THEN 1
+                 WHEN seq < n * 3 // 5 THEN 2 WHEN seq < n * 4 // 5 THEN 3 ELSE 4 END AS slice
+  FROM numbered),
+taken5 AS (
+  SELECT s.* FROM sliced s LEFT JOIN
+    (SELECT o.slice, max(i.ts_ms) AS newest
+     FROM (SELECT DISTINCT slice FROM sliced) o JOIN sliced i ON i.slice < o.slice GROUP BY o.slice) b
+    ON s.slice = b.slice
+  WHERE newest IS NULL OR ts_ms // 300000 * 300000 + 300000 + 60000 > newest),
+taken60 AS (
+  SELECT s.* FROM sliced s LEFT JOIN
+    (SELECT o.slice, max(i.ts_ms) AS newest
+     FROM (SELECT DISTINCT slice FROM sliced) o JOIN sliced i ON i.slice < o.slice
+     WHERE i.is_start = 1 GROUP BY o.slice) b
+    ON s.slice = b.slice
+  WHERE is_start = 1
+    AND (newest IS NULL OR ts_ms // 3600000 * 3600000 + 3600000 + 300000 > newest))
 """
 
 CROWDED = """
@@ -186,6 +209,9 @@ crowded AS (
   WHERE rn = 1)
 """
 
+STREAM_STATS = STATS.replace("FROM marked", "FROM taken5")
+STREAM_HOURS = HOURS.replace("FROM marked", "FROM taken60")
+
 # Bars: rounded half to even, at least one.
 BAR = """greatest(1, CAST(round_even(
     play_count / CAST(greatest(max(play_count) OVER (), 1) AS DOUBLE) * 24, 0) AS BIGINT))"""
@@ -223,6 +249,19 @@ ORACLE: dict[str, str] = {
        FROM (SELECT *, CASE seq % 50 WHEN 7 THEN 'broken_json' WHEN 17 THEN 'unknown_type'
                     WHEN 27 THEN 'missing_field' WHEN 37 THEN 'missing_field' ELSE '' END AS reason
              FROM play)""",
+    "rejected_messages": _with(PLAY)
+    + """, texts AS (
+           SELECT seq, '{"eventId":"' || event_id || '","userId":"' || user_id || '","songId":"'
+             || song_id || '","eventType":"' || event_type || '","timestamp":' || ts_ms
+             || ',"positionMs":' || position_ms || ',"durationMs":' || duration_ms || '}' AS t
+           FROM play)
+         SELECT CASE seq % 50 WHEN 7 THEN substr(t, 1, 40)
+                  WHEN 17 THEN replace(t, '"eventType":"', '"eventType":"X_')
+                  WHEN 27 THEN replace(t, '"userId"', '"listener"')
+                  ELSE replace(t, '"positionMs"', '"offsetMs"') END AS value,
+                CASE seq % 50 WHEN 7 THEN 'broken_json' WHEN 17 THEN 'unknown_type'
+                  ELSE 'missing_field' END AS reject_reason
+         FROM texts WHERE seq % 50 IN (7, 17, 27, 37)""",
     "play_starts": _with(PLAY)
     + "SELECT seq, song_id, event_type, ts_ms FROM play WHERE event_type = 'PLAY_START'",
     "completed_plays": _with(PLAY)
@@ -249,6 +288,11 @@ ORACLE: dict[str, str] = {
     "top_songs": _with(PLAY, HOURS, SCORES)
     + RANKED
     + "FROM scores ORDER BY play_count DESC, song_id DESC LIMIT 10",
+    "ranking_positions": _with(
+        PLAY, HOURS.replace("SELECT song_id", "SELECT listener_song AS song_id"), SCORES
+    )
+    + RANKED
+    + "FROM scores",
     "top_songs_relative": _with(PLAY, HOURS, SCORES)
     + RANKED.rstrip()
     + f", {BAR} AS bar FROM (SELECT * FROM scores ORDER BY play_count DESC, song_id DESC LIMIT 12)",
@@ -327,15 +371,15 @@ ORACLE: dict[str, str] = {
     + """, u AS (SELECT 'completion_rate' AS metric, arrival_ms FROM kept5
                 UNION ALL SELECT 'top_songs', arrival_ms FROM kept60)"""
     + _rate_sql("u", "metric"),
-    "expected_with_baseline": _with(PLAY, STATS, LATEST, EXPECTED) + "SELECT * FROM expected",
-    "reconcile": _with(PLAY, STATS, LATEST, EXPECTED) + "SELECT * FROM reconciled",
-    "completion_report": _with(PLAY, STATS, LATEST, EXPECTED)
+    "expected_with_baseline": _with(PLAY, LATE_TRACKS, EXPECTED) + "SELECT * FROM expected",
+    "reconcile": _with(PLAY, LATE_TRACKS, EXPECTED) + "SELECT * FROM reconciled",
+    "completion_report": _with(PLAY, LATE_TRACKS, EXPECTED)
     + """SELECT song_id, actual_starts, actual_completes,
          CASE WHEN actual_rate IS NOT NULL
               THEN printf('%.1f%%', actual_rate * CAST(100 AS DOUBLE)) END AS actual_percent,
          printf('%.1f%%', expected_rate * CAST(100 AS DOUBLE)) AS expected_percent, status
        FROM reconciled""",
-    "reconcile_summary": _with(PLAY, STATS, LATEST, EXPECTED)
+    "reconcile_summary": _with(PLAY, LATE_TRACKS, EXPECTED)
     + """SELECT count(*) AS songs,
          count(*) FILTER (status = 'ok') AS matched,
          count(*) FILTER (status = 'missing') AS missing,
@@ -350,8 +394,8 @@ ORACLE: dict[str, str] = {
     + "SELECT * FROM crowded WHERE song_id IN (SELECT song_id FROM marked)",
     "ranking_leftover": _with(PLAY, CROWDED)
     + "SELECT * FROM crowded WHERE song_id NOT IN (SELECT song_id FROM marked)",
-    "ranking_check": _with(PLAY, HOURS, SCORES, CHECKED) + "SELECT * FROM checked",
-    "ranking_report": _with(PLAY, HOURS, SCORES, CHECKED)
+    "ranking_check": _with(PLAY, LATE_TRACKS, CHECKED) + "SELECT * FROM checked",
+    "ranking_report": _with(PLAY, LATE_TRACKS, CHECKED)
     + RANKED.rstrip()
     + f""", injected_starts, {BAR} AS bar, note
        FROM (SELECT * FROM checked ORDER BY play_count DESC, song_id DESC LIMIT 12)""",
@@ -367,12 +411,26 @@ ORACLE: dict[str, str] = {
                 (SELECT count(*) FROM totals WHERE starts < 100) AS excluded,
                 hot.song_id = best.song_id AS same_song
          FROM hot, best, worst""",
-    "stream_completion_history": _with(PLAY, STATS) + "SELECT * FROM stats",
-    "stream_latest_completion": _with(PLAY, STATS, LATEST) + "SELECT * FROM latest",
-    "stream_hourly_history": _with(PLAY, HOURS) + "SELECT * FROM hours",
-    "stream_top_songs": _with(PLAY, HOURS, SCORES)
+    "stream_completion_history": _with(PLAY, LATE, SLICED, STREAM_STATS) + "SELECT * FROM stats",
+    "stream_latest_completion": _with(PLAY, LATE, SLICED, STREAM_STATS, LATEST)
+    + "SELECT * FROM latest",
+    "stream_hourly_history": _with(PLAY, LATE, SLICED, STREAM_HOURS) + "SELECT * FROM hours",
+    "stream_top_songs": _with(PLAY, LATE, SLICED, STREAM_HOURS, SCORES)
     + RANKED
     + "FROM scores ORDER BY play_count DESC, song_id DESC LIMIT 10",
+    "stream_late_events": _with(PLAY, LATE, SLICED)
+    + """SELECT 'completion_rate' AS metric, CAST((SELECT sum(is_start) FROM marked)
+           - (SELECT sum(is_start) FROM taken5) AS BIGINT) AS late_starts
+       UNION ALL SELECT 'top_songs', CAST((SELECT sum(is_start) FROM marked)
+           - (SELECT count(*) FROM taken60) AS BIGINT)""",
+    "exact_stream_latest_by_arrival": _with(PLAY, LATE)
+    + """SELECT * EXCLUDE (seq, rn) FROM (
+         SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seq DESC) AS rn
+         FROM log5) WHERE rn = 1""",
+    "exact_stream_scores_by_arrival": _with(PLAY, LATE)
+    + """SELECT song_id, play_count FROM (
+         SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seq DESC) AS rn
+         FROM log60) WHERE rn = 1""",
     "exact_stream_completion_history": _with(PLAY, LATE) + "SELECT * EXCLUDE (seq) FROM hist5",
     "exact_stream_hourly_history": _with(PLAY, LATE) + "SELECT * EXCLUDE (seq) FROM hist60",
     "published_spread": _with(PLAY)

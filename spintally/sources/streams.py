@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spintally.functions.times import event_time
-from spintally.schema import EVENTS_TOPIC, PLAY_EVENT_FIELDS, table_schema
+from spintally.schema import EVENTS_TOPIC
 from spintally.sources.wire import decode_play_events, encode
 
 
@@ -58,29 +57,24 @@ def read_event_topic(
     return decode_play_events(read_topic(spark, servers, EVENTS_TOPIC, max_offsets, stream))
 
 
+def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
 def write_topic(records: DataFrame, fields, servers: str, topic: str, checkpoint: str):
-    """Writer that publishes result records keyed by song; call ``start`` on it."""
+    """Writer that publishes records keyed by song; call ``start`` on it.
+
+    The broker's partitioner spreads the keys, so one song stays in one partition.
+    """
     return (
         encode(records, fields)
         .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
+        .options(**kafka_sink_options(servers, topic))
         .option("checkpointLocation", checkpoint)
         .outputMode("update")
     )
 
 
-def publish_batch(records: DataFrame, fields, servers: str, topic: str) -> None:
-    """Publish a finished table; the broker's partitioner spreads the keys."""
-    (
-        encode(records, fields)
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .save()
-    )
-
-
 def read_event_lines(
     spark: SparkSession, path: str, files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -89,13 +83,3 @@ def read_event_lines(
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return decode_play_events(reader.text(path))
-
-
-def read_event_files(
-    spark: SparkSession, path: str, files_per_trigger: int | None = None
-) -> DataFrame:
-    """Stream of play-event parquet files."""
-    reader = spark.readStream.schema(table_schema(PLAY_EVENT_FIELDS))
-    if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path).withColumn("ts", event_time())

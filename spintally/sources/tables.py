@@ -7,6 +7,8 @@ no stage of its own and only the columns a query uses are read.
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def read_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a stream. A pattern, as a file stream takes no single file."""
     schema = read_actions(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
 
 
 def _event_type() -> Column:
@@ -49,8 +51,18 @@ def _event_type() -> Column:
     return cases
 
 
+def raw_time(ms: int) -> Column:
+    """The first raw timestamp whose event time is ``ms`` or later."""
+    raw = TIME_ORIGIN_MS + (ms - TIME_ORIGIN_MS) * TIME_COMPRESSION
+    return F.lit(datetime.fromtimestamp(raw / 1000, UTC).replace(tzinfo=None)).cast("timestamp_ntz")
+
+
 def play_events(
-    actions: DataFrame, types: tuple[str, ...] | None = None, songs: str = BY_RANK
+    actions: DataFrame,
+    types: tuple[str, ...] | None = None,
+    songs: str = BY_RANK,
+    from_ms: int | None = None,
+    to_ms: int | None = None,
 ) -> DataFrame:
     """Map action rows to play events.
 
@@ -58,13 +70,20 @@ def play_events(
     column, where the scan can use it; a filter on the mapped column could not be
     pushed down. ``songs`` says how songs are told apart: ten of them by popularity, a
     hundred by track, or the many that a load test leaves behind, by listener and track.
+    ``from_ms <= ts_ms < to_ms`` restricts event time, again on the raw column, of which it
+    is a growing function.
     """
+    if from_ms is not None:
+        actions = actions.filter(F.col("ts") >= raw_time(from_ms))
+    if to_ms is not None:
+        actions = actions.filter(F.col("ts") < raw_time(to_ms))
     if types is not None:
         wanted = [action for action, mapped in TYPE_OF_ACTION.items() if mapped in types]
         actions = actions.filter(F.col("event_type").isin(wanted))
     since_origin = F.unix_millis(F.col("ts").cast("timestamp")) - F.lit(TIME_ORIGIN_MS)
     # One flat field is wanted; a pattern costs a quarter of parsing the JSON text.
-    k = F.regexp_extract("props", TRACK_PATTERN, 1).cast("int")
+    # An action without it belongs to the null track.
+    k = F.regexp_extract("props", TRACK_PATTERN, 1).try_cast("int")
     rank = F.lit(9) - F.floor(F.sqrt(F.col("k").cast("double")))
     names = {
         BY_RANK: [F.col("song_rank")],
@@ -105,8 +124,10 @@ def load_play_events(
     sf_dir: str,
     types: tuple[str, ...] | None = None,
     songs: str = BY_RANK,
+    from_ms: int | None = None,
+    to_ms: int | None = None,
 ) -> DataFrame:
-    return play_events(read_actions(spark, sf_dir), types, songs)
+    return play_events(read_actions(spark, sf_dir), types, songs, from_ms, to_ms)
 
 
 def delayed(events: DataFrame) -> DataFrame:

@@ -7,14 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spintally.functions.times import event_time
-from spintally.schema import (
-    COMPLETION_FIELDS,
-    EVENT_TYPES,
-    HOURLY_FIELDS,
-    PLAY_EVENT_FIELDS,
-    columns,
-    wire_schema,
-)
+from spintally.schema import EVENT_TYPES, PLAY_EVENT_FIELDS, wire_schema
 
 BROKEN_JSON = "broken_json"
 MISSING_FIELD = "missing_field"
@@ -35,77 +28,57 @@ def encode(records: DataFrame, fields, keep: tuple[str, ...] = ()) -> DataFrame:
     return records.select(*keep, F.col("song_id").alias("key"), to_wire(fields).alias("value"))
 
 
-def decode(messages: DataFrame, fields, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Records from the messages' ``value``, next to the ``keep`` columns of the message."""
-    record = from_wire("value", fields).alias("record")
-    return messages.select(*keep, record).select(
-        *keep, *[F.col(f"record.{name}").alias(column) for name, column, _ in fields]
-    )
-
-
-def decode_play_events(
-    messages: DataFrame, value: str = "value", zero_for_absent: bool = False
+def decode(
+    messages: DataFrame, fields, value: str = "value", zero_for_absent: bool = False
 ) -> DataFrame:
-    """Parse every message and say why it is unusable, if it is.
+    """Parse every message into the record's columns and say why it is unusable, if it is.
+
+    ``from_json`` lets absent fields pass, so they are checked here. All other columns of
+    ``messages`` are kept. With ``zero_for_absent`` a number that is absent or null counts
+    as zero, as in lenient JSON bindings.
 
-    ``from_json`` lets unknown event types and absent fields pass, so both are
-    checked here. All other columns of ``messages`` are kept. With ``zero_for_absent``
-    a number that is absent or null counts as zero, as in lenient JSON bindings.
+    The record is expanded as a generator's output: a filter on it stays above the parse,
+    so a message is parsed once whatever is asked of the result.
     """
     corrupt = "_corrupt"
-    schema = T.StructType(
-        [*wire_schema(PLAY_EVENT_FIELDS).fields, T.StructField(corrupt, T.StringType())]
-    )
+    schema = T.StructType([*wire_schema(fields).fields, T.StructField(corrupt, T.StringType())])
     parsed = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": corrupt})
-    names = columns(PLAY_EVENT_FIELDS)
+    blank = F.coalesce(F.trim(value), F.lit("")) == ""
+    broken = blank | F.col(corrupt).isNotNull()
     absent = F.lit(False)
-    for name in names:
-        absent = absent | F.col(name).isNull()
-    reason = (
-        F.when(F.col("record").isNull() | F.col(corrupt).isNotNull(), BROKEN_JSON)
-        .when(absent, MISSING_FIELD)
-        .when(~F.col("event_type").isin(*EVENT_TYPES), UNKNOWN_TYPE)
-    )
-    kept = [c for c in messages.columns if c != value]
-    fields = []
-    for name, column, dtype in PLAY_EVENT_FIELDS:
-        field = F.col(f"record.{name}")
+    made = []
+    for name, column, dtype in fields:
+        field = F.col(name)
         if zero_for_absent and isinstance(dtype, T.LongType):
             field = F.coalesce(field, F.lit(0).cast(dtype))
-        fields.append(field.alias(column))
-    return (
-        messages.select(*kept, value, parsed.alias("record"))
-        .select(*kept, value, *fields, F.col(f"record.{corrupt}").alias(corrupt), "record")
-        .withColumn("reject_reason", reason)
-        .drop(corrupt, "record")
+        absent = absent | field.isNull()
+        made.append(field.alias(column))
+    kept = [c for c in messages.columns if c != value]
+    reason = F.when(broken, BROKEN_JSON).when(absent, MISSING_FIELD)
+    return messages.select(*kept, value, F.inline(F.array(parsed))).select(
+        *kept, value, *made, reason.alias("reject_reason")
     )
 
 
+def decode_play_events(
+    messages: DataFrame, value: str = "value", zero_for_absent: bool = False
+) -> DataFrame:
+    """Parse play events; an event type that does not exist is a reason for rejection too."""
+    decoded = decode(messages, PLAY_EVENT_FIELDS, value, zero_for_absent)
+    unknown = F.when(~F.col("event_type").isin(*EVENT_TYPES), UNKNOWN_TYPE)
+    return decoded.withColumn("reject_reason", F.coalesce("reject_reason", unknown))
+
+
+def valid_records(decoded: DataFrame) -> DataFrame:
+    """Usable records."""
+    return decoded.filter(F.col("reject_reason").isNull()).drop("reject_reason", "value")
+
+
 def valid_events(decoded: DataFrame) -> DataFrame:
     """Usable events with their event time."""
-    return (
-        decoded.filter(F.col("reject_reason").isNull())
-        .drop("reject_reason", "value")
-        .withColumn("ts", event_time())
-    )
+    return valid_records(decoded).withColumn("ts", event_time())
 
 
 def quarantine(decoded: DataFrame, value: str = "value") -> DataFrame:
     """Everything else, as received, with the reason."""
     return decoded.filter(F.col("reject_reason").isNotNull()).select(value, "reject_reason")
-
-
-def encode_completion(stats: DataFrame) -> DataFrame:
-    return encode(stats, COMPLETION_FIELDS)
-
-
-def decode_completion(messages: DataFrame) -> DataFrame:
-    return decode(messages, COMPLETION_FIELDS)
-
-
-def encode_hourly(counts: DataFrame) -> DataFrame:
-    return encode(counts, HOURLY_FIELDS)
-
-
-def decode_hourly(messages: DataFrame) -> DataFrame:
-    return decode(messages, HOURLY_FIELDS)

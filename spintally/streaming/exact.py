@@ -9,8 +9,9 @@ A batch is an ordinary job over the batch's events and two small tables left by
 batch before: the clocks, one row per partition, and the open windows, one row per
 song and window that can still change. A batch reads only its predecessor's folders
 and overwrites its own, so a repeated batch gives the same result; older folders are
-dropped. Every batch writes all open windows, so use a trigger of a minute or more
-where many songs are live.
+dropped. Every batch writes all open windows, so its cost has a part that grows with the
+songs that are live, not with the batch; the default trigger is a minute, and where that
+part weighs more than the events, a longer one or the watermark queries are the choice.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from spintally.operators.replay import (
     ranking_counters,
     with_lateness,
 )
-from spintally.operators.sizing import broadcast_if_small
 from spintally.schema import (
     COMPLETION_FIELDS,
     COMPLETION_GRACE_MS,
@@ -41,17 +41,13 @@ from spintally.schema import (
     RANKING_GRACE_MS,
     RANKING_WINDOW_MS,
 )
+from spintally.streaming.sinks import batch_path, drop_batch, history_sink
 from spintally.streaming.watermarked import COMPLETION_QUERY, HOURLY_QUERY, start
-from spintally.streaming.sinks import (
-    batch_path,
-    drop_batch,
-    write_history_batch,
-    write_latest_batch,
-)
 
 # A batch function gets the whole rows of its stream, so these are picked before.
 EVENT_COLUMNS = ("part", "seq", "song_id", "event_type", "ts_ms", "position_ms", "duration_ms")
 WINDOW_KEY = ("part", "song_id", "window_start")
+EXACT_INTERVAL = "1 minute"
 
 
 @dataclass(frozen=True)
@@ -61,7 +57,7 @@ class Aggregation:
     grace_ms: int
     pick: Callable[[DataFrame], DataFrame]
     counters: Callable[[], dict[str, Column]]
-    records: Callable[[DataFrame], DataFrame]
+    records: Callable[..., DataFrame]
 
 
 COMPLETION = Aggregation(
@@ -83,18 +79,18 @@ RANKING = Aggregation(
 
 
 CLOCKS = "part int, stream_ms bigint"
-FIRST = "part int, ts_ms bigint, seq bigint, newest_ms bigint"
+FIRST = "part int, ts_ms bigint, seq bigint, last_seq bigint, newest_ms bigint"
 CLOSING = "part int, window_start bigint, closer bigint"
 
 
 def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
-    """``foreachBatch`` function that keeps clocks, open windows, history and latest view."""
-    history, latest = f"{root}/history", f"{root}/latest"
+    """``foreachBatch`` function that keeps clocks, open windows, history and the views."""
+    publish = history_sink(rule.fields, root, writers, arrival=True)
     counted = list(rule.counters())
     windows = ", ".join(
         ["part int, song_id string, window_start bigint"]
         + [f"{name} bigint" for name in counted]
-        + ["changed boolean"]
+        + ["changed boolean", "seq bigint"]
     )
     # Tables a batch leaves behind, each with one folder per batch.
     tables = {"first": FIRST, "closing": CLOSING, "clocks": CLOCKS, "windows": windows}
@@ -116,26 +112,29 @@ def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
         first = keep(first_arrivals(picked).drop("start"), "first", batch_id)
 
         # The clocks act as events that came before all others of the batch.
+        before = F.lit(-1).cast("bigint")
         carried = clock.select(
-            "part", F.col("stream_ms").alias("ts_ms"), F.lit(-1).cast("bigint").alias("seq")
-        )
-        arrived = first.select("part", "ts_ms", "seq").unionByName(carried)
-        closing = keep(
-            closing_arrivals(arrived, rule.size_ms, rule.grace_ms), "closing", batch_id
+            "part", F.col("stream_ms").alias("ts_ms"), before.alias("seq"), before.alias("last_seq")
         )
+        arrived = first.select("part", "ts_ms", "seq", "last_seq").unionByName(carried)
+        closing = closing_arrivals(arrived, rule.size_ms, rule.grace_ms, "last_seq")
+        closing = keep(closing, "closing", batch_id)
         fresh = (
-            accepted(with_lateness(picked, broadcast_if_small(closing), rule.size_ms))
+            accepted(with_lateness(picked, closing, rule.size_ms))
             .groupBy(*WINDOW_KEY)
-            .agg(*[F.count_if(hit).alias(name) for name, hit in rule.counters().items()])
+            .agg(
+                *[F.count_if(hit).alias(name) for name, hit in rule.counters().items()],
+                F.max("seq").alias("seq"),
+            )
             .withColumn("changed", F.lit(True))
         )
 
         still_open = (
             read(spark, "windows", batch_id - 1)
-            .join(broadcast_if_small(clock), "part")
+            .join(clock, "part")
             .filter(F.col("window_start") + rule.size_ms + rule.grace_ms > F.col("stream_ms"))
             .drop("stream_ms")
-            .withColumn("changed", F.lit(False))
+            .withColumns({"changed": F.lit(False), "seq": F.lit(None).cast("bigint")})
         )
         merged = (
             fresh.unionByName(still_open)
@@ -143,14 +142,14 @@ def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
             .agg(
                 *[F.sum(name).alias(name) for name in counted],
                 F.max("changed").alias("changed"),
+                F.max("seq").alias("seq"),
             )
         )
         updates = keep(merged, "windows", batch_id).filter("changed")
         times = first.select("part", F.col("newest_ms").alias("stream_ms")).unionByName(clock)
         keep(times.groupBy("part").agg(F.max("stream_ms").alias("stream_ms")), "clocks", batch_id)
 
-        write_history_batch(rule.records(updates), history, batch_id, writers)
-        write_latest_batch(spark, rule.fields, history, latest, batch_id)
+        publish(rule.records(updates, "seq"), batch_id)
         for table in tables:
             drop_batch(spark, f"{root}/{table}", batch_id - 2)
 
@@ -158,18 +157,24 @@ def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
 
 
 def start_exact_completion(
-    events: DataFrame, root: str, available_now: bool = False, writers: int | None = None
+    events: DataFrame,
+    root: str,
+    available_now: bool = False,
+    writers: int | None = None,
+    every: str = EXACT_INTERVAL,
 ) -> StreamingQuery:
-    """Completion records under the exact rule into ``root/history`` and ``root/latest``."""
-    sink = exact_sink(COMPLETION, root, writers)
-    needed = events.select(*EVENT_COLUMNS)
-    return start(needed, sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now)
+    """Completion records under the exact rule into ``root/history`` and the views."""
+    sink, needed = exact_sink(COMPLETION, root, writers), events.select(*EVENT_COLUMNS)
+    return start(needed, sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now, every)
 
 
 def start_exact_hourly(
-    events: DataFrame, root: str, available_now: bool = False, writers: int | None = None
+    events: DataFrame,
+    root: str,
+    available_now: bool = False,
+    writers: int | None = None,
+    every: str = EXACT_INTERVAL,
 ) -> StreamingQuery:
-    """Hourly records under the exact rule into ``root/history`` and ``root/latest``."""
-    sink = exact_sink(RANKING, root, writers)
-    needed = play_starts(events).select(*EVENT_COLUMNS)
-    return start(needed, sink, f"{root}/checkpoint", HOURLY_QUERY, available_now)
+    """Hourly records under the exact rule into ``root/history`` and the views."""
+    sink, needed = exact_sink(RANKING, root, writers), play_starts(events).select(*EVENT_COLUMNS)
+    return start(needed, sink, f"{root}/checkpoint", HOURLY_QUERY, available_now, every)

@@ -8,6 +8,9 @@ place, and a lost executor or a repeated batch leaves the table as it was.
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,13 @@ from spintally.schema import (
     columns,
     table_schema,
 )
+from spintally.session import drop_folder, folder_names
 
 BEFORE_ALL_BATCHES = -1
+#: A batch is written by as many tasks as it has this many rows.
+ROWS_PER_FILE = 500_000
+BATCH = re.compile(r"batch_id=(-?\d+)")
+HISTORY, LATEST, ARRIVED = "history", "latest", "latest_by_arrival"
 DAY_KEY = ("window_date", *HISTORY_KEY)
 
 
@@ -31,8 +39,13 @@ def batch_path(root: str, batch_id: int) -> str:
 
 def drop_batch(spark: SparkSession, root: str, batch_id: int) -> None:
     """Delete the folder of a batch that nothing reads any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(batch_path(root, batch_id))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_folder(spark, batch_path(root, batch_id))
+
+
+def batches(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the batches whose folders are there."""
+    found = (BATCH.fullmatch(name) for name in folder_names(spark, root))
+    return sorted(int(match[1]) for match in found if match)
 
 
 def _write_days(rows: DataFrame, root: str, batch_id: int, mode: str) -> None:
@@ -56,13 +69,20 @@ def write_history_batch(
 ) -> None:
     """Store one batch of updates.
 
-    The rows keep the partitions of the state, or are spread over ``writers`` tasks by
-    song: a batch holds one row per song and window, so no song is large. They are not
-    gathered by day, as nearly all of a batch belongs to the same one.
+    The rows are spread by song over ``writers`` tasks, by default as many as the batch's
+    rows fill files: a batch holds one row per song and window, so no song is large. They
+    are not gathered by day, as nearly all of a batch belongs to the same one. Counting
+    keeps the rows, so that the plan above them runs once.
     """
     if writers is not None:
-        updates = updates.repartition(writers, "song_id")
-    _write_days(_dated(updates), root, batch_id, "overwrite")
+        _write_days(_dated(updates.repartition(writers, "song_id")), root, batch_id, "overwrite")
+        return
+    held = updates.persist()
+    try:
+        writers = max(1, math.ceil(held.count() / ROWS_PER_FILE))
+        _write_days(_dated(held.repartition(writers, "song_id")), root, batch_id, "overwrite")
+    finally:
+        held.unpersist()
 
 
 def _stored(spark: SparkSession, roots, fields) -> DataFrame:
@@ -122,61 +142,134 @@ def compact_history(spark: SparkSession, fields, target: str, *roots: str) -> No
     """
     versions = _stored(spark, roots, fields)
     upto = versions.agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        raise ValueError("there is no history to compact")
     rows = latest_per_key(versions.filter(F.col("batch_id") <= upto), DAY_KEY, "batch_id")
     _write_whole(rows.drop("batch_id"), target, upto)
 
 
+def _write_view(rows: DataFrame, root: str, batch_id: int, mode: str) -> None:
+    """One row per song; sorted by song within files, so that a lookup can skip them."""
+    rows.sortWithinPartitions("song_id").write.mode(mode).parquet(batch_path(root, batch_id))
+
+
 def write_latest_batch(
-    spark: SparkSession, fields, history_root: str, latest_root: str, batch_id: int
+    spark: SparkSession, fields, root: str, batch_id: int, arrival: bool = False
 ) -> None:
     """Store the newest window of every song that the history batch touched.
 
     The rows come from the history batch just written, not from the query's plan,
-    so the stateful part runs once and the view never runs ahead of the history.
+    so the stateful part runs once and the view never runs ahead of the history. With
+    ``arrival`` the batch also holds arrival numbers (``seq``), and the window of every
+    song that was written last goes to a view of its own.
     """
     names = columns(fields)
-    stored = spark.read.schema(table_schema(fields)).parquet(batch_path(history_root, batch_id))
+    schema = table_schema(fields).add("seq", "long")
+    stored = spark.read.schema(schema).parquet(batch_path(f"{root}/{HISTORY}", batch_id))
     newest = latest_per_key(stored.select(*names), ("song_id",), "window_start")
-    newest.select(*names).write.mode("overwrite").parquet(batch_path(latest_root, batch_id))
+    _write_view(newest.select(*names), f"{root}/{LATEST}", batch_id, "overwrite")
+    if arrival:
+        last = latest_per_key(stored.select(*names, "seq"), ("song_id",), "seq")
+        _write_view(last.select(*names), f"{root}/{ARRIVED}", batch_id, "overwrite")
 
 
-def _latest(spark: SparkSession, root: str, fields, by_arrival: bool) -> DataFrame:
-    names = columns(fields)
+def _views(spark: SparkSession, roots, fields) -> DataFrame:
     schema = table_schema(fields).add("batch_id", "long")
-    rows = spark.read.schema(schema).parquet(root)
-    if by_arrival:
-        return latest_per_key(rows, ("song_id",), "batch_id").select(*names)
+    rows = None
+    for root in roots:
+        part = spark.read.schema(schema).parquet(root)
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def _newest(rows: DataFrame, fields) -> DataFrame:
+    names = columns(fields)
     versions = latest_per_key(rows, HISTORY_KEY, "batch_id").select(*names)
     return latest_per_key(versions, ("song_id",), "window_start").select(*names)
 
 
-def read_latest_completion(
-    spark: SparkSession, root: str, by_arrival: bool = False
-) -> DataFrame:
-    """Latest completion of every song: its newest window, or the one written last."""
-    return _latest(spark, root, COMPLETION_FIELDS, by_arrival)
+def _last(rows: DataFrame, fields) -> DataFrame:
+    """A batch holds a song's last arrival only, so the batch number orders them."""
+    return latest_per_key(rows, ("song_id",), "batch_id").select(*columns(fields))
 
 
-def read_song_scores(spark: SparkSession, root: str, by_arrival: bool = False) -> DataFrame:
-    """Ranking scores: the count of every song's newest hour, or of the one written last."""
-    return _latest(spark, root, HOURLY_FIELDS, by_arrival).select("song_id", "play_count")
+def read_latest_completion(spark: SparkSession, *roots: str) -> DataFrame:
+    """Latest completion of every song: its newest window.
+
+    Several views are read as one, such as a compacted or rebuilt one and the live one.
+    """
+    return _newest(_views(spark, roots, COMPLETION_FIELDS), COMPLETION_FIELDS)
+
+
+def read_song_scores(spark: SparkSession, *roots: str) -> DataFrame:
+    """Ranking scores: the count of every song's newest hour."""
+    rows = _newest(_views(spark, roots, HOURLY_FIELDS), HOURLY_FIELDS)
+    return rows.select("song_id", "play_count")
+
+
+def read_latest_completion_by_arrival(spark: SparkSession, *roots: str) -> DataFrame:
+    """The window of every song that was written last; kept where arrivals are numbered."""
+    return _last(_views(spark, roots, COMPLETION_FIELDS), COMPLETION_FIELDS)
+
+
+def read_song_scores_by_arrival(spark: SparkSession, *roots: str) -> DataFrame:
+    """The score of every song that was written last; kept where arrivals are numbered."""
+    rows = _last(_views(spark, roots, HOURLY_FIELDS), HOURLY_FIELDS)
+    return rows.select("song_id", "play_count")
+
+
+def compact(spark: SparkSession, fields, target: str, *roots: str) -> None:
+    """Write history and views of ``roots`` to a new root, one row per key.
+
+    What is written stands in for every batch up to the newest one found in the history;
+    ``retire`` then drops those batches where they came from.
+    """
+    compact_history(spark, fields, f"{target}/{HISTORY}", *[f"{r}/{HISTORY}" for r in roots])
+    (upto,) = batches(spark, f"{target}/{HISTORY}")
+    for view, pick in ((LATEST, _newest), (ARRIVED, _last)):
+        held = [f"{r}/{view}" for r in roots if batches(spark, f"{r}/{view}")]
+        if held:
+            rows = _views(spark, held, fields).filter(F.col("batch_id") <= upto)
+            _write_view(pick(rows, fields), f"{target}/{view}", upto, "errorifexists")
+
+
+def retire(spark: SparkSession, root: str, compacted: str) -> list[int]:
+    """Drop the batches of ``root`` that ``compacted`` stands in for; returns their numbers.
+
+    To be called once readers read both roots. Each folder goes by itself, history last,
+    so that a retirement that was cut short is finished by the next one.
+    """
+    upto = max(batches(spark, f"{compacted}/{HISTORY}"))
+    for table in (ARRIVED, LATEST, HISTORY):
+        gone = [n for n in batches(spark, f"{root}/{table}") if n <= upto]
+        for batch_id in gone:
+            drop_batch(spark, f"{root}/{table}", batch_id)
+    return gone
+
+
+def clear_latest(spark: SparkSession, root: str) -> None:
+    """Drop the views; the history stays, and ``rebuild_latest`` can write them anew."""
+    for view in (LATEST, ARRIVED):
+        for batch_id in batches(spark, f"{root}/{view}"):
+            drop_batch(spark, f"{root}/{view}", batch_id)
 
 
 def rebuild_latest(history: DataFrame, fields, target: str) -> None:
-    """Write the latest view anew from the history, to a fresh root; later batches go on top."""
+    """Write the latest view anew from the history, as older than any batch.
+
+    ``target`` is a fresh view or one that was cleared; later batches go on top.
+    """
     names = columns(fields)
     newest = latest_per_key(history.select(*names), ("song_id",), "window_start")
-    newest.select(*names).write.mode("errorifexists").parquet(
-        batch_path(target, BEFORE_ALL_BATCHES)
-    )
+    _write_view(newest.select(*names), target, BEFORE_ALL_BATCHES, "errorifexists")
 
 
-def history_sink(fields, history_root: str, latest_root: str, writers: int | None = None):
+def history_sink(fields, root: str, writers: int | None = None, arrival: bool = False):
     """``foreachBatch`` function: history first, then the latest view, both retry-safe."""
 
     def store(updates: DataFrame, batch_id: int) -> None:
-        write_history_batch(updates, history_root, batch_id, writers)
-        write_latest_batch(updates.sparkSession, fields, history_root, latest_root, batch_id)
+        write_history_batch(updates, f"{root}/{HISTORY}", batch_id, writers)
+        write_latest_batch(updates.sparkSession, fields, root, batch_id, arrival)
 
     return store
 
@@ -188,10 +281,20 @@ def publish_events(events: DataFrame, root: str, partitions: int = EVENT_PARTITI
     large into several tasks, so that the number of stream partitions does not limit
     the writers.
     """
-    (
-        events.withColumn("part", F.pmod(F.hash("song_id"), F.lit(partitions)))
-        .hint("rebalance", "part")
-        .write.mode("errorifexists")
-        .partitionBy("part")
-        .parquet(root)
-    )
+    _by_song(events, partitions).hint("rebalance", "part").write.mode(
+        "errorifexists"
+    ).partitionBy("part").parquet(root)
+
+
+def _by_song(events: DataFrame, partitions: int) -> DataFrame:
+    return events.withColumn("part", F.pmod(F.hash("song_id"), F.lit(partitions)))
+
+
+def event_sink(root: str, partitions: int = EVENT_PARTITIONS):
+    """``foreachBatch`` function: accepted events by stream partition, a folder per batch."""
+
+    def store(events: DataFrame, batch_id: int) -> None:
+        rows = _by_song(events, partitions)
+        rows.write.mode("overwrite").partitionBy("part").parquet(batch_path(root, batch_id))
+
+    return store

@@ -19,7 +19,7 @@ from spintally.schema import (
     columns,
     table_schema,
 )
-from spintally.sources.wire import decode, quarantine
+from spintally.sources.wire import quarantine, valid_records
 from spintally.streaming.sinks import history_sink
 
 COMPLETION_QUERY = "completion-stats"
@@ -39,8 +39,20 @@ def hourly_updates(events: DataFrame) -> DataFrame:
     return hourly_counts(starts)
 
 
+def triggered(writer, available_now: bool, every: str):
+    """``writer`` with its trigger: what is there now and stop, or a batch per interval."""
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=every)
+
+
 def start(
-    updates: DataFrame, sink, checkpoint: str, name: str, available_now: bool = False
+    updates: DataFrame,
+    sink,
+    checkpoint: str,
+    name: str,
+    available_now: bool = False,
+    every: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
     """Run in update mode: every batch emits the records it changed, nothing is held back."""
     writer = (
@@ -49,47 +61,59 @@ def start(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(sink)
     )
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=FLUSH_INTERVAL).start()
+    return triggered(writer, available_now, every).start()
 
 
 def start_completion(
-    events: DataFrame, root: str, available_now: bool = False, writers: int | None = None
+    events: DataFrame,
+    root: str,
+    available_now: bool = False,
+    writers: int | None = None,
+    every: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
     """Completion records into ``root/history`` and ``root/latest``."""
-    sink = history_sink(COMPLETION_FIELDS, f"{root}/history", f"{root}/latest", writers)
-    return start(
-        completion_updates(events), sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now
-    )
+    sink, updates = history_sink(COMPLETION_FIELDS, root, writers), completion_updates(events)
+    return start(updates, sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now, every)
 
 
 def start_hourly(
-    events: DataFrame, root: str, available_now: bool = False, writers: int | None = None
+    events: DataFrame,
+    root: str,
+    available_now: bool = False,
+    writers: int | None = None,
+    every: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
     """Hourly records into ``root/history`` and ``root/latest``."""
-    sink = history_sink(HOURLY_FIELDS, f"{root}/history", f"{root}/latest", writers)
-    return start(hourly_updates(events), sink, f"{root}/checkpoint", HOURLY_QUERY, available_now)
+    sink, updates = history_sink(HOURLY_FIELDS, root, writers), hourly_updates(events)
+    return start(updates, sink, f"{root}/checkpoint", HOURLY_QUERY, available_now, every)
 
 
 def start_consumer(
-    messages: DataFrame, fields, root: str, available_now: bool = False, writers: int | None = None
+    decoded: DataFrame,
+    fields,
+    root: str,
+    available_now: bool = False,
+    writers: int | None = None,
+    every: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
-    """Result messages of a topic into ``root/history`` and ``root/latest``.
+    """Decoded result messages of a topic into ``root/history`` and the views.
 
     For a processor and a read side that run apart, with a topic in between. A batch may
-    hold many messages of one window; the one with the highest ``seq`` counts.
+    hold many messages of one window; the one with the highest ``seq`` counts. Rejected
+    messages are left out here and belong to ``start_quarantine``.
     """
-    store = history_sink(fields, f"{root}/history", f"{root}/latest", writers)
+    store = history_sink(fields, root, writers, arrival=True)
 
     def last_of_each(records: DataFrame, batch_id: int) -> None:
-        store(latest_per_key(records, HISTORY_KEY, "seq").drop("seq"), batch_id)
+        store(latest_per_key(records, HISTORY_KEY, "seq"), batch_id)
 
-    records = decode(messages, fields, keep=("seq",))
-    return start(records, last_of_each, f"{root}/checkpoint", CONSUMER_QUERY, available_now)
+    records = valid_records(decoded).select(*columns(fields), "seq")
+    return start(records, last_of_each, f"{root}/checkpoint", CONSUMER_QUERY, available_now, every)
 
 
-def start_quarantine(decoded: DataFrame, root: str, available_now: bool = False) -> StreamingQuery:
+def start_quarantine(
+    decoded: DataFrame, root: str, available_now: bool = False, every: str = FLUSH_INTERVAL
+) -> StreamingQuery:
     """Rejected messages, as received and with the reason, into ``root/rejected``."""
     writer = (
         quarantine(decoded)
@@ -98,12 +122,19 @@ def start_quarantine(decoded: DataFrame, root: str, available_now: bool = False)
         .option("path", f"{root}/rejected")
         .option("checkpointLocation", f"{root}/checkpoint")
     )
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=FLUSH_INTERVAL).start()
+    return triggered(writer, available_now, every).start()
+
 
+def read_results(spark: SparkSession, root: str, fields, retry_span: str = "1 hour") -> DataFrame:
+    """Stream of the stored result records from the earliest batch on.
 
-def read_results(spark: SparkSession, root: str, fields) -> DataFrame:
-    """Stream of the stored result records from the earliest batch on."""
-    stored = spark.readStream.schema(table_schema(fields)).parquet(f"{root}/history")
-    return stored.select(*columns(fields))
+    A batch that was retried has been written twice, and a stream over files may have
+    seen both; the second one is left out if it came within ``retry_span``.
+    """
+    schema = table_schema(fields).add("updated_at", "timestamp").add("batch_id", "long")
+    stored = spark.readStream.schema(schema.add("window_date", "date")).parquet(f"{root}/history")
+    return (
+        stored.withWatermark("updated_at", retry_span)
+        .dropDuplicatesWithinWatermark([*HISTORY_KEY, "batch_id"])
+        .select(*columns(fields))
+    )

@@ -16,6 +16,7 @@ from cases import (
 
 from spintally import jobs
 from spintally.operators import latest
+from spintally.sources import streams, wire
 from spintally.streaming import sinks
 
 
@@ -42,8 +43,8 @@ def answer(spark, capsys, *argv):
 
 def test_lookup(spark, roots, capsys):
     base, counts = roots
-    (row,) = answer(spark, capsys, "lookup", "--root", f"{base}/completion", "--song", "neon-skyline")
-    assert (row["starts"], row["completes"]) == counts["neon-skyline", ALIGNED]
+    (row,) = answer(spark, capsys, "lookup", "--root", f"{base}/completion", "--song", "track-1")
+    assert (row["starts"], row["completes"]) == counts["track-1", ALIGNED]
     assert answer(spark, capsys, "lookup", "--root", f"{base}/completion", "--song", "nobody") == []
 
 
@@ -57,9 +58,9 @@ def test_top(spark, roots, capsys):
 
 def test_history_compact_and_rebuild(spark, roots, capsys):
     base, counts = roots
-    asked = ["--song", "neon-skyline", "--from", str(ALIGNED), "--to", str(ALIGNED + 1)]
+    asked = ["--song", "track-1", "--from", str(ALIGNED), "--to", str(ALIGNED + 1)]
     found = answer(spark, capsys, "history", "completion", "--root", f"{base}/completion", *asked)
-    assert [(r["starts"], r["completes"]) for r in found] == [counts["neon-skyline", ALIGNED]]
+    assert [(r["starts"], r["completes"]) for r in found] == [counts["track-1", ALIGNED]]
     for kind in ("completion", "hourly"):
         jobs.run(spark, ["compact", kind, "--root", f"{base}/{kind}", "--target", f"{base}/c-{kind}"])
         jobs.run(spark, ["rebuild", kind, "--root", f"{base}/{kind}", "--target", f"{base}/l-{kind}"])
@@ -67,24 +68,115 @@ def test_history_compact_and_rebuild(spark, roots, capsys):
     assert found == answer(
         spark, capsys, "history", "completion", "--root", f"{base}/completion", *asked, *again
     )
-    rebuilt = sinks.read_song_scores(spark, f"{base}/l-hourly").collect()
+    rebuilt = sinks.read_song_scores(spark, f"{base}/l-hourly/latest").collect()
     assert set(rebuilt) == set(sinks.read_song_scores(spark, f"{base}/hourly/latest").collect())
 
 
-def test_backfill_replays_a_published_table(spark, tmp_path):
+def test_backfill_replays_a_published_table(spark, tmp_path, capsys):
     events = late_arrivals(ALIGNED) + [event("song-F", "SKIP", ALIGNED)]
     sinks.publish_events(table(spark, events), f"{tmp_path}/events")
     for kind in ("completion", "hourly"):
-        jobs.run(
-            spark, ["backfill", kind, "--table", f"{tmp_path}/events", "--target", f"{tmp_path}/{kind}"]
+        told = answer(
+            spark, capsys, "backfill", kind, "--table", f"{tmp_path}/events", "--target", f"{tmp_path}/{kind}"
         )
-    rows = sinks.read_completion_history(spark, f"{tmp_path}/completion").collect()
+        assert told == [{"rejected": 0}]
+    rows = sinks.read_completion_history(spark, f"{tmp_path}/completion/history").collect()
     counts = {(r.song_id, r.window_start): r.starts for r in rows}
     assert counts["song-E", ALIGNED] == 2
-    (row,) = sinks.read_hourly_history(spark, f"{tmp_path}/hourly").collect()
+    (row,) = sinks.read_hourly_history(spark, f"{tmp_path}/hourly/history").collect()
     assert (row.song_id, row.play_count) == ("song-E", 5)
 
 
+@pytest.fixture
+def topics(spark, tmp_path, monkeypatch):
+    """Topics as folders: what is read as a topic, and what is written to one."""
+    events = sessions(40, seed=6)
+    good = [wire_text(e) for e in numbered(events)]
+    bad = ["{broken", "", good[0].replace("PLAY_START", "PAUSE"), good[1].replace("userId", "u")]
+    rows = [("k", text, 0, i, BASE + i) for i, text in enumerate(good + bad)]
+    schema = "key string, value string, part int, seq bigint, arrival_ms bigint"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/play-events")
+
+    def read_topic(session, servers, topic, max_offsets=None, stream=True):
+        reader = session.readStream if stream else session.read
+        return reader.schema(schema).parquet(f"{tmp_path}/{topic}")
+
+    def write_topic(records, fields, servers, topic, checkpoint):
+        sent = wire.encode(records, fields).selectExpr("*", "0 AS part", "1L AS seq", "0L AS arrival_ms")
+
+        def store(batch, batch_id):
+            batch.write.mode("append").parquet(f"{tmp_path}/{topic}")
+
+        return sent.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
+
+    monkeypatch.setattr(streams, "read_topic", read_topic)
+    monkeypatch.setattr(streams, "write_topic", write_topic)
+    return tmp_path, events, bad
+
+
+def rejected(spark, root):
+    return sorted(r.value for r in spark.read.parquet(f"{root}/quarantine/rejected").collect())
+
+
+def test_every_job_keeps_what_it_rejects(spark, topics, capsys):
+    """Accepted and rejected messages are together what was sent."""
+    base, events, bad = topics
+    starts = sum(e["event_type"] == "PLAY_START" for e in events)
+
+    def kept(root):
+        return sum(r.starts for r in sinks.read_completion_history(spark, f"{root}/history").collect())
+
+    for name, extra in (("plain", []), ("exact", ["--exact", "--every", "2 seconds"])):
+        jobs.run(spark, ["stream", "completion", "--servers", "x", "--root", f"{base}/{name}", "--once", *extra])
+        assert kept(f"{base}/{name}") == starts and rejected(spark, f"{base}/{name}") == sorted(bad)
+    told = answer(spark, capsys, "backfill", "completion", "--servers", "x", "--target", f"{base}/filled")
+    assert told == [{"rejected": len(bad)}] and kept(f"{base}/filled") == starts
+    assert spark.read.parquet(f"{base}/filled/quarantine").count() == len(bad)
+    jobs.run(spark, ["publish", "completion", "--servers", "x", "--root", f"{base}/published", "--once"])
+    assert rejected(spark, f"{base}/published") == sorted(bad)
+    wrong = [("k", text, 0, 9, 0) for text in ("not json", '{"songId":"a"}')]
+    schema = "key string, value string, part int, seq bigint, arrival_ms bigint"
+    spark.createDataFrame(wrong, schema).write.mode("append").parquet(f"{base}/song-completion-stats")
+    jobs.run(spark, ["consume", "completion", "--servers", "x", "--root", f"{base}/consumed", "--once"])
+    assert kept(f"{base}/consumed") == starts
+    assert rejected(spark, f"{base}/consumed") == sorted(w[1] for w in wrong)
+
+
+def test_ingest_accepts_and_publishes_by_song(spark, topics):
+    base, events, _ = topics
+    lines = [wire_text(e) for e in numbered(events)] + ["{broken"]
+    (base / "in").mkdir()
+    (base / "in" / "0.txt").write_text("\n".join(lines) + "\n")
+    jobs.run(spark, ["ingest", "--lines", f"{base}/in", "--root", f"{base}/folder", "--once"])
+    stored = spark.read.parquet(f"{base}/folder/events")
+    assert stored.count() == len(events) and rejected(spark, f"{base}/folder") == ["{broken"]
+    assert stored.select("song_id", "part").distinct().count() == len({e["song_id"] for e in events})
+    before = spark.read.parquet(f"{base}/play-events").count()
+    jobs.run(spark, ["ingest", "--lines", f"{base}/in", "--root", f"{base}/sent", "--servers", "x", "--once"])
+    assert spark.read.parquet(f"{base}/play-events").count() == before + len(events)
+
+
+def test_clear_and_rebuild_in_place(spark, roots, capsys):
+    base, _ = roots
+    asked = ["top", "--root", f"{base}/hourly", "--n", "3"]
+    before = answer(spark, capsys, *asked)
+    jobs.run(spark, ["clear", "--root", f"{base}/hourly"])
+    assert answer(spark, capsys, *asked) == []
+    jobs.run(spark, ["rebuild", "hourly", "--root", f"{base}/hourly"])
+    assert answer(spark, capsys, *asked) == before
+
+
+def test_compacted_root_answers_after_retirement(spark, roots, capsys):
+    base, _ = roots
+    root, target = f"{base}/completion", f"{base}/whole"
+    asked = ["lookup", "--root", root, "--song", "track-1", "--also", target]
+    jobs.run(spark, ["compact", "completion", "--root", root, "--target", target])
+    before = answer(spark, capsys, *asked)
+    assert len(before) == 1
+    gone = answer(spark, capsys, "retire", "--root", root, "--compacted", target)
+    assert gone and answer(spark, capsys, *asked) == before
+
+
 def test_exact_rule_needs_a_topic(spark, tmp_path):
     with pytest.raises(ValueError):
         jobs.run(spark, ["stream", "hourly", "--lines", "x", "--root", str(tmp_path), "--exact"])

@@ -5,7 +5,7 @@ import pytest
 from spintally.operators import aggregates, serving
 from spintally.operators import replay as rp
 from spintally.plans.catalog import QUERIES
-from spintally.sources import tables
+from spintally.sources import tables, wire
 
 SF = "/root/testdata/sf0.01"
 
@@ -61,6 +61,22 @@ def test_late_rule_scans_without_shuffling_events(spark):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+@pytest.mark.parametrize("name", ["completion_history", "play_history"])
+def test_time_range_reaches_the_scan(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    pushed = text.split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(ts," in pushed and "LessThan(ts," in pushed
+
+
+def test_a_message_is_parsed_once(spark, tmp_path):
+    QUERIES["rejected_messages"](spark, SF).select("value").write.parquet(f"{tmp_path}/messages")
+    messages = spark.read.parquet(f"{tmp_path}/messages")
+    decoded = wire.decode_play_events(messages)
+    for made in (wire.valid_events(decoded), wire.quarantine(decoded)):
+        optimized = made._jdf.queryExecution().optimizedPlan().toString()
+        assert optimized.count("from_json") == 1
+
+
 def test_sliding_rate_spreads_counts_not_rows(spark):
     text = plan(QUERIES["ingest_rate"](spark, SF))
     assert text.index("Expand") < text.index("partial_count")

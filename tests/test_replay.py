@@ -117,9 +117,32 @@ def test_replay_matches_row_by_row(spark, events, chunk_rows):
 def test_large_closing_tables_take_the_shuffled_join(spark, events):
     df = table(spark, events)
     _, dropped, _ = replay(events, FIVE_MIN, COMPLETION_GRACE_MS)
-    marked = rp.mark_late(df, FIVE_MIN, COMPLETION_GRACE_MS, broadcast_rows=0)
-    assert marked.count() == len(events)
-    assert sorted(r.seq for r in marked.filter("late").collect()) == dropped
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        marked = rp.mark_late(df, FIVE_MIN, COMPLETION_GRACE_MS)
+        assert marked.count() == len(events)
+        assert sorted(r.seq for r in marked.filter("late").collect()) == dropped
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_closing_table_holds_late_windows_only(spark):
+    """Far more windows than late events: what is joined grows with the latter."""
+    windows = 700_000
+    events = spark.range(windows).selectExpr(
+        "0 AS part", "id AS seq", f"{ALIGNED} + id * {FIVE_MIN} AS ts_ms"
+    )
+    late = spark.range(3).selectExpr(
+        "0 AS part", f"{windows} + id AS seq", f"{ALIGNED} + id * {FIVE_MIN} AS ts_ms"
+    )
+    closing = rp.closing_arrivals(events.union(late), FIVE_MIN, COMPLETION_GRACE_MS)
+    assert closing.count() == 3
+    marked = rp.mark_late(events.union(late), FIVE_MIN, COMPLETION_GRACE_MS)
+    text = marked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert sorted(r.seq for r in marked.filter("late").collect()) == [windows, windows + 1, windows + 2]
 
 
 def test_upsert_by_generic_latest_row(spark):

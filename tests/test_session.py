@@ -23,17 +23,26 @@ def fake(master, named=None):
     return SimpleNamespace(sparkContext=FakeContext(master), conf=conf)
 
 
-def test_cluster_must_name_the_shared_folder():
-    with pytest.raises(ValueError):
-        session.shared_dir(fake("yarn"))
-
-
 def test_named_folder_is_used():
     spark = fake("yarn", "hdfs://shared/checkpoints/")
     assert session.shared_dir(spark) == "hdfs://shared/checkpoints"
     assert spark.sparkContext.checkpoint_dir == "hdfs://shared/checkpoints/"
+
+
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://host:7077"])
+def test_other_processes_need_a_named_folder(master):
+    with pytest.raises(ValueError):
+        session.shared_dir(fake(master))
+
+
+def test_run_folders_go_when_cleared(spark):
     first, second = (session.run_dir(spark, "run") for _ in range(2))
-    assert first.startswith("hdfs://shared/checkpoints/run-") and first != second
+    assert first != second
+    spark.range(3).write.parquet(first)
+    assert spark.read.parquet(first).count() == 3
+    session.clear_runs(spark)
+    left = session.folder_names(spark, session.shared_dir(spark))
+    assert not any(name.startswith("run-") for name in left)
 
 
 def test_local_session_makes_its_own_folder():
@@ -48,8 +57,8 @@ def test_streaming_settings_stay_in_the_sibling(spark):
     assert spark.conf.get(key) == before
 
 
-def test_broadcast_hint_depends_on_the_size(spark):
-    kept = sizing.stored(table(spark, [event("a", "SKIP", BASE) for _ in range(3)]))
-    hinted = sizing.broadcast_if_small(kept, 3)._jdf.queryExecution().logical().toString()
-    plain = sizing.broadcast_if_small(kept, 2)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
+def test_stored_tables_have_their_real_size(spark):
+    kept = sizing.sized(table(spark, [event("a", "SKIP", BASE) for _ in range(3)]), "sized")
+    size = kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert 0 < int(str(size)) < 100_000
+    assert kept.count() == 3

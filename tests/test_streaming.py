@@ -1,6 +1,7 @@
 import json
 import os
 
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from cases import (
@@ -121,8 +122,6 @@ def test_hourly_stream_ranking(spark, tmp_path):
     assert counts == {("a", hour): 4, ("b", hour): 1, ("a", hour + HOUR): 1}
     scores = sinks.read_song_scores(spark, f"{tmp_path}/out/latest")
     assert {r.song_id: r.play_count for r in scores.collect()} == {"a": 1, "b": 1}
-    scores = sinks.read_song_scores(spark, f"{tmp_path}/out/latest", by_arrival=True)
-    assert {r.song_id: r.play_count for r in scores.collect()} == {"a": 4, "b": 1}
 
 
 def test_restart_resumes_with_state(spark, tmp_path):
@@ -184,7 +183,7 @@ def stats(spark, *rows):
 
 
 def store_two_batches(spark, root):
-    store = sinks.history_sink(COMPLETION_FIELDS, f"{root}/history", f"{root}/latest")
+    store = sinks.history_sink(COMPLETION_FIELDS, str(root))
     store(stats(spark, ("song-H", BASE, 10, 5), ("song-I", BASE, 1, 1)), 0)
     store(stats(spark, ("song-H", BASE, 12, 9), ("song-H", BASE + FIVE_MIN, 4, 4)), 1)
     return store
@@ -220,8 +219,76 @@ def test_late_batch_leaves_the_newest_window_in_the_view(spark, tmp_path):
     store(stats(spark, ("song-H", BASE, 13, 9)), 2)
     newest = sinks.read_latest_completion(spark, f"{tmp_path}/latest")
     assert {r.song_id: r.starts for r in newest.collect()} == {"song-H": 4, "song-I": 1}
-    last = sinks.read_latest_completion(spark, f"{tmp_path}/latest", by_arrival=True)
-    assert {r.song_id: r.starts for r in last.collect()} == {"song-H": 13, "song-I": 1}
+
+
+def test_view_by_arrival_follows_the_arrivals_of_a_batch(spark, tmp_path):
+    """An older window that is written after a newer one of the same batch is the last one."""
+    store = sinks.history_sink(COMPLETION_FIELDS, str(tmp_path), arrival=True)
+    first = stats(spark, ("song-H", BASE + FIVE_MIN, 5, 5), ("song-H", BASE, 9, 9), ("song-I", BASE, 1, 1))
+    store(first.selectExpr("*", "CASE starts WHEN 5 THEN 1L WHEN 9 THEN 2L ELSE 3L END AS seq"), 0)
+    view = f"{tmp_path}/latest_by_arrival"
+    last = sinks.read_latest_completion_by_arrival(spark, view)
+    assert {r.song_id: r.starts for r in last.collect()} == {"song-H": 9, "song-I": 1}
+    newest = sinks.read_latest_completion(spark, f"{tmp_path}/latest")
+    assert {r.song_id: r.starts for r in newest.collect()} == {"song-H": 5, "song-I": 1}
+    store(stats(spark, ("song-H", BASE + FIVE_MIN, 6, 5)).selectExpr("*", "9L AS seq"), 1)
+    last = sinks.read_latest_completion_by_arrival(spark, view)
+    assert {r.song_id: r.starts for r in last.collect()} == {"song-H": 6, "song-I": 1}
+
+
+def test_many_batches_are_compacted_and_retired(spark, tmp_path):
+    """Two hundred batches: the same rows before and after, and a lookup reads few files."""
+    root, whole = f"{tmp_path}/live", f"{tmp_path}/whole"
+    songs = [f"song-{i:03d}" for i in range(40)]
+    for batch in range(200):
+        rows = [(songs[(batch * 7 + i) % 40], BASE + (batch // 50) * FIVE_MIN, batch + i + 1, batch) for i in range(3)]
+        path = f"{root}/history/batch_id={batch}/window_date=2024-06-05"
+        os.makedirs(path)
+        frame = pd.DataFrame(
+            [(s, w, w + FIVE_MIN, a, c, c / a, batch * 10 + i) for i, (s, w, a, c) in enumerate(rows)],
+            columns=[*columns(COMPLETION_FIELDS), "seq"],
+        )
+        frame.assign(updated_at=pd.Timestamp("2024-06-05", tz="UTC")).to_parquet(
+            f"{path}/part-0.parquet", coerce_timestamps="us"
+        )
+        os.makedirs(f"{root}/latest/batch_id={batch}")
+        frame[columns(COMPLETION_FIELDS)].to_parquet(f"{root}/latest/batch_id={batch}/part-0.parquet")
+
+    def answers(*roots):
+        stored = sinks.read_completion_history(spark, *[f"{r}/history" for r in roots])
+        view = sinks.read_latest_completion(spark, *[f"{r}/latest" for r in roots])
+        return (
+            sorted(map(tuple, stored.select(*columns(COMPLETION_FIELDS)).collect())),
+            sorted(map(tuple, view.collect())),
+        )
+
+    before = answers(root)
+    sinks.compact(spark, COMPLETION_FIELDS, whole, root)
+    assert answers(root, whole) == before
+    assert sinks.retire(spark, root, whole) == list(range(200))
+    assert sinks.batches(spark, f"{root}/history") == [] == sinks.batches(spark, f"{root}/latest")
+    assert answers(root, whole) == before
+    view = sinks.read_latest_completion(spark, f"{root}/latest", f"{whole}/latest")
+    assert len(view.inputFiles()) <= 4
+    store = sinks.history_sink(COMPLETION_FIELDS, root)
+    store(stats(spark, ("song-000", BASE + 9 * FIVE_MIN, 7, 7)), 200)
+    rows = answers(root, whole)[1]
+    assert [r for r in rows if r[0] == "song-000"][0][1] == BASE + 9 * FIVE_MIN
+    assert sinks.retire(spark, root, whole) == []
+
+
+def test_an_empty_history_cannot_be_compacted(spark, tmp_path):
+    os.makedirs(tmp_path / "live" / "history")
+    with pytest.raises(ValueError):
+        sinks.compact(spark, COMPLETION_FIELDS, f"{tmp_path}/whole", f"{tmp_path}/live")
+
+
+def test_writers_follow_the_size_of_a_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 20)
+    rows = stats(spark, *[(f"song-{i}", BASE, 2, 1) for i in range(50)]).repartition(10)
+    sinks.write_history_batch(rows, f"{tmp_path}/history", 0)
+    stored = spark.read.parquet(f"{tmp_path}/history")
+    assert stored.count() == 50 and 1 < len(stored.inputFiles()) <= 3
 
 
 def test_compaction_and_rebuild(spark, tmp_path):
@@ -294,12 +361,11 @@ def test_consumer_keeps_the_last_message_of_each_window(spark, tmp_path):
         stats(spark, ("song-H", BASE + FIVE_MIN, 4, 4)),
     ]
     for seq, records in enumerate(sent):
-        messages = wire.encode_completion(records).selectExpr("key", "value", f"{seq}L AS seq")
+        messages = wire.encode(records, COMPLETION_FIELDS).selectExpr("key", "value", f"{seq}L AS seq")
         messages.coalesce(1).write.mode("append").parquet(f"{tmp_path}/topic")
     source = streaming_session(spark).readStream.schema("key string, value string, seq bigint")
-    query = watermarked.start_consumer(
-        source.parquet(f"{tmp_path}/topic"), COMPLETION_FIELDS, f"{tmp_path}/out", True
-    )
+    decoded = wire.decode(source.parquet(f"{tmp_path}/topic"), COMPLETION_FIELDS)
+    query = watermarked.start_consumer(decoded, COMPLETION_FIELDS, f"{tmp_path}/out", True)
     query.awaitTermination()
     assert history(spark, f"{tmp_path}/out") == {
         ("song-H", BASE): (12, 9),

@@ -83,19 +83,35 @@ def test_absent_numbers_may_count_as_zero(spark):
     assert (rows[1].position_ms, rows[1].duration_ms) == (1, 0)
 
 
+def sent_and_read(records, fields):
+    decoded = wire.decode(wire.encode(records, fields).select("value"), fields)
+    return wire.valid_records(decoded).collect()
+
+
+def test_unusable_result_records_are_told_apart(spark):
+    texts = ["not json", '{"songId":"a"}', "", None, "  ", "{}", "[]", '"x"', "null"]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = wire.decode(messages, COMPLETION_FIELDS).collect()
+    assert len(rows) == len(texts) and all(r.reject_reason for r in rows)
+    assert [r.reject_reason for r in rows[:6]] == [
+        wire.BROKEN_JSON, wire.MISSING_FIELD, wire.BROKEN_JSON,
+        wire.BROKEN_JSON, wire.BROKEN_JSON, wire.MISSING_FIELD,
+    ]
+
+
 def test_result_records_round_trip(spark):
     stats = spark.createDataFrame(
         [("s", BASE, BASE + 1, 3, 1, 1 / 3)],
         "song_id string, window_start bigint, window_end bigint, starts bigint, completes bigint, completion_rate double",
     )
-    assert wire.decode_completion(wire.encode_completion(stats)).collect() == stats.collect()
+    assert sent_and_read(stats, COMPLETION_FIELDS) == stats.collect()
     counts = spark.createDataFrame(
         [("s", BASE, BASE + 1, 3)],
         "song_id string, window_start bigint, window_end bigint, play_count bigint",
     )
-    (message,) = wire.encode_hourly(counts).collect()
+    (message,) = wire.encode(counts, HOURLY_FIELDS).collect()
     assert json.loads(message.value)["count"] == 3
-    assert wire.decode_hourly(wire.encode_hourly(counts)).collect() == counts.collect()
+    assert sent_and_read(counts, HOURLY_FIELDS) == counts.collect()
     assert [f[1] for f in COMPLETION_FIELDS] == stats.columns
     assert [f[1] for f in HOURLY_FIELDS] == counts.columns
 
@@ -107,3 +123,7 @@ def test_topic_options():
         "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "10",
     }
+    assert streams.kafka_sink_options("host:1", "play-events") == {
+        "kafka.bootstrap.servers": "host:1",
+        "topic": "play-events",
+    }
