@@ -18,6 +18,7 @@ one and each counts in the statistics; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,11 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("ssn", "iban", "name", "local_phone")
 KINDS = BASE_KINDS + MORE_KINDS
 LABELERS = ("form", "check", "gazetteer", "before", "edges")
+#: Labelers whose yes every genuine span gets: the form and the checksum or range.
+BY_CONSTRUCTION = (0, 1)
 MODEL_THRESHOLD = 0.5
+#: Reliability that labelers start from, the candidates that weighs, and that of a sure one.
+PRIOR, PRIOR_WEIGHT, SURE = 0.75, 10.0, 0.99
 
 # Gazetteers.
 DIALLING_CODES = {
@@ -140,8 +145,10 @@ def pieces(text: str) -> Iterator[tuple[str, int, int, int, int, int]]:
             right = 13 <= len(digits) <= 19
             issuer = 1 if digits[0] in "3456" or digits[:2] == "22" else -1
             yield "card", *match.span(), 1 if right else -1, 1 if luhn(digits) else -1, issuer
+    international = []
     if "+" in text:
         for match in PHONE.finditer(text):
+            international.append(match.span())
             digits = digits_of(match[0])
             right = 9 <= len(digits) <= 15
             known = any(digits[:n] in DIALLING_CODES for n in (1, 2, 3))
@@ -157,6 +164,9 @@ def pieces(text: str) -> Iterator[tuple[str, int, int, int, int, int]]:
         known = 1 if own[:2] in IBAN_COUNTRIES else -1
         yield "iban", *match.span(), 1 if 15 <= len(own) <= 34 else -1, 1 if int(moved) % 97 == 1 else -1, known
     for match in LOCAL_PHONE.finditer(text):
+        place = bisect(international, (match.start(), len(text))) - 1
+        if place >= 0 and international[place][1] > match.start():
+            continue  # part of a number with a dialling code
         area = digits_of(match[0])[:3]
         yield "local_phone", *match.span(), 1, 1 if area[0] not in "01" else -1, 0
     if TITLE_OR_NAME.search(text):
@@ -193,7 +203,8 @@ class Model:
     """Weights of the span classifier and what the labelers turned out to be worth."""
 
     weights: tuple[float, ...]
-    accuracies: tuple[tuple[str, float], ...]
+    #: Kind and labeler, sensitivity, specificity.
+    reliabilities: tuple[tuple[str, float, float], ...]
 
     def probability(self, kind: str, votes: tuple[int, ...], length: int) -> float:
         x = features(kind, votes, length)
@@ -211,27 +222,41 @@ def features(kind: str, votes: tuple[int, ...], length: int) -> np.ndarray:
     return x
 
 
-def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int = 100):
-    """Probability of each row of votes to be personal data, and each labeler's accuracy.
+def expectation_maximisation(
+    votes: np.ndarray, counts: np.ndarray, held: tuple[int, ...] = (), rounds: int = 200
+):
+    """Probability of each row of votes to be personal data, and the labelers' reliabilities.
 
-    Labelers are independent given the truth; one that does not vote says nothing.
-    Accuracies start at 0.75 and keep a little prior weight there, so that a labeler
-    which hardly votes is neither trusted nor turned round by chance.
+    A labeler has a sensitivity, how often it says yes to personal data if it votes, and a
+    specificity, how often it says no to the rest. Labelers are independent given the
+    truth. Both start from, and keep a little weight on, a prior. For the labelers in
+    ``held`` the sensitivity stays ``SURE``: what they check holds for every genuine span
+    by construction, whatever the corpus looks like.
     """
-    accuracy, share = np.full(votes.shape[1], 0.75), 0.5
-    prior, weight = 0.75, 10.0
-    truth = np.full(len(counts), 0.5)
+    width = votes.shape[1]
+    sensitivity, specificity = np.full(width, PRIOR), np.full(width, PRIOR)
+    sensitivity[list(held)] = SURE
+    yes, no = votes > 0, votes < 0
+    share, truth = 0.5, np.full(len(counts), 0.5)
     for _ in range(rounds):
-        odds = np.log(accuracy / (1 - accuracy))
-        truth = 1 / (1 + np.exp(-(votes @ odds + np.log(share / (1 - share)))))
-        for labeler in range(votes.shape[1]):
-            column = votes[:, labeler]
-            right = (counts * (truth * (column > 0) + (1 - truth) * (column < 0))).sum()
-            cast = counts[column != 0].sum()
-            accuracy[labeler] = (right + prior * weight) / (cast + weight)
-        accuracy = np.clip(accuracy, 0.05, 0.99)
-        share = np.clip((counts * truth).sum() / max(counts.sum(), 1), 0.05, 0.95)
-    return truth, accuracy
+        for_it = np.log(sensitivity / (1 - specificity))
+        against = np.log((1 - sensitivity) / specificity)
+        odds = yes @ for_it + no @ against + np.log(share / (1 - share))
+        truth = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+        genuine, other = counts * truth, counts * (1 - truth)
+        for labeler in range(width):
+            y, n = yes[:, labeler], no[:, labeler]
+            cast = y | n
+            if labeler not in held:
+                sensitivity[labeler] = (genuine[y].sum() + PRIOR * PRIOR_WEIGHT) / (
+                    genuine[cast].sum() + PRIOR_WEIGHT
+                )
+            specificity[labeler] = (other[n].sum() + PRIOR * PRIOR_WEIGHT) / (
+                other[cast].sum() + PRIOR_WEIGHT
+            )
+        sensitivity, specificity = np.clip(sensitivity, 0.01, 0.99), np.clip(specificity, 0.01, 0.99)
+        share = np.clip(genuine.sum() / max(counts.sum(), 1), 0.05, 0.95)
+    return truth, sensitivity, specificity
 
 
 def logistic(x: np.ndarray, target: np.ndarray, counts: np.ndarray, ridge: float = 1.0):
@@ -283,8 +308,10 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
         own = [i for i, r in enumerate(rows) if r[0] == kind]
         if own:
             votes = np.array([rows[i][1] for i in own], float)
-            truth[own], accuracy = expectation_maximisation(votes, counts[own])
-            accuracies += [(f"{kind}.{name}", float(a)) for name, a in zip(LABELERS, accuracy)]
+            truth[own], *found = expectation_maximisation(votes, counts[own], BY_CONSTRUCTION)
+            accuracies += [
+                (f"{kind}.{name}", float(yes), float(no)) for name, yes, no in zip(LABELERS, *found)
+            ]
     x = np.array([features(k, v, n) for k, v, n, _ in rows])
     return Model(tuple(logistic(x, truth, counts).tolist()), tuple(accuracies))
 
