@@ -3,7 +3,7 @@
 A pre-token that is in the vocabulary resolves through a minimal perfect hash over
 the vocabulary's byte strings, for all pre-tokens of a slice at once. The rest is
 merged over linked bytes, the lowest rank first and the leftmost of equals, with a
-heap of candidate pairs. Distinct pre-tokens are encoded once per slice of rows.
+heap of candidate pairs. A worker remembers the pre-tokens it has met.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; every row
 is encoded by itself, so repeated rows and ids, ties and extra columns change nothing.
@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from spintally.llm import ragged
-from spintally.llm.pretokens import encode_slice
+from spintally.llm.pretokens import PieceTable, encode_slice
 from spintally.llm.rows import map_column, map_texts
 
-#: Pre-tokens outside the vocabulary that a worker remembers between slices of rows.
-MEMO_PIECES = 300_000
+#: Pre-tokens that a worker remembers before it starts anew.
+MEMO_PIECES = 250_000
 EMPTY_SLOT = -1
 
 
@@ -116,7 +116,7 @@ class Vocabulary:
         self.ids = np.fromiter(ranks.values(), np.int64, len(keys))[by_slot]
         self.slot_of_id = np.full(int(self.ids.max()) + 1, EMPTY_SLOT)
         self.slot_of_id[self.ids] = np.arange(len(keys))
-        self.memo = ragged.Memo(MEMO_PIECES)
+        self.table = PieceTable(MEMO_PIECES, self.encode_pieces)
 
     @staticmethod
     def parse(rank_file: bytes) -> Vocabulary:
@@ -163,25 +163,19 @@ class Vocabulary:
             at = after[at]
         return ids
 
-    def encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, offsets = ragged.flat(pieces)
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pre-tokens and the number of each."""
+        data, offsets = ragged.flat(pa.array(pieces, pa.large_string()))
         ids = self.whole(data, offsets)
+        raw, sizes, parts = data.tobytes(), np.ones(len(ids), np.int64), []
         missed = np.flatnonzero(ids < 0)
-        if not len(missed):
-            return ids.astype(np.uint32), np.ones(len(ids), np.int64)
-        raw, memo = data.tobytes(), self.memo
-        parts = []
-        for begin, end in zip(offsets[missed].tolist(), offsets[missed + 1].tolist()):
-            piece = raw[begin:end]
-            if (found := memo.get(piece)) is None:
-                found = memo[piece] = np.array(self.merge(piece), np.uint32).tobytes()
-            parts.append(found)
-        sizes = np.ones(len(ids), np.int64)
-        sizes[missed] = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        merged = np.frombuffer(b"".join(parts), np.uint32)
+        for i, begin, end in zip(missed.tolist(), offsets[missed].tolist(), offsets[missed + 1].tolist()):
+            merged = self.merge(raw[begin:end])
+            sizes[i] = len(merged)
+            parts += merged
         out = np.empty(int(sizes.sum()), np.uint32)
         inside = np.repeat(ids < 0, sizes)
-        out[inside] = merged
+        out[inside] = parts
         out[~inside] = ids[ids >= 0]
         return out, sizes
 
@@ -215,7 +209,7 @@ def encode(
     held = docs.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
 
     def compute(texts):
-        ids, counts = encode_slice(texts, pattern, vocabulary(held.value).encode_pieces)
+        ids, counts = encode_slice(texts, pattern, vocabulary(held.value).table)
         return [
             pa.array(counts, pa.int64()),
             ragged.binaries(ids.astype("<u4"), 4 * ragged.offsets_of(counts)),

@@ -21,6 +21,12 @@ def take(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return values[index]
 
 
+def distinct(pieces: list[str]) -> tuple[list[str], np.ndarray]:
+    """The distinct strings, and which of them each piece is."""
+    known = pa.array(pieces, pa.large_string()).dictionary_encode()
+    return known.dictionary.to_numpy(zero_copy_only=False).tolist(), known.indices.to_numpy()
+
+
 def binaries(data: bytes | np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary column of the pieces of ``data`` between byte ``offsets``."""
     if len(offsets) and offsets[-1] > np.iinfo(np.int32).max:

@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Spark hands a Python worker batches of so many bytes, a row at least. By rows alone, as
+#: it would by itself, ten thousand long texts would have to fit into memory together.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _shipped: set[str] = set()
 
@@ -36,6 +40,12 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def bounded(spark: SparkSession) -> None:
+    """Bound the bytes of a batch where the session leaves them at a larger size."""
+    if int(spark.conf.get(BATCH_SETTING).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def strings(column: pa.Array) -> list[str]:
     """Texts of a column; null reads as empty, bytes that are not UTF-8 as replacement characters."""
     try:
@@ -70,6 +80,7 @@ def map_column(
     ``compute`` sees whole values, a few MB at a time, so memory is bounded by the
     slice and the longest value. A kept column named like a new one gives way to it.
     """
+    bounded(df.sparkSession)
     ship(df.sparkSession)
     new = T.StructType.fromDDL(fields)
     kept = [c for c in dict.fromkeys(keep) if c not in new.names]
@@ -85,6 +96,8 @@ def map_column(
                 made = compute(part.column(value))
                 own = part.columns[: len(kept)]
                 yield pa.RecordBatch.from_arrays([*own, *made], names=names)
+                del part, made, own
+            pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

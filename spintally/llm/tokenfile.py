@@ -14,7 +14,10 @@ gives a file without blocks.
 
 from __future__ import annotations
 
+import os
+import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,17 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from spintally.llm import ragged
-from spintally.llm.pretokens import encode_slice
-from spintally.llm.rows import SLICE_BYTES, ship, slices, strings
+from spintally.llm.pretokens import PieceTable, encode_slice
+from spintally.llm.rows import SLICE_BYTES, bounded, ship, slices, strings
 
 #: A block closes once it holds this many ids.
 BLOCK_IDS = 1 << 18
-MEMO_PIECES = 300_000
+MEMO_PIECES = 600_000
+JOINED_WORDS = 1000
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
+#: A space and letters of early code points, of which all Unicode versions know the class.
+SPACED_WORD = re.compile(r" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 BLOCK_FIELDS = (
     "shard int, block int, first_token long, n_ids long, payload binary, "
@@ -57,6 +65,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(payload: bytes, bits: int, first: int, count: int) -> np.ndarray:
     """``count`` ids from the ``first`` on, touching only the bytes that hold them."""
+    if bits in (8, 16, 32):
+        return np.frombuffer(payload, f"<u{bits // 8}", count, first * bits // 8).astype(np.uint32)
     at = np.arange(first, first + count, dtype=np.int64) * bits
     low = first * bits // 8
     data = np.frombuffer(payload, np.uint8)[low : (first + count) * bits // 8 + 1]
@@ -73,38 +83,60 @@ class PieceEncoder:
     """A tokenizers file; each distinct pre-token goes through the library once."""
 
     def __init__(self, file: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_buffer(file)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
-        self.memo = ragged.Memo(MEMO_PIECES)
-
-    def encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        memo, words = self.memo, pieces.to_pylist()
-        new = [word for word in words if word not in memo]
-        known = {}
-        for begin in range(0, len(new), 20_000):
-            part = new[begin : begin + 20_000]
-            made = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, encoding in zip(part, made):
-                known[word] = np.array(encoding.ids, np.uint32).tobytes()
-        parts = [known[word] if word in known else memo[word] for word in words]
-        for word, ids in known.items():
-            memo[word] = ids
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        return np.frombuffer(b"".join(parts), np.uint32), sizes
+        self.table = PieceTable(MEMO_PIECES, self.encode_pieces)
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.begins_word[[i for token, i in vocabulary.items() if token[0] == SPACE]] = True
+
+    def encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        ids = [encoding.ids for encoding in made]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+    def encode_spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words that begin with a space, many in one text for the library.
+
+        Such a text falls apart into just these words, and the token that begins a word
+        is the one that begins with a space.
+        """
+        texts = ["".join(words[i : i + JOINED_WORDS]) for i in range(0, len(words), JOINED_WORDS)]
+        ids, _ = self.encode_each(texts)
+        starts = np.flatnonzero(self.begins_word[ids])
+        if len(starts) != len(words):
+            return self.encode_each(words)
+        return ids, np.diff(np.append(starts, len(ids)))
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pre-tokens and the number of each."""
+        spaced = np.fromiter(map(bool, map(SPACED_WORD.fullmatch, pieces)), bool, len(pieces))
+        sizes = np.zeros(len(pieces), np.int64)
+        parts = []
+        for own, encode in ((spaced, self.encode_spaced), (~spaced, self.encode_each)):
+            at = np.flatnonzero(own)
+            ids, sizes[at] = encode([pieces[i] for i in at.tolist()])
+            parts.append(ids)
+        out = np.empty(int(sizes.sum()), np.uint32)
+        inside = np.repeat(spaced, sizes)
+        out[inside], out[~inside] = parts
+        return out, sizes
 
     def encode(self, texts: list[str], pattern: str) -> tuple[np.ndarray, np.ndarray]:
         """A text with the string of an added token goes through the library whole."""
         whole = [row for row, text in enumerate(texts) if any(a in text for a in self.added)]
         if not whole:
-            return encode_slice(texts, pattern, self.encode_pieces)
+            return encode_slice(texts, pattern, self.table)
         parts = []
         for row, text in enumerate(texts):
             if row in set(whole):
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 parts.append(np.array(ids, np.uint32))
             else:
-                parts.append(encode_slice([text], pattern, self.encode_pieces)[0])
+                parts.append(encode_slice([text], pattern, self.table)[0])
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
 
@@ -124,6 +156,7 @@ def blocks(
 ) -> DataFrame:
     """The rows of ``blocks``; shards follow each other in the order of ``id_col``."""
     spark = docs.sparkSession
+    bounded(spark)
     ship(spark)
     with open(tokenizer_path, "rb") as file:
         held = spark.sparkContext.broadcast(file.read())
@@ -159,7 +192,7 @@ def blocks(
             + [("doc_ids", pa.list_(pa.int64())), ("doc_starts", pa.list_(pa.int64()))]
         )
         for batch in batches:
-            for part in slices(batch, 1, min(SLICE_BYTES, 4 * block_ids)):
+            for part in slices(batch, 1, min(2 * SLICE_BYTES, 4 * block_ids)):
                 flat, sizes = own.encode(strings(part.column(1)), pattern)
                 flat = np.insert(flat, np.cumsum(sizes), np.uint32(end_id))
                 ids.append(flat)
