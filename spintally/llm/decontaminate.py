@@ -19,17 +19,19 @@ side give no pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spintally.llm import ragged
+from spintally.llm.pretokens import SETTLED, is_early, ranges
 from spintally.llm.rows import map_texts
 from spintally.llm.tables import saved
 
@@ -42,7 +44,11 @@ MIN_CONSISTENCY = 0.8
 #: then drop other windows before the join; beyond it every window takes part in the join.
 SENT_WINDOWS = 4_000_000
 
-TOKEN = regex.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[$€£¥%]|[.!?\n]")
+LETTER = r"[^\W\d_]"
+DIGIT = r"\d"
+TOKEN = "L+(?:['’]L+)*|D+(?:[.,:/]D+)*|[$€£¥%]|[.!?\n]"
+#: Tokens that a worker remembers before it starts anew.
+MEMO_TOKENS = 300_000
 # Fixed values.
 SIGNS = set("$€£¥%")
 BREAKS = set(".!?\n")
@@ -60,7 +66,48 @@ PLAIN, NUMBER, SIGN, UNIT, TITLE, BREAK = range(6)
 PLACEHOLDERS = {NUMBER: "<number>", UNIT: "<unit>", TITLE: "<name>"}
 
 
-@lru_cache(maxsize=1 << 18)
+@lru_cache(maxsize=1)
+def finders() -> tuple[Callable, Callable]:
+    """Token search for texts below ``SETTLED``, with the classes written out, and for others."""
+
+    def early(pattern):
+        points = [c for c in range(SETTLED) if re.match(pattern, chr(c))]
+        return f"[{ranges(points)}]"
+
+    made = [
+        re.compile(TOKEN.replace("L", letter).replace("D", digit))
+        for letter, digit in ((early(LETTER), early(DIGIT)), (LETTER, DIGIT))
+    ]
+    return made[0].findall, made[1].findall
+
+
+class TokenTable:
+    """Kinds and hashes of the tokens a worker has met; starts anew once there are many."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.kinds, self.hashes = np.zeros(0, np.int8), np.zeros(0, np.uint64)
+
+    def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.place) >= MEMO_TOKENS:
+            self.__init__()
+        at = np.fromiter(map(self.place.get, tokens, repeat(-1)), np.int64, len(tokens))
+        missed = np.flatnonzero(at < 0)
+        if len(missed):
+            new = [tokens[i] for i in missed.tolist()]
+            known = list(map(kind_and_hash, new))
+            at[missed] = np.arange(len(self.kinds), len(self.kinds) + len(new))
+            self.place.update(zip(new, at[missed].tolist()))
+            self.kinds = np.append(self.kinds, np.array([k for k, _ in known], np.int8))
+            self.hashes = np.append(self.hashes, np.array([h for _, h in known], np.uint64))
+        return self.kinds[at], self.hashes[at]
+
+
+@lru_cache(maxsize=1)
+def token_table() -> TokenTable:
+    return TokenTable()
+
+
 def kind_and_hash(token: str) -> tuple[int, int]:
     """What a token can be by itself, and the hash of its lower-cased form."""
     first, lower = token[0], token.lower()
@@ -89,13 +136,15 @@ class Templates:
     """The template tokens of a slice of texts, one text after the other."""
 
     def __init__(self, texts: list[str]):
-        found = [TOKEN.findall(text) for text in texts]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        tokens = pa.array([t for own in found for t in own], pa.large_string()).dictionary_encode()
-        known = [kind_and_hash(t) for t in tokens.dictionary.to_pylist()]
-        which = tokens.indices.to_numpy()
-        kinds = np.array([k for k, _ in known], np.int8)[which] if known else np.zeros(0, np.int8)
-        hashes = np.array([h for _, h in known], np.uint64)[which] if known else np.zeros(0, np.uint64)
+        pieces: list[str] = []
+        counts = np.zeros(len(texts), np.int64)
+        early, other = finders()
+        for row, text in enumerate(texts):
+            found = (early if is_early(text) else other)(text)
+            counts[row] = len(found)
+            pieces += found
+        distinct, which = ragged.distinct(pieces)
+        kinds, hashes = (column[which] for column in token_table().of(distinct))
         text = np.repeat(np.arange(len(texts)), counts)
         before = np.append(np.int8(BREAK), kinds[:-1]) if len(kinds) else kinds
         before = before.copy()
@@ -112,15 +161,15 @@ class Templates:
         self.hash = np.where(self.slot == PLAIN, hashes[keep], PLACEHOLDER_HASH[self.slot])
         self.counts = np.bincount(self.text, minlength=len(texts))
         self.bounds = ragged.offsets_of(self.counts)
-        self._tokens, self._which, self._keep, self._goes_on = tokens, which, keep, goes_on
+        self._distinct, self._which, self._keep, self._goes_on = distinct, which, keep, goes_on
 
     def value(self, place: int) -> str:
         """What stands in a slot, a name with all its words."""
         at = int(self._keep[place])
-        words = [self._tokens.dictionary[self._which[at]].as_py()]
+        words = [self._distinct[self._which[at]]]
         while at + 1 < len(self._goes_on) and self._goes_on[at + 1]:
             at += 1
-            words.append(self._tokens.dictionary[self._which[at]].as_py())
+            words.append(self._distinct[self._which[at]])
         return " ".join(words).lower()
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
