@@ -337,10 +337,9 @@ def extract(
     keep: tuple[str, ...] = ("page_id", "url"),
 ) -> DataFrame:
     """``keep`` columns, ``text`` and ``n_chars`` (its code points), one row per page."""
-    held = pages.sparkSession.sparkContext.broadcast(model or trained())
+    held, memo = pages.sparkSession.sparkContext.broadcast(model or trained()), Memo(50_000)
 
     def compute(texts):
-        memo = Memo(50_000)
         made = [main_text(text, held.value, memo) for text in texts]
         return [pa.array(made, pa.string()), pa.array(list(map(len, made)), pa.int64())]
 

@@ -123,9 +123,10 @@ def fit(
         return Model({}, (30.0,) * grades)
     names = associated(sample, sizes[False], sizes[True], max_features)
     held = sample.sparkSession.sparkContext.broadcast({name: i for i, name in enumerate(names)})
+    memo = Memo(MEMO_WORDS)
 
     def compute(texts):
-        known, memo = held.value, Memo(MEMO_WORDS)
+        known = held.value
         rows = [occurrences(text, known, memo) for text in texts]
         return [
             pa.array([[known[f] for f in row] for row in rows], pa.list_(pa.int32())),
@@ -206,10 +207,10 @@ def score(
     docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """``keep`` columns, ``severity`` (expected grade), ``grade`` (likeliest), ``p_toxic``, ``rejected``."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held, memo = docs.sparkSession.sparkContext.broadcast(model), Memo(MEMO_WORDS)
 
-    def compute(texts):
-        own, memo = held.value, Memo(MEMO_WORDS)
+    def compute(texts):  # every task has a memo of its own
+        own = held.value
         scores = np.zeros(len(texts))
         for row, text in enumerate(texts):
             found = occurrences(text, own.weights, memo)
