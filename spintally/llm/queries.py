@@ -164,6 +164,41 @@ def _covered(size: int) -> str:
        GROUP BY r)"""
 
 
+# The license templates as patterns over words joined by spaces, up to where they are accepted.
+_PUBLISHED = "(as published by the free software foundation )?(either )?"
+_LICENSES = {
+    "all-rights-reserved": "all rights reserved",
+    "apache-2.0": "licensed under (the )?apache license (version 2 0|2 0|v2)",
+    "cc-by-4.0": "licensed under (a |the )?(cc by|creative commons attribution) 4 0",
+    "cc-by-sa-4.0": "licensed under (a |the )?(cc by sa|creative commons attribution "
+    "(sharealike|share alike)) 4 0",
+    "cc-by-nc-4.0": "licensed under (a |the )?(cc by nc|creative commons attribution "
+    "(noncommercial|non commercial)) 4 0",
+    "cc-by-nc-sa-4.0": "licensed under (a |the )?(cc by nc sa|creative commons attribution "
+    "noncommercial sharealike) 4 0",
+    "gpl-2.0": "(licensed|released|distributed|it) under the (terms of the )?gnu general public "
+    f"license {_PUBLISHED}version 2",
+    "gpl-3.0": "(licensed|released|distributed|it) under the (terms of the )?gnu general public "
+    f"license {_PUBLISHED}version 3",
+    "lgpl-2.1": "under the (terms of the )?gnu lesser general public license "
+    f"{_PUBLISHED}version 2 1",
+    "lgpl-3.0": f"under the (terms of the )?gnu lesser general public license {_PUBLISHED}version 3",
+    "agpl-3.0": f"under the (terms of the )?gnu affero general public license {_PUBLISHED}version 3",
+    "mpl-2.0": "subject to the terms of the mozilla public license (v )?(version )?2 0",
+    "mit": "permission is hereby granted free of charge to any person obtaining a copy of "
+    "(this software|this font software|the software) and associated documentation files "
+    "(the software )?to deal in the software without restriction",
+    "isc": "permission to use copy modify (and|and or) distribute this software for any purpose "
+    "with or without fee is hereby granted",
+    "bsd": "redistribution and use in source and binary forms with or without modification are "
+    "permitted provided that the following conditions are met",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+}
+_FOUND = ", ".join(
+    f"CASE WHEN regexp_matches(joined, ' {pattern} ') THEN '{label}' END"
+    for label, pattern in _LICENSES.items()
+)
+
 ORACLE: dict[str, str] = {
     "op4_html_extraction": r"""
         WITH a AS (
@@ -202,4 +237,32 @@ ORACLE: dict[str, str] = {
                NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
                AND n_covered <= n_words * {repetition.MAX_COVERED} AND NOT over_long AS kept
         FROM c""",
+    "op9_license_scan": rf"""
+        WITH d AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        p AS (
+          SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS joined,
+                 list_filter(range(1, len(w) + 1), lambda i: w[i] = 'cc' AND w[i + 1] = 'by') AS cc,
+                 list_filter(range(1, len(w) + 1), lambda i: w[i] = 'general'
+                   AND w[i + 1] = 'public' AND w[i + 2] = 'license') AS gpl,
+                 list_filter(range(1, len(w) + 1), lambda i: w[i] = 'all'
+                   AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved') AS res
+          FROM d),
+        q AS (
+          SELECT *, list_concat(list_concat(cc, gpl), res) AS places,
+                 list_filter([CASE WHEN len(cc) > 0 THEN 'cc-by' END,
+                   CASE WHEN len(gpl) > 0 THEN 'gpl' END,
+                   CASE WHEN len(res) > 0 THEN 'reserved' END], lambda x: x IS NOT NULL) AS base,
+                 list_filter([{_FOUND}], lambda x: x IS NOT NULL) AS accepted
+          FROM p)
+        SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base,
+               (list_min(places) - 1)::BIGINT AS first_word,
+               (list_max(places) - 1)::BIGINT AS last_word,
+               array_to_string(list_sort(base), ',') AS base_labels,
+               array_to_string(list_sort(list_concat(base, accepted)), ',') AS labels,
+               CASE WHEN len(accepted) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE
+                 AS score
+        FROM q""",
 }
