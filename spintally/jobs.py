@@ -5,8 +5,8 @@
 
 A root holds ``history``, ``latest`` and, where arrivals are numbered, ``latest_by_arrival``;
 ``--also`` names more roots that are read along, such as a compacted one. Messages that
-cannot be used are kept under ``quarantine``. Answers are printed as JSON lines. The same file can be given to ``spark-submit`` with
-the package in ``--py-files``.
+cannot be used are kept under ``quarantine``. Answers are printed as JSON lines. The same
+file can be given to ``spark-submit`` with the package in ``--py-files``.
 """
 
 from __future__ import annotations

@@ -121,7 +121,11 @@ def first_arrivals(events: DataFrame) -> DataFrame:
         "part",
         is_start().alias("start"),
         floor_to_window("ts_ms", WHOLE_MINUTE_MS).alias("minute"),
-    ).agg(F.min("seq").alias("seq"), F.max("seq").alias("last_seq"), F.max("ts_ms").alias("newest_ms"))
+    ).agg(
+        F.min("seq").alias("seq"),
+        F.max("seq").alias("last_seq"),
+        F.max("ts_ms").alias("newest_ms"),
+    )
     return minutes.withColumnRenamed("minute", "ts_ms")
 
 
