@@ -1 +1,4 @@
-"""Operators for training-data pipelines over tables of texts. Nothing else in the library imports them."""
+"""Operators for training-data pipelines over tables of texts.
+
+Nothing else in the library imports them.
+"""

@@ -27,7 +27,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spintally.llm import ragged
@@ -85,12 +85,15 @@ class TokenTable:
     """Kinds and hashes of the tokens a worker has met; starts anew once there are many."""
 
     def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.kinds, self.hashes = np.zeros(0, np.int8), np.zeros(0, np.uint64)
 
     def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.place) >= MEMO_TOKENS:
-            self.__init__()
+            self.clear()
         at = np.fromiter(map(self.place.get, tokens, repeat(-1)), np.int64, len(tokens))
         missed = np.flatnonzero(at < 0)
         if len(missed):
@@ -300,12 +303,15 @@ def contamination(
         .groupBy(*pair)
         .agg(F.sum("alike").alias("alike"))
     )
-    slots = (
-        filled.select(*pair, "place", "slot").distinct().groupBy(*pair).agg(F.count("*").alias("n_slots"))
-    )
-    same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in pair]
+    places = filled.select(*pair, "place", "slot").distinct()
+    slots = places.groupBy(*pair).agg(F.count("*").alias("n_slots"))
+
+    def same(a: str, b: str) -> list[Column]:
+        return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in pair]
+
     checked = alike.alias("a").join(slots.alias("s"), same("a", "s"))
-    checked = checked.select(*[f"a.{c}" for c in pair], (F.col("alike") / F.col("n_slots")).alias("held"))
+    held = F.col("alike") / F.col("n_slots")
+    checked = checked.select(*[f"a.{c}" for c in pair], held.alias("held"))
     out = matched.alias("m").join(checked.alias("c"), same("m", "c"), "left")
     out = out.select(
         *[f"m.{c}" for c in pair],

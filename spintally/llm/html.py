@@ -237,7 +237,7 @@ def sections(tree: Tree) -> list[int]:
 
 
 def beliefs(parents: list[int], kinds: list[int], unary: list[float], pair):
-    """Log-odds of each element, those it sends up without its parent, and its parent's without it."""
+    """Three log-odds of each element: its own, without its parent, and its parent's without it."""
     up = list(unary)
     sent = [0.0] * len(parents)
     for i in range(len(parents) - 1, 0, -1):
@@ -277,7 +277,8 @@ def train(pages: list[str], steps: int = 200, ridge: float = 0.1) -> Model:
     free, scale = np.zeros(n + 6), np.full(n + 6, 1e-8)
 
     def model_of(free):
-        return Model(dict(zip(names, free.tolist())), (tuple(free[n : n + 3].tolist()), tuple(free[n + 3 :].tolist())))
+        pair = free[n:].tolist()
+        return Model(dict(zip(names, free.tolist())), (tuple(pair[:3]), tuple(pair[3:])))
 
     for _ in range(steps):
         model = model_of(free)
@@ -294,9 +295,10 @@ def train(pages: list[str], steps: int = 200, ridge: float = 0.1) -> Model:
                     weights = [1.0, exp(shared[0] + up[i]), exp(shared[1] + above[i])]
                     weights.append(exp(shared[2] + up[i] + above[i]))
                     chances = np.array(weights[1:]) / sum(weights)
-                    seen = (label[tree.parents[i]], label[i])
+                    both = (label[tree.parents[i]], label[i])
+                    seen = np.array([both == (0, 1), both == (1, 0), both == (1, 1)])
                     at = n + 3 * kind[i]
-                    gradient[at : at + 3] += np.array([seen == (0, 1), seen == (1, 0), seen == (1, 1)]) - chances
+                    gradient[at : at + 3] += seen - chances
         scale += gradient**2
         free = free + 0.5 * gradient / np.sqrt(scale)
     return model_of(free)

@@ -62,7 +62,10 @@ def fingerprint(hashes: list[int]) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, text_col: str = "text", keep: Iterable[str] = ("doc_id",), shingle: int = SHINGLE
+    docs: DataFrame,
+    text_col: str = "text",
+    keep: Iterable[str] = ("doc_id",),
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """One row per input row: ``keep`` and the 64-bit ``fp`` (as Spark's signed long)."""
 
@@ -160,7 +163,9 @@ def neighbour_links(fps: DataFrame, max_bits: int) -> DataFrame:
     Each value's fingerprints are tied to one of them: rows grow with the fingerprints.
     """
     up, down = (max_bits + 1) // 2, max_bits // 2
-    around = fps.select("fp", F.col("fp").alias("middle"), F.lit(-1).alias("last"), F.lit(0).alias("reach"))
+    around = fps.select(
+        "fp", F.col("fp").alias("middle"), F.lit(-1).alias("last"), F.lit(0).alias("reach")
+    )
     for _ in range(up):  # flip one more bit above the last, or (bit 64) none any more
         bits = F.when(F.col("last") < BITS, F.sequence(F.col("last") + 1, F.lit(BITS)))
         bit = F.col("bit")
@@ -242,7 +247,9 @@ def deduplicated(
     """
     text_hash = F.xxhash64(F.col(f"`{text_col}`"))
     keyed = docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("value"), text_hash.alias("text_hash")
+        F.col(f"`{id_col}`").alias("id"),
+        F.col(f"`{text_col}`").alias("value"),
+        text_hash.alias("text_hash"),
     )
     found = near_duplicates(keyed, "id", "value", keep=["text_hash"], **options)
     copies = found.groupBy("root", "id", "text_hash").agg(F.count("*").alias("copies"))

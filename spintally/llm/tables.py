@@ -57,6 +57,7 @@ def components(edges: DataFrame) -> DataFrame:
                 )
             )
         moved = live.join(roots.toDF("a", "root_a"), "a").join(roots.toDF("b", "root_b"), "b")
-        live = saved(normalised(moved.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))))
+        moved = moved.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        live = saved(normalised(moved))
         if not live.limit(1).count():
             return labels

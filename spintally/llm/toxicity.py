@@ -90,8 +90,11 @@ def labelled_sample(docs, labels, id_col, text_col, toxic_col, max_labelled) ->
 def associated(sample: DataFrame, n_clean: int, n_toxic: int, max_features: int) -> list[str]:
     """Features with a significant excess in toxic documents, the strongest first."""
 
+    kind = pa.list_(pa.string())
+
     def compute(texts):
-        return [pa.array([sorted({f for w in set(WORD.findall(t.lower())) for f in features_of(w)}) for t in texts])]
+        words = (set(WORD.findall(text.lower())) for text in texts)
+        return [pa.array([list({f for w in own for f in features_of(w)}) for own in words], kind)]
 
     counted = (
         map_texts(sample, compute, "features array<string>", "text", ["toxic"])
@@ -104,7 +107,8 @@ def associated(sample: DataFrame, n_clean: int, n_toxic: int, max_features: int)
     expected = F.col("in_all") * share
     excess = (F.col("in_toxic") - expected) / F.sqrt(expected * (1 - share))
     strong = counted.withColumn("excess", excess).filter(F.col("excess") >= MIN_EXCESS)
-    return [r.feature for r in strong.orderBy(F.desc("excess"), "feature").limit(max_features).collect()]
+    first = strong.orderBy(F.desc("excess"), "feature").limit(max_features)
+    return [r.feature for r in first.collect()]
 
 
 def fit(
@@ -118,7 +122,8 @@ def fit(
     max_features: int = MAX_FEATURES,
 ) -> Model:
     sample = labelled_sample(docs, labels, id_col, text_col, toxic_col, max_labelled)
-    sizes = {r.toxic > 0: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    counted = sample.groupBy(F.col("toxic") > 0).count().collect()
+    sizes = dict(map(tuple, counted))
     if not sizes.get(True) or not sizes.get(False):
         return Model({}, (30.0,) * grades)
     names = associated(sample, sizes[False], sizes[True], max_features)
@@ -206,7 +211,11 @@ def cumulative_link(
 def score(
     docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """``keep`` columns, ``severity`` (expected grade), ``grade`` (likeliest), ``p_toxic``, ``rejected``."""
+    """``keep`` columns and the verdict, one row per input row.
+
+    ``severity`` is the expected grade, ``grade`` the likeliest one, ``p_toxic`` the chance of
+    any grade above zero, ``rejected`` whether that is over one half.
+    """
     held, memo = docs.sparkSession.sparkContext.broadcast(model), Memo(MEMO_WORDS)
 
     def compute(texts):  # every task has a memo of its own
