@@ -50,7 +50,7 @@ class SortedSuffixes:
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         self.ends = bounds[1:][text]
         self.levels: dict[int, np.ndarray] = {}
-        rank = np.zeros(n, np.int64)
+        rank = np.zeros(n, np.int32)  # one such array is kept for each level
         active = np.arange(n)
         key = text * (int(words.max(initial=0)) + 1) + words
         length = 1
@@ -79,7 +79,7 @@ class SortedSuffixes:
             then = active + length
             inside = then < self.ends[active]
             second = np.where(inside, rank[np.minimum(then, n - 1)] + 1, 0)
-            key = rank[active] * (n + 1) + second
+            key = rank[active].astype(np.int64) * (n + 1) + second
             length *= 2
 
     def shared(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -96,6 +96,8 @@ class SortedSuffixes:
 
     def repeated(self, length: int) -> np.ndarray:
         """Positions at which ``length`` words stand that recur in the same text."""
+        if not len(self.recurring):
+            return self.recurring
         level = max(k for k in self.levels if k <= length)
         rank = self.levels[level]
         at = self.recurring[np.argsort(rank[self.recurring], kind="stable")]
@@ -103,6 +105,8 @@ class SortedSuffixes:
             shift = length - level
             at = at[at + length <= self.ends[at]]
             at = at[np.lexsort((rank[at + shift], rank[at]))]
+            if not len(at):
+                return at
             same = (rank[at][1:] == rank[at][:-1]) & (rank[at + shift][1:] == rank[at + shift][:-1])
         else:
             same = rank[at][1:] == rank[at][:-1]

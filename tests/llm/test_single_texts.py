@@ -1,0 +1,50 @@
+"""Every operator on a slice that holds one odd text alone."""
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+
+from cases_llm import ODD_TEXTS
+from spintally.llm import (
+    bpe,
+    decontaminate,
+    html,
+    licenses,
+    pii,
+    pretokens,
+    repetition,
+    secrets,
+    simhash,
+    tokenfile,
+    toxicity,
+)
+
+TEXTS = [text or "" for text in ODD_TEXTS] + ["one two", "one two one", "a b c d e f g h", "5 kg", "John", "."]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_one_text_alone(text):
+    words = len(text.encode().split())
+    made = [column.to_pylist() for column in repetition.counts([text])]
+    assert made[0] == [words] and all(len(column) == 1 for column in made)
+    assert simhash.fingerprint(simhash.shingle_hashes(text, 4)) >= 0
+    assert secrets.scan([text]) == [[]]
+    templates = licenses.compiled(tuple(licenses.TEMPLATES.items()))
+    assert licenses.scan(text, templates)[5] == []
+    assert pii.candidates(text) == []
+    totals, windows = decontaminate.windows_of([text], 5, None)
+    assert totals.to_pylist() == [len(windows[0])]
+    assert decontaminate.windows_of([text], 5, np.zeros(0, np.int64))[1].to_pylist() == [[]]
+    assert toxicity.occurrences(text, {}, {}) == {}
+    assert html.main_text(text, html.trained(), {}) == ""
+    own = bpe.vocabulary(bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")))
+    ids, counts = pretokens.encode_slice([text], P.PATTERN, own.table)
+    assert counts.tolist() == [len(ids)] and own.bytes_of(ids)[0].tobytes() == text.encode()
+    ids, counts = tokenfile.encoder(open(P.path("byte_bpe_50k.json"), "rb").read()).encode([text], P.PATTERN)
+    assert counts.tolist() == [len(ids)]
+
+
+def test_no_text_at_all():
+    assert [column.to_pylist() for column in repetition.counts([])] == [[]] * 7
+    assert secrets.scan([]) == []
+    assert [c.to_pylist() for c in decontaminate.windows_of([], 5, None)] == [[], []]
