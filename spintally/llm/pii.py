@@ -58,7 +58,7 @@ GIVEN_NAMES = {
     "carlos", "elena", "juan", "carmen", "jose", "lucia", "klaus", "petra", "paul", "emma",
 }
 TITLES = {"mr", "mrs", "ms", "dr", "prof", "herr", "frau", "madame", "monsieur", "señor", "señora"}
-IBAN_COUNTRIES = {"AT", "BE", "CH", "DE", "DK", "ES", "FI", "FR", "GB", "IE", "IT", "LU", "NL", "NO", "PL", "PT", "SE"}
+IBAN_COUNTRIES = set("AT BE CH DE DK ES FI FR GB IE IT LU NL NO PL PT SE".split())
 CUES = {
     "email": {"email", "mail", "e-mail", "contact", "write", "address", "correo", "courriel"},
     "ip": {"ip", "host", "server", "address", "client", "from", "login"},
@@ -69,7 +69,7 @@ CUES = {
     "iban": {"iban", "account", "bank", "konto", "compte", "cuenta"},
     "name": {"name", "called", "by", "from", "dear", "author", "contact"},
 }
-AGAINST = {"version", "isbn", "issn", "order", "item", "serial", "invoice", "id", "build", "release", "doi"}
+AGAINST = set("version isbn issn order item serial invoice id build release doi".split())
 
 LOCAL_PART = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -78,12 +78,19 @@ IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-LOCAL_PHONE = re.compile(r"(?<![+0-9.)-])(?<![+0-9.)-]\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])")
+IBAN = re.compile(
+    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+)
+LOCAL_PHONE = re.compile(
+    r"(?<![+0-9.)-])(?<![+0-9.)-]\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])"
+)
 NAME = re.compile(r"(?<![^\W\d_])[^\W\d_]{2,12}\.?\x20[^\W\d_]{2,30}(?:\x20[^\W\d_]{2,30})?")
 TITLE_OR_NAME = re.compile(
-    r"(?<!\w)(?:" + "|".join(sorted(TITLES | GIVEN_NAMES)) + r")\.?\x20", re.IGNORECASE
+    r"(?<!\w)(?:"
+    + "|".join(f"{name[0].upper()}(?i:{name[1:]})" for name in sorted(TITLES | GIVEN_NAMES))
+    + r")\.?\x20"
 )
+DIGIT = re.compile("[0-9]")
 WORD = re.compile(r"[\w-]+")
 
 
@@ -131,6 +138,20 @@ def pieces(text: str) -> Iterator[tuple[str, int, int, int, int, int]]:
             ending = text[a:b].rpartition(".")[2].lower()
             shape = 1 if ending.isalpha() and not text[a:b].startswith((".", "-")) else -1
             yield "email", a, b, 1, shape, 1 if ending in MAIL_ENDINGS else -1
+    if DIGIT.search(text):
+        yield from numbers(text)
+    for hint in TITLE_OR_NAME.finditer(text):
+        match = NAME.match(text, hint.start())
+        if match:
+            words = match[0].replace(".", "").split()
+            capital = all(w[0].isupper() for w in words)
+            known = any(w.lower() in GIVEN_NAMES for w in words)
+            titled = words[0].lower() in TITLES
+            yield "name", *match.span(), 1 if capital else -1, 1 if titled else 0, 1 if known else -1
+
+
+def numbers(text: str) -> Iterator[tuple[str, int, int, int, int, int]]:
+    """The candidates of ``pieces`` that hold digits."""
     for match in IP.finditer(text):
         parts = match.groups()
         inside = all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
@@ -162,22 +183,14 @@ def pieces(text: str) -> Iterator[tuple[str, int, int, int, int, int]]:
         own = match[0].replace(" ", "")
         moved = "".join(str(int(c, 36)) for c in own[4:] + own[:4])
         known = 1 if own[:2] in IBAN_COUNTRIES else -1
-        yield "iban", *match.span(), 1 if 15 <= len(own) <= 34 else -1, 1 if int(moved) % 97 == 1 else -1, known
+        right = 1 if int(moved) % 97 == 1 else -1
+        yield "iban", *match.span(), 1 if 15 <= len(own) <= 34 else -1, right, known
     for match in LOCAL_PHONE.finditer(text):
         place = bisect(international, (match.start(), len(text))) - 1
         if place >= 0 and international[place][1] > match.start():
             continue  # part of a number with a dialling code
         area = digits_of(match[0])[:3]
         yield "local_phone", *match.span(), 1, 1 if area[0] not in "01" else -1, 0
-    if TITLE_OR_NAME.search(text):
-        for hint in TITLE_OR_NAME.finditer(text):
-            match = NAME.match(text, hint.start())
-            if match and text[hint.start()].isupper():
-                words = match[0].replace(".", "").split()
-                capital = all(w[0].isupper() for w in words)
-                known = any(w.lower() in GIVEN_NAMES for w in words)
-                titled = words[0].lower() in TITLES
-                yield "name", *match.span(), 1 if capital else -1, 1 if titled else 0, 1 if known else -1
 
 
 def is_base(kind: str, votes: tuple[int, ...]) -> bool:
@@ -297,7 +310,8 @@ def vote_patterns(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
     """The model of all candidates in ``docs``; without candidates, weights are zero."""
-    rows = sorted((r.kind, tuple(r.votes), r.length, r.n) for r in vote_patterns(docs, text_col).collect())
+    counted = vote_patterns(docs, text_col).collect()
+    rows = sorted((r.kind, tuple(r.votes), r.length, r.n) for r in counted)
     width = len(features(KINDS[0], (0,) * len(LABELERS), 0))
     if not rows:
         return Model((0.0,) * width, ())

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Spark hands a Python worker batches of so many bytes, a row at least. By rows alone, as
 #: it would by itself, ten thousand long texts would have to fit into memory together.
 BATCH_BYTES = 8 << 20
@@ -47,7 +47,7 @@ def bounded(spark: SparkSession) -> None:
 
 
 def strings(column: pa.Array) -> list[str]:
-    """Texts of a column; null reads as empty, bytes that are not UTF-8 as replacement characters."""
+    """Texts of a column; null reads as empty, bytes that are not UTF-8 are replaced."""
     try:
         return [x or "" for x in column.to_pylist()]
     except UnicodeDecodeError:

@@ -192,7 +192,7 @@ def blocks(
             + [("doc_ids", pa.list_(pa.int64())), ("doc_starts", pa.list_(pa.int64()))]
         )
         for batch in batches:
-            for part in slices(batch, 1, min(2 * SLICE_BYTES, 4 * block_ids)):
+            for part in slices(batch, 1, min(4 * SLICE_BYTES, 4 * block_ids)):
                 flat, sizes = own.encode(strings(part.column(1)), pattern)
                 flat = np.insert(flat, np.cumsum(sizes), np.uint32(end_id))
                 ids.append(flat)
