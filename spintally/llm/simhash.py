@@ -4,8 +4,8 @@ A fingerprint is cut into ``max_bits + 1`` segments on a ring. If two fingerprin
 differ in at most ``max_bits`` bits, some segment starts a chain in which the first
 1, 2, ... segments together differ by no more than their share of the allowed bits,
 rounded down: none in the first segment, at most one in the first two, and so on.
-The first two conditions make a join key, the longer chains prune what the key
-brings together, and the full Hamming distance decides.
+The first conditions make a join key, the longer chains prune what the key brings
+together, and the full Hamming distance decides.
 
 Defined results: null and blank texts have fingerprint zero and link like any
 other; repeated rows are rows of their own with the same fingerprint; a component
@@ -14,8 +14,9 @@ made of null ids only has a null id; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,35 +31,46 @@ BITS = 64
 SEED = 42  # the seed of Spark's own xxhash64
 SHINGLE = 4
 MAX_BITS = 4
+#: Shingles of a text that are hashed and counted at a time.
+PIECE = 1 << 16
+#: Segments of a chain that make the join key. Two of five hold 26 of 64 bits and cost 75 rows
+#: for each distinct fingerprint; three hold 39 and cost about 1,370, which pays once buckets
+#: of two grow beyond some dozens, at billions of fingerprints. The links are the same.
+KEY_SEGMENTS = 2
 #: A bucket of more distinct fingerprints than this costs less by shared neighbours than by pairs.
 DENSE_BUCKET = 4096
 
 
-def shingle_hashes(text: str, shingle: int) -> list[int]:
-    """Hash of every run of ``shingle`` words, or of the whole sequence if it is shorter."""
+def shingle_hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of all runs of ``shingle`` words, or of the whole sequence if it is shorter.
+
+    They come in pieces of bounded size.
+    """
     words = text.encode().lower().split()
     if not words:
-        return []
+        return
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return [xxhash.xxh64_intdigest(joined, SEED)]
+        yield np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+        return
     sizes = np.fromiter(map(len, words), np.int64, len(words))
+    del words
     ends = np.cumsum(sizes + 1) - 1
-    starts = (ends - sizes)[: len(words) - shingle + 1].tolist()
+    starts, ends = (ends - sizes)[: len(sizes) - shingle + 1], ends[shingle - 1 :]
     digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())]
+    for first in range(0, len(starts), PIECE):
+        bounds = zip(starts[first : first + PIECE].tolist(), ends[first : first + PIECE].tolist())
+        yield np.array([digest(joined[a:b], SEED) for a, b in bounds], np.uint64)
 
 
-def fingerprint(hashes: list[int]) -> int:
+def fingerprint(hashes: Iterable[np.ndarray]) -> int:
     """Bits set in more than half of the hashes, as an unsigned number; zero for none."""
-    if not hashes:
-        return 0
-    rows = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
-    counts = np.zeros(BITS, np.int64)
-    for begin in range(0, len(rows), 1 << 16):
-        part = np.unpackbits(rows[begin : begin + (1 << 16)], axis=1, bitorder="little")
-        counts += part.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(rows), bitorder="little").view("<u8")[0])
+    counts, total = np.zeros(BITS, np.int64), 0
+    for piece in hashes:
+        rows = piece.astype("<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += len(piece)
+    return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(
@@ -102,29 +114,51 @@ def segment(fp: Column, offset: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, offset).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def ring_keys(fps: DataFrame, max_bits: int, variants: bool) -> DataFrame:
-    """``(start, key, fp)``: a segment and the next one, which varies by a bit if asked for."""
+def chain_flips(start: int, max_bits: int, key_segments: int) -> list[int]:
+    """All ways to flip bits of a key of ``key_segments`` segments within the chain's shares.
+
+    The key's highest bits are the chain's first segment.
+    """
+    ring = segments(max_bits)
+    widths = [ring[(start + i) % len(ring)][1] for i in range(key_segments)]
+    ways = [(0, 0)]  # flips so far and their number
+    for place, width in enumerate(widths):
+        allowed, grown = (place + 1) * max_bits // len(ring), []
+        for flips, used in ways:
+            for more in range(allowed - used + 1):
+                for bits in combinations(range(width), more):
+                    grown.append((flips << width | sum(1 << bit for bit in bits), used + more))
+        ways = grown
+    return [flips for flips, _ in ways]
+
+
+def ring_keys(fps: DataFrame, max_bits: int, key_segments: int, variants: bool) -> DataFrame:
+    """``(start, key, fp)``: a chain of segments from every start, with its flips if asked for."""
     ring = segments(max_bits)
     keys = []
-    for start, (offset, width) in enumerate(ring):
-        then, after = ring[(start + 1) % len(ring)]
-        first = F.shiftleft(segment(F.col("fp"), offset, width), after)
-        second = segment(F.col("fp"), then, after)
-        flips = [0, *(1 << bit for bit in range(after))] if variants else [0]
-        keys += [
-            F.struct(
-                F.lit(start).alias("start"),
-                first.bitwiseOR(second.bitwiseXOR(F.lit(flip))).alias("key"),
-            )
-            for flip in flips
-        ]
-    return fps.select("fp", F.inline(F.array(*keys)))
-
-
-def sparse_links(fps: DataFrame, max_bits: int, dense: DataFrame | None) -> DataFrame:
+    for start in range(len(ring)):
+        key = F.lit(0).cast("long")
+        for place in range(key_segments):
+            offset, width = ring[(start + place) % len(ring)]
+            key = F.shiftleft(key, width).bitwiseOR(segment(F.col("fp"), offset, width))
+        keys.append(F.struct(F.lit(start).alias("start"), key.alias("key")))
+    made = fps.select("fp", F.inline(F.array(*keys)))
+    if not variants:
+        return made
+    flips = [
+        F.array(*[F.lit(f).cast("long") for f in chain_flips(start, max_bits, key_segments)])
+        for start in range(len(ring))
+    ]
+    made = made.select("fp", "start", "key", F.explode(F.get(F.array(*flips), "start")).alias("flip"))
+    return made.select("fp", "start", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
+
+
+def sparse_links(
+    fps: DataFrame, max_bits: int, key_segments: int, dense: DataFrame | None
+) -> DataFrame:
     """Links found through the buckets of the ring keys, each once, as ``(a, b)``."""
-    index = ring_keys(fps, max_bits, variants=False).withColumnRenamed("fp", "b")
-    probe = ring_keys(fps, max_bits, variants=True).withColumnRenamed("fp", "a")
+    index = ring_keys(fps, max_bits, key_segments, variants=False).withColumnRenamed("fp", "b")
+    probe = ring_keys(fps, max_bits, key_segments, variants=True).withColumnRenamed("fp", "a")
     if dense is not None:
         index = index.join(dense, ["start", "key"], "left_anti")
     difference = F.col("p.a").bitwiseXOR(F.col("i.b"))
@@ -184,7 +218,10 @@ def neighbour_links(fps: DataFrame, max_bits: int) -> DataFrame:
 
 
 def links(
-    fps: DataFrame, max_bits: int = MAX_BITS, dense_bucket: int = DENSE_BUCKET
+    fps: DataFrame,
+    max_bits: int = MAX_BITS,
+    dense_bucket: int = DENSE_BUCKET,
+    key_segments: int = KEY_SEGMENTS,
 ) -> DataFrame:
     """Edges ``(a, b)`` between distinct ``fp`` values with the components of all links.
 
@@ -196,14 +233,14 @@ def links(
     fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     if max_bits == 0:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    sizes = ring_keys(fps, max_bits, variants=False).groupBy("start", "key").count()
+    sizes = ring_keys(fps, max_bits, key_segments, variants=False).groupBy("start", "key").count()
     dense = saved(sizes.filter(F.col("count") > dense_bucket).select("start", "key"))
     if dense.limit(1).count() == 0:
-        return sparse_links(fps, max_bits, None)
-    # a link into a dense bucket may come from a fingerprint one bit off it
-    near = ring_keys(fps, max_bits, variants=True).join(dense, ["start", "key"], "left_semi")
+        return sparse_links(fps, max_bits, key_segments, None)
+    # a link into a dense bucket may come from a fingerprint some flips off it
+    near = ring_keys(fps, max_bits, key_segments, variants=True).join(dense, ["start", "key"], "left_semi")
     inside = saved(near.select("fp").distinct())
-    return sparse_links(fps, max_bits, dense).union(neighbour_links(inside, max_bits))
+    return sparse_links(fps, max_bits, key_segments, dense).union(neighbour_links(inside, max_bits))
 
 
 def near_duplicates(
@@ -213,6 +250,7 @@ def near_duplicates(
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
     dense_bucket: int = DENSE_BUCKET,
+    key_segments: int = KEY_SEGMENTS,
     keep: Iterable[str] = (),
 ) -> DataFrame:
     """One row per input row: ``id_col``, ``keep``, ``fp``, ``root``, ``component_id``.
@@ -225,7 +263,7 @@ def near_duplicates(
     columns = list(dict.fromkeys([id_col, *keep]))
     marked = saved(fingerprints(docs, text_col, columns, shingle))
     classes = saved(marked.groupBy("fp").agg(F.min(f"`{id_col}`").alias("first_id")))
-    edges = saved(links(classes.select("fp"), max_bits, dense_bucket))
+    edges = saved(links(classes.select("fp"), max_bits, dense_bucket, key_segments))
     roots = components(edges)
     placed = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")

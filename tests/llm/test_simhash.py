@@ -75,8 +75,25 @@ def test_components_as_brute_force(spark, max_bits, dense):
     assert sorted(as_rows, key=str) == sorted(zip([d for d, *_ in data], fps, expected), key=str)
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    text = prose(9, 1000)
+    monkeypatch.setattr(simhash, "PIECE", 64)
+    assert simhash.fingerprint(simhash.shingle_hashes(text, 4)) == plain_fingerprint(text)
+
+
+def test_flips_are_those_within_the_shares():
+    assert len(simhash.chain_flips(0, 4, 2)) == 1 + 13
+    for start in range(5):
+        widths = [simhash.segments(4)[(start + i) % 5][1] for i in range(3)]
+        a, b = widths[1], widths[2]
+        expected = 1 + a + b + a * b + b * (b - 1) // 2
+        flips = simhash.chain_flips(start, 4, 3)
+        assert len(flips) == len(set(flips)) == expected
+
+
+@pytest.mark.parametrize("key_segments", [2, 3])
 @pytest.mark.parametrize("dense", [simhash.DENSE_BUCKET, 2])
-def test_links_lose_nothing(spark, dense):
+def test_links_lose_nothing(spark, dense, key_segments):
     rng = random.Random(8)
     values = {rng.getrandbits(64) for _ in range(40)}
     for value in list(values):
@@ -85,7 +102,7 @@ def test_links_lose_nothing(spark, dense):
             values.add(value ^ sum(1 << b for b in flips))
     values = [simhash.signed(v) for v in values]
     linked = {(a, b) for a in values for b in values if a < b and ((a ^ b) % (1 << 64)).bit_count() <= 4}
-    found = [tuple(r) for r in simhash.links(frame(spark, values), 4, dense).collect()]
+    found = [tuple(r) for r in simhash.links(frame(spark, values), 4, dense, key_segments).collect()]
     if dense == simhash.DENSE_BUCKET:
         assert sorted(found) == sorted(linked)
     assert all((min(p), max(p)) in linked for p in found)
