@@ -12,8 +12,9 @@ is encoded by itself, so repeated rows and ids, ties and extra columns change no
 from __future__ import annotations
 
 import base64
+from array import array
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -27,6 +28,8 @@ from spintally.llm.rows import map_column, map_texts
 #: Pre-tokens that a worker remembers before it starts anew.
 MEMO_PIECES = 250_000
 EMPTY_SLOT = -1
+#: From this many bytes on, links are kept in arrays, which are small but slower.
+LONG_PIECE = 1 << 12
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -139,14 +142,21 @@ class Vocabulary:
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token by merging neighbours, lowest rank first."""
         rank, size = self.ranks.get, len(piece)
-        after = list(range(1, size + 1))  # start of the next part; 0 once merged away
-        before = list(range(-1, size - 1))
+        linked = list if size < LONG_PIECE else partial(array, "q")
+        after = linked(range(1, size + 1))  # start of the next part; 0 once merged away
+        before = linked(range(-1, size - 1))
+        # A candidate is one number, ordered by rank and then by place: rank, left part, end.
+        bits = size.bit_length()
+        high, mask = 2 * bits, (1 << bits) - 1
         heap = [
-            (found, i, i + 2) for i in range(size - 1) if (found := rank(piece[i : i + 2])) is not None
+            found << high | i << bits | i + 2
+            for i in range(size - 1)
+            if (found := rank(piece[i : i + 2])) is not None
         ]
         heapify(heap)
         while heap:
-            _, left, end = heappop(heap)
+            candidate = heappop(heap)
+            left, end = candidate >> bits & mask, candidate & mask
             right = after[left]
             if not right or right >= size or after[right] != end:
                 continue  # one of the two has since been merged with another part
@@ -154,9 +164,9 @@ class Vocabulary:
             if end < size:
                 before[end] = left
                 if (found := rank(piece[left : after[end]])) is not None:
-                    heappush(heap, (found, left, after[end]))
+                    heappush(heap, found << high | left << bits | after[end])
             if (first := before[left]) >= 0 and (found := rank(piece[first:end])) is not None:
-                heappush(heap, (found, first, end))
+                heappush(heap, found << high | first << bits | end)
         ids, at = [], 0
         while at < size:
             ids.append(self.ranks[piece[at : after[at]]])
