@@ -19,6 +19,9 @@ import tiktoken
 
 from spintally.llm import ragged
 
+#: How the patterns of byte-level vocabularies begin, and the same with the frequent case first.
+ENDINGS_FIRST = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+|"
+WORDS_FIRST = r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)|"
 CLASSES = (r"\p{L}", r"\p{N}")
 #: No character below this one differs between the Unicode versions.
 SETTLED = 0x0530
@@ -50,6 +53,8 @@ def compiled_early(pattern: str) -> re.Pattern | None:
     inside = {
         name: ranges([ord(c) for c in early if regex.match(name, c)]) for name in (*CLASSES, r"\s")
     }
+    if pattern.startswith(ENDINGS_FIRST):  # no piece can begin both ways, and words are far more
+        pattern = WORDS_FIRST + pattern[len(ENDINGS_FIRST) :]
     out, at, in_set = [], 0, False
     while at < len(pattern):
         name = next((n for n in (*inside, r"\S") if pattern.startswith(n, at)), None)
