@@ -64,6 +64,22 @@ TEMPLATES = {
     "all-rights-reserved": "[[copyright [[(c)]] [[{{*8}}]]]] all rights reserved",
 }
 
+_UNDER = "{{licensed|released|distributed|available|provided|published}} under [[a|an|the]] [[terms of the]]"
+_CLAUSES = "[[{{2|3|4|two|three|four}} clause]]"
+_KINDS = "[[new|modified|revised|simplified|original]]"
+#: Short notices, by the name of a license instead of its wording; a label may stand twice.
+NOTICES = tuple(
+    (label, f"{_UNDER} {template} {word}{then}")
+    for word in ("license", "licence")
+    for label, template, then in (
+        ("mit", "mit", ""),
+        ("bsd", f"{_CLAUSES} {_KINDS} bsd {_CLAUSES}", ""),
+        ("isc", "isc", ""),
+        ("mpl", "mozilla public", ""),
+        ("mpl-2.0", "mozilla public", " [[,]] {{2.0|v2.0|v. 2.0|version 2.0}}"),
+    )
+)
+
 #: Every byte that is no digit, letter or part of a wider character parts words.
 _WORDS = bytes(
     byte + 32 if 0x41 <= byte <= 0x5A
@@ -262,8 +278,9 @@ def find_licenses(
     """``keep`` columns, word and phrase counts, labels and accepted runs, one row per input row.
 
     ``score`` is 1 where a template accepts, 0.5 where only a phrase stands, else 0.
+    Without ``templates`` both the wordings and the short notices are searched.
     """
-    own = tuple((TEMPLATES if templates is None else templates).items())
+    own = (*TEMPLATES.items(), *NOTICES) if templates is None else tuple(templates.items())
 
     def compute(texts):
         made = [scan(text, compiled(own)) for text in texts]

@@ -112,8 +112,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places of the base phrases and all labels of every document."""
-    found = licenses.find_licenses(documents(spark, sf_dir))
+    """Places of the base phrases and all labels of every document, by the templates of the SQL."""
+    found = licenses.find_licenses(documents(spark, sf_dir), templates=licenses.TEMPLATES)
     return found.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.concat_ws(",", "base_labels").alias("base_labels"),

@@ -69,6 +69,37 @@ def test_templates_on_real_wordings(spark):
     assert labels[6] == []
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("Licensed under the Apache License, Version 2.0.", ["apache-2.0"]),
+        ("Released under the MIT License.", ["mit"]),
+        ("This work is licensed under the GNU General Public License, version 3.", ["gpl", "gpl-3.0"]),
+        ("All rights reserved.", ["all-rights-reserved", "reserved"]),
+        ("Licensed under CC BY-NC 4.0.", ["cc-by", "cc-by-nc-4.0"]),
+        ("distributed under the terms of the MIT licence", ["mit"]),
+        ("It is licensed under the BSD license.", ["bsd"]),
+        ("Licensed under a 3-clause BSD License", ["bsd"]),
+        ("released under the BSD 2-Clause License", ["bsd"]),
+        ("Licensed under the ISC license", ["isc"]),
+        ("available under the terms of the Mozilla Public License, v. 2.0", ["mpl", "mpl-2.0"]),
+        ("released under the Mozilla Public License 1.1", ["mpl"]),
+        ("released under the mitigation license; an MIT course; the BSD license", []),
+    ],
+)
+def test_license_lines_of_the_documents_and_short_notices(text, labels):
+    own = licenses.compiled((*licenses.TEMPLATES.items(), *licenses.NOTICES))
+    found = licenses.scan(f"Some words before. {text} Some words after.", own)
+    assert found[5] == labels
+    assert found[7] == (1.0 if labels else 0.0)
+
+
+def test_short_notices_by_default(spark):
+    docs = spark.createDataFrame(rows(["x Released under the MIT License. y", "released under it"]), SCHEMA)
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.find_licenses(docs).collect()}
+    assert found == {0: (["mit"], 1.0), 1: ([], 0.0)}
+
+
 def plain_accepts(parts, words):
     """Whether ``words`` is one of the wordings of a parsed template."""
     if not parts:
