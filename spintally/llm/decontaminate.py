@@ -8,8 +8,15 @@ the item's windows and if each slot value of the item is replaced by one and the
 value throughout: unrelated texts that share a template fill it at random.
 
 Tokens: a number with inner separators; a currency or percent sign, or a unit right
-after a number; a capitalised word inside a sentence (neighbours form one name); any
-other word, lower-cased. Line breaks and ``.!?`` end sentences and are no tokens.
+after a number; a name; any other word, lower-cased. Line breaks and ``.!?`` end
+sentences and are no tokens. Neighbouring capitalised words form one name.
+
+Whether a capitalised word is a name cannot be told from the word, so that every text is
+read in several ways, and a pair counts if it does by one of them. Names are the words of
+one capital and small letters inside a sentence (``INSIDE``); all words with a capital,
+so that a name that starts a sentence or is written McDonald may be replaced too
+(``ANYWHERE``: windows with a plain word only, none of texts shorter than a window); no
+words, so that copies in capitals or small letters meet their original (``NOWHERE``).
 
 Defined results: null, empty and blank texts have no windows and match nothing; a text
 of fewer tokens than a window is one window of its own length; rows with equal id and
@@ -61,7 +68,9 @@ UNITS = {
     "degree", "degrees", "meter", "meters", "metre", "metres", "kilometer", "kilometers", "gram",
     "grams", "kilogram", "kilograms", "mph", "kmh", "hz", "kb", "mb", "gb", "w", "kw", "v", "a",
 }
-PLAIN, NUMBER, SIGN, UNIT, TITLE, BREAK = range(6)
+PLAIN, NUMBER, SIGN, UNIT, TITLE, BREAK, CAPITAL = range(7)
+#: Ways to read a text, by where names stand; windows of different readings never meet.
+INSIDE, ANYWHERE, NOWHERE = READINGS = range(3)
 #: Placeholders by type, as hashed in place of what they stand for.
 PLACEHOLDERS = {NUMBER: "<number>", UNIT: "<unit>", TITLE: "<name>"}
 
@@ -124,19 +133,21 @@ def kind_and_hash(token: str) -> tuple[int, int]:
         kind = UNIT
     elif first.isupper() and len(token) > 1 and token[1:].islower():
         kind = TITLE
+    elif first.isupper():
+        kind = CAPITAL
     else:
         kind = PLAIN
     return kind, xxhash.xxh64_intdigest(lower)
 
 
-PLACEHOLDER_HASH = np.zeros(6, np.uint64)
+PLACEHOLDER_HASH = np.zeros(7, np.uint64)
 for _kind, _name in PLACEHOLDERS.items():
     PLACEHOLDER_HASH[_kind] = xxhash.xxh64_intdigest(_name)
 PLACEHOLDER_HASH[SIGN] = PLACEHOLDER_HASH[UNIT]
 
 
-class Templates:
-    """The template tokens of a slice of texts, one text after the other."""
+class Tokens:
+    """The tokens of a slice of texts, one text after the other."""
 
     def __init__(self, texts: list[str]):
         pieces: list[str] = []
@@ -146,25 +157,42 @@ class Templates:
             found = (early if is_early(text) else other)(text)
             counts[row] = len(found)
             pieces += found
-        distinct, which = ragged.distinct(pieces)
-        kinds, hashes = (column[which] for column in token_table().of(distinct))
-        text = np.repeat(np.arange(len(texts)), counts)
-        before = np.append(np.int8(BREAK), kinds[:-1]) if len(kinds) else kinds
-        before = before.copy()
-        starts = ragged.offsets_of(counts)[:-1][counts > 0]
-        before[starts] = BREAK
+        self.distinct, self.which = ragged.distinct(pieces)
+        self.kinds, self.hashes = (
+            column[self.which] for column in token_table().of(self.distinct)
+        )
+        self.n_texts = len(texts)
+        self.text = np.repeat(np.arange(len(texts)), counts)
+        self.starts = ragged.offsets_of(counts)[:-1][counts > 0]
+        self.before = np.append(np.int8(BREAK), self.kinds[:-1])[: len(self.kinds)]
+        self.before[self.starts] = BREAK
+
+
+class Templates:
+    """The template tokens of a slice of texts by one reading, one text after the other."""
+
+    def __init__(self, tokens: Tokens, reading: int):
+        kinds, before = tokens.kinds, tokens.before
         slot = kinds.copy()
-        slot[(kinds == TITLE) & (before == BREAK)] = PLAIN
+        if reading == INSIDE:
+            slot[(kinds == TITLE) & (before == BREAK)] = PLAIN
+        slot[kinds == CAPITAL] = TITLE if reading == ANYWHERE else PLAIN
+        if reading == NOWHERE:
+            slot[kinds == TITLE] = PLAIN
         slot[(kinds == UNIT) & (before != NUMBER)] = PLAIN
         named = slot == TITLE
-        goes_on = named & np.append(False, named[:-1])
-        goes_on[starts] = False
+        goes_on = named & np.append(False, named[:-1])[: len(named)]
+        goes_on[tokens.starts] = False
         keep = np.flatnonzero((kinds != BREAK) & ~goes_on)
-        self.slot, self.text = slot[keep], text[keep]
-        self.hash = np.where(self.slot == PLAIN, hashes[keep], PLACEHOLDER_HASH[self.slot])
-        self.counts = np.bincount(self.text, minlength=len(texts))
+        self.reading = reading
+        self.slot, self.text = slot[keep], tokens.text[keep]
+        self.hash = np.where(
+            self.slot == PLAIN, tokens.hashes[keep], PLACEHOLDER_HASH[self.slot]
+        )
+        self.counts = np.bincount(self.text, minlength=tokens.n_texts)
         self.bounds = ragged.offsets_of(self.counts)
-        self._distinct, self._which, self._keep, self._goes_on = distinct, which, keep, goes_on
+        self._distinct, self._which = tokens.distinct, tokens.which
+        self._keep, self._goes_on = keep, goes_on
 
     def value(self, place: int) -> str:
         """What stands in a slot, a name with all its words."""
@@ -184,49 +212,97 @@ class Templates:
         starts = ragged.take(np.arange(n), self.bounds[:-1], how_many)
         length = np.repeat(lengths, how_many)
         mix = np.uint64(0x9E3779B97F4A7C15)
-        total = length.astype(np.uint64) * mix
+        total = (length + (self.reading << 32)).astype(np.uint64) * mix
         for step in range(size):
             inside = step < length
             held = self.hash[np.minimum(starts + step, max(n - 1, 0))] if n else self.hash
             moved = (total ^ held) * mix
             total = np.where(inside, moved ^ (moved >> np.uint64(29)), total)
+        if self.reading == ANYWHERE:
+            plain = np.append(0, np.cumsum(self.slot == PLAIN))
+            told = (length == size) & (plain[starts + length] > plain[starts])
+            starts, length, total = starts[told], length[told], total[told]
         return starts, length, total.view(np.int64)
 
 
-WINDOW_FIELDS = "n_windows long, windows array<struct<hash:long,place:int,slots:array<string>>>"
+WINDOW_FIELDS = (
+    "n_all long, windows array<struct<reading:int,n_windows:long,hash:long,place:int,"
+    "slots:array<string>>>"
+)
 WINDOW_TYPE = pa.list_(
-    pa.struct([("hash", pa.int64()), ("place", pa.int32()), ("slots", pa.list_(pa.string()))])
+    pa.struct(
+        [
+            ("reading", pa.int32()),
+            ("n_windows", pa.int64()),
+            ("hash", pa.int64()),
+            ("place", pa.int32()),
+            ("slots", pa.list_(pa.string())),
+        ]
+    )
 )
 
 
+class Wanted:
+    """Hashes to keep: a table of their upper bits drops most others before the search."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+        self.table = np.zeros(1 << 20, bool)
+        self.table[self.upper(self.hashes)] = True
+
+    @staticmethod
+    def upper(hashes: np.ndarray) -> np.ndarray:
+        return (hashes.view(np.uint64) >> np.uint64(44)).view(np.int64)
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        """Where in ``hashes`` a wanted one stands."""
+        if not len(self.hashes):
+            return np.zeros(0, np.int64)
+        near = np.flatnonzero(self.table[self.upper(hashes)])
+        found = np.minimum(np.searchsorted(self.hashes, hashes[near]), len(self.hashes) - 1)
+        return near[self.hashes[found] == hashes[near]]
+
+
+@lru_cache(maxsize=1)
+def _wanted(held: bytes) -> Wanted:
+    return Wanted(np.frombuffer(held, np.int64))
+
+
 def windows_of(texts: list[str], size: int, wanted: np.ndarray | None) -> list[pa.Array]:
-    """Number of windows of each text, and those whose hash is among ``wanted`` (sorted)."""
-    templates = Templates(texts)
-    starts, lengths, hashes = templates.windows(size)
-    owner = templates.text[starts] if len(starts) else starts
-    totals = np.bincount(owner, minlength=len(texts))
-    picked = np.arange(len(starts))
-    if wanted is not None:
-        near = np.searchsorted(wanted, hashes)
-        hit = np.zeros(len(hashes), bool)
-        inside = near < len(wanted)
-        hit[inside] = wanted[near[inside]] == hashes[inside]
-        picked = picked[hit]
+    """Number of windows of each text by all readings, and those whose hash is in ``wanted``."""
+    tokens = Tokens(texts)
+    asked = None if wanted is None else _wanted(wanted.tobytes())
+    totals = np.zeros(len(texts), np.int64)
     out: list[list[dict]] = [[] for _ in texts]
     seen: set[tuple] = set()
-    for at in picked.tolist():
-        begin, row = int(starts[at]), int(owner[at])
-        slots = [
-            templates.value(place)
-            for place in range(begin, begin + int(lengths[at]))
-            if templates.slot[place] != PLAIN
-        ]
-        key = (row, int(hashes[at]), tuple(slots))
-        if wanted is not None and key in seen:
-            continue  # a document that repeats a filled window says nothing new by it
-        seen.add(key)
-        place = begin - int(templates.bounds[row])
-        out[row].append({"hash": key[1], "place": place, "slots": slots})
+    for reading in READINGS:
+        templates = Templates(tokens, reading)
+        starts, lengths, hashes = templates.windows(size)
+        owner = templates.text[starts] if len(starts) else starts
+        own = np.bincount(owner, minlength=len(texts))
+        totals += own
+        picked = np.arange(len(starts)) if asked is None else asked.among(hashes)
+        for at in picked.tolist():
+            begin, row = int(starts[at]), int(owner[at])
+            slots = [
+                templates.value(place)
+                for place in range(begin, begin + int(lengths[at]))
+                if templates.slot[place] != PLAIN
+            ]
+            key = (row, int(hashes[at]), tuple(slots))
+            if asked is not None and key in seen:
+                continue  # a document that repeats a filled window says nothing new by it
+            seen.add(key)
+            place = begin - int(templates.bounds[row])
+            out[row].append(
+                {
+                    "reading": reading,
+                    "n_windows": int(own[row]),
+                    "hash": key[1],
+                    "place": place,
+                    "slots": slots,
+                }
+            )
     return [pa.array(totals, pa.int64()), pa.array(out, WINDOW_TYPE)]
 
 
@@ -237,12 +313,12 @@ def template_windows(
     size: int = WINDOW,
     wanted: np.ndarray | None = None,
 ) -> DataFrame:
-    """``keep``, ``n_windows``, ``hash``, ``place`` and ``slots``, a row per window."""
+    """``keep``, ``reading``, ``n_windows``, ``hash``, ``place``, ``slots``: a row per window."""
     held = table.sparkSession.sparkContext.broadcast(wanted)
     made = map_texts(
         table, lambda texts: windows_of(texts, size, held.value), WINDOW_FIELDS, text_col, keep
     )
-    return made.select(*[f"`{c}`" for c in keep], "n_windows", F.inline("windows"))
+    return made.select(*[f"`{c}`" for c in keep], F.inline("windows"))
 
 
 def contamination(
@@ -261,7 +337,8 @@ def contamination(
 
     Columns: ``doc_id``, ``text_hash`` (of the document's text), ``item_id``,
     ``n_windows`` (of the item), ``n_matched``, ``coverage``, ``slot_consistency``
-    (1 without slots) and ``contaminated``.
+    (1 without slots), all of the first reading that has a window in common, and
+    ``contaminated``, which is true if it is by any reading.
     """
     items = benchmark.select(
         F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").alias("item_text")
@@ -278,12 +355,12 @@ def contamination(
     )
     found = template_windows(own, "doc_text", ["doc_id", "text_hash"], size, wanted)
     found = found.select("doc_id", "text_hash", "hash", F.col("slots").alias("doc_slots"))
-    hits = saved(
+    hits = saved(  # a hash belongs to one reading
         found.join(items, "hash").select(
-            "doc_id", "text_hash", "item_id", "n_windows", "place", "slots", "doc_slots"
+            "doc_id", "text_hash", "item_id", "reading", "n_windows", "place", "slots", "doc_slots"
         )
     )
-    pair = ["doc_id", "text_hash", "item_id"]
+    pair = ["doc_id", "text_hash", "item_id", "reading"]
     matched = (
         hits.select(*pair, "n_windows", "place")
         .distinct()
@@ -320,10 +397,16 @@ def contamination(
         (F.col("n_matched") / F.col("n_windows")).alias("coverage"),
         F.coalesce("held", F.lit(1.0)).alias("slot_consistency"),
     )
-    return out.withColumn(
+    out = out.withColumn(
         "contaminated",
         (F.col("coverage") >= min_coverage) & (F.col("slot_consistency") >= min_consistency),
     )
+    figures = ["n_windows", "n_matched", "coverage", "slot_consistency"]
+    out = out.groupBy(*pair[:-1]).agg(
+        F.min_by(F.struct(*figures), "reading").alias("first"),
+        F.max("contaminated").alias("contaminated"),
+    )
+    return out.select(*pair[:-1], "first.*", "contaminated")
 
 
 def decontaminated(

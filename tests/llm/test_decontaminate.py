@@ -133,6 +133,33 @@ def test_inconsistent_slots_do_not_count(spark):
     assert found[1].coverage == 1.0 and found[1].slot_consistency < 0.5
 
 
+def hits(spark, items, texts, **options):
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = dec.contamination(spark.createDataFrame(rows(texts), SCHEMA), table, **options)
+    return {(r.doc_id, r.item_id) for r in found.filter("contaminated").collect()}
+
+
+def test_names_at_sentence_starts_and_of_other_forms(spark):
+    items = [
+        "Tom has 3 apples. Mary has 5 apples. How many do they have together?",
+        "One day McDonald sells 12 pears to Ann for 3 dollars. Then McDonald eats 2 of them. How many pears are left?",
+        "Paris",
+        "Two words",
+    ]
+    texts = [
+        "x y. Tom has 4 apples. Lucy has 6 apples. How many do they have together? z",
+        "x y. Ben has 4 apples. Lucy Lee has 6 apples. How many do they have together? z",
+        "One day Baker sells 15 pears to Sue for 4 dollars. Then Baker eats 3 of them. How many pears are left?",
+        items[1].upper(),
+        items[1].lower(),
+        "Hello",  # one capitalised word is no copy of another
+        "Green words",
+        "Tom has 4 friends. Mary has 6 cats. How old is the dog?",
+    ]
+    for sent in (dec.SENT_WINDOWS, 3):
+        assert hits(spark, items, texts, sent_windows=sent) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 1)}
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
