@@ -4,8 +4,10 @@ Texts become templates: numbers, names and units turn into typed placeholders, a
 what stood there is kept as the slot's value. Windows of ``WINDOW`` template tokens
 are hashed and joined between documents and benchmark items, so that a question with
 other numbers or names meets its original. A pair counts if the document has most of
-the item's windows and if each slot value of the item is replaced by one and the same
-value throughout: unrelated texts that share a template fill it at random.
+the item's windows, or if the windows it has hold most of the item's tokens (one changed
+word costs up to five windows, but one token), and if each slot value of the item is
+replaced by one and the same value throughout: unrelated texts that share a template fill
+it at random.
 
 Tokens: a number with inner separators; a currency or percent sign, or a unit right
 after a number; a name; any other word, lower-cased. Line breaks and ``.!?`` end
@@ -45,6 +47,13 @@ from spintally.llm.tables import saved
 WINDOW = 5
 #: Least share of an item's windows that a document must have.
 MIN_COVERAGE = 0.8
+#: Or else: least share of an item's tokens that lie in such windows, and their least number.
+MIN_COVERED = 0.6
+MIN_COVERED_TOKENS = 8
+#: Windows of mostly placeholders meet by chance; for that share a window counts if it has so
+#: few slots, or if it stands among so many consecutive windows that match.
+FEW_SLOTS = 1
+LONG_RUN = 4
 #: Least share of an item's matched slots whose values are replaced alike throughout.
 MIN_CONSISTENCY = 0.8
 #: Up to this many distinct benchmark windows (8 bytes each) are sent to the tasks, which
@@ -226,14 +235,15 @@ class Templates:
 
 
 WINDOW_FIELDS = (
-    "n_all long, windows array<struct<reading:int,n_windows:long,hash:long,place:int,"
-    "slots:array<string>>>"
+    "n_all long, windows array<struct<reading:int,n_windows:long,n_tokens:long,hash:long,"
+    "place:int,slots:array<string>>>"
 )
 WINDOW_TYPE = pa.list_(
     pa.struct(
         [
             ("reading", pa.int32()),
             ("n_windows", pa.int64()),
+            ("n_tokens", pa.int64()),
             ("hash", pa.int64()),
             ("place", pa.int32()),
             ("slots", pa.list_(pa.string())),
@@ -298,6 +308,7 @@ def windows_of(texts: list[str], size: int, wanted: np.ndarray | None) -> list[p
                 {
                     "reading": reading,
                     "n_windows": int(own[row]),
+                    "n_tokens": int(templates.counts[row]),
                     "hash": key[1],
                     "place": place,
                     "slots": slots,
@@ -313,7 +324,7 @@ def template_windows(
     size: int = WINDOW,
     wanted: np.ndarray | None = None,
 ) -> DataFrame:
-    """``keep``, ``reading``, ``n_windows``, ``hash``, ``place``, ``slots``: a row per window."""
+    """``keep`` and the fields of a window: a row per window and reading."""
     held = table.sparkSession.sparkContext.broadcast(wanted)
     made = map_texts(
         table, lambda texts: windows_of(texts, size, held.value), WINDOW_FIELDS, text_col, keep
@@ -332,12 +343,15 @@ def contamination(
     min_coverage: float = MIN_COVERAGE,
     min_consistency: float = MIN_CONSISTENCY,
     sent_windows: int = SENT_WINDOWS,
+    min_covered: float = MIN_COVERED,
+    min_covered_tokens: int = MIN_COVERED_TOKENS,
 ) -> DataFrame:
     """A row per document and item that share a template window.
 
     Columns: ``doc_id``, ``text_hash`` (of the document's text), ``item_id``,
     ``n_windows`` (of the item), ``n_matched``, ``coverage``, ``slot_consistency``
-    (1 without slots), all of the first reading that has a window in common, and
+    (1 without slots), all of the first reading that has a window in common, ``covered``
+    (the largest share of the item's tokens in matched windows by any reading), and
     ``contaminated``, which is true if it is by any reading.
     """
     items = benchmark.select(
@@ -357,15 +371,44 @@ def contamination(
     found = found.select("doc_id", "text_hash", "hash", F.col("slots").alias("doc_slots"))
     hits = saved(  # a hash belongs to one reading
         found.join(items, "hash").select(
-            "doc_id", "text_hash", "item_id", "reading", "n_windows", "place", "slots", "doc_slots"
+            "doc_id", "text_hash", "item_id", "reading", "n_windows", "n_tokens", "place",
+            "slots", "doc_slots",
         )
     )
     pair = ["doc_id", "text_hash", "item_id", "reading"]
+    # arrays of one item's windows, so no longer than the item
+    in_run = [
+        lambda i, back=back: (
+            F.get("places", i - back + (LONG_RUN - 1))["place"] - F.get("places", i - back)["place"]
+            == LONG_RUN - 1
+        )
+        for back in range(LONG_RUN)
+    ]
+    told = F.filter(
+        "places",
+        lambda w, i: F.greatest(
+            w["n_slots"] <= FEW_SLOTS, *[F.coalesce(run(i), F.lit(False)) for run in in_run]
+        ),
+    )
+    overlaps = F.zip_with(
+        "told",
+        F.slice("told", F.lit(2), F.size("told")),
+        lambda w, then: F.greatest(w["place"] + F.lit(size) - then["place"], F.lit(0)),
+    )
+    lost = F.aggregate(overlaps, F.lit(0), lambda n, x: n + F.coalesce(x, F.lit(0)))
     matched = (
-        hits.select(*pair, "n_windows", "place")
-        .distinct()
-        .groupBy(*pair)
-        .agg(F.max("n_windows").alias("n_windows"), F.count("*").alias("n_matched"))
+        hits.groupBy(*pair)
+        .agg(
+            F.max("n_windows").alias("n_windows"),
+            F.max("n_tokens").alias("n_tokens"),
+            F.size(F.collect_set("place")).cast("long").alias("n_matched"),
+            F.sort_array(
+                F.collect_set(F.struct("place", F.size("slots").alias("n_slots")))
+            ).alias("places"),
+        )
+        .withColumn("told", told)
+        .withColumn("n_covered", F.least("n_tokens", F.size("told") * F.lit(size) - lost))
+        .drop("places", "told")
     )
     filled = hits.select(
         *pair, "place", F.posexplode(F.arrays_zip("slots", "doc_slots")).alias("slot", "value")
@@ -395,18 +438,23 @@ def contamination(
         "n_windows",
         "n_matched",
         (F.col("n_matched") / F.col("n_windows")).alias("coverage"),
+        "n_covered",
+        (F.col("n_covered") / F.col("n_tokens")).alias("covered"),
         F.coalesce("held", F.lit(1.0)).alias("slot_consistency"),
     )
+    most = (F.col("covered") >= min_covered) & (F.col("n_covered") >= min_covered_tokens)
     out = out.withColumn(
         "contaminated",
-        (F.col("coverage") >= min_coverage) & (F.col("slot_consistency") >= min_consistency),
+        ((F.col("coverage") >= min_coverage) | most)
+        & (F.col("slot_consistency") >= min_consistency),
     )
     figures = ["n_windows", "n_matched", "coverage", "slot_consistency"]
     out = out.groupBy(*pair[:-1]).agg(
         F.min_by(F.struct(*figures), "reading").alias("first"),
+        F.max("covered").alias("covered"),
         F.max("contaminated").alias("contaminated"),
     )
-    return out.select(*pair[:-1], "first.*", "contaminated")
+    return out.select(*pair[:-1], "first.*", "covered", "contaminated")
 
 
 def decontaminated(

@@ -66,8 +66,9 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), table(spark, sf_dir, "benchmark")
     )
     return found.filter("contaminated").select(
-        "doc_id", "item_id", "n_windows", "n_matched", "coverage", "slot_consistency"
-    )
+        "doc_id", "item_id", "n_windows", "n_matched", "coverage", "slot_consistency",
+        "covered",
+    )
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,6 +160,45 @@ def test_names_at_sentence_starts_and_of_other_forms(spark):
         assert hits(spark, items, texts, sent_windows=sent) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 1)}
 
 
+def plain_covered(item, doc, size=5):
+    """Share of the item's words in windows that the document has, for plain words only."""
+    a, b = item.lower().split(), doc.lower().split()
+    have = {tuple(b[i : i + size]) for i in range(len(b) - size + 1)}
+    held = {i + k for i in range(len(a) - size + 1) if tuple(a[i : i + size]) in have for k in range(size)}
+    return len(held) / len(a)
+
+
+def test_edited_words_and_parts_of_items_as_brute_force(spark):
+    rng = random.Random(7)
+    words = ["b" + "".join(rng.choice("aeioudfk") for _ in range(7)) for _ in range(4000)]
+    items = [" ".join(rng.choice(words) for _ in range(n)) for n in (8, 12, 15, 28, 40, 120)]
+    texts = []
+    for item in items:
+        words = item.split()
+        n = len(words)
+        for at in rng.sample(range(n), min(n, 8)):
+            texts.append(" ".join([*words[:at], "changed", *words[at + 1 :]]))
+            texts.append(" ".join(words[:at] + words[at + 1 :]))
+            texts.append(" ".join([*words[:at], "added", *words[at:]]))
+        texts += [" ".join(words[: n * k // 12]) + " and so on" for k in (2, 5, 6, 7, 8, 9)]
+        texts.append(" ".join("other" if i in (n // 3, 2 * n // 3) else w for i, w in enumerate(words)))
+    texts += [prose(77, 300), prose(78, 300)]
+    expected = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            share = plain_covered(item, text)
+            if share:
+                expected[d, i] = round(share, 9)
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    made = dec.contamination(spark.createDataFrame(rows(texts), SCHEMA), table).collect()
+    assert {(r.doc_id, r.item_id): round(r.covered, 9) for r in made} == expected
+    bad = {(r.doc_id, r.item_id) for r in made if r.contaminated}
+    sizes = [len(item.split()) for item in items]
+    assert bad == {(d, i) for (d, i), c in expected.items() if c >= 0.6 and round(c * sizes[i]) >= 8}
+    two_changed = sum(r.contaminated and r.coverage < 0.8 for r in made)
+    assert two_changed > 30  # not found by the share of windows
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
