@@ -154,11 +154,12 @@ def numbers(text: str) -> Iterator[tuple[str, int, int, int, int, int]]:
     """The candidates of ``pieces`` that hold digits."""
     for match in IP.finditer(text):
         parts = match.groups()
-        inside = all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+        short = [p.lstrip("0") or "0" for p in parts]  # int() refuses thousands of zeros
+        inside = all(len(p) <= 3 and int(p) <= 255 for p in short)
         plain = all(p == "0" or p[0] != "0" for p in parts)
         place = 0
         if inside:
-            place = -1 if int(parts[0]) in (0, 255) else 1
+            place = -1 if int(short[0]) in (0, 255) else 1
         yield "ip", *match.span(), 1 if inside else -1, 1 if plain else -1, place
     for match in CARD.finditer(text):
         digits = digits_of(match[0])

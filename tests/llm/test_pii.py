@@ -21,6 +21,15 @@ TEXTS = [
 ]
 
 
+def test_ip_parts_of_thousands_of_zeros(spark):
+    zeros = "0" * 5000
+    texts = [f"1.2.3.{zeros}", f"{zeros}.2.3.4", f"{zeros}7.2.3.{zeros}255", f"1.2.3.{zeros}256", "1.2.3.4"]
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    found = {r.doc_id: r.base_spans for r in pii.find_pii(docs, pii.fit(docs)).collect()}
+    got = {d: [tuple(s) for s in spans] for d, spans in found.items()}
+    assert got == {d: [("ip", 0, len(t))] if d != 3 else [] for d, t in enumerate(texts)}
+
+
 def literal(pattern, text, accept):
     return [m.span() for m in re.finditer(pattern, text) if accept(m)]
 
