@@ -72,8 +72,13 @@ MORE_RULES = (
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("pem", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |PGP )?PRIVATE KEY(?: BLOCK)?-----"),
-    Rule("login", r"://[A-Za-z0-9._%+-]{1,64}:[^\s:/@]{3,64}@"),
+    Rule(  # to the END line, over header and base64 lines; the BEGIN line alone without one
+        "pem",
+        r"-----BEGIN ((?:RSA |EC |DSA |OPENSSH |ENCRYPTED |PGP )?PRIVATE KEY(?: BLOCK)?)-----"
+        r"(?:\s*+(?:[A-Za-z][A-Za-z-]*+:(?:[^\r\n-]|-(?!----))*+\s*+)*+"
+        r"[A-Za-z0-9+/=\s\\]*+-----END \1-----)?+",
+    ),
+    Rule("login", r"://[A-Za-z0-9._%+-]++:[^\s:/@]++@"),
 )
 RULES = BASE_RULES + MORE_RULES
 
