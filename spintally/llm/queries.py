@@ -16,9 +16,11 @@ from spintally.llm import (
     licenses,
     pii,
     repetition,
+    runs,
     secrets,
     simhash,
     spans,
+    spelling,
     tokenfile,
     toxicity,
 )
@@ -136,6 +138,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, one tenth of them made periodic from some word on."""
+    docs = documents(spark, sf_dir)
+    found = runs.periodic_runs(
+        docs.withColumn("text", runs.rewritten(F.col("text"), F.col("doc_id")))
+    )
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its more frequent form one edit away, and that form's root."""
+    return spelling.variants(documents(spark, sf_dir), damage=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_file": op2_token_file,
@@ -147,6 +166,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 # Words as the contract writes them; a window is repeated if it stands at two places of a text.
