@@ -22,6 +22,7 @@ from spintally.llm import (
     spans,
     spelling,
     tokenfile,
+    topk,
     toxicity,
 )
 from spintally.session import run_dir
@@ -155,6 +156,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir), damage=True)
 
 
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best scores of every hundredth vector against all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10, scale=1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_file": op2_token_file,
@@ -168,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_top_k": op13_top_k,
 }
 
 # Words as the contract writes them; a window is repeated if it stands at two places of a text.
@@ -287,4 +295,17 @@ ORACLE: dict[str, str] = {
                CASE WHEN len(accepted) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE
                  AS score
         FROM q""",
+    "op13_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+          FROM embeddings
+          WHERE vec_id IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+          FROM v AS q JOIN v AS c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+        r AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT
+            AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spintally.session import shared_dir
@@ -14,6 +14,27 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def numbered(df: DataFrame, *order: Column, name: str = "place") -> DataFrame:
+    """``df`` kept in the shared folder with its rows' numbers in ``order``, from 0.
+
+    Ranges are sorted apart, and a range starts after the rows of those before it; only
+    the number of rows of each range reaches the driver.
+    """
+    spark = df.sparkSession
+    part = F.spark_partition_id()
+    inside = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    kept = saved(ranges.withColumns({"_range": part, "_inside": inside}))
+    firsts, first = [], 0
+    for row in sorted(kept.groupBy("_range").count().collect()):
+        firsts.append((row["_range"], first))
+        first += row["count"]
+    begins = F.broadcast(spark.createDataFrame(firsts, "_range int, _first long"))
+    return kept.join(begins, "_range").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_first") + F.col("_inside")).alias(name)
+    )
+
+
 def normalised(edges: DataFrame) -> DataFrame:
     """Each undirected edge once, smaller node first, without loops."""
     ends = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
