@@ -1,0 +1,117 @@
+import math
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from spintally.llm import queries, tables, topk
+
+SCHEMA = "vec_id long, embedding array<double>, norm string, place string, id string"
+
+
+def vectors(seed=1, count=700, dims=8):
+    """Vectors of very different length, copies, zeros, odd components, repeated and null ids."""
+    rng = random.Random(seed)
+    data = []
+    for i in range(count):
+        size = rng.choice([0.002, 1, 1, 30, 3000])
+        v = [rng.gauss(0, 1) * size for _ in range(rng.choice([dims] * 6 + [dims // 2, 0]))]
+        kind = rng.random()
+        if kind < 0.04:
+            v = None
+        elif kind < 0.12 and v:
+            v[rng.randrange(len(v))] = rng.choice([None, math.nan, math.inf, -math.inf])
+        elif kind < 0.3 and data and data[-1][1]:
+            v = [x * rng.choice([1, 1, 2]) if x else x for x in data[-1][1]]
+        elif kind < 0.34:
+            v = [0.0] * dims
+        elif kind < 0.36:
+            v = rng.choice([[1e12] * dims, [1e300, 1.0], [-1e300, 5.0], [1.7e308]])
+        own = rng.choice([i, None, 7, 10]) if rng.random() < 0.1 else i
+        data.append((own, v, "x", "y", "z"))
+    return data
+
+
+def plain(data, is_query, k, scale=1024):
+    """Every query row against every other id's rows, in whole numbers."""
+    fit = []
+    for own, v, *_ in data:
+        if own is None or v is None or not all(x is not None and math.isfinite(x * scale) for x in v):
+            continue
+        fit.append((own, [math.floor(x * scale) for x in v]))
+    out = []
+    for q, v in fit:
+        if is_query(q):
+            scores = [(sum(a * b for a, b in zip(v, w)), own) for own, w in fit if own != q]
+            scores = [(max(min(s, 2**63 - 1), -(2**63)), own) for s, own in scores]
+            best = sorted(scores, key=lambda x: (-x[0], x[1]))[:k]
+            out += [(q, rank, own, s) for rank, (s, own) in enumerate(best, 1)]
+    return sorted(out)
+
+
+def test_search_as_brute_force(spark):
+    for seed, k, cell, block in ((1, 7, 40, 30), (2, 1, 10_000, 10_000), (3, 900, 64, 16)):
+        data = vectors(seed)
+        df = spark.createDataFrame(data, SCHEMA).repartition(3)
+        found = topk.search(
+            df, df.filter("vec_id % 10 = 0"), k, vectors_per_cell=cell, queries_per_block=block
+        )
+        assert sorted(tuple(r) for r in found.collect()) == plain(data, lambda q: q % 10 == 0, k)
+
+
+def test_close_vectors_are_pruned_by_coordinates(spark, monkeypatch):
+    rng = random.Random(4)
+    middles = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(40)]
+    data = [
+        (i, [x + rng.gauss(0, 0.05) for x in middles[i % 40]], "", "", "") for i in range(4000)
+    ]
+    df = spark.createDataFrame(data, SCHEMA)
+    found = topk.search(df, df.filter("vec_id % 100 = 0"), 5, vectors_per_cell=512)
+    assert sorted(tuple(r) for r in found.collect()) == plain(data, lambda q: q % 100 == 0, 5)
+
+    whole = np.floor(np.array([v for _, v, *_ in data]) * 1024)
+    norms = np.sqrt((whole * whole).sum(axis=1))
+    order = np.argsort(-norms, kind="stable")
+    whole, norms = whole[order], norms[order]
+    best = topk.Best(np.full(1, topk.LONG.min), np.array([-1]), 5)
+    counted = []
+    real = topk.products
+    monkeypatch.setattr(topk, "products", lambda a, b: counted.append(len(b)) or real(a, b))
+    for first in range(0, 4000, 500):
+        own = slice(first, first + 500)
+        bucket = topk.Bucket(whole[own], norms[own], order[own])
+        topk.search_bucket(bucket, whole[:1], norms[:1], best)
+    scores = (whole @ whole[0]).astype(np.int64)
+    assert sorted(best.scores) == sorted(scores)[-5:]
+    assert sum(counted[1:]) < 0.2 * 3500
+
+
+def test_copies_tie_to_the_smaller_id(spark):
+    data = [(i, [1.0, 0.5], "", "", "") for i in range(300)] + [(1000, [2.0, 1.0], "", "", "")]
+    df = spark.createDataFrame(data, SCHEMA).repartition(5)
+    found = topk.search(df, df.filter("vec_id in (0, 1, 1000)"), 3, vectors_per_cell=32)
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in found.collect())
+    assert got == [
+        (0, 1, 1000), (0, 2, 1), (0, 3, 2), (1, 1, 1000), (1, 2, 0), (1, 3, 2),
+        (1000, 1, 0), (1000, 2, 1), (1000, 3, 2),
+    ]
+
+
+def test_empty_tables_and_types(spark, tmp_path):
+    df = spark.createDataFrame(vectors(5, 30), SCHEMA)
+    for some, asked in ((df.limit(0), df), (df, df.limit(0)), (df.limit(0), df.limit(0))):
+        assert topk.search(some, asked).collect() == []
+    floats = spark.createDataFrame([(100, [0.1, -0.1]), (3, [0.7, 0.3])], "vec_id int, embedding array<float>")
+    floats.write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = queries.op13_top_k(spark, str(tmp_path))
+    assert dict(found.dtypes) == {
+        "query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"
+    }
+    assert [tuple(r) for r in found.collect()] == [(100, 1, 3, 102 * 716 - 103 * 307)]
+
+
+def test_numbers_follow_the_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(6)
+    made = tables.numbered(df, F.col("v").desc()).collect()
+    assert sorted((r.place, r.v) for r in made) == [(i, 999 - i) for i in range(1000)]
+    assert tables.numbered(df.limit(0), F.col("v").asc()).collect() == []
