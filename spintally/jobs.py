@@ -29,7 +29,7 @@ from spintally.schema import (
 )
 from spintally.session import build_session, streaming_session
 from spintally.sources import streams, wire
-from spintally.streaming import exact, sinks, watermarked
+from spintally.streaming import exact, metrics, sinks, watermarked
 
 COMPLETION, HOURLY = "completion", "hourly"
 STARTERS = {
@@ -42,19 +42,25 @@ READERS = {COMPLETION: sinks.read_completion_history, HOURLY: sinks.read_hourly_
 UPDATES = {COMPLETION: watermarked.completion_updates, HOURLY: watermarked.hourly_updates}
 TOPICS = {COMPLETION: COMPLETION_TOPIC, HOURLY: HOURLY_TOPIC}
 FIELDS = {COMPLETION: COMPLETION_FIELDS, HOURLY: HOURLY_FIELDS}
+#: Well within the batches that Spark remembers at one a second.
+RECORD_SECONDS = 30
 
 
 def _beside(decoded: DataFrame, main: StreamingQuery, args, every: str) -> None:
     """Keep rejected messages under ``root/quarantine`` while the main query runs.
 
-    Without an end of their own, both run until one of them stops or fails.
+    Without an end of their own, both run until one of them stops or fails. What the main
+    query observes is stored as it runs.
     """
     side = watermarked.start_quarantine(decoded, f"{args.root}/quarantine", args.once, every)
+    spark = decoded.sparkSession
     if not args.once:
-        decoded.sparkSession.streams.awaitAnyTermination()
+        while not spark.streams.awaitAnyTermination(RECORD_SECONDS):
+            metrics.record(spark, main, args.root)
         main.stop()
         side.stop()
     main.awaitTermination()
+    metrics.record(spark, main, args.root)
     side.awaitTermination()
 
 

@@ -6,12 +6,12 @@ the join strategy is left to the measured sizes at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spintally.functions.plays import completion_rate
 from spintally.functions.text import bar_length, percent_text
-from spintally.operators.serving import ranked_songs
+from spintally.operators.serving import ranked_relative
 from spintally.schema import REPORT_MIN_PLAYS, REPORT_TOP_N
 
 OK = "ok"
@@ -129,15 +129,10 @@ def ranking_check(ranking: DataFrame, injected: DataFrame) -> DataFrame:
 def ranking_report(ranking: DataFrame, injected: DataFrame, n: int = REPORT_TOP_N) -> DataFrame:
     """The best expected songs with position, bar and check, as shown to a reader.
 
-    The bar is relative to the best expected song, which is always listed first.
+    The bar is relative to the best expected song.
     """
-    top = F.max("play_count").over(Window.partitionBy())
-    return (
-        ranked_songs(ranking_check(ranking, injected), n)
-        .withColumn("top_score", top)
-        .withColumn("bar", bar_length("play_count", "top_score"))
-        .select("position", "song_id", "play_count", "injected_starts", "bar", "note")
-    )
+    checked = ranked_relative(ranking_check(ranking, injected), n)
+    return checked.select("position", "song_id", "play_count", "injected_starts", "bar", "note")
 
 
 def completion_extremes(

@@ -194,45 +194,58 @@ def emit_rate(events: DataFrame) -> DataFrame:
 def running_counts(
     events: DataFrame, counters: dict[str, Column], chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """Counts of a song and window after each of its events.
+    """Counts of a song and window after each of its events, as prefix sums.
 
-    A group is cut into chunks of ``chunk_rows`` arrival numbers. Totals of the
-    chunks before come from a small aggregate; only the count inside a chunk needs
-    its rows in order, and a chunk cannot outgrow ``chunk_rows``.
+    The events move once, to be summed up in order where they land. A song and window of
+    more than ``chunk_rows`` events is hot: it is cut into chunks of so many arrival
+    numbers that are summed up apart, and each starts with the totals of those before it.
+    Only hot groups have such totals, so there are at most as many of them as chunks
+    of ``chunk_rows`` events or arrivals; without one nothing is looked up.
     """
     group = ["song_id", "window_start"]
     counted = events.select(
         *group,
         "seq",
         "arrival_ms",
-        floor_to_window("seq", chunk_rows).alias("chunk"),
         *[hit.cast("bigint").alias(name) for name, hit in counters.items()],
     )
+    hot = counted.groupBy(*group).count().filter(F.col("count") > chunk_rows).select(*group)
+    hot = sized(hot, "hot")
+    chunk = floor_to_window("seq", chunk_rows)
+    cut = bool(hot.limit(1).count())
+    if cut:
+        marked = hot.withColumn("hot", F.lit(True))
+        counted = counted.join(marked, group, "left").withColumn("chunk", F.when(F.col("hot"), chunk))
+    inside = (
+        Window.partitionBy(*group, *["chunk"] * cut)
+        .orderBy("seq")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    running = [F.sum(n).over(inside).alias(n) for n in counters]
+    summed = counted.select(*group, *["chunk"] * cut, "seq", "arrival_ms", *running)
+    if not cut:
+        return summed
+    carried = sized(_carried(counted.filter("hot").drop("hot"), counters), "carried")
+    return summed.join(carried, [*group, "chunk"], "left").select(
+        *group,
+        "seq",
+        "arrival_ms",
+        *[(F.col(n) + F.coalesce(f"{n}_before", F.lit(0))).alias(n) for n in counters],
+    )
+
+
+def _carried(hot_events: DataFrame, counters: dict[str, Column]) -> DataFrame:
+    """Totals of the chunks before each chunk of the hot groups."""
+    group = ["song_id", "window_start"]
     before = (
         Window.partitionBy(*group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
-    totals = counted.groupBy(*group, "chunk").agg(*[F.sum(n).alias(n) for n in counters])
-    carried = totals.select(
+    totals = hot_events.groupBy(*group, "chunk").agg(*[F.sum(n).alias(n) for n in counters])
+    return totals.select(
         *group,
         "chunk",
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in counters],
     )
-    inside = (
-        Window.partitionBy(*group, "chunk")
-        .orderBy("seq")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    running = [F.sum(n).over(inside).alias(n) for n in counters]
-    return (
-        counted.select(*group, "chunk", "seq", "arrival_ms", *running)
-        .join(carried, [*group, "chunk"])
-        .select(
-            *group,
-            "seq",
-            "arrival_ms",
-            *[(F.col(n) + F.col(f"{n}_before")).alias(n) for n in counters],
-        )
-    )
 
 
 def last_emissions(events: DataFrame, counters: dict[str, Column]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spintally.functions.text import bar_length, completion_key
 from spintally.functions.times import utc_date
-from spintally.operators.sizing import stored
+from spintally.operators.sizing import sized, stored
 from spintally.schema import (
     COMPLETION_FIELDS,
     DEFAULT_LOOKBACK_MS,
@@ -21,8 +21,8 @@ from spintally.schema import (
 )
 from spintally.sources.wire import from_wire, to_wire
 
-#: Up to here a listing is numbered in one task, which has gathered it anyway.
-ONE_TASK_ROWS = 10_000
+#: Songs of one score that a task orders; those of a score that more share are ordered in ranges.
+TIED = 1_000_000
 
 
 def resolve_range(
@@ -107,18 +107,58 @@ def top_songs(scores: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
     return ranking(scores).limit(n)
 
 
-def ranking_positions(scores: DataFrame) -> DataFrame:
-    """All songs with their position, numbered where they are.
+def score_places(scores: DataFrame) -> DataFrame:
+    """Every score with its number of songs and the ranking position its songs begin at.
 
-    The ranking is cut into sorted ranges and kept; a range's first position follows from
-    the sizes of those before it, of which there is one per range.
+    A histogram of the scores, summed up from the best one on: its rows are the distinct
+    scores, cut into ranges of which each begins after the songs of those before it.
+    ``large_before`` counts the songs of better scores that more than ``TIED`` songs share.
     """
-    cut = scores.repartitionByRange(F.desc("play_count"), F.desc("song_id"))
+    spark = scores.sparkSession
+    large = F.when(F.col("songs") > TIED, F.col("songs")).otherwise(0)
+    cut = (
+        scores.groupBy("play_count")
+        .agg(F.count("*").alias("songs"))
+        .repartitionByRange(F.desc("play_count"))
+        .withColumns({"range": F.spark_partition_id(), "large": large})
+    )
+    cut = stored(cut)
+    sums = cut.groupBy("range").agg(F.sum("songs"), F.sum("large")).collect()  # a row per range
+    before, before_large, starts = 0, 0, []
+    for part, songs, many in sorted(sums):
+        starts.append((part, before, before_large))
+        before, before_large = before + songs, before_large + many
+    begins = spark.createDataFrame(starts, "range int, before bigint, before_large bigint")
+    better = (
+        Window.partitionBy("range")
+        .orderBy(F.desc("play_count"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+
+    def above(start: str, counted: str):
+        return F.col(start) + F.coalesce(F.sum(counted).over(better), F.lit(0))
+
+    places = cut.join(F.broadcast(begins), "range").select(
+        "play_count",
+        "songs",
+        (above("before", "songs") + 1).alias("first"),
+        above("before_large", "large").alias("large_before"),
+    )
+    return sized(places, "places")
+
+
+def _numbered_ranges(rows: DataFrame) -> DataFrame:
+    """``rows`` with their ``number`` in the ranking, from 1, counted where they are.
+
+    They are cut into sorted ranges and kept; a range's first number follows from the
+    sizes of those before it, of which there is one per range.
+    """
+    cut = rows.repartitionByRange(F.desc("play_count"), F.desc("song_id"))
     placed = cut.sortWithinPartitions(F.desc("play_count"), F.desc("song_id"))
-    # The number holds the range above bit 33 and the row within it below.
+    # The place holds the range above bit 33 and the row within it below.
     placed = stored(placed.withColumn("place", F.monotonically_increasing_id()))
     placed = placed.select(
-        *scores.columns,
+        *rows.columns,
         F.shiftright("place", 33).alias("range"),
         (F.col("place") % (1 << 33)).alias("row"),
     )
@@ -126,27 +166,62 @@ def ranking_positions(scores: DataFrame) -> DataFrame:
     for part, size in sorted(placed.groupBy("range").count().collect()):
         starts.append((part, before))
         before += size
-    first = scores.sparkSession.createDataFrame(starts, "range bigint, before bigint")
+    first = rows.sparkSession.createDataFrame(starts, "range bigint, before bigint")
     return placed.join(F.broadcast(first), "range").select(  # one row per range
-        *scores.columns, (F.col("before") + F.col("row") + 1).alias("position")
+        *rows.columns, (F.col("before") + F.col("row") + 1).alias("number")
     )
 
 
+def _positions(scores: DataFrame, places: DataFrame) -> DataFrame:
+    """Songs of the scores in ``places`` with their position; only equal scores are ordered.
+
+    A score that more than ``TIED`` songs share would be one large sort, so the songs of
+    such scores are ordered in ranges instead.
+    """
+    listed = scores.join(places, "play_count")
+    position = (F.col("first") + F.col("row") - 1).alias("position")
+    tied = Window.partitionBy("play_count").orderBy(F.desc("song_id"))
+    few = listed.filter(F.col("songs") <= TIED).withColumn("row", F.row_number().over(tied))
+    few = few.select(*scores.columns, position)
+    if not places.filter(F.col("songs") > TIED).limit(1).count():
+        return few
+    many = _numbered_ranges(listed.filter(F.col("songs") > TIED))
+    many = many.withColumn("row", F.col("number") - F.col("large_before"))
+    return few.union(many.select(*scores.columns, position))
+
+
+def ranking_positions(scores: DataFrame) -> DataFrame:
+    """All songs with their position in the ranking."""
+    kept = stored(scores)
+    return stored(_positions(kept, score_places(kept)))
+
+
+def _listing(scores: DataFrame, n: int) -> tuple[DataFrame, int | None]:
+    """The first ``n`` songs with their position, best first, and the best score."""
+    if n < 1:
+        raise ValueError(f"n must be at least 1, not {n}")
+    kept = stored(scores)
+    places = score_places(kept).filter(F.col("first") <= n)
+    best = places.filter(F.col("first") == 1).first()
+    listing = _positions(kept, places).filter(F.col("position") <= n)
+    return listing.orderBy("position"), best and best["play_count"]
+
+
 def ranked_songs(scores: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
-    """Top songs with their position, best first; a long listing is numbered in parallel."""
-    listing = top_songs(scores, n)
-    if n > ONE_TASK_ROWS:
-        return ranking_positions(scores).filter(F.col("position") <= n).orderBy("position")
-    best = Window.orderBy(F.desc("play_count"), F.desc("song_id"))
-    return listing.withColumn("position", F.row_number().over(best).cast("bigint"))
+    """Top songs with their position, best first, for any ``n`` from one on.
+
+    Only songs whose score begins within the listing are ordered.
+    """
+    return _listing(scores, n)[0]
+
+
+def ranked_relative(scores: DataFrame, n: int = REPORT_TOP_N) -> DataFrame:
+    """Ranked songs with a bar relative to the best score, which is known before the listing."""
+    listing, best = _listing(scores, n)
+    top = listing.withColumn("top_score", F.lit(best).cast("bigint"))
+    return top.withColumn("bar", bar_length("play_count", "top_score")).drop("top_score")
 
 
 def top_songs_relative(scores: DataFrame, n: int = REPORT_TOP_N) -> DataFrame:
-    """Ranked songs with a bar relative to the best score."""
-    listing = ranked_songs(scores, n)
-    top = F.max("play_count").over(Window.partitionBy())  # over the rows of the listing
-    return (
-        listing.withColumn("top_score", top)
-        .withColumn("bar", bar_length("play_count", "top_score"))
-        .select("position", "song_id", "play_count", "bar")
-    )
+    """Position, song, score and bar of the top songs."""
+    return ranked_relative(scores, n).select("position", "song_id", "play_count", "bar")

@@ -14,16 +14,18 @@ from spintally.operators import aggregates, latest, rates, reconcile, replay, se
 from spintally.operators.sizing import stored
 from spintally.schema import (
     COMPLETION_FIELDS,
+    COMPLETION_METRIC,
     COMPLETION_WINDOW_MS,
     HOURLY_FIELDS,
     PLAY_EVENT_FIELDS,
     PLAY_START,
+    RANKING_METRIC,
     RANKING_WINDOW_MS,
     columns,
 )
 from spintally.session import drop_folder, run_dir, streaming_session
 from spintally.sources import tables, wire
-from spintally.streaming import exact, sinks, watermarked
+from spintally.streaming import exact, metrics, sinks, watermarked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -534,29 +536,42 @@ def completion_extremes(spark, sf_dir):
 # --- Streaming, read back from what the sinks stored ---
 
 
-def _slices(spark: SparkSession, sf_dir: str, folder: str, first: int, last: int) -> DataFrame:
-    """Write slices ``first`` to ``last - 1`` of the delayed arrivals, and read all as a stream.
+def _slices(spark: SparkSession, events: DataFrame, folder: str, first: int, last: int) -> None:
+    """Add slices ``first`` to ``last - 1`` of the arrivals to the folder of a stream.
 
     Slices follow the arrival numbers. Each is ``SLICE_FILES`` files, which is what one
     micro-batch takes, so every slice is a batch of its own.
     """
-    events = tables.delayed(_events(spark, sf_dir))
     total = events.agg(F.max("seq")).first()[0]
     for number in range(first, last):
         low, high = (total + 1) * number // SLICES, (total + 1) * (number + 1) // SLICES
         part = events.filter((F.col("seq") >= low) & (F.col("seq") < high))
         part.repartition(SLICE_FILES).write.mode("append").parquet(folder)
-    reader = streaming_session(spark).readStream.schema(events.schema)
-    return reader.option("maxFilesPerTrigger", SLICE_FILES).parquet(folder)
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, start) -> str:
-    """Run a streaming query over the slices, with a stop and a restart midway."""
+def _run_streams(spark: SparkSession, sf_dir: str, *starters) -> list[str]:
+    """Run streaming queries side by side over the same slices, with a stop and a restart midway.
+
+    Returns their roots, beside which the metrics of both runs are recorded.
+    """
     root = run_dir(spark, "stream")
+    roots = [f"{root}/{i}" for i in range(len(starters))]
+    arrivals = stored(tables.delayed(_events(spark, sf_dir)))
     for first, last in ((0, RESTART), (RESTART, SLICES)):
-        events = _slices(spark, sf_dir, f"{root}/in", first, last)
-        start(events, root, available_now=True).awaitTermination()
-    return root
+        _slices(spark, arrivals, f"{root}/in", first, last)
+        running = []
+        for start, own in zip(starters, roots):
+            reader = streaming_session(spark).readStream.schema(arrivals.schema)
+            events = reader.option("maxFilesPerTrigger", SLICE_FILES).parquet(f"{root}/in")
+            running.append(start(events, own, available_now=True))
+        for query_, own in zip(running, roots):
+            query_.awaitTermination()
+            metrics.record(spark, query_, own)
+    return roots
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, start) -> str:
+    return _run_streams(spark, sf_dir, start)[0]
 
 
 @query
@@ -586,19 +601,45 @@ def stream_top_songs(spark, sf_dir):
     return _read_from(spark, root, serving.ranked_songs(scores))
 
 
+def _stream_metrics(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, DataFrame]]:
+    """Name, root and batches of both streaming queries, of one run each."""
+    roots = _run_streams(spark, sf_dir, watermarked.start_completion, watermarked.start_hourly)
+    kinds = (
+        (COMPLETION_METRIC, COMPLETION_FIELDS, "starts"),
+        (RANKING_METRIC, HOURLY_FIELDS, "play_count"),
+    )
+    return [
+        (name, root, metrics.batch_metrics(spark, root, fields, counted))
+        for root, (name, fields, counted) in zip(roots, kinds)
+    ]
+
+
 @query
 def stream_late_events(spark, sf_dir):
     """Starts that each streaming query dropped for coming after its watermark."""
-    sent = aggregates.play_starts(_events(spark, sf_dir)).count()
     answers = []
-    for metric, start, read, counted in (
-        ("completion_rate", watermarked.start_completion, sinks.read_completion_history, "starts"),
-        ("top_songs", watermarked.start_hourly, sinks.read_hourly_history, "play_count"),
-    ):
-        root = _run_stream(spark, sf_dir, start)
-        kept = F.coalesce(F.sum(counted), F.lit(0))
-        answer = read(spark, f"{root}/history").agg((F.lit(sent) - kept).alias("late_starts"))
-        answer = answer.select(F.lit(metric).alias("metric"), "late_starts")
+    for name, root, batches in _stream_metrics(spark, sf_dir):
+        answer = batches.agg(F.sum("late_starts").alias("late_starts"))
+        answers.append(
+            _read_from(spark, root, answer.select(F.lit(name).alias("metric"), "late_starts"))
+        )
+    return answers[0].union(answers[1])
+
+
+@query
+def stream_batch_metrics(spark, sf_dir):
+    """Starts that arrived, were added and came late, and the records emitted, batch by batch.
+
+    Batches without events, which only move the watermark, are left out of the numbering.
+    """
+    answers = []
+    for name, root, batches in _stream_metrics(spark, sf_dir):
+        numbers = {n: i for i, (n,) in enumerate(sorted(batches.select("batch_id").collect()))}
+        place = F.create_map(*[F.lit(x).cast("bigint") for pair in numbers.items() for x in pair])
+        answer = batches.select(
+            F.lit(name).alias("metric"), F.element_at(place, F.col("batch_id")).alias("slice"),
+            "starts", "added", "late_starts", "emitted",
+        )
         answers.append(_read_from(spark, root, answer))
     return answers[0].union(answers[1])
 

@@ -423,6 +423,20 @@ ORACLE: dict[str, str] = {
            - (SELECT sum(is_start) FROM taken5) AS BIGINT) AS late_starts
        UNION ALL SELECT 'top_songs', CAST((SELECT sum(is_start) FROM marked)
            - (SELECT count(*) FROM taken60) AS BIGINT)""",
+    "stream_batch_metrics": _with(PLAY, LATE, SLICED)
+    + """, per_slice AS (
+         SELECT slice, CAST(sum(is_start) AS BIGINT) AS starts FROM sliced GROUP BY slice),
+       kept AS (
+         SELECT 'completion_rate' AS metric, slice, CAST(sum(is_start) AS BIGINT) AS added,
+                count(DISTINCT (song_id, ts_ms // 300000)) AS emitted
+         FROM taken5 GROUP BY slice
+         UNION ALL
+         SELECT 'top_songs', slice, count(*), count(DISTINCT (song_id, ts_ms // 3600000))
+         FROM taken60 GROUP BY slice)
+       SELECT metric, CAST(p.slice AS BIGINT) AS slice, starts, coalesce(added, 0) AS added,
+              starts - coalesce(added, 0) AS late_starts, coalesce(emitted, 0) AS emitted
+       FROM per_slice p CROSS JOIN (SELECT DISTINCT metric FROM kept) m
+       LEFT JOIN kept k USING (metric, slice)""",
     "exact_stream_latest_by_arrival": _with(PLAY, LATE)
     + """SELECT * EXCLUDE (seq, rn) FROM (
          SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seq DESC) AS rn

@@ -85,7 +85,8 @@ def write_history_batch(
         held.unpersist()
 
 
-def _stored(spark: SparkSession, roots, fields) -> DataFrame:
+def stored_versions(spark: SparkSession, roots, fields) -> DataFrame:
+    """All stored versions of the windows, as the batches wrote them."""
     ddl = ", ".join(
         f"{f.name} {f.dataType.simpleString()}" for f in table_schema(fields).fields
     )
@@ -98,7 +99,7 @@ def _stored(spark: SparkSession, roots, fields) -> DataFrame:
 
 
 def _history(spark: SparkSession, roots, fields) -> DataFrame:
-    rows = _stored(spark, roots, fields)
+    rows = stored_versions(spark, roots, fields)
     return latest_per_key(rows, DAY_KEY, "batch_id")
 
 
@@ -140,7 +141,7 @@ def compact_history(spark: SparkSession, fields, target: str, *roots: str) -> No
     All rows get the newest batch number found, so they stand in for every batch up to
     it, whether or not some of those are still there to be read along.
     """
-    versions = _stored(spark, roots, fields)
+    versions = stored_versions(spark, roots, fields)
     upto = versions.agg(F.max("batch_id")).first()[0]
     if upto is None:
         raise ValueError("there is no history to compact")

@@ -20,6 +20,7 @@ from spintally.schema import (
     table_schema,
 )
 from spintally.sources.wire import quarantine, valid_records
+from spintally.streaming.metrics import observed
 from spintally.streaming.sinks import history_sink
 
 COMPLETION_QUERY = "completion-stats"
@@ -71,8 +72,9 @@ def start_completion(
     writers: int | None = None,
     every: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
-    """Completion records into ``root/history`` and ``root/latest``."""
-    sink, updates = history_sink(COMPLETION_FIELDS, root, writers), completion_updates(events)
+    """Completion records into ``root/history`` and ``root/latest``; arrivals are observed."""
+    sink = history_sink(COMPLETION_FIELDS, root, writers)
+    updates = completion_updates(observed(events))
     return start(updates, sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now, every)
 
 
@@ -83,8 +85,9 @@ def start_hourly(
     writers: int | None = None,
     every: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
-    """Hourly records into ``root/history`` and ``root/latest``."""
-    sink, updates = history_sink(HOURLY_FIELDS, root, writers), hourly_updates(events)
+    """Hourly records into ``root/history`` and ``root/latest``; arrivals are observed."""
+    sink = history_sink(HOURLY_FIELDS, root, writers)
+    updates = hourly_updates(observed(events))
     return start(updates, sink, f"{root}/checkpoint", HOURLY_QUERY, available_now, every)
 
 

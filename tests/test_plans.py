@@ -61,6 +61,14 @@ def test_late_rule_scans_without_shuffling_events(spark):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+@pytest.mark.parametrize("name", ["completion_changelog", "hourly_changelog"])
+def test_changelog_moves_events_once_and_joins_nothing_back(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert text.count("Exchange hashpartitioning(song_id") == 1
+    assert text.count("Exchange") == 1 + text.count("BroadcastExchange") == 2  # of closing arrivals
+    assert text.count("Join") == 1
+
+
 @pytest.mark.parametrize("name", ["completion_history", "play_history"])
 def test_time_range_reaches_the_scan(spark, name):
     text = plan(QUERIES[name](spark, SF))

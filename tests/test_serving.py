@@ -102,6 +102,34 @@ def test_positions_are_numbered_where_the_rows_are(spark):
     assert serving.ranking_positions(many.limit(0)).collect() == []
 
 
+def test_scores_that_many_songs_share_are_ordered_in_ranges(spark, monkeypatch):
+    monkeypatch.setattr(serving, "TIED", 500)
+    many = spark.range(9_000).selectExpr(
+        "concat('s-', id) AS song_id", "if(id % 3 = 0, 1L, if(id % 50 = 1, 7L, id % 900)) AS play_count"
+    )
+    order = sorted(((r.play_count, r.song_id) for r in many.collect()), reverse=True)
+    placed = {r.song_id: r.position for r in serving.ranking_positions(many).collect()}
+    assert placed == {song: i + 1 for i, (_, song) in enumerate(order)}
+    listed = serving.ranked_songs(many, 8_500).collect()
+    assert [(r.position, r.play_count, r.song_id) for r in listed] == [
+        (i + 1, *row) for i, row in enumerate(order[:8_500])
+    ]
+
+
+def test_places_come_from_distinct_scores(spark):
+    ranked = scores(spark, ("a", 5), ("b", 9), ("c", 5), ("d", 1), ("e", 5))
+    rows = serving.score_places(ranked).orderBy("first").collect()
+    assert [(r.play_count, r.songs, r.first) for r in rows] == [(9, 1, 1), (5, 3, 2), (1, 1, 5)]
+    assert serving.score_places(ranked.limit(0)).collect() == []
+
+
+def test_no_listing_passes_through_one_task(spark):
+    many = spark.range(2_000).selectExpr("concat('s-', id) AS song_id", "id % 70 AS play_count")
+    for made in (serving.ranked_songs(many, 1_500), serving.top_songs_relative(many, 1_500)):
+        text = made._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in text
+
+
 def test_whole_ranking(spark):
     ranked = scores(spark, ("a", 5), ("b", 9), ("c", 5), ("d", 1))
     assert [r.song_id for r in serving.ranking(ranked).collect()] == ["b", "c", "a", "d"]
