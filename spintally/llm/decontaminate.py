@@ -7,7 +7,15 @@ other numbers or names meets its original. A pair counts if the document has mos
 the item's windows, or if the windows it has hold most of the item's tokens (one changed
 word costs up to five windows, but one token), and if each slot value of the item is
 replaced by one and the same value throughout: unrelated texts that share a template fill
-it at random.
+it at random. One number may stand in several roles, as in "5 apples and 5 pears", and each
+role has a replacement of its own; its role are the words next to it on either side, a name
+for any name.
+A name or unit means the same wherever it stands and has one replacement.
+
+Windows of documents go through a Bloom filter of the benchmark's windows before they are
+joined. Its size is fixed, whatever the benchmark's, and the join that follows is exact.
+Pairs are counted by their windows first; slot values are compared only for the pairs
+whose windows suffice, so that a stock phrase in many items and documents stays cheap.
 
 Tokens: a number with inner separators; a currency or percent sign, or a unit right
 after a number; a name; any other word, lower-cased. Line breaks and ``.!?`` end
@@ -56,9 +64,10 @@ FEW_SLOTS = 1
 LONG_RUN = 4
 #: Least share of an item's matched slots whose values are replaced alike throughout.
 MIN_CONSISTENCY = 0.8
-#: Up to this many distinct benchmark windows (8 bytes each) are sent to the tasks, which
-#: then drop other windows before the join; beyond it every window takes part in the join.
-SENT_WINDOWS = 4_000_000
+#: Bits of the filter that is sent to the tasks, as a power of two (8 MB), and its probes. Up to
+#: 5 million benchmark windows, it lets one in a hundred others through; more windows, more others.
+FILTER_POWER = 26
+PROBES = 4
 
 LETTER = r"[^\W\d_]"
 DIGIT = r"\d"
@@ -203,6 +212,26 @@ class Templates:
         self._distinct, self._which = tokens.distinct, tokens.which
         self._keep, self._goes_on = keep, goes_on
 
+    def beside(self, place: int, step: int) -> str:
+        """The next word of the same text before (-1) or after (1) a slot, or nothing.
+
+        A name stands for any name; numbers and units are passed over.
+        """
+        at, text = place + step, self.text[place]
+        while 0 <= at < len(self.slot) and self.text[at] == text:
+            if self.slot[at] == PLAIN:
+                return self.value(at)
+            if self.slot[at] == TITLE:
+                return PLACEHOLDERS[TITLE]
+            at += step
+        return ""
+
+    def key(self, place: int) -> str:
+        """A slot's value, a number's with its role."""
+        if self.slot[place] != NUMBER:
+            return self.value(place)
+        return " ".join([self.value(place), self.beside(place, -1), "_", self.beside(place, 1)])
+
     def value(self, place: int) -> str:
         """What stands in a slot, a name with all its words."""
         at = int(self._keep[place])
@@ -252,36 +281,46 @@ WINDOW_TYPE = pa.list_(
 )
 
 
-class Wanted:
-    """Hashes to keep: a table of their upper bits drops most others before the search."""
+class Filter:
+    """A Bloom filter over window hashes, as words of 64 bits."""
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-        self.table = np.zeros(1 << 20, bool)
-        self.table[self.upper(self.hashes)] = True
-
-    @staticmethod
-    def upper(hashes: np.ndarray) -> np.ndarray:
-        return (hashes.view(np.uint64) >> np.uint64(44)).view(np.int64)
+    def __init__(self, words: np.ndarray, power: int):
+        self.words, self.power = words, power
 
     def among(self, hashes: np.ndarray) -> np.ndarray:
-        """Where in ``hashes`` a wanted one stands."""
-        if not len(self.hashes):
-            return np.zeros(0, np.int64)
-        near = np.flatnonzero(self.table[self.upper(hashes)])
-        found = np.minimum(np.searchsorted(self.hashes, hashes[near]), len(self.hashes) - 1)
-        return near[self.hashes[found] == hashes[near]]
-
-
-@lru_cache(maxsize=1)
-def _wanted(held: bytes) -> Wanted:
-    return Wanted(np.frombuffer(held, np.int64))
-
-
-def windows_of(texts: list[str], size: int, wanted: np.ndarray | None) -> list[pa.Array]:
-    """Number of windows of each text by all readings, and those whose hash is in ``wanted``."""
+        """Where in ``hashes`` one stands that the filter does not rule out."""
+        plain = hashes.view(np.uint64)
+        first, step = plain & np.uint64(0xFFFFFFFF), (plain >> np.uint64(32)) | np.uint64(1)
+        left = np.arange(len(hashes))
+        for probe in range(PROBES):
+            bit = (first[left] + np.uint64(probe) * step[left]) & np.uint64((1 << self.power) - 1)
+            held = self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))
+            left = left[(held & np.uint64(1)).astype(bool)]
+        return left
+
+
+def filter_of(hashes: DataFrame, power: int) -> Filter:
+    """The filter of a column ``hash``; the driver gets its words, whose number ``power`` bounds."""
+    first = F.col("hash").bitwiseAND(F.lit(0xFFFFFFFF))
+    step = F.shiftrightunsigned("hash", 32).bitwiseOR(F.lit(1))
+    mask = F.lit((1 << power) - 1)
+    bits = F.array(*[(first + step * probe).bitwiseAND(mask) for probe in range(PROBES)])
+    words = (
+        hashes.select(F.explode(bits).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("place"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word"))
+    ).toPandas()
+    out = np.zeros(max(1, 1 << (power - 6)), np.int64)
+    out[words["place"].to_numpy(np.int64)] = words["word"].to_numpy(np.int64)
+    return Filter(out.view(np.uint64), power)
+
+
+def windows_of(texts: list[str], size: int, asked: Filter | None) -> list[pa.Array]:
+    """Number of windows of each text by all readings, and those that pass a filter.
+
+    Without one all windows are given, their slots with roles, as for benchmark items.
+    """
     tokens = Tokens(texts)
-    asked = None if wanted is None else _wanted(wanted.tobytes())
     totals = np.zeros(len(texts), np.int64)
     out: list[list[dict]] = [[] for _ in texts]
     seen: set[tuple] = set()
@@ -295,7 +334,7 @@ def windows_of(texts: list[str], size: int, wanted: np.ndarray | None) -> list[p
         for at in picked.tolist():
             begin, row = int(starts[at]), int(owner[at])
             slots = [
-                templates.value(place)
+                templates.key(place) if asked is None else templates.value(place)
                 for place in range(begin, begin + int(lengths[at]))
                 if templates.slot[place] != PLAIN
             ]
@@ -322,10 +361,10 @@ def template_windows(
     text_col: str,
     keep: Iterable[str],
     size: int = WINDOW,
-    wanted: np.ndarray | None = None,
+    asked: Filter | None = None,
 ) -> DataFrame:
     """``keep`` and the fields of a window: a row per window and reading."""
-    held = table.sparkSession.sparkContext.broadcast(wanted)
+    held = table.sparkSession.sparkContext.broadcast(asked)
     made = map_texts(
         table, lambda texts: windows_of(texts, size, held.value), WINDOW_FIELDS, text_col, keep
     )
@@ -342,12 +381,16 @@ def contamination(
     size: int = WINDOW,
     min_coverage: float = MIN_COVERAGE,
     min_consistency: float = MIN_CONSISTENCY,
-    sent_windows: int = SENT_WINDOWS,
+    filter_power: int = FILTER_POWER,
     min_covered: float = MIN_COVERED,
     min_covered_tokens: int = MIN_COVERED_TOKENS,
+    all_pairs: bool = True,
 ) -> DataFrame:
     """A row per document and item that share a template window.
 
+    Without ``all_pairs`` those whose windows do not suffice are left out before their slots
+    are compared; what is contaminated is the same.
+
     Columns: ``doc_id``, ``text_hash`` (of the document's text), ``item_id``,
     ``n_windows`` (of the item), ``n_matched``, ``coverage``, ``slot_consistency``
     (1 without slots), all of the first reading that has a window in common, ``covered``
@@ -358,23 +401,23 @@ def contamination(
         F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").alias("item_text")
     )
     items = saved(template_windows(items, "item_text", ["item_id"], size))
-    hashes = items.select("hash").distinct()
-    wanted = None
-    if hashes.limit(sent_windows + 1).count() <= sent_windows:
-        wanted = np.sort(hashes.toPandas()["hash"].to_numpy(np.int64))
+    asked = filter_of(items.select("hash").distinct(), filter_power)
     own = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"),
         F.col(f"`{text_col}`").alias("doc_text"),
     )
-    found = template_windows(own, "doc_text", ["doc_id", "text_hash"], size, wanted)
-    found = found.select("doc_id", "text_hash", "hash", F.col("slots").alias("doc_slots"))
-    hits = saved(  # a hash belongs to one reading
-        found.join(items, "hash").select(
-            "doc_id", "text_hash", "item_id", "reading", "n_windows", "n_tokens", "place",
-            "slots", "doc_slots",
+    found = template_windows(own, "doc_text", ["doc_id", "text_hash"], size, asked)
+    found = saved(
+        found.select("doc_id", "text_hash", "hash", F.col("slots").alias("doc_slots")).join(
+            items.select("hash").distinct(), "hash", "left_semi"
         )
     )
+    # a hash belongs to one reading
+    shared = found.select("doc_id", "text_hash", "hash").join(
+        items.select("hash", "item_id", "reading", "n_windows", "n_tokens", "place",
+                     F.size("slots").alias("n_slots")), "hash"
+    )
     pair = ["doc_id", "text_hash", "item_id", "reading"]
     # arrays of one item's windows, so no longer than the item
     in_run = [
@@ -397,19 +440,33 @@ def contamination(
     )
     lost = F.aggregate(overlaps, F.lit(0), lambda n, x: n + F.coalesce(x, F.lit(0)))
     matched = (
-        hits.groupBy(*pair)
+        shared.groupBy(*pair)
         .agg(
             F.max("n_windows").alias("n_windows"),
             F.max("n_tokens").alias("n_tokens"),
             F.size(F.collect_set("place")).cast("long").alias("n_matched"),
-            F.sort_array(
-                F.collect_set(F.struct("place", F.size("slots").alias("n_slots")))
-            ).alias("places"),
+            F.sort_array(F.collect_set(F.struct("place", "n_slots"))).alias("places"),
         )
         .withColumn("told", told)
         .withColumn("n_covered", F.least("n_tokens", F.size("told") * F.lit(size) - lost))
         .drop("places", "told")
     )
+    covered, coverage = F.col("n_covered") / F.col("n_tokens"), F.col("n_matched") / F.col("n_windows")
+    most = (covered >= min_covered) & (F.col("n_covered") >= min_covered_tokens)
+    matched = matched.withColumns(
+        {"coverage": coverage, "covered": covered, "enough": (coverage >= min_coverage) | most}
+    )
+    matched = saved(matched if all_pairs else matched.filter("enough"))
+
+    def same(a: str, b: str, names: Iterable[str]) -> list[Column]:
+        return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names]
+
+    wanted = matched.select(*pair).alias("w").join(
+        items.alias("i"), same("w", "i", ["item_id", "reading"])
+    )
+    wanted = wanted.select(*[f"w.{c}" for c in pair], "i.hash", "i.place", "i.slots")
+    hits = wanted.alias("w").join(found.alias("f"), same("w", "f", ["doc_id", "text_hash", "hash"]))
+    hits = hits.select(*[f"w.{c}" for c in pair], "w.place", "w.slots", "f.doc_slots")
     filled = hits.select(
         *pair, "place", F.posexplode(F.arrays_zip("slots", "doc_slots")).alias("slot", "value")
     ).select(*pair, "place", "slot", "value.slots", "value.doc_slots")
@@ -426,27 +483,16 @@ def contamination(
     places = filled.select(*pair, "place", "slot").distinct()
     slots = places.groupBy(*pair).agg(F.count("*").alias("n_slots"))
 
-    def same(a: str, b: str) -> list[Column]:
-        return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in pair]
-
-    checked = alike.alias("a").join(slots.alias("s"), same("a", "s"))
+    checked = alike.alias("a").join(slots.alias("s"), same("a", "s", pair))
     held = F.col("alike") / F.col("n_slots")
     checked = checked.select(*[f"a.{c}" for c in pair], held.alias("held"))
-    out = matched.alias("m").join(checked.alias("c"), same("m", "c"), "left")
+    out = matched.alias("m").join(checked.alias("c"), same("m", "c", pair), "left")
     out = out.select(
-        *[f"m.{c}" for c in pair],
-        "n_windows",
-        "n_matched",
-        (F.col("n_matched") / F.col("n_windows")).alias("coverage"),
-        "n_covered",
-        (F.col("n_covered") / F.col("n_tokens")).alias("covered"),
+        *[f"m.{c}" for c in pair], "n_windows", "n_matched", "coverage", "covered", "enough",
         F.coalesce("held", F.lit(1.0)).alias("slot_consistency"),
-    )
-    most = (F.col("covered") >= min_covered) & (F.col("n_covered") >= min_covered_tokens)
+    )
     out = out.withColumn(
-        "contaminated",
-        ((F.col("coverage") >= min_coverage) | most)
-        & (F.col("slot_consistency") >= min_consistency),
+        "contaminated", F.col("enough") & (F.col("slot_consistency") >= min_consistency)
     )
     figures = ["n_windows", "n_matched", "coverage", "slot_consistency"]
     out = out.groupBy(*pair[:-1]).agg(
@@ -461,7 +507,7 @@ def decontaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that no benchmark item contaminates."""
-    found = contamination(docs, benchmark, id_col, text_col, **options)
+    found = contamination(docs, benchmark, id_col, text_col, all_pairs=False, **options)
     bad = found.filter("contaminated").select("doc_id", "text_hash").distinct().alias("bad")
     own = docs.alias("own")
     return own.join(

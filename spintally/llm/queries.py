@@ -66,7 +66,7 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that contains a benchmark item, with the item."""
     found = decontaminate.contamination(
-        documents(spark, sf_dir), table(spark, sf_dir, "benchmark")
+        documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), all_pairs=False
     )
     return found.filter("contaminated").select(
         "doc_id", "item_id", "n_windows", "n_matched", "coverage", "slot_consistency",

@@ -13,7 +13,9 @@ toxic than not.
 
 The model is fitted on at most ``max_labelled`` labelled documents (those with the
 smallest hash of their id), a bound that does not depend on the corpus; scoring reads
-all documents in full.
+all documents in full. All features of these documents with a significant excess are
+used, so the documents bound their number. Where several texts share a labelled id, the
+model is fitted on the greatest of them in string order, and all are scored.
 
 Defined results: null, empty and blank texts have no features and get the base
 severity; repeated rows are scored alike; without toxic labels nothing is rejected
@@ -37,7 +39,6 @@ from spintally.llm.tables import saved
 #: Grades above zero.
 GRADES = 3
 MAX_LABELLED = 20_000
-MAX_FEATURES = 20_000
 MIN_TOXIC_DOCS = 3
 #: Least standard score of a feature's excess among toxic documents.
 MIN_EXCESS = 5.0
@@ -87,8 +88,8 @@ def labelled_sample(docs, labels, id_col, text_col, toxic_col, max_labelled) ->
     return saved(found.select("text", "toxic"))
 
 
-def associated(sample: DataFrame, n_clean: int, n_toxic: int, max_features: int) -> list[str]:
-    """Features with a significant excess in toxic documents, the strongest first."""
+def associated(sample: DataFrame, n_clean: int, n_toxic: int) -> list[str]:
+    """Features with a significant excess in toxic documents of the bounded sample, in order."""
 
     kind = pa.list_(pa.string())
 
@@ -106,9 +107,8 @@ def associated(sample: DataFrame, n_clean: int, n_toxic: int, max_features: int)
     share = n_toxic / (n_toxic + n_clean)
     expected = F.col("in_all") * share
     excess = (F.col("in_toxic") - expected) / F.sqrt(expected * (1 - share))
-    strong = counted.withColumn("excess", excess).filter(F.col("excess") >= MIN_EXCESS)
-    first = strong.orderBy(F.desc("excess"), "feature").limit(max_features)
-    return [r.feature for r in first.collect()]
+    strong = counted.filter(excess >= MIN_EXCESS).select("feature")
+    return sorted(r.feature for r in strong.collect())
 
 
 def fit(
@@ -119,14 +119,13 @@ def fit(
     toxic_col: str = "toxic",
     grades: int = GRADES,
     max_labelled: int = MAX_LABELLED,
-    max_features: int = MAX_FEATURES,
 ) -> Model:
     sample = labelled_sample(docs, labels, id_col, text_col, toxic_col, max_labelled)
     counted = sample.groupBy(F.col("toxic") > 0).count().collect()
     sizes = dict(map(tuple, counted))
     if not sizes.get(True) or not sizes.get(False):
         return Model({}, (30.0,) * grades)
-    names = associated(sample, sizes[False], sizes[True], max_features)
+    names = associated(sample, sizes[False], sizes[True])
     held = sample.sparkSession.sparkContext.broadcast({name: i for i, name in enumerate(names)})
     memo = Memo(MEMO_WORDS)
 
