@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import regex
 
@@ -58,8 +59,20 @@ def plain_tokens(text):
     return out
 
 
-def plain_windows(text, size=5):
-    tokens = plain_tokens(text)
+def with_roles(tokens):
+    """Numbers as slot values together with the next words on both sides, any name being alike."""
+    out = []
+    for i, (template, value) in enumerate(tokens):
+        if template == "<number>":
+            left = next((t for t, v in reversed(tokens[:i]) if v is None or t == "<name>"), "")
+            right = next((t for t, v in tokens[i + 1 :] if v is None or t == "<name>"), "")
+            value = (value, left, right)
+        out.append((template, value))
+    return out
+
+
+def plain_windows(text, size=5, roles=False):
+    tokens = with_roles(plain_tokens(text)) if roles else plain_tokens(text)
     n = len(tokens)
     count = 0 if not n else max(1, n - size + 1)
     return [
@@ -75,7 +88,7 @@ def plain_pairs(data):
         for template, slots in plain_windows(text):
             have.setdefault(template, set()).add(slots)
         for item_id, item in ITEMS:
-            windows = plain_windows(item)
+            windows = plain_windows(item, roles=True)
             hits = [(i, s, d) for i, (t, s) in enumerate(windows) for d in have.get(t, ())]
             if not hits:
                 continue
@@ -97,16 +110,18 @@ def noisy(seed):
     return " ".join(rng.choice(words + ["7", "Maria", "kg", "%"]) for _ in range(60))
 
 
-@pytest.mark.parametrize("sent", [dec.SENT_WINDOWS, 3])
-def test_pairs_as_brute_force(spark, sent):
+@pytest.mark.parametrize("power", [dec.FILTER_POWER, 7])
+def test_pairs_as_brute_force(spark, power):
     data = odd_rows() + rows(DOCS, 100) + rows([noisy(s) for s in range(60)], 200)
     docs = clashing(spark.createDataFrame(data, SCHEMA)).repartition(4)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = {
         (r.doc_id, r.item_id, r.n_windows, r.n_matched, round(r.coverage, 9), round(r.slot_consistency, 9), r.contaminated)
-        for r in dec.contamination(docs, items, sent_windows=sent).collect()
+        for r in dec.contamination(docs, items, filter_power=power).collect()
     }
     assert found == plain_pairs(data)
+    fewer = dec.contamination(docs, items, filter_power=power, all_pairs=False).filter("contaminated")
+    assert sorted((r.doc_id, r.item_id) for r in fewer.collect()) == sorted((f[0], f[1]) for f in found if f[-1])
     bad = {(d, i) for d, i, *_, hit in found if hit}
     assert {(100, 1), (101, 1), (102, 2), (103, 3), (106, 6), (108, 7)} <= bad
     assert not any(d in (105, 107, 109) for d, _ in bad)
@@ -156,8 +171,87 @@ def test_names_at_sentence_starts_and_of_other_forms(spark):
         "Green words",
         "Tom has 4 friends. Mary has 6 cats. How old is the dog?",
     ]
-    for sent in (dec.SENT_WINDOWS, 3):
-        assert hits(spark, items, texts, sent_windows=sent) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 1)}
+    for power in (dec.FILTER_POWER, 8):
+        assert hits(spark, items, texts, filter_power=power) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 1)}
+
+
+def test_one_number_in_several_roles(spark):
+    items = [
+        "If 5 apples cost 5 dollars and 5 pears cost 5 dollars, what do 5 plums cost?",
+        "Tom buys 5 apples and 5 pears at the market on his way home.",
+        "Value 5 is red. Value 5 is blue. Value 5 is green. Value 5 is black. Value 5 is white here now.",
+    ]
+    texts = [
+        "If 7 apples cost 9 dollars and 4 pears cost 8 dollars, what do 3 plums cost?",
+        "Tom buys 7 apples and 9 pears at the market on his way home.",
+        "x. Tom buys 12 apples and 5 pears at the market on his way home. y",
+        # one role, several replacements
+        "Value 1 is red. Value 2 is blue. Value 3 is green. Value 4 is black. Value 6 is white here now.",
+        "Value 3 is red. Value 3 is blue. Value 3 is green. Value 3 is black. Value 3 is white here now.",
+        "Tom reads 7 books and 9 letters at the desk on his way home.",
+    ]
+    assert hits(spark, items, texts) == {(0, 0), (1, 1), (2, 1), (4, 2)}
+
+
+def plain_role_pairs(items, data):
+    """Contaminated pairs by windows and roles, for texts without names."""
+    out = set()
+    for d, text in enumerate(data):
+        have = {}
+        for template, slots in plain_windows(text):
+            have.setdefault(template, []).append(slots)
+        for i, item in enumerate(items):
+            windows = plain_windows(item, roles=True)
+            matched = [(w, s) for w, (t, s) in enumerate(windows) if t in have]
+            replaced, places = {}, set()
+            for w, slots in matched:
+                for other in have[windows[w][0]]:
+                    for k, (key, value) in enumerate(zip(slots, other)):
+                        replaced.setdefault(key, {}).setdefault(value, set()).add((w, k))
+                        places.add((w, k))
+            held = sum(max(map(len, own.values())) for own in replaced.values())
+            if len(matched) >= 0.8 * len(windows) and held >= 0.8 * len(places):
+                out.add((d, i))
+    return out
+
+
+def test_roles_as_brute_force(spark):
+    rng = random.Random(12)
+    things = ["apples", "pears", "plums", "pens", "books"]
+    items, texts = [], []
+    for kinds in (1, 1, 1, 1, 1, 1, 2, 2, 2, 3, 4, 5):
+        parts = [
+            f"{rng.choice([5, 5, 5, 8])} {rng.choice(things[:kinds])} are {prose(rng.randrange(999), 2)}"
+            for _ in range(6)
+        ]
+        items.append("we say " + " and ".join(parts) + " all of us")
+    for _ in range(150):
+        words = rng.choice(items).split()
+        same, noise = {}, rng.choice([0, 0.1, 0.8])
+        for k, word in enumerate(words):
+            if word.isdigit():
+                own = same.setdefault((word, words[k + 1]), rng.randrange(2, 99))
+                words[k] = str(own if rng.random() >= noise else rng.randrange(100, 999))
+        texts.append(" ".join(words))
+    expected = plain_role_pairs(items, texts)
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = dec.contamination(
+        spark.createDataFrame(rows(texts), SCHEMA), table, min_covered_tokens=10**6
+    )
+    got = {(r.doc_id, r.item_id) for r in found.filter("contaminated").collect()}
+    assert got == expected and 20 < len({d for d, _ in got}) < 140
+
+
+def test_filter_rules_no_window_out(spark):
+    rng = random.Random(3)
+    held = [rng.randrange(-(2**63), 2**63) for _ in range(3000)] + [0, -1, 2**63 - 1, -(2**63)]
+    table = spark.createDataFrame([(h,) for h in held], "hash long")
+    for power, most in ((dec.FILTER_POWER, 2), (16, 300), (6, 3000)):
+        made = dec.filter_of(table, power)
+        assert len(made.among(np.array(held, np.int64))) == len(held)
+        others = np.array([rng.randrange(-(2**63), 2**63) for _ in range(3000)], np.int64)
+        assert len(made.among(others)) <= most
+    assert len(dec.filter_of(table.limit(0), 10).among(np.array(held, np.int64))) == 0
 
 
 def plain_covered(item, doc, size=5):

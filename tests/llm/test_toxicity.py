@@ -63,6 +63,63 @@ def test_gradient_reaches_the_likeliest_model():
     assert np.abs(weights - true).max() < 0.25 and np.abs(thresholds - [1, 2, 3]).max() < 0.3
 
 
+def likelihood(free, x, target, grades, ridge=0.1):
+    """Logarithm of the chance of the grades, less the ridge, written out grade by grade."""
+    weights, first, steps = free[: x.shape[1]], free[x.shape[1]], np.exp(free[x.shape[1] + 1 :])
+    cuts = [-np.inf, first, *(first + np.cumsum(steps)), np.inf]
+    score = x @ weights
+    total = -ridge / 2 * weights @ weights
+    for grade in range(grades + 1):
+        own = score[target == grade]
+        at_least, above = (1 / (1 + np.exp(cuts[grade + k] - own)) for k in (0, 1))
+        total += np.log(at_least - above).sum()
+    return total
+
+
+def climbed(x, target, grades):
+    """The likeliest model by trying steps along one coordinate after the other."""
+    free = np.zeros(x.shape[1] + grades)
+    best, size = likelihood(free, x, target, grades), 1.0
+    while size > 1e-5:
+        moved = False
+        for k in range(len(free)):
+            for step in (size, -size):
+                tried = free.copy()
+                tried[k] += step
+                value = likelihood(tried, x, target, grades)
+                if value > best and tried[: x.shape[1]].min() >= 0:
+                    free, best, moved = tried, value, True
+        size = size if moved else size / 2
+    return free, best
+
+
+def test_fit_agrees_with_a_second_solver():
+    for seed in (1, 2, 3):
+        rng = np.random.default_rng(seed)
+        n, true = 400, rng.random(4) * 2
+        x = np.log1p(rng.poisson(0.8, (n, 4)))
+        latent = x @ true + rng.logistic(size=n)
+        target = np.searchsorted(np.sort(rng.random(3) * 3), latent)
+        which, place = np.nonzero(x)
+        weights, thresholds = toxicity.cumulative_link(which, place, x[which, place], target, 4, 3)
+        free, best = climbed(x, target, 3)
+        own = np.concatenate([weights, thresholds[:1], np.log(np.diff(thresholds))])
+        assert likelihood(own, x, target, 3) > best - 0.05
+        assert np.abs(weights - free[:4]).max() < 0.05
+        cuts = np.append(free[4], free[4] + np.cumsum(np.exp(free[5:])))
+        assert np.abs(thresholds - cuts).max() < 0.05
+
+
+def test_no_feature_with_an_excess_is_left_out(spark):
+    words = [f"bad{'abcdefghij'[i // 100]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}x" for i in range(1000)]
+    texts = [" ".join(words)] * 40 + ["plain words only here"] * 400
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    labels = spark.createDataFrame([(i, 0, int(i < 40)) for i in range(440)], "doc_id long, quality int, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 1000)
+    names = toxicity.associated(sample, 400, 40)
+    assert names == sorted({f for w in words for f in toxicity.features_of(w)})
+
+
 def test_expected_severity_is_the_sum_over_grades(spark, fitted):
     model = fitted[0]
     row = toxicity.score(spark.createDataFrame(rows([f"{BAD[0]} word"]), SCHEMA), model).first()
