@@ -2,7 +2,8 @@
 
 Every block element is a binary variable: main text or not. It has a potential of its
 own from what can be seen of it (tag, names in class, id and role, length, links,
-punctuation) and shares one with its parent. Sum-product messages go from the leaves
+punctuation, share of the page's text, length of its blocks against its neighbours')
+and shares one with its parent. Sum-product messages go from the leaves
 to the root and back, which is exact on a tree, and leave each element's marginal; the
 text of elements that are more likely main text than not is joined in page order. The
 potentials are the maximum-likelihood ones on labelled pages, whose gradient the same
@@ -10,8 +11,11 @@ messages give.
 
 Defined results: null and empty pages and pages without main text give an empty text;
 tags that are left open end with their parent, unknown and stray ones are passed over;
-text after an unfinished tag is lost with it, as in a browser; repeated rows and ties
-are handled row by row (a marginal of exactly one half is not main text).
+text after an unfinished tag is lost with it, as in a browser, and after a quote that
+never ends quotes do not count; repeated rows and ties are handled row by row (a marginal
+of exactly one half is not main text); an empty table gives an empty result, and kept
+columns named like a new one give way to it. Pages are read whole, in time and memory in
+proportion to their length whatever they hold.
 """
 
 from __future__ import annotations
@@ -35,7 +39,13 @@ TAG = re.compile(
     r"""|<!--.*?(?:--!?>|\Z)|<[!?/][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>""",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""([A-Za-z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+#: The same where a quote has turned out to have no end, from which on quotes do not count.
+UNQUOTED = re.compile(
+    r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>", re.DOTALL
+)
+ATTRIBUTE = re.compile(
+    r"""(?<![A-Za-z-])([A-Za-z-]++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # Fixed values of HTML.
@@ -58,6 +68,9 @@ STOPS = {"li": {"ul", "ol", "menu"}, "tr": {"table"}, "td": {"table"}, "th": {"t
 #: Elements that are part of a text rather than a section of the page.
 TEXT_PARTS = set("p ul ol li dl dt dd table tbody tr td th h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption".split())
 
+#: Of these, the ones of which a long text has many, so that each has a small share of it.
+PASSAGES = set("p li dt dd tr h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption".split())
+
 TAGS = set(
     "html head title body nav header footer aside article main section div p ul ol li dl dt dd table "
     "tbody tr td th h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption form label button fieldset "
@@ -89,74 +102,95 @@ class Tree:
     runs: list[tuple[int, str, bool]]
 
 
+class Open:
+    """Elements that are open, inline ones too, with the places of each tag among them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = [("#root", 0)]  # inline tags with their block's element
+        self.at: dict[str, list[int]] = {}
+        self.blocks = [0]
+        self.links = 0
+
+    def element(self) -> int:
+        return self.stack[-1][1]
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element with one of the tags; 0 if there is none."""
+        return max((self.at[tag][-1] for tag in tags if self.at.get(tag)), default=0)
+
+    def push(self, tag: str, element: int, inline: bool) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
+        if not inline:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, element))
+        self.links += tag == "a"
+
+    def close(self, place: int) -> None:
+        """End the element at ``place`` and all inside it."""
+        for tag, _ in self.stack[place:]:
+            self.at[tag].pop()
+            self.links -= tag == "a"
+        del self.stack[place:]
+        while self.blocks[-1] >= place:
+            self.blocks.pop()
+
+
 def parse(page: str) -> Tree:
+    """The tree of a page in time proportional to its length."""
     tree = Tree(["#root"], [-1], [""], [])
-    stack: list[tuple[str, int]] = [("#root", 0)]  # inline tags stand with their block's element
-    links = 0
-    at, end = 0, len(page)
-
-    def close(depth: int) -> None:
-        nonlocal links
-        for tag, _ in stack[depth:]:
-            links -= tag == "a"
-        del stack[depth:]
+    held = Open()
+    at, end, last_close = 0, len(page), page.rfind(">")
+    tags = TAG
 
     def text(begin: int, stop: int) -> None:
         if stop > begin:
-            tree.runs.append((stack[-1][1], page[begin:stop], links > 0))
+            tree.runs.append((held.element(), page[begin:stop], held.links > 0))
 
     while at < end:
-        match = TAG.search(page, at)
+        match = tags.search(page, at) if at <= last_close else None
         if not match:
-            rest = page[at:]
-            cut = re.search(r"<[A-Za-z/!?][^>]*\Z", rest)  # an unfinished tag
-            text(at, at + cut.start() if cut else end)
+            cut = re.compile(r"<[A-Za-z/!?]").search(page, at)  # an unfinished tag or comment
+            text(at, cut.start() if cut else end)
             break
+        if tags is TAG and match[5]:
+            tags = UNQUOTED
         text(at, match.start())
         at = match.end()
-        tag = match[2] or match[5]
+        groups = match.groups()
+        closing, tag, attributes = groups[:3] if groups[1] else groups[-3:]
         if not tag:
             continue  # a comment or declaration
-        tag, closing, attributes = tag.lower(), match[1] or match[4], match[3] or match[6] or ""
+        tag, attributes = tag.lower(), attributes or ""
         if tag in INLINE and tag not in VOID:
             if closing:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] not in INLINE:
-                        break
-                    if stack[depth][0] == tag:
-                        close(depth)
-                        break
+                place = held.last((tag,))
+                if place > held.blocks[-1]:
+                    held.close(place)
             elif not attributes.endswith("/"):
-                stack.append((tag, stack[-1][1]))
-                links += tag == "a"
+                held.push(tag, held.element(), inline=True)
             continue
         tree.runs.append((-1, "", False))
         if tag in VOID:
             continue
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
+            place = held.last((tag,))
+            if place:
+                held.close(place)
             continue
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b[^>]*>?", re.IGNORECASE).search(page, at)
             at = stop.end() if stop else end
             continue
-        if tag in CLOSES_P or tag in SAME_LEVEL:
-            ends = SAME_LEVEL.get(tag, {"p"})
-            stops = STOPS.get(tag, set())
-            for depth in range(len(stack) - 1, 0, -1):
-                open_tag = stack[depth][0]
-                if open_tag in ends:
-                    close(depth)
-                    break
-                if open_tag in stops or (tag in CLOSES_P and open_tag not in INLINE):
-                    break
+        if tag in SAME_LEVEL:
+            place = held.last(SAME_LEVEL[tag])
+            if place > held.last(STOPS.get(tag, ())):
+                held.close(place)
+        elif tag in CLOSES_P and held.stack[held.blocks[-1]][0] == "p":
+            held.close(held.blocks[-1])
         tree.tags.append(tag)
-        tree.parents.append(stack[-1][1])
+        tree.parents.append(held.element())
         tree.attributes.append(attributes)
-        stack.append((tag, len(tree.tags) - 1))
+        held.push(tag, len(tree.tags) - 1, inline=False)
     return tree
 
 
@@ -195,9 +229,24 @@ def features(tree: Tree) -> list[tuple[str, ...]]:
         if i:
             whole[tree.parents[i]] += whole[i]
             all_linked[tree.parents[i]] += all_linked[i]
+    plain = [a - b for a, b in zip(whole, all_linked)]  # text that is no link
+    blocks = [int(size > 0) for size in own]  # elements with text of their own
+    direct = [a - b for a, b in zip(own, linked)]  # plain text right in it or in its passages
+    for i in range(n - 1, 0, -1):
+        blocks[tree.parents[i]] += blocks[i]
+        if tree.tags[i] in PASSAGES:
+            direct[tree.parents[i]] += plain[i]
     out = []
     for i, tag in enumerate(tree.tags):
         found = [f"tag {tag}" if tag in TAGS else "tag other"]
+        if plain[0] and tag not in PASSAGES:
+            # share of the page's unlinked text, and length of its blocks against the parent's
+            found.append(f"share {level(plain[i] / plain[0], (0, 0.1, 0.35, 0.7))}")
+            if plain[i]:
+                found.append(f"direct {level(direct[i] / plain[i], (0, 0.3, 0.8))}")
+            if i and whole[i] and whole[tree.parents[i]] > whole[i]:
+                mean = whole[tree.parents[i]] / blocks[tree.parents[i]]
+                found.append(f"density {level(whole[i] / blocks[i] / mean, (0.4, 0.8, 1.3))}")
         if tree.attributes[i]:
             found += [f"cue {cue}" for cue in sorted(cues(tree.attributes[i]))]
         found.append(f"whole {level(whole[i], (0, 30, 120, 600))}")

@@ -13,6 +13,9 @@ WORDS = (
     "kitchen silver weather engine village music teacher ladder bridge candle forest machine"
 ).split()
 
+#: Stands first in a layout whose body is the article, but for what is marked otherwise.
+MAIN_BODY = "main body"
+
 # One layout per line group: nested (tag, attributes, mark, children); a string names a filler.
 LAYOUTS = [
     # plain semantic page
@@ -119,6 +122,71 @@ LAYOUTS = [
         ("article", "", "*", [("h1", "", "", ["short"]), ("p", "", "", ["short"])]),
         ("footer", "", "", ["legal"]),
     ],
+    # headings and paragraphs right in the body
+    [
+        MAIN_BODY,
+        ("h1", "", "", ["title"]),
+        "paragraphs",
+        ("h2", "", "", ["title"]),
+        "paragraphs",
+    ],
+    # the same between links and a line of rights
+    [
+        MAIN_BODY,
+        ("p", "", "-", ["links"]),
+        ("h1", "", "", ["title"]),
+        "paragraphs",
+        "paragraphs",
+        ("ul", "", "-", ["links"]),
+        ("hr", "", "", []),
+        ("p", "", "-", ["legal"]),
+    ],
+    # columns of a grid that say nothing of what they hold
+    [
+        ("div", 'class="container"', "", [
+            ("div", 'class="row"', "", [("div", 'class="col-md-12"', "", ["links"])]),
+            ("div", 'class="row"', "", [
+                ("div", 'class="col-md-8"', "*", [("h1", "", "", ["title"]), "paragraphs", "paragraphs"]),
+                ("div", 'class="col-md-4"', "", [("h4", "", "", ["short"]), ("ul", "", "", ["links"]), ("p", "", "", ["sentence"])]),
+            ]),
+            ("div", 'class="row"', "", [("div", 'class="col-md-12"', "", ["legal"])]),
+        ]),
+    ],
+    # text parted by line breaks, without paragraphs
+    [
+        ("div", "", "", [
+            ("div", "", "", ["links"]),
+            ("div", "", "*", ["lines"]),
+            ("div", "", "", ["legal"]),
+        ]),
+    ],
+    [
+        ("div", "", "", ["links"]),
+        ("div", "", "*", ["lines"]),
+        ("div", "", "", ["legal"]),
+    ],
+    [
+        ("center", "", "", ["links"]),
+        ("div", "", "*", [("h2", "", "", ["title"]), "lines"]),
+        ("div", "", "", ["short", "links"]),
+    ],
+    # a table that lays out the page
+    [
+        ("table", 'width="100%"', "", [
+            ("tr", "", "", [("td", 'colspan="2"', "", ["links"])]),
+            ("tr", "", "", [
+                ("td", 'width="20%"', "", ["links", "links"]),
+                ("td", "", "*", [("h2", "", "", ["title"]), "paragraphs", "lines"]),
+            ]),
+            ("tr", "", "", [("td", 'colspan="2"', "", ["legal"])]),
+        ]),
+    ],
+    [
+        ("table", "", "", [
+            ("tr", "", "", [("td", "", "", [("font", "", "", ["links"])]), ("td", "", "*", ["lines"])]),
+        ]),
+        ("p", "", "", ["legal"]),
+    ],
 ]
 
 
@@ -130,6 +198,12 @@ def sentence(rng: random.Random, low: int = 6, high: int = 30) -> str:
     return words(rng, low, high).capitalize() + "."
 
 
+def paragraph(rng: random.Random, brief: bool) -> str:
+    if brief and rng.random() < 0.6:
+        return sentence(rng, 1, 8)
+    return " ".join(sentence(rng) for _ in range(rng.randint(1, 6)))
+
+
 def filler(kind: str, rng: random.Random) -> str:
     if kind == "links":
         tag = rng.choice(["li", "span"])
@@ -137,8 +211,14 @@ def filler(kind: str, rng: random.Random) -> str:
             f'<{tag}><a href="/{i}">{words(rng, 1, 3)}</a></{tag}>' for i in range(rng.randint(3, 7))
         )
     if kind == "paragraphs":
-        text = lambda: " ".join(sentence(rng) for _ in range(rng.randint(1, 6)))
-        return "".join(f"<p>{text()}</p>" for _ in range(rng.randint(1, 4)))
+        many = rng.randint(10, 60) if rng.random() < 0.12 else rng.randint(1, 4)
+        brief = rng.random() < 0.3  # short paragraphs, as of speech, among the others
+        return "".join(f"<p>{paragraph(rng, brief)}</p>" for _ in range(many))
+    if kind == "text":
+        return " ".join(sentence(rng) for _ in range(rng.randint(1, 5)))
+    if kind == "lines":
+        gap = rng.choice(["<br>", "<br/>", "<br><br>", "<br />\n"])
+        return gap.join(filler("text", rng) for _ in range(rng.randint(2, 7)))
     if kind == "items":
         return "".join(f"<li>{sentence(rng, 3, 14)}</li>" for _ in range(rng.randint(2, 5)))
     if kind == "comments":
@@ -159,20 +239,24 @@ def rendered(part, rng: random.Random) -> str:
     if isinstance(part, str):
         return filler(part, rng)
     tag, attributes, mark, children = part
+    if tag == "hr":
+        return "<hr>"
     marked = {"*": " data-main=1", "-": " data-main=0", "": ""}[mark]
     inner = "".join(rendered(child, rng) for child in children)
     return f"<{tag} {attributes}{marked}>{inner}</{tag}>"
 
 
-def labelled_pages(copies: int = 12, seed: int = 1) -> list[str]:
+def labelled_pages(copies: int = 7, seed: int = 1) -> list[str]:
     """``copies`` pages of every layout with their marks, filled with different words."""
     rng = random.Random(seed)
     out = []
     for _ in range(copies):
         for layout in LAYOUTS:
-            body = "".join(rendered(part, rng) for part in layout)
-            wrap = rng.random() < 0.4
+            own = layout[0] == MAIN_BODY
+            body = "".join(rendered(part, rng) for part in layout[own:])
+            wrap = rng.random() < 0.4 and not own
             body = f'<div class="wrapper">{body}</div>' if wrap else body
             head = f"<head><title>{words(rng, 2, 5)}</title><style>p{{}}</style></head>"
-            out.append(f"<!DOCTYPE html><html>{head}<body>{body}</body></html>")
+            mark = " data-main=1" * own
+            out.append(f"<!DOCTYPE html><html>{head}<body{mark}>{body}</body></html>")
     return out
