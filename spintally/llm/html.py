@@ -244,6 +244,8 @@ def features(tree: Tree) -> list[tuple[str, ...]]:
             found.append(f"share {level(plain[i] / plain[0], (0, 0.1, 0.35, 0.7))}")
             if plain[i]:
                 found.append(f"direct {level(direct[i] / plain[i], (0, 0.3, 0.8))}")
+                if tag == "body":  # a box of sections, or the article itself
+                    found.append(f"body {level(direct[i] / plain[i], (0, 0.3, 0.8))}")
             if i and whole[i] and whole[tree.parents[i]] > whole[i]:
                 mean = whole[tree.parents[i]] / blocks[tree.parents[i]]
                 found.append(f"density {level(whole[i] / blocks[i] / mean, (0.4, 0.8, 1.3))}")
@@ -252,6 +254,8 @@ def features(tree: Tree) -> list[tuple[str, ...]]:
         found.append(f"whole {level(whole[i], (0, 30, 120, 600))}")
         if whole[i]:
             found.append(f"links {level(all_linked[i] / whole[i], (0.1, 0.5, 0.9))}")
+            if all_linked[i] > 0.5 * whole[i]:
+                found.append(f"linked {tag}")
         if own[i]:
             found.append(f"own {level(own[i], (25, 100, 300))}")
             found.append("ends" if last[i].rstrip()[-1:] in ".!?:;\"”»" else "open")

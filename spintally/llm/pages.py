@@ -152,6 +152,15 @@ LAYOUTS = [
             ("div", 'class="row"', "", [("div", 'class="col-md-12"', "", ["legal"])]),
         ]),
     ],
+    # nothing but the article, in boxes
+    [
+        ("div", 'class="container"', "*", [
+            ("div", 'class="row"', "", [("div", 'class="col-sm-9"', "", ["paragraphs"])]),
+        ]),
+    ],
+    [("div", "", "*", [("div", "", "", ["lines"])])],
+    [("div", "", "*", [("h1", "", "", ["title"]), "lines"])],
+    [("div", "", "*", [("div", "", "", [("h2", "", "", ["title"]), "paragraphs"])]), ("div", "", "", ["legal"])],
     # text parted by line breaks, without paragraphs
     [
         ("div", "", "", [
