@@ -1,10 +1,13 @@
 import itertools
 import math
 import random
+import time
+from collections import Counter
+from html import unescape
 
 import pytest
 
-from spintally.llm import html
+from spintally.llm import html, pages
 from spintally.llm.pages import labelled_pages
 
 SCHEMA = "page_id long, url string, html string, text string, n_chars string"
@@ -94,3 +97,135 @@ def test_table_with_nulls_repeats_and_clashes(spark):
     expected = "One & twoé First part. Second part, longer than the first."
     assert texts == [("1", expected, len(expected))] * 2 + [("2", "", 0), ("None", "", 0)]
     assert html.extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+#: Layouts that are not among the training ones, most of them without a telling name.
+HELD_OUT = [
+    [("ul", "", "", ["links"]), ("section", "", "*", [("h1", "", "", ["title"]), "paragraphs", "paragraphs"]),
+     ("section", "", "", [("h3", "", "", ["short"]), ("ul", "", "", ["links"])]), ("small", "", "", ["legal"])],
+    [("div", 'id="page"', "", [
+        ("div", 'id="left"', "", ["links"]),
+        ("div", 'id="center"', "*", [("h2", "", "", ["title"]), "paragraphs", "lines"]),
+        ("div", 'id="right"', "", [("p", "", "", ["sentence"]), ("ul", "", "", ["links"])])]),
+     ("div", "", "", ["legal"])],
+    [("table", "", "", [("tr", "", "", [("td", "", "", ["links"])]), ("tr", "", "", [
+        ("td", "", "*", [("h1", "", "", ["title"]), "paragraphs", "paragraphs"]),
+        ("td", "", "", [("h4", "", "", ["short"]), "links"])])])],
+    [("div", 'class="flex"', "", [
+        ("div", 'class="w-1/4"', "", [("ol", "", "", ["links"])]),
+        ("div", 'class="w-3/4"', "*", [("h1", "", "", ["title"]), ("div", "", "", ["paragraphs"]), ("div", "", "", ["lines"])])])],
+    [("h1", "", "*", ["title"]), *[("p", "", "*", ["text"])] * 6, ("div", "", "", ["links"])],
+    [("p", "", "*", ["text"])] * 5,
+    [("center", "", "", ["links"]), ("div", 'align="left"', "*", ["lines"]), ("center", "", "", ["legal"])],
+    [("section", "", "", [("header", "", "", ["links"]), ("div", "", "*", [("h3", "", "", ["title"]), "lines"]), ("div", "", "", ["legal"])])],
+]
+
+
+def marked_text(page):
+    tree = html.parse(page)
+    labels, blocks, own = html.marks(tree), [], ""
+    for element, text, _ in [*tree.runs, (-1, "", False)]:
+        if element < 0:
+            blocks.append(" ".join(unescape(own).split()))
+            own = ""
+        elif labels[element]:
+            own += text
+    return " ".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("layout", HELD_OUT)
+def test_layouts_that_were_not_trained_on(model, layout):
+    rng = random.Random(9)
+    kept = total = added = 0
+    for _ in range(25):
+        body = "".join(pages.rendered(part, rng) for part in layout)
+        page = f"<!DOCTYPE html><html><head><title>x y</title></head><body>{body}</body></html>"
+        want, got = Counter(marked_text(page).split()), Counter(text_of(page, model).split())
+        both = want & got
+        kept += sum(len(w) * n for w, n in both.items())
+        total += sum(len(w) * n for w, n in want.items())
+        added += sum(len(w) * n for w, n in (got - both).items())
+    assert kept > 0.95 * total and added < 0.05 * total
+
+
+def test_pages_without_any_cue_are_not_empty(model):
+    words = "The river rose in the morning and the market was closed for the winter. " * 3
+    many = f"<p>{words}</p>" * 3
+    plain = " ".join([words.strip()] * 3)
+    assert text_of(f"<body>{many}</body>", model) == plain
+    assert text_of(f"<html><body><h1>The river</h1>{many}</body></html>", model) == "The river " + plain
+    columns = f'<body><div class="container"><div class="row"><div class="col-md-8">{many}</div></div></div></body>'
+    assert text_of(columns, model) == plain
+    broken = f"<body><div>{words}<br><br>{words}<br>{words}</div></body>"
+    assert text_of(broken, model) == plain
+    menu = "<td><a href=a>Home</a> <a href=b>News</a> <a href=c>About us</a></td>"
+    assert text_of(f"<body><table><tr>{menu}<td>{many}</td></tr></table></body>", model) == plain
+
+
+def test_long_articles_of_short_paragraphs(model):
+    rng = random.Random(3)
+    parts = [pages.sentence(rng, 1, 9) for _ in range(1500)]
+    body = "".join(f"<p>{x}</p>" for x in parts)
+    page = f"<body><nav><ul><li><a href=x>m</a></li></ul></nav><article><h1>Long one</h1>{body}</article></body>"
+    assert text_of(page, model) == " ".join(["Long one", *parts])
+
+
+MB = 1 << 20
+HOSTILE = [
+    "<a " * (MB // 3), "<b>" * (MB // 7) + "</i>" * (MB // 7), "<div>" * (MB // 9) + "</p>" * (MB // 9),
+    "<i><div>" + "<b>" * (MB // 7) + "</i>" * (MB // 7), "<b>" * (MB // 10) + "<p></p>" * (MB // 10),
+    "<li><ul>" + "<div>" * (MB // 14) + "<li></li>" * (MB // 14), "<a \"'>" * (MB // 6), '<a "' * (MB // 4) + ">",
+    "</" * (MB // 2), "<!" * (MB // 2), "<!--" * (MB // 4), "<" * MB, "<script>" * (MB // 8), "<a '\">" * (MB // 6) + "'",
+    "<div " + "a" * MB + ">x</div>", "<div " + "a= " * (MB // 3) + ">x</div>", "<div " + 'a="' * (MB // 3) + ">x</div>",
+    '<div class="' + "Aa" * (MB // 2) + '">x',
+]
+
+
+@pytest.mark.parametrize("number", range(len(HOSTILE)))
+def test_hostile_pages_take_linear_time(model, number):
+    began = time.process_time()
+    text_of(HOSTILE[number], model)
+    assert time.process_time() - began < 5
+
+
+def plain_parse(page):
+    """Parents of the block elements of a page of simple tags, found by walking the open elements."""
+    opened, parents, tags = ["#root"], [], []
+    where = [0]
+    for part in page.replace("<", " <").replace(">", "> ").split():
+        name = part.strip("</>")
+        if not part.startswith("<"):
+            continue
+        inline = name in html.INLINE
+        if part.startswith("</"):
+            for depth in range(len(opened) - 1, 0, -1):
+                if inline and opened[depth] not in html.INLINE:
+                    break
+                if opened[depth] == name:
+                    del opened[depth:], where[depth:]
+                    break
+            continue
+        if not inline:
+            ends = html.SAME_LEVEL.get(name) or {"p"}
+            for depth in range(len(opened) - 1, 0, -1):
+                if opened[depth] in ends and (name in html.SAME_LEVEL or name in html.CLOSES_P):
+                    del opened[depth:], where[depth:]
+                    break
+                if opened[depth] in html.STOPS.get(name, ()):
+                    break
+                if name not in html.SAME_LEVEL and opened[depth] not in html.INLINE:
+                    break
+            parents.append(where[-1])
+            tags.append(name)
+        opened.append(name)
+        where.append(where[-1] if inline else len(tags))
+    return tags, parents
+
+
+def test_trees_as_walked():
+    rng = random.Random(1)
+    names = "b i a p div li ul td tr table dt dd dl option h1 section".split()
+    for _ in range(3000):
+        page = "".join(f"<{rng.choice(['', '', '/'])}{rng.choice(names)}>w " for _ in range(rng.randrange(25)))
+        tree = html.parse(page)
+        assert (tree.tags[1:], tree.parents[1:]) == plain_parse(page)
