@@ -9,7 +9,9 @@ only from where a template's longest mandatory run of words stands.
 
 Defined results: null, empty and blank texts have no words, no places and no labels,
 null first and last words and score zero; repeated rows are judged one by one; an
-empty table gives an empty result.
+empty table gives an empty result; kept columns named like a new one give way to it.
+Texts are read whole: a template is tried only where its anchor stands, so time grows
+with the text's length, and memory with it.
 """
 
 from __future__ import annotations
@@ -53,13 +55,6 @@ TEMPLATES = {
     "agpl-3.0": "under the [[terms of the]] gnu affero general public license [[as published by the "
     "free software foundation]] [[either]] version 3 [[of the license]]",
     "mpl-2.0": "subject to the terms of the mozilla public license [[,]] [[v.]] {{2.0|version 2.0}}",
-    "mit": "permission is hereby granted, free of charge, to any person obtaining a copy of "
-    "{{this software|this font software|the software}} and associated documentation files "
-    "[[(the \"software\")]], to deal in the software without restriction",
-    "isc": "permission to use, copy, modify, {{and|and or}} distribute this software for any purpose "
-    "with or without fee is hereby granted",
-    "bsd": "redistribution and use in source and binary forms, with or without modification, are "
-    "permitted provided that the following conditions are met",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "all-rights-reserved": "[[copyright [[(c)]] [[{{*8}}]]]] all rights reserved",
 }
@@ -80,6 +75,82 @@ NOTICES = tuple(
     )
 )
 
+#: The openings of long wordings. Alone they say little, as the conditions below may be others.
+HEADS = {
+    "mit": "permission is hereby granted, free of charge, to any person obtaining a copy of "
+    "{{this software|this font software|the software}} and associated documentation files "
+    "[[(the \"software\")]], to deal in the software without restriction",
+    "isc": "permission to use, copy, modify, {{and|and or}} distribute this software for any purpose "
+    "with or without fee is hereby granted",
+    "bsd": "redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met",
+}
+HEAD_SCORE = 0.75
+
+_BSD_SOURCE = (
+    "redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: [[1.]] redistributions of source code must retain "
+    "the above copyright notice, this list of conditions and the following disclaimer. [[2.]] "
+    "redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+    "and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+_BSD_NAME = (
+    "[[3.]] neither the name of [[the]] {{*8}} nor the names of {{its|their|the}} contributors may be "
+    "used to endorse or promote products derived from this software without specific prior written "
+    "permission."
+)
+_BSD_DISCLAIMER = (
+    "this software is provided by {{the copyright holders and contributors|the author and contributors|"
+    "the regents and contributors}} \"as is\" and any express or implied warranties, including, but not "
+    "limited to, the implied warranties of merchantability and fitness for a particular purpose are "
+    "disclaimed. in no event shall {{the copyright holder or contributors|the copyright holders or "
+    "contributors|the copyright owner or contributors|the author or contributors|the regents or "
+    "contributors}} be liable for any direct, indirect, incidental, special, exemplary, or consequential "
+    "damages (including, but not limited to, procurement of substitute goods or services; loss of use, "
+    "data, or profits; or business interruption) however caused and on any theory of liability, whether "
+    "in contract, strict liability, or tort (including negligence or otherwise) arising in any way out "
+    "of the use of this software, even if advised of the possibility of such damage."
+)
+#: Whole wordings, with every condition and disclaimer.
+WORDINGS = {
+    "mit": "permission is hereby granted, free of charge, to any person obtaining a copy of "
+    "{{this software|the software}} and associated documentation files [[(the \"software\")]], to deal "
+    "in the software without restriction, including without limitation the rights to use, copy, modify, "
+    "merge, publish, distribute, sublicense, and/or sell copies of the software, and to permit persons "
+    "to whom the software is furnished to do so, subject to the following conditions: the above "
+    "copyright notice and this permission notice [[(including the next paragraph)]] shall be included in "
+    "all copies or substantial portions of the software. the software is provided \"as is\", without "
+    "warranty of any kind, express or implied, including but not limited to the warranties of "
+    "merchantability, fitness for a particular purpose and noninfringement. in no event shall [[the]] "
+    "{{*8}} be liable for any claim, damages or other liability, whether in an action of contract, tort "
+    "or otherwise, arising from, out of or in connection with the software or the use or other dealings "
+    "in the software.",
+    "isc": "permission to use, copy, modify, {{and|and or}} distribute this software for any purpose with "
+    "or without fee is hereby granted, provided that the above copyright notice and this permission "
+    "notice appear in all copies. the software is provided \"as is\" and {{*8}} disclaims all warranties "
+    "with regard to this software including all implied warranties of merchantability and fitness. in no "
+    "event shall {{*8}} be liable for any special, direct, indirect, or consequential damages or any "
+    "damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, "
+    "negligence or other tortious action, arising out of or in connection with the use or performance of "
+    "this software.",
+    "bsd-2-clause": f"{_BSD_SOURCE} {_BSD_DISCLAIMER}",
+    "bsd-3-clause": f"{_BSD_SOURCE} {_BSD_NAME} {_BSD_DISCLAIMER}",
+    "apache-2.0": "licensed under the apache license, version 2.0 (the \"license\"); you may not use this "
+    "{{file|work}} except in compliance with the license. you may obtain a copy of the license at "
+    "{{http|https}}://www.apache.org/licenses/license-2.0 [[.html]] unless required by applicable law or "
+    "agreed to in writing, software distributed under the license is distributed on an \"as is\" basis, "
+    "without warranties or conditions of any kind, either express or implied. see the license for the "
+    "specific language governing permissions and limitations under the license.",
+}
+#: What is searched by default: (label, template, score).
+ALL = (
+    *((label, template, 1.0) for label, template in TEMPLATES.items()),
+    *((label, template, 1.0) for label, template in NOTICES),
+    *((label, template, 1.0) for label, template in WORDINGS.items()),
+    *((label, template, HEAD_SCORE) for label, template in HEADS.items()),
+)
+
 #: Every byte that is no digit, letter or part of a wider character parts words.
 _WORDS = bytes(
     byte + 32 if 0x41 <= byte <= 0x5A
@@ -197,17 +268,20 @@ class Compiled:
     anchor: bytes
     #: How many words may stand before the anchor within the template.
     reach: int
+    score: float
 
 
 @lru_cache(maxsize=4)
-def compiled(templates: tuple[tuple[str, str], ...]) -> list[Compiled]:
+def compiled(templates: tuple[tuple, ...]) -> list[Compiled]:
+    """Automata of (label, template) or (label, template, score); the score is 1 by default."""
     out = []
-    for label, template in templates:
+    for label, template, *score in templates:
         automaton = compile_template(template)
         run = max(automaton.runs, key=lambda words: (len(words), sum(map(len, words))))
         if not run:
             raise ValueError(f"a template needs a mandatory word: {label}")
-        out.append(Compiled(label, automaton, b" " + b" ".join(run) + b" ", len(automaton.step)))
+        anchor = b" " + b" ".join(run) + b" "
+        out.append(Compiled(label, automaton, anchor, len(automaton.step), *score or (1.0,)))
     return out
 
 
@@ -231,7 +305,7 @@ def scan(text: str, templates: list[Compiled]) -> tuple:
         if found:
             starts += found
             base.add(label)
-    accepted = []
+    accepted, best = [], 0.5 if base else 0.0
     for one in templates:
         tried = -1
         for anchor in places(joined, one.anchor):
@@ -239,6 +313,7 @@ def scan(text: str, templates: list[Compiled]) -> tuple:
                 end = one.automaton.accepts(words, begin)
                 if end is not None and end > anchor:
                     accepted.append((one.label, begin, end))
+                    best = max(best, one.score)
                     break
             tried = anchor
     labels = sorted(base | {label for label, _, _ in accepted})
@@ -250,7 +325,7 @@ def scan(text: str, templates: list[Compiled]) -> tuple:
         sorted(base),
         labels,
         [{"label": a, "first_word": b, "end_word": c} for a, b, c in accepted],
-        1.0 if accepted else 0.5 if base else 0.0,
+        best,
     )
 
 
@@ -277,10 +352,11 @@ def find_licenses(
 ) -> DataFrame:
     """``keep`` columns, word and phrase counts, labels and accepted runs, one row per input row.
 
-    ``score`` is 1 where a template accepts, 0.5 where only a phrase stands, else 0.
-    Without ``templates`` both the wordings and the short notices are searched.
+    ``score`` is 1 where a template accepts, 0.75 where only the opening of a long wording
+    stands, 0.5 where only a phrase does, else 0. Without ``templates`` the references,
+    short notices, whole wordings and their openings are searched (``ALL``).
     """
-    own = (*TEMPLATES.items(), *NOTICES) if templates is None else tuple(templates.items())
+    own = ALL if templates is None else tuple(templates.items())
 
     def compute(texts):
         made = [scan(text, compiled(own)) for text in texts]

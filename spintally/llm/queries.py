@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,8 +117,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places of the base phrases and all labels of every document, by the templates of the SQL."""
-    found = licenses.find_licenses(documents(spark, sf_dir), templates=licenses.TEMPLATES)
+    """Places of the base phrases, and all labels of every document."""
+    found = licenses.find_licenses(documents(spark, sf_dir))
     return found.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.concat_ws(",", "base_labels").alias("base_labels"),
@@ -215,6 +216,18 @@ _LICENSES = {
     "lgpl-3.0": f"under the (terms of the )?gnu lesser general public license {_PUBLISHED}version 3",
     "agpl-3.0": f"under the (terms of the )?gnu affero general public license {_PUBLISHED}version 3",
     "mpl-2.0": "subject to the terms of the mozilla public license (v )?(version )?2 0",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+}
+_UNDER = "(licensed|released|distributed|available|provided|published) under (a |an |the )?(terms of the )?"
+_CLAUSES = "((2|3|4|two|three|four) clause )?"
+_NOTICES = {
+    "mit": f"{_UNDER}mit licen[cs]e",
+    "bsd": f"{_UNDER}{_CLAUSES}((new|modified|revised|simplified|original) )?bsd {_CLAUSES}licen[cs]e",
+    "isc": f"{_UNDER}isc licen[cs]e",
+    "mpl": f"{_UNDER}mozilla public licen[cs]e",
+    "mpl-2.0": f"{_UNDER}mozilla public licen[cs]e (2 0|v2 0|v 2 0|version 2 0)",
+}
+_HEADS = {
     "mit": "permission is hereby granted free of charge to any person obtaining a copy of "
     "(this software|this font software|the software) and associated documentation files "
     "(the software )?to deal in the software without restriction",
@@ -222,12 +235,38 @@ _LICENSES = {
     "with or without fee is hereby granted",
     "bsd": "redistribution and use in source and binary forms with or without modification are "
     "permitted provided that the following conditions are met",
-    "unlicense": "this is free and unencumbered software released into the public domain",
 }
-_FOUND = ", ".join(
-    f"CASE WHEN regexp_matches(joined, ' {pattern} ') THEN '{label}' END"
-    for label, pattern in _LICENSES.items()
-)
+
+
+def _pattern(template: str) -> str:
+    """A template's markup as a pattern over words that are each followed by a space."""
+    words = lambda text: "".join(f"{w} " for w in re.findall("[a-z0-9]+", text.lower()))
+    out = ""
+    for part in re.findall(r"\[\[|\]\]|\{\{[^}]*\}\}|[^\[\]{}]+", template):
+        if part in ("[[", "]]"):
+            out += "(" if part == "[[" else ")?"
+        elif part.startswith("{{*"):
+            out += f"([^ ]+ ){{0,{part[3:-2]}}}"
+        elif part.startswith("{{"):
+            out += f"({'|'.join(map(words, part[2:-2].split('|')))})"
+        else:
+            out += words(part)
+    return out.rstrip()
+
+
+_WORDINGS = {label: _pattern(template) for label, template in licenses.WORDINGS.items()}
+
+
+def _matches(patterns: dict[str, str]) -> str:
+    """SQL for the list of labels whose pattern stands in the words."""
+    cases = ", ".join(
+        f"CASE WHEN regexp_matches(joined, ' {pattern} ') THEN '{label}' END"
+        for label, pattern in patterns.items()
+    )
+    return f"list_filter([{cases}], lambda x: x IS NOT NULL)"
+
+
+_FOUND = f"list_concat({_matches(_LICENSES)}, {_matches(_NOTICES)}, {_matches(_WORDINGS)})"
 
 ORACLE: dict[str, str] = {
     "op4_html_extraction": r"""
@@ -285,15 +324,16 @@ ORACLE: dict[str, str] = {
                  list_filter([CASE WHEN len(cc) > 0 THEN 'cc-by' END,
                    CASE WHEN len(gpl) > 0 THEN 'gpl' END,
                    CASE WHEN len(res) > 0 THEN 'reserved' END], lambda x: x IS NOT NULL) AS base,
-                 list_filter([{_FOUND}], lambda x: x IS NOT NULL) AS accepted
+                 {_FOUND} AS accepted, {_matches(_HEADS)} AS heads
           FROM p)
         SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base,
                (list_min(places) - 1)::BIGINT AS first_word,
                (list_max(places) - 1)::BIGINT AS last_word,
                array_to_string(list_sort(base), ',') AS base_labels,
-               array_to_string(list_sort(list_concat(base, accepted)), ',') AS labels,
-               CASE WHEN len(accepted) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE
-                 AS score
+               array_to_string(list_sort(list_distinct(list_concat(base, accepted, heads))), ',')
+                 AS labels,
+               CASE WHEN len(accepted) > 0 THEN 1.0 WHEN len(heads) > 0 THEN {licenses.HEAD_SCORE}
+                    WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
         FROM q""",
     "op13_top_k": """
         WITH v AS (
