@@ -1,5 +1,7 @@
 import random
+import re
 
+import duckdb
 import pytest
 
 from cases_llm import SCHEMA, clashing, odd_rows, rows
@@ -88,7 +90,7 @@ def test_templates_on_real_wordings(spark):
     ],
 )
 def test_license_lines_of_the_documents_and_short_notices(text, labels):
-    own = licenses.compiled((*licenses.TEMPLATES.items(), *licenses.NOTICES))
+    own = licenses.compiled(licenses.ALL)
     found = licenses.scan(f"Some words before. {text} Some words after.", own)
     assert found[5] == labels
     assert found[7] == (1.0 if labels else 0.0)
@@ -138,3 +140,49 @@ def test_bad_templates_and_empty_table(spark):
     with pytest.raises(ValueError):
         licenses.compiled((("x", "[[a]]"),))
     assert licenses.find_licenses(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def wording(label):
+    """A text that a whole wording stands for: optional parts left in, first alternatives."""
+    text = licenses.WORDINGS[label].replace("[[", "").replace("]]", "")
+    text = re.sub(r"\{\{\*8\}\}", "Jane Doe and friends", text)
+    return re.sub(r"\{\{([^|}]*)[^}]*\}\}", r"\1", text)
+
+
+@pytest.mark.parametrize(
+    "label, labels",
+    [
+        ("mit", ["mit"]), ("isc", ["isc"]), ("apache-2.0", ["apache-2.0"]),
+        ("bsd-2-clause", ["bsd", "bsd-2-clause"]), ("bsd-3-clause", ["bsd", "bsd-3-clause"]),
+    ],
+)
+def test_whole_wordings_and_altered_conditions(label, labels):
+    own = licenses.compiled(licenses.ALL)
+    text = wording(label)
+    found = licenses.scan(f"Copyright 2020. {text.upper()} More words.", own)
+    assert found[5] == labels and found[7] == 1.0
+    words = text.split()
+    altered = " ".join([*words[:-12], "but", "not", "for", "evil", *words[-12:]])
+    found = licenses.scan(altered, own)
+    assert label == "apache-2.0" or (found[5] == labels[:1] and found[7] == licenses.HEAD_SCORE)
+    assert licenses.scan(" ".join(words[3:]), own)[7] < licenses.HEAD_SCORE
+
+
+def test_sql_knows_all_templates(spark, tmp_path):
+    texts = [*TEXTS, *(wording(x) for x in licenses.WORDINGS)]
+    texts += [" ".join(t.split()[:-20]) + " and more" for t in texts[len(TEXTS) :]]
+    texts += [
+        f"x {under} the {name} {word} y"
+        for under in ("Released under", "available under the terms of", "made under")
+        for name in ("MIT", "BSD", "3-clause BSD", "new BSD 2-clause", "ISC", "Mozilla Public", "GPL")
+        for word in ("License", "licence", "License, v. 2.0", "course")
+    ]
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    query = f"SELECT doc_id, labels, score, n_base FROM ({queries.ORACLE['op9_license_scan']})"
+    expected = sorted(con.execute(query).fetchall())
+    found = queries.op9_license_scan(spark, str(tmp_path)).select("doc_id", "labels", "score", "n_base")
+    assert sorted(tuple(r) for r in found.collect()) == expected
+    assert {s for _, _, s, _ in expected} == {0.0, 0.5, 0.75, 1.0}
