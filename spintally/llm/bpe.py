@@ -6,7 +6,9 @@ merged over linked bytes, the lowest rank first and the leftmost of equals, with
 heap of candidate pairs. A worker remembers the pre-tokens it has met.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; every row
-is encoded by itself, so repeated rows and ids, ties and extra columns change nothing.
+is encoded by itself, so repeated rows and ids, ties and extra columns change nothing;
+kept columns named like a new one give way to it; an empty table gives an empty result.
+Texts are encoded whole; memory grows with the longest text.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ Only the table of combinations reaches the driver: its size is bounded by the
 labelers, not by the texts.
 
 Defined results: null and empty texts have no spans; repeated rows are searched one by
-one and each counts in the statistics; an empty table gives an empty result.
+one and each counts in the statistics; an empty table gives an empty result; kept
+columns named like a new one give way to it. Texts are searched whole, a few MB at a
+time and one text at least, so memory grows with the longest text only.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spintally.llm import spans
-from spintally.llm.rows import map_texts
+from spintally.llm.rows import map_column, map_texts, strings
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("ssn", "iban", "name", "local_phone")
@@ -383,15 +385,14 @@ def redact(
 ) -> DataFrame:
     """``keep`` columns, the redacted ``text_col`` (null stays null) and its ``n_spans``."""
 
-    def compute(texts):
+    def compute(column):
         memo: dict = {}
+        texts = strings(column)
         found = [decide(text, model, memo)[1] for text in texts]
         made = [redacted(text, own) for text, own in zip(texts, found)]
-        return [pa.array(made, pa.string()), pa.array(list(map(len, found)), pa.int32())]
+        missing = column.is_null().to_numpy(zero_copy_only=False)
+        counts = pa.array(list(map(len, found)), pa.int32())
+        return [pa.array(made, pa.string(), mask=missing), counts]
 
-    marked = docs.withColumn("was_null", F.col(f"`{text_col}`").isNull())
-    kept = [c for c in keep if c != text_col]
-    out = map_texts(
-        marked, compute, f"`{text_col}` string, n_spans int", text_col, [*kept, "was_null"]
-    )
-    return out.withColumn(text_col, F.when(~F.col("was_null"), F.col(text_col))).drop("was_null")
+    typed = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    return map_column(typed, compute, f"`{text_col}` string, n_spans int", text_col, keep)

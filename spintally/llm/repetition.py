@@ -8,7 +8,9 @@ united, and a text is turned down if they cover too much of it or one is too lon
 Suffixes whose next words occur once leave the sort early, so clean text is cheap.
 
 Defined results: a null, empty or blank text has no words and fails the base rule;
-repeated rows are judged alike, one by one; an empty table gives an empty result.
+repeated rows are judged alike, one by one; an empty table gives an empty result; kept
+columns named like a new one give way to it. Texts are judged whole; besides the words a
+few arrays of their length are held, however long the longest repetition is.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from spintally.llm import ragged
+from spintally.llm import ragged, suffixes
 from spintally.llm.rows import map_texts
 
 SYMBOLS = "#*$%&|<>"
@@ -38,95 +40,28 @@ FIELDS = (
 
 
 class SortedSuffixes:
-    """Ranks of the suffixes of several word sequences by their first 1, 2, 4, ... words.
+    """The suffixes of several word sequences that recur, sorted, with their common prefixes.
 
-    ``levels[L]`` gives each position a rank that it shares with the positions of the
-    same text at which the same ``L`` words stand. ``order`` has the positions with a
-    first word that recurs, sorted by the whole suffix.
+    ``least`` is the shortest repetition that will be asked for.
     """
 
-    def __init__(self, words: np.ndarray, bounds: np.ndarray):
-        n = len(words)
-        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        self.ends = bounds[1:][text]
-        self.levels: dict[int, np.ndarray] = {}
-        rank = np.zeros(n, np.int32)  # one such array is kept for each level
-        active = np.arange(n)
-        key = text * (int(words.max(initial=0)) + 1) + words
-        length = 1
-        while True:
-            order = np.argsort(key, kind="stable")
-            sorted_key, place = key[order], np.arange(len(order))
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = sorted_key[1:] != sorted_key[:-1]
-            group = np.maximum.accumulate(np.where(fresh, place, 0))
-            if length == 1:
-                ranks = group
-            else:
-                old = rank[active][order]
-                turn = np.ones(len(order), bool)
-                turn[1:] = old[1:] != old[:-1]
-                ranks = old + group - np.maximum.accumulate(np.where(turn, place, 0))
-            rank = rank.copy()
-            rank[active[order]] = ranks
-            self.levels[length] = rank
-            alone = fresh & np.append(fresh[1:], True)
-            if length == 1:
-                self.recurring = active[order][~alone]
-            active = active[order][~alone]
-            if not len(active):
-                break
-            then = active + length
-            inside = then < self.ends[active]
-            second = np.where(inside, rank[np.minimum(then, n - 1)] + 1, 0)
-            key = rank[active].astype(np.int64) * (n + 1) + second
-            length *= 2
-
-    def shared(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Words that the suffixes at ``left`` and ``right`` have in common, pair by pair."""
-        held = np.zeros(len(left), np.int64)
-        for length in sorted(self.levels, reverse=True):
-            rank = self.levels[length]
-            a, b = left + held, right + held
-            inside = (a < self.ends[left]) & (b < self.ends[right])
-            same = np.zeros(len(left), bool)
-            same[inside] = rank[a[inside]] == rank[b[inside]]
-            held += same * length
-        return held
+    def __init__(self, words: np.ndarray, bounds: np.ndarray, least: int = 1):
+        self.at = suffixes.repeated_suffixes(words, bounds, least)
+        shared = suffixes.common_prefixes(words, bounds, self.at)
+        # a suffix shares most with one of its two neighbours in the order
+        self.longest = np.maximum(shared, np.append(shared[1:], 0)[: len(shared)])
 
     def repeated(self, length: int) -> np.ndarray:
         """Positions at which ``length`` words stand that recur in the same text."""
-        if not len(self.recurring):
-            return self.recurring
-        level = max(k for k in self.levels if k <= length)
-        rank = self.levels[level]
-        at = self.recurring[np.argsort(rank[self.recurring], kind="stable")]
-        if level < length:  # the rest of the words, by the ranks of the overlapping end
-            shift = length - level
-            at = at[at + length <= self.ends[at]]
-            at = at[np.lexsort((rank[at + shift], rank[at]))]
-            if not len(at):
-                return at
-            same = (rank[at][1:] == rank[at][:-1]) & (rank[at + shift][1:] == rank[at + shift][:-1])
-        else:
-            same = rank[at][1:] == rank[at][:-1]
-        return at[np.append(same, False) | np.append(False, same)]
+        return self.at[self.longest >= length]
 
     def longest_repeats(self, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and lengths of the longest repeated passage from each, from ``least`` words.
 
-        A suffix shares most with one of its two neighbours in the order, and that
-        length is the deepest interval of common prefixes it lies in.
+        The length is the deepest interval of common prefixes that the suffix lies in.
         """
-        at = self.repeated(least)
-        last = self.levels[max(self.levels)]
-        at = at[np.argsort(last[at], kind="stable")]
-        if len(at) < 2:
-            return at[:0], at[:0]
-        shared = self.shared(at[:-1], at[1:])
-        longest = np.maximum(np.append(shared, 0), np.append(0, shared))
-        keep = longest >= least
-        return at[keep], longest[keep]
+        keep = self.longest >= least
+        return self.at[keep], self.longest[keep]
 
 
 def covered(starts: np.ndarray, sizes: np.ndarray, n: int) -> np.ndarray:
@@ -165,10 +100,11 @@ def counts(texts: list[str], min_repeat: int = MIN_REPEAT) -> list[pa.Array]:
     cover, longest = repeat.copy(), repeat.copy()
     if pieces:
         codes = pa.array(pieces, pa.large_binary()).dictionary_encode().indices.to_numpy()
-        suffixes = SortedSuffixes(codes.astype(np.int64), bounds)
-        windows = suffixes.repeated(WINDOW)
+        least = min(WINDOW, min_repeat)
+        ordered = SortedSuffixes(codes.astype(np.int64), bounds, least)
+        windows = ordered.repeated(WINDOW)
         repeat = per_text(covered(windows, np.full(len(windows), WINDOW), len(codes)), bounds)
-        starts, lengths = suffixes.longest_repeats(min_repeat)
+        starts, lengths = ordered.longest_repeats(min_repeat)
         cover = per_text(covered(starts, lengths, len(codes)), bounds)
         np.maximum.at(longest, np.searchsorted(bounds, starts, "right") - 1, lengths)
     made = (sizes, word_bytes - following, symbols, np.array(dup_lines), repeat, cover, longest)

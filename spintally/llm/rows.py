@@ -41,7 +41,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def bounded(spark: SparkSession) -> None:
-    """Bound the bytes of a batch where the session leaves them at a larger size."""
+    """Bound the bytes of a batch where the session leaves them at a larger size.
+
+    The setting is read when a plan runs, after the operator has returned, so it stays lowered
+    for the session; it bounds batches and changes no result.
+    """
     if int(spark.conf.get(BATCH_SETTING).rstrip("bB")) > BATCH_BYTES:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 

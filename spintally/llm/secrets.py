@@ -8,7 +8,12 @@ query says, and only the texts left are searched with the rule itself. A rule wi
 mandatory trigrams searches every text.
 
 Defined results: null and empty texts have no spans; repeated rows are searched one by
-one; spans of different rules may overlap; an empty table gives an empty result.
+one; spans of different rules may overlap; an empty table gives an empty result; kept
+columns named like a new one give way to it. Texts are searched whole, a few MB at a time
+and one text at least, so memory grows with the longest text only.
+
+The parse tree is that of Python's own regular expressions, from the modules in which
+CPython keeps it since version 3.11.
 """
 
 from __future__ import annotations
@@ -17,8 +22,6 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
-from re import _constants as sre
-from re import _parser as sre_parser
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,6 +29,12 @@ from pyspark.sql import DataFrame
 from spintally.llm import ragged, spans
 from spintally.llm.rows import map_texts
 
+try:
+    from re import _constants as sre
+    from re import _parser as sre_parser
+except ImportError as missing:
+    raise ImportError("secret scans need the parse trees of CPython 3.11 or later") from missing
+
 #: Largest set of strings that a part of a rule is followed through exactly.
 EXACT_LIMIT = 48
 #: Largest character class that counts as a set of letters.

@@ -9,7 +9,9 @@ together, and the full Hamming distance decides.
 
 Defined results: null and blank texts have fingerprint zero and link like any
 other; repeated rows are rows of their own with the same fingerprint; a component
-made of null ids only has a null id; an empty table gives an empty result.
+made of null ids only has a null id; an empty table gives an empty result. Texts are
+read whole, their shingles a piece at a time; ``keep`` columns named ``fp``, ``root`` or
+``component_id`` give way to the new ones, and ``deduplicated`` keeps all columns as they are.
 """
 
 from __future__ import annotations

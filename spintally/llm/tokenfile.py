@@ -8,8 +8,10 @@ bits of an id and the end id. A block holds whole documents, so each can be unpa
 by itself: any document's bits follow from its offset, without reading the others.
 
 Defined results: a null or empty text is the end id alone; repeated ids are separate
-documents, in the order of their texts' hashes; null ids come first; an empty table
-gives a file without blocks.
+documents, in the order of their texts' hashes; null ids come first; an id that is no
+whole number is stored as null; an empty table gives a file without blocks; other columns
+are not read, whatever their names. Texts are encoded whole; a worker holds a block, which
+closes after the document that fills it, so memory grows with the longest text.
 """
 
 from __future__ import annotations
@@ -127,12 +129,12 @@ class PieceEncoder:
 
     def encode(self, texts: list[str], pattern: str) -> tuple[np.ndarray, np.ndarray]:
         """A text with the string of an added token goes through the library whole."""
-        whole = [row for row, text in enumerate(texts) if any(a in text for a in self.added)]
+        whole = {row for row, text in enumerate(texts) if any(a in text for a in self.added)}
         if not whole:
             return encode_slice(texts, pattern, self.table)
         parts = []
         for row, text in enumerate(texts):
-            if row in set(whole):
+            if row in whole:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 parts.append(np.array(ids, np.uint32))
             else:
@@ -161,7 +163,7 @@ def blocks(
     with open(tokenizer_path, "rb") as file:
         held = spark.sparkContext.broadcast(file.read())
     rows = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{id_col}`").try_cast("long").alias("doc_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     ).withColumn("tie", F.xxhash64("text"))
     # a repeated id may hold many rows, so the hash takes part in the cut into ranges

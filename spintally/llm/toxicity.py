@@ -19,7 +19,8 @@ model is fitted on the greatest of them in string order, and all are scored.
 
 Defined results: null, empty and blank texts have no features and get the base
 severity; repeated rows are scored alike; without toxic labels nothing is rejected
-(severity zero); an empty table gives an empty result.
+(severity zero); an empty table gives an empty result; kept columns named like a new one
+give way to it. Texts are scored whole, a few MB at a time and one text at least.
 """
 
 from __future__ import annotations
