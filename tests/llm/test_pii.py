@@ -140,3 +140,16 @@ def test_pathological_runs_stay_linear():
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert pii.find_pii(empty, pii.fit(empty)).collect() == []
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame(
+        [(1, "mail a.b@example.com now", "x"), (2, None, "y"), (3, "", None)],
+        "doc_id long, text string, was_null string",
+    )
+    model = pii.fit(docs)
+    made = pii.redact(docs, model, keep=("doc_id", "was_null")).orderBy("doc_id")
+    assert made.columns == ["doc_id", "was_null", "text", "n_spans"]
+    assert [tuple(r) for r in made.collect()] == [
+        (1, "x", "mail [EMAIL] now", 1), (2, "y", None, 0), (3, None, "", 0)
+    ]

@@ -1,5 +1,6 @@
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cases_llm import SCHEMA, odd_rows, prose, rows
@@ -96,3 +97,27 @@ def test_repeated_rows_leave_one(spark):
     data += [(None, "another text without any id at all", None, None, None)] * 2
     kept = simhash.deduplicated(spark.createDataFrame(data, SCHEMA)).collect()
     assert sorted(str(r.doc_id) for r in kept) == ["0", "None"]
+
+
+def test_columns_of_any_name_pass_the_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ["was_null", "n_spans", "rejected", "severity", "others", "fp", "root", "others.text"]
+    for number, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{number}-"), F.col("doc_id").cast("string")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+        for row in docs.collect():
+            own = [row[name] for name in names]
+            assert own == [None if row.doc_id is None else f"{i}-{row.doc_id}" for i in range(len(names))]
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert last.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "round_trip"]
+
+
+def test_empty_tables_pass_all_stages(spark, tmp_path):
+    for name, ddl in (
+        ("documents", SCHEMA), ("labels", "doc_id long, quality int, toxic int"),
+        ("benchmark", "item_id long, text string"),
+    ):
+        spark.createDataFrame([], ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

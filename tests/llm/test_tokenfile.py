@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -74,3 +75,26 @@ def test_empty_table(spark, tmp_path):
     target = str(tmp_path / "file")
     tokenfile.write(spark.createDataFrame([], SCHEMA), target, PATH, P.PATTERN, 0)
     assert tokenfile.read(spark, target).collect() == []
+
+
+def test_ids_that_are_no_numbers_and_texts_with_added_tokens(spark, tmp_path):
+    data = [("b2", "one text"), ("7", "two <|endoftext|> texts"), (None, "three"), ("1.5x", "one text")]
+    docs = spark.createDataFrame(data, "doc_id string, text string")
+    path = str(tmp_path / "tokens")
+    tokenfile.write(docs, path, P.path("byte_bpe_50k.json"), P.PATTERN, 0)
+    found = sorted((str(r.doc_id), r.n_tokens) for r in tokenfile.read(spark, path).collect())
+    own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    expected = [
+        ("7" if i == "7" else "None", len(own.encode(t, add_special_tokens=False).ids) + 1) for i, t in data
+    ]
+    assert found == sorted(expected)
+
+
+def test_many_texts_with_added_tokens_take_linear_time():
+    own = tokenfile.encoder(open(P.path("byte_bpe_50k.json"), "rb").read())
+    took = []
+    for n in (2_000, 8_000):
+        began = time.process_time()
+        own.encode(["a <|endoftext|>"] * n, P.PATTERN)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * max(took[0], 0.02)
