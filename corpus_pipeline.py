@@ -3,6 +3,12 @@
 Every stage reads all rows its predecessor kept and returns the columns of documents,
 the last one its ids. ``run`` writes each stage's table to the shared folder, so a lost
 executor never costs more than the stage it is in.
+
+Defined results: null and empty texts pass every stage (a null one stays null up to the
+last, which gives it no ids); repeated rows are one near-duplicate group, so one of them
+stays; rows without an id are told apart by their texts; an empty table gives empty tables;
+columns of ``documents`` beside its own are kept through all stages but the last, whatever
+their names. Texts are never cut, so memory grows with the longest one.
 """
 
 from __future__ import annotations
@@ -17,12 +23,22 @@ from spintally.session import run_dir
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``text``, and all other columns in one, so that no name clashes with an operator's."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select("text", F.struct(*others).alias("others"))
+
+
+def unpacked(made: DataFrame, names: list[str]) -> DataFrame:
+    return made.select(*[F.col(c if c == "text" else f"others.`{c}`") for c in names])
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
-    scored = toxicity.score(docs, model, keep=tuple(docs.columns))
-    return scored.filter(~F.col("rejected")).select(*docs.columns)
+    scored = toxicity.score(packed(docs), model, keep=("text", "others"))
+    return unpacked(scored.filter(~F.col("rejected")), docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +54,14 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind and ``n_chars`` adjusted."""
-    clean = pii.redact(docs, pii.fit(docs), keep=tuple(c for c in docs.columns if c != "text"))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    clean = pii.redact(packed(docs), pii.fit(docs), keep=("others",))
+    return unpacked(clean, docs.columns).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked against the bytes they decode to."""
     path = public_tokenizers.path(RANKS)
-    keep = tuple(docs.columns)
+    keep = ("doc_id", "lang", "source", "text")
     ids = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=keep)
     back = bpe.decode(ids, path, keep=(*keep, "n_tokens", "ids"))
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
