@@ -51,7 +51,11 @@ def sliding_rate(rows: DataFrame, series: str, ms: str) -> DataFrame:
     return as_rates(sliding_counts(rows, series, ms), series)
 
 
-def peak_rate(rows: DataFrame, series: str, ms: str) -> DataFrame:
+def peak_of(counts: DataFrame) -> DataFrame:
     """The highest rate of all series together; counts are added, as those are exact."""
-    totals = sliding_counts(rows, series, ms).groupBy("window_start").agg(F.sum("n").alias("n"))
+    totals = counts.groupBy("window_start").agg(F.sum("n").alias("n"))
     return totals.agg(per_second(F.max("n")).alias("peak_per_second"))
+
+
+def peak_rate(rows: DataFrame, series: str, ms: str) -> DataFrame:
+    return peak_of(sliding_counts(rows, series, ms))

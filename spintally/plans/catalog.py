@@ -25,7 +25,7 @@ from spintally.schema import (
 )
 from spintally.session import drop_folder, run_dir, streaming_session
 from spintally.sources import tables, wire
-from spintally.streaming import exact, metrics, sinks, watermarked
+from spintally.streaming import exact, live_rates, metrics, sinks, state, watermarked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -644,6 +644,25 @@ def stream_batch_metrics(spark, sf_dir):
     return answers[0].union(answers[1])
 
 
+@query
+def stream_open_windows(spark, sf_dir):
+    """The windows that the completion query still holds in its state."""
+    root = _run_stream(spark, sf_dir, watermarked.start_completion)
+    return _read_from(spark, root, state.open_completion(spark, root).drop("state_partition"))
+
+
+@query
+def stream_ingest_rate(spark, sf_dir):
+    root = _run_stream(spark, sf_dir, live_rates.start_rates)
+    return _read_from(spark, root, live_rates.live_rate(spark, root))
+
+
+@query
+def stream_peak_ingest_rate(spark, sf_dir):
+    root = _run_stream(spark, sf_dir, live_rates.start_rates)
+    return _read_from(spark, root, live_rates.live_peak(spark, root))
+
+
 @query
 def exact_stream_completion_history(spark, sf_dir):
     root = _run_stream(spark, sf_dir, exact.start_exact_completion)

@@ -423,6 +423,15 @@ ORACLE: dict[str, str] = {
            - (SELECT sum(is_start) FROM taken5) AS BIGINT) AS late_starts
        UNION ALL SELECT 'top_songs', CAST((SELECT sum(is_start) FROM marked)
            - (SELECT count(*) FROM taken60) AS BIGINT)""",
+    "stream_open_windows": _with(PLAY, LATE, SLICED, STREAM_STATS)
+    + """SELECT * FROM stats
+         WHERE window_end + 60000 > (SELECT max(ts_ms) FROM sliced)""",
+    "stream_ingest_rate": _with(PLAY) + _rate_sql("play", "event_type"),
+    "stream_peak_ingest_rate": _with(PLAY)
+    + """, t AS (
+           SELECT (arrival_ms // 15000) * 15000 - o.i * 15000 AS window_start, count(*) AS n
+           FROM play CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS i) o GROUP BY ALL)
+         SELECT max(n) / CAST(60 AS DOUBLE) AS peak_per_second FROM t""",
     "stream_batch_metrics": _with(PLAY, LATE, SLICED)
     + """, per_slice AS (
          SELECT slice, CAST(sum(is_start) AS BIGINT) AS starts FROM sliced GROUP BY slice),

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -21,11 +22,11 @@ from cases import (
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from spintally.operators import aggregates, serving
+from spintally.operators import aggregates, rates, serving
 from spintally.schema import COMPLETION_FIELDS, HOURLY_FIELDS, columns
 from spintally.session import streaming_session
 from spintally.sources import streams, wire
-from spintally.streaming import metrics, sinks, watermarked
+from spintally.streaming import live_rates, metrics, sinks, state, watermarked
 
 
 class Feed:
@@ -456,3 +457,43 @@ def test_metrics_go_on_after_a_restart(spark, tmp_path):
     metrics.record(spark, run_hourly(spark, feed, root), root)
     rows = metrics.batch_metrics(spark, root, HOURLY_FIELDS, "play_count").orderBy("batch_id").collect()
     assert [(r.starts, r.added, r.late_starts) for r in rows] == [(2, 2, 0), (2, 2, 0), (1, 0, 1)]
+
+
+def test_open_windows_are_read_from_the_named_state(spark, tmp_path):
+    feed, root = Feed(tmp_path / "in"), str(tmp_path / "out")
+    feed.add_events([event("a", "PLAY_START", ALIGNED + i) for i in range(3)])
+    feed.add_events(
+        [event("a", "PLAY_START", ALIGNED + HOUR), event("b", "PLAY_END", ALIGNED + HOUR, 230_000)]
+    )
+    run_completion(spark, feed, root)
+    rows = state.open_completion(spark, root).collect()
+    assert {(r.song_id, r.window_start, r.starts, r.completes, r.completion_rate) for r in rows} == {
+        ("a", ALIGNED + HOUR, 1, 0, 0.0), ("b", ALIGNED + HOUR, 0, 1, 0.0)
+    }
+    assert history(spark, root)["a", ALIGNED] == (3, 0)  # closed, and only in the history
+    assert state.state_partitions(spark, f"{root}/checkpoint") == 4
+
+    run_hourly(spark, feed, f"{root}2")
+    rows = state.open_hourly(spark, f"{root}2").collect()
+    hour = ALIGNED // HOUR * HOUR
+    assert [(r.song_id, r.window_start, r.window_end, r.play_count) for r in rows] == [
+        ("a", hour + HOUR, hour + 2 * HOUR, 1)
+    ]
+
+
+def test_live_rates_equal_those_of_the_table(spark, tmp_path):
+    rng = random.Random(2)
+    arrivals = sorted(rng.randrange(0, 200_000) for _ in range(400))
+    types = ["PLAY_START", "SKIP", "PLAY_END"]
+    rows = [(types[rng.randrange(3)], ALIGNED + ms) for ms in arrivals]
+    table = spark.createDataFrame(rows, "event_type string, arrival_ms bigint")
+    folder, root = str(tmp_path / "in"), str(tmp_path / "rates")
+    for first in range(0, 400, 80):
+        part = spark.createDataFrame(rows[first : first + 80], table.schema).coalesce(1)
+        part.write.mode("append").parquet(folder)
+        reader = streaming_session(spark).readStream.schema(table.schema)
+        live_rates.start_rates(reader.parquet(folder), root, available_now=True).awaitTermination()
+    got = sorted(tuple(r) for r in live_rates.live_rate(spark, root).collect())
+    assert got == sorted(tuple(r) for r in rates.sliding_rate(table, "event_type", "arrival_ms").collect())
+    peak = rates.peak_rate(table, "event_type", "arrival_ms").first()
+    assert live_rates.live_peak(spark, root).first() == peak
