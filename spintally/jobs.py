@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from spintally.operators import latest, replay, serving
+from spintally.operators.sizing import sized
 from spintally.schema import (
     COMPLETION_FIELDS,
     COMPLETION_TOPIC,
@@ -29,7 +30,8 @@ from spintally.schema import (
 )
 from spintally.session import build_session, streaming_session
 from spintally.sources import streams, wire
-from spintally.streaming import exact, metrics, sinks, watermarked
+from spintally.streaming import exact, handover, metrics, sinks, watermarked
+from spintally.streaming.state import COMPLETION_COUNTERS, HOURLY_COUNTERS
 
 COMPLETION, HOURLY = "completion", "hourly"
 STARTERS = {
@@ -42,45 +44,62 @@ READERS = {COMPLETION: sinks.read_completion_history, HOURLY: sinks.read_hourly_
 UPDATES = {COMPLETION: watermarked.completion_updates, HOURLY: watermarked.hourly_updates}
 TOPICS = {COMPLETION: COMPLETION_TOPIC, HOURLY: HOURLY_TOPIC}
 FIELDS = {COMPLETION: COMPLETION_FIELDS, HOURLY: HOURLY_FIELDS}
+COUNTERS = {COMPLETION: COMPLETION_COUNTERS, HOURLY: HOURLY_COUNTERS}
 #: Well within the batches that Spark remembers at one a second.
 RECORD_SECONDS = 30
 
 
-def _beside(decoded: DataFrame, main: StreamingQuery, args, every: str) -> None:
+def _beside(
+    decoded: DataFrame, main: StreamingQuery, args, every: str, first_batch: int = 0
+) -> None:
     """Keep rejected messages under ``root/quarantine`` while the main query runs.
 
     Without an end of their own, both run until one of them stops or fails. What the main
     query observes is stored as it runs.
     """
-    side = watermarked.start_quarantine(decoded, f"{args.root}/quarantine", args.once, every)
+    # a topic goes on from its offsets; the new folder after a hand-over needs a new checkpoint
+    checkpoint = "checkpoint" if args.servers or not first_batch else f"checkpoint-{first_batch}"
+    side = watermarked.start_quarantine(
+        decoded, f"{args.root}/quarantine", args.once, every, checkpoint
+    )
     spark = decoded.sparkSession
     if not args.once:
         while not spark.streams.awaitAnyTermination(RECORD_SECONDS):
-            metrics.record(spark, main, args.root)
+            metrics.record(spark, main, args.root, first_batch)
         main.stop()
         side.stop()
     main.awaitTermination()
-    metrics.record(spark, main, args.root)
+    metrics.record(spark, main, args.root, first_batch)
     side.awaitTermination()
 
 
-def _event_stream(spark: SparkSession, args) -> DataFrame:
+def _event_stream(spark: SparkSession, args, last: handover.Handover | None) -> DataFrame:
     session = streaming_session(spark)
     if args.servers:
-        return streams.read_event_topic(session, args.servers)
+        starting = "earliest" if last is None else last.offsets
+        return streams.read_event_topic(session, args.servers, starting=starting)
     return streams.read_event_lines(session, args.lines)
 
 
 def stream(spark: SparkSession, args) -> None:
-    """Aggregate a topic or a folder of JSON lines into ``root`` until stopped, or once."""
+    """Aggregate a topic or a folder of JSON lines into ``root`` until stopped, or once.
+
+    With ``--hand-over`` the run is followed by a hand-over: the next one starts with the
+    number of state partitions that its session sets. A folder must then be a new one.
+    """
     if args.exact and not args.servers:
         raise ValueError("the exact rule needs the partitions and offsets of a topic")
-    decoded = _event_stream(spark, args)
+    if args.hand_over and (args.exact or not args.once):
+        raise ValueError("only a run by watermark that ends can hand over: use --once")
+    last = handover.latest(spark, args.root)
+    decoded = _event_stream(spark, args, last)
     every = args.every or (exact.EXACT_INTERVAL if args.exact else watermarked.FLUSH_INTERVAL)
     main = STARTERS[args.kind, args.exact](
         wire.valid_events(decoded), args.root, args.once, args.writers, every
     )
-    _beside(decoded, main, args, every)
+    _beside(decoded, main, args, every, 0 if last is None else last.first_batch)
+    if args.hand_over:
+        handover.hand_over(spark, main, args.root, FIELDS[args.kind], COUNTERS[args.kind])
 
 
 def ingest(spark: SparkSession, args) -> None:
@@ -110,7 +129,8 @@ def backfill(spark: SparkSession, args) -> DataFrame:
     """
     rejected = 0
     if args.servers:
-        decoded = streams.read_event_topic(spark, args.servers, stream=False)
+        # the topic is read once, so that all that follows sees the same end of it
+        decoded = sized(streams.read_event_topic(spark, args.servers, stream=False), "topic")
         events = wire.valid_events(decoded)
         wire.quarantine(decoded).write.parquet(f"{args.target}/quarantine")
         rejected = spark.read.parquet(f"{args.target}/quarantine").count()
@@ -213,6 +233,7 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--servers")
     source.add_argument("--lines")
     sub.add_argument("--exact", action="store_true")
+    sub.add_argument("--hand-over", action="store_true")
     sub.add_argument("--writers", type=int)
 
     sub = running(command("ingest", ingest, kind=False))

@@ -10,12 +10,13 @@ from spintally.sources.wire import decode_play_events, encode
 
 
 def kafka_source_options(
-    servers: str, topic: str, max_offsets: int | None = None
+    servers: str, topic: str, max_offsets: int | None = None, starting: str = "earliest"
 ) -> dict[str, str]:
+    """``starting`` is a place or, as JSON, the offsets that a stopped query has handed over."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": "earliest",
+        "startingOffsets": starting,
     }
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
@@ -28,13 +29,14 @@ def read_topic(
     topic: str,
     max_offsets: int | None = None,
     stream: bool = True,
+    starting: str = "earliest",
 ) -> DataFrame:
-    """Messages of a topic from its beginning, with key and value as text.
+    """Messages of a topic, from its beginning unless told otherwise, with key and value as text.
 
     The broker's partition and offset give the arrival order that a replay needs; for
     one, read the topic as a table (``stream=False``).
     """
-    options = kafka_source_options(servers, topic, max_offsets if stream else None)
+    options = kafka_source_options(servers, topic, max_offsets if stream else None, starting)
     reader = spark.readStream if stream else spark.read
     return (
         reader.format("kafka")
@@ -51,10 +53,16 @@ def read_topic(
 
 
 def read_event_topic(
-    spark: SparkSession, servers: str, max_offsets: int | None = None, stream: bool = True
+    spark: SparkSession,
+    servers: str,
+    max_offsets: int | None = None,
+    stream: bool = True,
+    starting: str = "earliest",
 ) -> DataFrame:
     """Decoded play events with the reason for rejection, if any."""
-    return decode_play_events(read_topic(spark, servers, EVENTS_TOPIC, max_offsets, stream))
+    return decode_play_events(
+        read_topic(spark, servers, EVENTS_TOPIC, max_offsets, stream, starting)
+    )
 
 
 def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:

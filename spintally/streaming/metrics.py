@@ -54,13 +54,14 @@ def progress_rows(query: StreamingQuery) -> list[tuple]:
     return [rows[batch] for batch in sorted(rows)]
 
 
-def record(spark: SparkSession, query: StreamingQuery, root: str) -> int:
+def record(spark: SparkSession, query: StreamingQuery, root: str, first_batch: int = 0) -> int:
     """Store the progress of ``query`` under ``root/metrics``; the number of batches stored.
 
     Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` batches of a run,
-    so a long run is recorded from time to time. A batch recorded again counts once.
+    so a long run is recorded from time to time. A batch recorded again counts once. After a
+    hand-over, ``first_batch`` is the number in the history of the query's batch 0.
     """
-    rows = progress_rows(query)
+    rows = [(first_batch + batch, *rest) for batch, *rest in progress_rows(query)]
     if rows:
         table = spark.createDataFrame(rows, SCHEMA).coalesce(1)
         table.write.mode("overwrite").parquet(f"{root}/{METRICS}/upto={rows[-1][0]}")

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from spintally.functions.plays import completion_rate
 from spintally.schema import COMPLETION_FIELDS, HOURLY_FIELDS, columns
 
+#: Counters in the order in which the state holds them.
+COMPLETION_COUNTERS = ("starts", "completes")
+HOURLY_COUNTERS = ("play_count",)
+
 
 def open_windows(spark: SparkSession, checkpoint: str, counters: tuple[str, ...]) -> DataFrame:
     """``song_id``, ``window_start``, ``window_end``, the counters and the state partition."""
@@ -31,7 +35,7 @@ def open_windows(spark: SparkSession, checkpoint: str, counters: tuple[str, ...]
 
 def open_completion(spark: SparkSession, root: str) -> DataFrame:
     """Open five-minute windows of the completion query under ``root``, as completion records."""
-    rows = open_windows(spark, f"{root}/checkpoint", ("starts", "completes"))
+    rows = open_windows(spark, f"{root}/checkpoint", COMPLETION_COUNTERS)
     return rows.withColumn("completion_rate", completion_rate()).select(
         *columns(COMPLETION_FIELDS), "state_partition"
     )
@@ -39,7 +43,7 @@ def open_completion(spark: SparkSession, root: str) -> DataFrame:
 
 def open_hourly(spark: SparkSession, root: str) -> DataFrame:
     """Open hours of the hourly query under ``root``, as hourly records."""
-    rows = open_windows(spark, f"{root}/checkpoint", ("play_count",))
+    rows = open_windows(spark, f"{root}/checkpoint", HOURLY_COUNTERS)
     return rows.select(*columns(HOURLY_FIELDS), "state_partition")
 
 

@@ -14,14 +14,18 @@ from spintally.operators.latest import HISTORY_KEY, latest_per_key
 from spintally.schema import (
     COMPLETION_FIELDS,
     COMPLETION_GRACE_MS,
+    COMPLETION_WINDOW_MS,
     HOURLY_FIELDS,
     RANKING_GRACE_MS,
+    RANKING_WINDOW_MS,
     columns,
     table_schema,
 )
 from spintally.sources.wire import quarantine, valid_records
+from spintally.streaming import handover
 from spintally.streaming.metrics import observed
 from spintally.streaming.sinks import history_sink
+from spintally.streaming.state import COMPLETION_COUNTERS, HOURLY_COUNTERS
 
 COMPLETION_QUERY = "completion-stats"
 HOURLY_QUERY = "hourly-play-counts"
@@ -73,9 +77,14 @@ def start_completion(
     every: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
     """Completion records into ``root/history`` and ``root/latest``; arrivals are observed."""
+    last = handover.latest(events.sparkSession, root)
     sink = history_sink(COMPLETION_FIELDS, root, writers)
-    updates = completion_updates(observed(events))
-    return start(updates, sink, f"{root}/checkpoint", COMPLETION_QUERY, available_now, every)
+    sink = handover.continued(sink, last, COMPLETION_FIELDS, COMPLETION_COUNTERS)
+    taken = handover.still_open(observed(events), COMPLETION_WINDOW_MS, last)
+    checkpoint = handover.checkpoint(root, last)
+    return start(
+        completion_updates(taken), sink, checkpoint, COMPLETION_QUERY, available_now, every
+    )
 
 
 def start_hourly(
@@ -86,9 +95,12 @@ def start_hourly(
     every: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
     """Hourly records into ``root/history`` and ``root/latest``; arrivals are observed."""
+    last = handover.latest(events.sparkSession, root)
     sink = history_sink(HOURLY_FIELDS, root, writers)
-    updates = hourly_updates(observed(events))
-    return start(updates, sink, f"{root}/checkpoint", HOURLY_QUERY, available_now, every)
+    sink = handover.continued(sink, last, HOURLY_FIELDS, HOURLY_COUNTERS)
+    taken = handover.still_open(observed(events), RANKING_WINDOW_MS, last)
+    checkpoint = handover.checkpoint(root, last)
+    return start(hourly_updates(taken), sink, checkpoint, HOURLY_QUERY, available_now, every)
 
 
 def start_consumer(
@@ -115,7 +127,11 @@ def start_consumer(
 
 
 def start_quarantine(
-    decoded: DataFrame, root: str, available_now: bool = False, every: str = FLUSH_INTERVAL
+    decoded: DataFrame,
+    root: str,
+    available_now: bool = False,
+    every: str = FLUSH_INTERVAL,
+    checkpoint: str = "checkpoint",
 ) -> StreamingQuery:
     """Rejected messages, as received and with the reason, into ``root/rejected``."""
     writer = (
@@ -123,7 +139,7 @@ def start_quarantine(
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", f"{root}/rejected")
-        .option("checkpointLocation", f"{root}/checkpoint")
+        .option("checkpointLocation", f"{root}/{checkpoint}")
     )
     return triggered(writer, available_now, every).start()
 

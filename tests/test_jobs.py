@@ -97,7 +97,7 @@ def topics(spark, tmp_path, monkeypatch):
     schema = "key string, value string, part int, seq bigint, arrival_ms bigint"
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/play-events")
 
-    def read_topic(session, servers, topic, max_offsets=None, stream=True):
+    def read_topic(session, servers, topic, max_offsets=None, stream=True, starting="earliest"):
         reader = session.readStream if stream else session.read
         return reader.schema(schema).parquet(f"{tmp_path}/{topic}")
 
@@ -197,3 +197,44 @@ def test_stored_history_gives_way_to_later_batches(spark, tmp_path):
     sinks.write_history_batch(rows(("a", 5, 5)), f"{tmp_path}/live", 0)
     both = sinks.read_completion_history(spark, f"{tmp_path}/replayed", f"{tmp_path}/live")
     assert {r.song_id: r.starts for r in latest.latest_completion(both).collect()} == {"a": 5, "b": 2}
+
+
+def test_backfill_reads_a_topic_once(spark, tmp_path, monkeypatch):
+    events = [dict(e, part=0) for e in sessions(40, seed=9)]
+    messages = [(json.dumps({"broken": 1}), 0, 999)] + [
+        (wire_text(e), 0, i) for i, e in enumerate(numbered(events))
+    ]
+    topic = spark.createDataFrame(messages, "value string, part int, seq bigint")
+    topic = topic.selectExpr("cast(null as string) AS key", "*", "seq AS arrival_ms")
+    seen = []
+
+    def read(spark, servers, *, stream, starting="earliest"):
+        assert not stream
+        decoded = wire.decode_play_events(topic)
+        decoded.createOrReplaceTempView("topic_rows")
+        return decoded
+
+    real = jobs.replay.completion_emissions
+    monkeypatch.setattr(jobs.streams, "read_event_topic", read)
+    monkeypatch.setattr(jobs.replay, "completion_emissions", lambda e: seen.append(e) or real(e))
+    jobs.run(spark, ["backfill", "completion", "--servers", "none", "--target", f"{tmp_path}/out"])
+    text = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in text and "LogicalRDD" not in text and "LocalRelation" not in text
+    stored = sinks.read_completion_history(spark, f"{tmp_path}/out/history").collect()
+    assert {(r.song_id, r.window_start): (r.starts, r.completes) for r in stored} == totals(events, FIVE_MIN)
+    assert spark.read.parquet(f"{tmp_path}/out/quarantine").count() == 1
+
+
+def test_a_run_hands_over_to_the_next(spark, tmp_path):
+    events = sessions(60, seed=3)
+    root, half = f"{tmp_path}/root", len(events) // 2
+    for number, part in enumerate((events[:half], events[half:])):
+        folder = tmp_path / f"in{number}"
+        folder.mkdir()
+        (folder / "0.txt").write_text("\n".join(wire_text(e) for e in numbered(part)) + "\n")
+        more = ["--hand-over"] * (number == 0)
+        jobs.run(spark, ["stream", "completion", "--lines", str(folder), "--root", root, "--once", *more])
+    stored = sinks.read_completion_history(spark, f"{root}/history").collect()
+    assert {(r.song_id, r.window_start): (r.starts, r.completes) for r in stored} == totals(events, FIVE_MIN)
+    with pytest.raises(ValueError):
+        jobs.run(spark, ["stream", "completion", "--lines", "x", "--root", root, "--hand-over"])

@@ -26,7 +26,7 @@ from spintally.operators import aggregates, rates, serving
 from spintally.schema import COMPLETION_FIELDS, HOURLY_FIELDS, columns
 from spintally.session import streaming_session
 from spintally.sources import streams, wire
-from spintally.streaming import live_rates, metrics, sinks, state, watermarked
+from spintally.streaming import handover, live_rates, metrics, sinks, state, watermarked
 
 
 class Feed:
@@ -497,3 +497,70 @@ def test_live_rates_equal_those_of_the_table(spark, tmp_path):
     assert got == sorted(tuple(r) for r in rates.sliding_rate(table, "event_type", "arrival_ms").collect())
     peak = rates.peak_rate(table, "event_type", "arrival_ms").first()
     assert live_rates.live_peak(spark, root).first() == peak
+
+
+def with_partitions(spark, count):
+    session = streaming_session(spark)
+    session.conf.set("spark.sql.shuffle.partitions", str(count))
+    return session
+
+
+@pytest.mark.parametrize("kind", ["completion", "hourly"])
+def test_state_partitions_change_without_losing_or_doubling(spark, tmp_path, kind):
+    rng = random.Random(5)
+    first_of = {"completion": watermarked.start_completion, "hourly": watermarked.start_hourly}
+    read_of = {"completion": sinks.read_completion_history, "hourly": sinks.read_hourly_history}
+    fields = {"completion": COMPLETION_FIELDS, "hourly": HOURLY_FIELDS}[kind]
+    counters = {"completion": state.COMPLETION_COUNTERS, "hourly": state.HOURLY_COUNTERS}[kind]
+    step = {"completion": FIVE_MIN, "hourly": HOUR}[kind]
+    batches = []
+    for number in range(6):  # each goes on in the windows of the one before, and has late events
+        own = []
+        for _ in range(60):
+            back = rng.choice([0, 0, 0, 1, 4])
+            ts = ALIGNED // HOUR * HOUR + (number * step) // 2 + rng.randrange(step) - back * step
+            kind_of = rng.choice(["PLAY_START", "PLAY_START", "PLAY_END", "SKIP"])
+            own.append(event(f"s{rng.randrange(7)}", kind_of, ts, 230_000))
+        batches.append(own)
+
+    def run(folder, root, count, some):
+        feed = Feed(folder)
+        for own in some:
+            feed.add_events(own)
+        lines = streams.read_event_lines(with_partitions(spark, count), feed.folder, 1)
+        query = first_of[kind](wire.valid_events(lines), root, available_now=True)
+        query.awaitTermination()
+        return query
+
+    whole, split = str(tmp_path / "whole"), str(tmp_path / "split")
+    run(tmp_path / "all", whole, 4, batches)
+    for number, (count, some) in enumerate([(4, batches[:2]), (8, batches[2:4]), (3, batches[4:])]):
+        query = run(tmp_path / f"part{number}", split, count, some)
+        last = handover.latest(spark, split)
+        assert state.state_partitions(spark, handover.checkpoint(split, last)) == count
+        if number < 2:
+            made = handover.hand_over(spark, query, split, fields, counters)
+            assert handover.latest(spark, split) == made
+
+    def rows(root):
+        table = read_of[kind](spark, f"{root}/history")
+        return sorted(tuple(r) for r in table.select(*columns(fields)).collect())
+
+    assert rows(split) == rows(whole)
+    found = sinks.batches(spark, f"{split}/history")
+    assert len(found) == len(set(found)) >= 6
+    late = 60 * 6 - sum(r[3] for r in rows(whole))
+    assert kind == "completion" or late > 0
+
+
+def test_only_a_stopped_query_hands_over(spark, tmp_path):
+    feed = Feed(tmp_path / "in")
+    feed.add_events([event("a", "PLAY_START", ALIGNED)])
+    root = str(tmp_path / "out")
+    query = watermarked.start_completion(feed.events(spark), root)
+    try:
+        with pytest.raises(ValueError):
+            handover.hand_over(spark, query, root, COMPLETION_FIELDS, state.COMPLETION_COUNTERS)
+    finally:
+        query.stop()
+    assert handover.latest(spark, root) is None
