@@ -30,6 +30,11 @@ BEFORE_ALL_BATCHES = -1
 ROWS_PER_FILE = 500_000
 BATCH = re.compile(r"batch_id=(-?\d+)")
 HISTORY, LATEST, ARRIVED = "history", "latest", "latest_by_arrival"
+#: A view is compacted by the sink after so many batches, beside the batches themselves.
+COMPACT_EVERY = 100
+COMPACTED = "-compacted"
+#: Song ids get a Bloom filter in each row group, so that a lookup skips those without the song.
+SONG_FILTER = {"parquet.bloom.filter.enabled#song_id": "true"}
 DAY_KEY = ("window_date", *HISTORY_KEY)
 
 
@@ -53,6 +58,7 @@ def _write_days(rows: DataFrame, root: str, batch_id: int, mode: str) -> None:
     (
         rows.sortWithinPartitions("window_date", "song_id", "window_start")
         .write.mode(mode)
+        .options(**SONG_FILTER)
         .partitionBy("window_date")
         .parquet(batch_path(root, batch_id))
     )
@@ -151,7 +157,8 @@ def compact_history(spark: SparkSession, fields, target: str, *roots: str) -> No
 
 def _write_view(rows: DataFrame, root: str, batch_id: int, mode: str) -> None:
     """One row per song; sorted by song within files, so that a lookup can skip them."""
-    rows.sortWithinPartitions("song_id").write.mode(mode).parquet(batch_path(root, batch_id))
+    sorted_rows = rows.sortWithinPartitions("song_id")
+    sorted_rows.write.mode(mode).options(**SONG_FILTER).parquet(batch_path(root, batch_id))
 
 
 def write_latest_batch(
@@ -174,15 +181,53 @@ def write_latest_batch(
         _write_view(last.select(*names), f"{root}/{ARRIVED}", batch_id, "overwrite")
 
 
-def _views(spark: SparkSession, roots, fields) -> DataFrame:
+def _views(spark: SparkSession, roots, fields, before: int | None = None) -> DataFrame:
+    """Rows of views: of each the newest compaction and the batches after it.
+
+    ``before`` leaves compactions from that batch on aside.
+    """
     schema = table_schema(fields).add("batch_id", "long")
     rows = None
-    for root in roots:
-        part = spark.read.schema(schema).parquet(root)
+
+    def add(reader, *paths):
+        nonlocal rows
+        part = reader.schema(schema).parquet(*paths)
         rows = part if rows is None else rows.unionByName(part)
+
+    for root in roots:
+        done = [n for n in batches(spark, root + COMPACTED) if before is None or n < before]
+        if not done:
+            add(spark.read, root)
+            continue
+        after = [batch_path(root, n) for n in batches(spark, root) if n > done[-1]]
+        compacted = batch_path(root + COMPACTED, done[-1])
+        add(spark.read.option("basePath", root + COMPACTED), compacted)
+        if after:
+            add(spark.read.option("basePath", root), *after)
     return rows
 
 
+def compact_views(spark: SparkSession, fields, root: str, batch_id: int) -> None:
+    """Gather the views of ``root`` up to a batch into one row per song.
+
+    What the compaction before this one stands in for is dropped, so a reader has
+    ``COMPACT_EVERY`` batches' time before the files it has listed go. A compaction cut
+    short is written again by the retried batch.
+    """
+    for view, pick in ((LATEST, _newest), (ARRIVED, _last)):
+        path = f"{root}/{view}"
+        if batch_id not in batches(spark, path):
+            continue
+        rows = _views(spark, [path], fields, batch_id).filter(F.col("batch_id") <= batch_id)
+        _write_view(pick(rows, fields), path + COMPACTED, batch_id, "overwrite")
+        older = [n for n in batches(spark, path + COMPACTED) if n < batch_id]
+        for number in batches(spark, path):
+            if older and number <= older[-1]:
+                drop_batch(spark, path, number)
+        for number in older[:-1]:
+            drop_batch(spark, path + COMPACTED, number)
+
+
 def _newest(rows: DataFrame, fields) -> DataFrame:
     names = columns(fields)
     versions = latest_per_key(rows, HISTORY_KEY, "batch_id").select(*names)
@@ -241,7 +286,7 @@ def retire(spark: SparkSession, root: str, compacted: str) -> list[int]:
     so that a retirement that was cut short is finished by the next one.
     """
     upto = max(batches(spark, f"{compacted}/{HISTORY}"))
-    for table in (ARRIVED, LATEST, HISTORY):
+    for table in (ARRIVED + COMPACTED, LATEST + COMPACTED, ARRIVED, LATEST, HISTORY):
         gone = [n for n in batches(spark, f"{root}/{table}") if n <= upto]
         for batch_id in gone:
             drop_batch(spark, f"{root}/{table}", batch_id)
@@ -250,7 +295,7 @@ def retire(spark: SparkSession, root: str, compacted: str) -> list[int]:
 
 def clear_latest(spark: SparkSession, root: str) -> None:
     """Drop the views; the history stays, and ``rebuild_latest`` can write them anew."""
-    for view in (LATEST, ARRIVED):
+    for view in (LATEST + COMPACTED, ARRIVED + COMPACTED, LATEST, ARRIVED):
         for batch_id in batches(spark, f"{root}/{view}"):
             drop_batch(spark, f"{root}/{view}", batch_id)
 
@@ -265,12 +310,24 @@ def rebuild_latest(history: DataFrame, fields, target: str) -> None:
     _write_view(newest.select(*names), target, BEFORE_ALL_BATCHES, "errorifexists")
 
 
-def history_sink(fields, root: str, writers: int | None = None, arrival: bool = False):
-    """``foreachBatch`` function: history first, then the latest view, both retry-safe."""
+def history_sink(
+    fields,
+    root: str,
+    writers: int | None = None,
+    arrival: bool = False,
+    compact_every: int = COMPACT_EVERY,
+):
+    """``foreachBatch`` function: history first, then the latest view, both retry-safe.
+
+    After every ``compact_every`` batches the views are compacted, so that a lookup opens a
+    bounded number of files however long the query has run.
+    """
 
     def store(updates: DataFrame, batch_id: int) -> None:
         write_history_batch(updates, f"{root}/{HISTORY}", batch_id, writers)
         write_latest_batch(updates.sparkSession, fields, root, batch_id, arrival)
+        if (batch_id + 1) % compact_every == 0:
+            compact_views(updates.sparkSession, fields, root, batch_id)
 
     return store
 

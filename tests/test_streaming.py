@@ -23,7 +23,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from spintally.operators import aggregates, rates, serving
-from spintally.schema import COMPLETION_FIELDS, HOURLY_FIELDS, columns
+from spintally.schema import COMPLETION_FIELDS, HOURLY_FIELDS, columns, table_schema
 from spintally.session import streaming_session
 from spintally.sources import streams, wire
 from spintally.streaming import handover, live_rates, metrics, sinks, state, watermarked
@@ -564,3 +564,78 @@ def test_only_a_stopped_query_hands_over(spark, tmp_path):
     finally:
         query.stop()
     assert handover.latest(spark, root) is None
+
+
+def files_read(df):
+    """Files that the scans of a plan have opened, by their own metrics."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, total = [plan], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            node = node.executedPlan()
+        if hasattr(node, "plan") and "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        if "numFiles" in node.metrics().keySet().mkString(","):
+            total += node.metrics().apply("numFiles").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_a_lookup_opens_few_files_after_many_batches(spark, tmp_path):
+    root = str(tmp_path / "out")
+    names = columns(COMPLETION_FIELDS)
+    many = 2000
+    for batch in range(many - 1):
+        os.makedirs(f"{root}/latest/batch_id={batch}")
+        song = f"s{batch % 300}"
+        frame = pd.DataFrame([(song, ALIGNED + batch * FIVE_MIN, ALIGNED + (batch + 1) * FIVE_MIN, batch, 0, 0.0)], columns=names)
+        frame.to_parquet(f"{root}/latest/batch_id={batch}/part-0.parquet")
+    store = sinks.history_sink(COMPLETION_FIELDS, root, compact_every=100)
+
+    def add(batch, song, starts):
+        start = ALIGNED + batch * FIVE_MIN
+        row = (song, start, start + FIVE_MIN, starts, 0, 0.0)
+        store(spark.createDataFrame([row], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table_schema(COMPLETION_FIELDS))), batch)
+
+    before = {r.song_id: tuple(r) for r in sinks.read_latest_completion(spark, f"{root}/latest").collect()}
+    add(many - 1, "s7", 77)  # the batch that compacts
+    for batch in range(many, many + 3):
+        add(batch, "s8", batch)
+    view = sinks.read_latest_completion(spark, f"{root}/latest")
+    after = {r.song_id: r.starts for r in view.collect()}
+    expected = {song: row[3] for song, row in before.items()} | {"s7": 77, "s8": many + 2}
+    assert after == expected
+    compacted = len(list((tmp_path / "out" / "latest-compacted").rglob("*.parquet")))
+    assert files_read(serving.completion_lookup(view, "s7")) <= compacted + 3 < 20
+
+    for batch in range(many + 3, many + 200):
+        os.makedirs(f"{root}/latest/batch_id={batch}", exist_ok=True)
+        pd.DataFrame([("s9", ALIGNED, ALIGNED + FIVE_MIN, 1, 0, 0.0)], columns=names).to_parquet(f"{root}/latest/batch_id={batch}/part-0.parquet")
+        if (batch + 1) % 100 == 0:
+            sinks.compact_views(spark, COMPLETION_FIELDS, root, batch)
+    assert sinks.batches(spark, f"{root}/latest-compacted") == [many + 99, many + 199]
+    assert sinks.batches(spark, f"{root}/latest") == list(range(many + 100, many + 200))
+    sinks.compact_views(spark, COMPLETION_FIELDS, root, many + 199)  # as a retried batch does
+    view = sinks.read_latest_completion(spark, f"{root}/latest")
+    assert {r.song_id: r.starts for r in view.collect()} == expected
+    assert files_read(serving.completion_lookup(view, "s7")) < 20
+    sinks.clear_latest(spark, root)
+    assert sinks.batches(spark, f"{root}/latest-compacted") == []
+
+
+def test_files_have_a_filter_of_the_songs(spark, tmp_path):
+    many = spark.range(200_000).selectExpr(
+        "sha1(cast(id as string)) AS song_id", "0L AS window_start", "1L AS window_end",
+        "1L AS starts", "0L AS completes", "0.0D AS completion_rate",
+    ).coalesce(1)
+    sinks.rebuild_latest(many, COMPLETION_FIELDS, f"{tmp_path}/view")
+    read = spark.read.parquet(f"{tmp_path}/view").drop("batch_id").coalesce(1)
+    read.sortWithinPartitions("song_id").write.parquet(f"{tmp_path}/plain")
+
+    def size(folder):
+        return sum(p.stat().st_size for p in (tmp_path / folder).rglob("*.parquet"))
+
+    assert size("view") > size("plain") + 100_000
