@@ -348,4 +348,49 @@ ORACLE: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT
             AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    # CRC-32 bit by bit: a byte is mixed in, then shifted out in eight steps (-1 each).
+    "op12_spelling_variants": """
+        WITH RECURSIVE d AS (
+          SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(run,
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+          FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run
+                FROM documents)),
+        own AS (SELECT id, run, count(*) AS times FROM d WHERE length(run) >= 5 GROUP BY id, run),
+        hashed AS (
+          SELECT *, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+              flatten(list_transform(string_split(id || ':' || run, ''), lambda c:
+                CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END)),
+              lambda b: list_concat([b], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+            lambda h, b: CASE WHEN b >= 0 THEN xor(h, b)
+              WHEN h & 1 = 1 THEN xor(h >> 1, 3988292384) ELSE h >> 1 END)) AS h
+          FROM own),
+        w AS (
+          SELECT word, sum(times)::BIGINT AS n FROM (
+            SELECT times, CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT)
+                     || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
+          WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+        cut AS (
+          SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest
+          FROM (SELECT word, unnest(range(1, length(word) + 1))::INT AS i FROM w)),
+        pairs AS (
+          SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest
+          WHERE a.word <> b.word
+          UNION SELECT cut.word, w.word FROM cut JOIN w ON w.word = cut.rest
+          UNION SELECT w.word, cut.word FROM cut JOIN w ON w.word = cut.rest),
+        best AS (
+          SELECT p.word, count(*) AS n_near,
+                 first(p.near ORDER BY m.n DESC, p.near) AS near, max(m.n) AS near_n
+          FROM pairs p JOIN w m ON m.word = p.near GROUP BY p.word),
+        f AS (
+          SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+                 CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+                 CASE WHEN near_n >= 2 * w.n THEN near_n END::BIGINT AS form_n
+          FROM w LEFT JOIN best ON best.word = w.word),
+        chain AS (
+          SELECT word, word AS place FROM f
+          UNION ALL
+          SELECT c.word, f.form FROM chain c JOIN f ON f.word = c.place WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, c.place AS root, f.n, f.n_near, f.form_n
+        FROM f JOIN chain c ON c.word = f.word
+        JOIN f AS last ON last.word = c.place AND last.form IS NULL""",
 }
