@@ -35,6 +35,10 @@ CONTRACT = {
     "base_labels string, labels string, score double",
     "op10": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
     "base_sha256 string, spans string",
+    "op11": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, "
+    "exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
+    "op12": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
+    "op13": "query_id bigint, rank int, vec_id bigint, score bigint",
 }
 
 
