@@ -60,7 +60,7 @@ def test_columns_of_the_contract(spark, name):
     for column in CONTRACT[name.split("_")[0]].split(", "):
         field, kind = column.split()
         assert types[field] == kind
-    if name.split("_")[0] not in ("op3", "op4"):
+    if name.split("_")[0] not in ("op3", "op4", "op12", "op13"):  # those have rows of other things
         assert made.count() == len(documents(SMALL))
 
 
