@@ -17,6 +17,7 @@ part weighs more than the events, a longer one or the watermark queries are the
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,7 +80,6 @@ RANKING = Aggregation(
 
 
 CLOCKS = "part int, stream_ms bigint"
-FIRST = "part int, ts_ms bigint, seq bigint, last_seq bigint, newest_ms bigint"
 CLOSING = "part int, window_start bigint, closer bigint"
 
 
@@ -93,7 +93,7 @@ def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
         + ["changed boolean", "seq bigint"]
     )
     # Tables a batch leaves behind, each with one folder per batch.
-    tables = {"first": FIRST, "closing": CLOSING, "clocks": CLOCKS, "windows": windows}
+    tables = {"closing": CLOSING, "clocks": CLOCKS, "windows": windows}
 
     def read(spark: SparkSession, table: str, batch_id: int) -> DataFrame:
         """What a batch left behind; nothing before the first one."""
@@ -109,7 +109,27 @@ def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
         spark = events.sparkSession
         picked = rule.pick(events)
         clock = read(spark, "clocks", batch_id - 1)
-        first = keep(first_arrivals(picked).drop("start"), "first", batch_id)
+        # a few rows per partition and minute, read by two plans; an executor that is lost
+        # with some of them costs their part of the batch again
+        first = first_arrivals(picked).drop("start").persist()
+        times = first.select("part", F.col("newest_ms").alias("stream_ms")).unionByName(clock)
+        times = times.groupBy("part").agg(F.max("stream_ms").alias("stream_ms"))
+        try:
+            with ThreadPoolExecutor(1) as beside:
+                moved = beside.submit(keep, times, "clocks", batch_id)
+                updates = merged(picked, first, clock, batch_id)
+                moved.result()
+        finally:
+            first.unpersist()
+        publish(rule.records(updates, "seq"), batch_id)
+        for table in tables:
+            drop_batch(spark, f"{root}/{table}", batch_id - 2)
+
+    def merged(
+        picked: DataFrame, first: DataFrame, clock: DataFrame, batch_id: int
+    ) -> DataFrame:
+        """Write the open windows of a batch; those it has changed."""
+        spark = picked.sparkSession
 
         # The clocks act as events that came before all others of the batch.
         before = F.lit(-1).cast("bigint")
@@ -136,7 +156,7 @@ def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
             .drop("stream_ms")
             .withColumns({"changed": F.lit(False), "seq": F.lit(None).cast("bigint")})
         )
-        merged = (
+        windows_now = (
             fresh.unionByName(still_open)
             .groupBy(*WINDOW_KEY)
             .agg(
@@ -145,13 +165,7 @@ def exact_sink(rule: Aggregation, root: str, writers: int | None = None):
                 F.max("seq").alias("seq"),
             )
         )
-        updates = keep(merged, "windows", batch_id).filter("changed")
-        times = first.select("part", F.col("newest_ms").alias("stream_ms")).unionByName(clock)
-        keep(times.groupBy("part").agg(F.max("stream_ms").alias("stream_ms")), "clocks", batch_id)
-
-        publish(rule.records(updates, "seq"), batch_id)
-        for table in tables:
-            drop_batch(spark, f"{root}/{table}", batch_id - 2)
+        return keep(windows_now, "windows", batch_id).filter("changed")
 
     return store
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,10 +176,17 @@ def write_latest_batch(
     schema = table_schema(fields).add("seq", "long")
     stored = spark.read.schema(schema).parquet(batch_path(f"{root}/{HISTORY}", batch_id))
     newest = latest_per_key(stored.select(*names), ("song_id",), "window_start")
-    _write_view(newest.select(*names), f"{root}/{LATEST}", batch_id, "overwrite")
+    views = {LATEST: newest.select(*names)}
     if arrival:
         last = latest_per_key(stored.select(*names, "seq"), ("song_id",), "seq")
-        _write_view(last.select(*names), f"{root}/{ARRIVED}", batch_id, "overwrite")
+        views[ARRIVED] = last.select(*names)
+    with ThreadPoolExecutor(len(views)) as side_by_side:
+        written = [
+            side_by_side.submit(_write_view, rows, f"{root}/{view}", batch_id, "overwrite")
+            for view, rows in views.items()
+        ]
+    for one in written:
+        one.result()
 
 
 def _views(spark: SparkSession, roots, fields, before: int | None = None) -> DataFrame:
