@@ -267,7 +267,10 @@ def search(
         blocks = bounded_queries.groupBy("block").agg(
             F.min(F.coalesce(least, F.lit(0.0))).alias("least")
         )
-        spread = blocks.withColumn("cell", F.explode(F.sequence(F.lit(done), F.lit(until - 1))))
+        # longs as in ``cells``: an int and a long that are equal hash to different partitions,
+        # and groups of different ones never meet
+        first, last = (F.lit(cell).cast("long") for cell in (done, until - 1))
+        spread = blocks.withColumn("cell", F.explode(F.sequence(first, last)))
         pairs = saved(
             spread.join(lengths, "cell")
             .filter(F.col("longest") >= F.col("least") * (1 - SLACK))

@@ -59,6 +59,26 @@ def test_search_as_brute_force(spark):
         assert sorted(tuple(r) for r in found.collect()) == plain(data, lambda q: q % 10 == 0, k)
 
 
+def test_every_cell_meets_its_queries_in_many_partitions(spark):
+    data = vectors(6)
+    df = spark.createDataFrame(data, SCHEMA).repartition(3)
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "31",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = topk.search(
+            df, df.filter("vec_id % 10 = 0"), 7, vectors_per_cell=40, queries_per_block=30
+        )
+        assert sorted(tuple(r) for r in found.collect()) == plain(data, lambda q: q % 10 == 0, 7)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_close_vectors_are_pruned_by_coordinates(spark, monkeypatch):
     rng = random.Random(4)
     middles = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(40)]
