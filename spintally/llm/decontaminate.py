@@ -315,10 +315,13 @@ def filter_of(hashes: DataFrame, power: int) -> Filter:
     return Filter(out.view(np.uint64), power)
 
 
-def windows_of(texts: list[str], size: int, asked: Filter | None) -> list[pa.Array]:
+def windows_of(
+    texts: list[str], size: int, asked: Filter | np.ndarray | None
+) -> list[pa.Array]:
     """Number of windows of each text by all readings, and those that pass a filter.
 
-    Without one all windows are given, their slots with roles, as for benchmark items.
+    The hashes themselves may be given for a filter. Without either all windows are given,
+    their slots with roles, as for benchmark items.
     """
     tokens = Tokens(texts)
     totals = np.zeros(len(texts), np.int64)
@@ -330,7 +333,12 @@ def windows_of(texts: list[str], size: int, asked: Filter | None) -> list[pa.Arr
         owner = templates.text[starts] if len(starts) else starts
         own = np.bincount(owner, minlength=len(texts))
         totals += own
-        picked = np.arange(len(starts)) if asked is None else asked.among(hashes)
+        if asked is None:
+            picked = np.arange(len(starts))
+        elif isinstance(asked, np.ndarray):
+            picked = np.flatnonzero(np.isin(hashes, asked))
+        else:
+            picked = asked.among(hashes)
         for at in picked.tolist():
             begin, row = int(starts[at]), int(owner[at])
             slots = [

@@ -48,7 +48,7 @@ def documents(folder):
 
 def test_every_operator_and_the_pipeline_are_registered():
     found = [name.split("_")[0] for name in QUERIES]
-    assert found == [f"op{n}" for n in range(1, 11)]
+    assert found == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLE) <= set(entry_points.oracle_sql())
 
