@@ -20,6 +20,8 @@ whose windows suffice, so that a stock phrase in many items and documents stays
 Tokens: a number with inner separators; a currency or percent sign, or a unit right
 after a number; a name; any other word, lower-cased. Line breaks and ``.!?`` end
 sentences and are no tokens. Neighbouring capitalised words form one name.
+Texts of the characters of ``CODEC`` are cut as bytes, all of a slice at once; the others
+one by one by a pattern. Both give the same tokens, kinds and hashes.
 
 Whether a capitalised word is a name cannot be told from the word, so that every text is
 read in several ways, and a pair counts if it does by one of them. Names are the words of
@@ -74,6 +76,10 @@ DIGIT = r"\d"
 TOKEN = "L+(?:['’]L+)*|D+(?:[.,:/]D+)*|[$€£¥%]|[.!?\n]"
 #: Tokens that a worker remembers before it starts anew.
 MEMO_TOKENS = 300_000
+#: One byte a character; a token has one hash, by these bytes if it has them, by UTF-8 if not.
+CODEC = "cp1252"
+#: Tokens of more bytes are hashed one by one.
+LONG_TOKEN = 64
 # Fixed values.
 SIGNS = set("$€£¥%")
 BREAKS = set(".!?\n")
@@ -125,11 +131,10 @@ class TokenTable:
         missed = np.flatnonzero(at < 0)
         if len(missed):
             new = [tokens[i] for i in missed.tolist()]
-            known = list(map(kind_and_hash, new))
             at[missed] = np.arange(len(self.kinds), len(self.kinds) + len(new))
             self.place.update(zip(new, at[missed].tolist()))
-            self.kinds = np.append(self.kinds, np.array([k for k, _ in known], np.int8))
-            self.hashes = np.append(self.hashes, np.array([h for _, h in known], np.uint64))
+            self.kinds = np.append(self.kinds, np.array(list(map(kind_of, new)), np.int8))
+            self.hashes = np.append(self.hashes, hashes_of(new))
         return self.kinds[at], self.hashes[at]
 
 
@@ -138,24 +143,67 @@ def token_table() -> TokenTable:
     return TokenTable()
 
 
-def kind_and_hash(token: str) -> tuple[int, int]:
-    """What a token can be by itself, and the hash of its lower-cased form."""
+def kind_of(token: str) -> int:
+    """What a token can be by itself."""
     first, lower = token[0], token.lower()
     if token in BREAKS:
-        kind = BREAK
-    elif first.isdigit():
-        kind = NUMBER
-    elif token in SIGNS:
-        kind = SIGN
-    elif lower in UNITS:
-        kind = UNIT
-    elif first.isupper() and len(token) > 1 and token[1:].islower():
-        kind = TITLE
-    elif first.isupper():
-        kind = CAPITAL
-    else:
-        kind = PLAIN
-    return kind, xxhash.xxh64_intdigest(lower)
+        return BREAK
+    if first.isdigit():
+        return NUMBER
+    if token in SIGNS:
+        return SIGN
+    if lower in UNITS:
+        return UNIT
+    if first.isupper():
+        return TITLE if len(token) > 1 and token[1:].islower() else CAPITAL
+    return PLAIN
+
+
+MIX, MIX_AGAIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: By length, the bits of a word of eight bytes that hold the first so many bytes.
+HELD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def stirred(total: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """``total`` with one more word each; different words give different results."""
+    total = (total ^ held) * MIX
+    total ^= total >> np.uint64(29)
+    total *= MIX_AGAIN
+    total ^= total >> np.uint64(32)
+    return total
+
+
+def byte_hashes(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of the pieces of ``data`` at ``starts``, eight bytes of all pieces at a time."""
+    words = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
+    out = stirred(lengths.astype(np.uint64), words[starts] & HELD[np.minimum(lengths, 8)])
+    left = np.flatnonzero((lengths > 8) & (lengths <= LONG_TOKEN))
+    done = 8
+    while len(left):
+        held = words[starts[left] + done] & HELD[np.minimum(lengths[left] - done, 8)]
+        out[left] = stirred(out[left], held)
+        done += 8
+        left = left[lengths[left] > done]
+    for i in np.flatnonzero(lengths > LONG_TOKEN).tolist():
+        begin = int(starts[i])
+        out[i] = xxhash.xxh64_intdigest(data[begin : begin + int(lengths[i])])
+    return out
+
+
+def hashes_of(tokens: list[str]) -> np.ndarray:
+    """Hashes of the lower-cased tokens."""
+    out = np.zeros(len(tokens), np.uint64)
+    rows, held = [], []
+    for row, token in enumerate(tokens):
+        lower = token.lower()
+        try:
+            held.append(lower.encode(CODEC))
+            rows.append(row)
+        except UnicodeEncodeError:
+            out[row] = xxhash.xxh64_intdigest(lower)
+    lengths = np.array([len(x) for x in held], np.int64)
+    out[rows] = byte_hashes(b"".join(held), ragged.offsets_of(lengths)[:-1], lengths)
+    return out
 
 
 PLACEHOLDER_HASH = np.zeros(7, np.uint64)
@@ -165,7 +213,21 @@ PLACEHOLDER_HASH[SIGN] = PLACEHOLDER_HASH[UNIT]
 
 
 class Tokens:
-    """The tokens of a slice of texts, one text after the other."""
+    """The tokens of texts, one text after the other."""
+
+    def __init__(self, kinds: np.ndarray, hashes: np.ndarray, counts: np.ndarray):
+        self.kinds, self.hashes, self.n_texts = kinds, hashes, len(counts)
+        self.text = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        self.starts = ragged.offsets_of(counts)[:-1][counts > 0]
+        self.before = np.append(np.int8(BREAK), self.kinds[:-1])[: len(self.kinds)]
+        self.before[self.starts] = BREAK
+
+    def piece(self, at: int) -> str:
+        raise NotImplementedError
+
+
+class FoundTokens(Tokens):
+    """Tokens of any texts, by the pattern."""
 
     def __init__(self, texts: list[str]):
         pieces: list[str] = []
@@ -175,15 +237,110 @@ class Tokens:
             found = (early if is_early(text) else other)(text)
             counts[row] = len(found)
             pieces += found
-        self.distinct, self.which = ragged.distinct(pieces)
-        self.kinds, self.hashes = (
-            column[self.which] for column in token_table().of(self.distinct)
-        )
-        self.n_texts = len(texts)
-        self.text = np.repeat(np.arange(len(texts)), counts)
-        self.starts = ragged.offsets_of(counts)[:-1][counts > 0]
-        self.before = np.append(np.int8(BREAK), self.kinds[:-1])[: len(self.kinds)]
-        self.before[self.starts] = BREAK
+        self._distinct, self._which = ragged.distinct(pieces)
+        kinds, hashes = (column[self._which] for column in token_table().of(self._distinct))
+        super().__init__(kinds, hashes, counts)
+
+    def piece(self, at: int) -> str:
+        return self._distinct[self._which[at]]
+
+
+OTHER, LETTERS, DIGITS, SINGLE, IN_WORD, IN_NUMBER, POINT = range(7)
+
+
+class ByteTables:
+    """By byte of ``CODEC``: what it is in a token, its small letter, its case, the kind it begins."""
+
+    def __init__(self):
+        points = [bytes([byte]).decode(CODEC, "ignore") or "\0" for byte in range(256)]
+        self.classes = bytes(map(self.class_of, points))
+        self.lower = b"".join(c.lower().encode(CODEC) for c in points)
+        self.is_lower = np.array([c.islower() for c in points])
+        self.is_upper = bytes(c.isupper() for c in points)
+        self.begins = np.array([CAPITAL if c.isupper() else kind_of(c) for c in points], np.int8)
+        self.begins[self.begins == UNIT] = PLAIN
+        self.units = np.sort(hashes_of(sorted(UNITS)))
+        self.maybe_unit = np.zeros(1 << 12, bool)
+        self.maybe_unit[self.units >> np.uint64(52)] = True
+
+    @staticmethod
+    def class_of(c: str) -> int:
+        if re.match(LETTER, c):
+            return LETTERS
+        if re.match(DIGIT, c):
+            return DIGITS
+        if c == ".":
+            return POINT
+        if c in SIGNS or c in BREAKS:
+            return SINGLE
+        return IN_WORD if c in "'’" else IN_NUMBER if c in ",:/" else OTHER
+
+
+@lru_cache(maxsize=1)
+def byte_tables() -> ByteTables:
+    return ByteTables()
+
+
+class ByteTokens(Tokens):
+    """Tokens of texts in ``CODEC``, the same as by the pattern.
+
+    Letters in a row form a token, and so do digits. An apostrophe between two letters or one
+    of ``.,:/`` between two digits belongs to them; no piece can begin with one.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        tables = byte_tables()
+        data = b"\0" + b"\0".join(texts) + b"\0"
+        run = np.frombuffer(bytearray(data.translate(tables.classes)), np.uint8)
+        inner = np.flatnonzero(run >= IN_WORD)
+        kind = run[inner]
+        around = np.where(run[inner - 1] == run[inner + 1], run[inner - 1], OTHER)
+        joins = around == np.where(kind == IN_WORD, LETTERS, DIGITS)
+        run[inner] = np.where(joins, around, np.where(kind == POINT, SINGLE, OTHER))
+        single, differs = run == SINGLE, run[1:] != run[:-1]
+        within = run != OTHER
+        begins, ends = within & single, within & single
+        begins[1:] |= within[1:] & differs
+        ends[:-1] |= within[:-1] & differs
+        starts, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        lengths = ends - starts
+        hashes = byte_hashes(data.translate(tables.lower), starts, lengths)
+
+        octets = np.frombuffer(data, np.uint8)
+        kinds = tables.begins[octets[starts]]
+        upper = np.frombuffer(data.translate(tables.is_upper), bool)
+        inside = np.searchsorted(starts, np.flatnonzero(upper & ~begins), "right") - 1
+        small = (kinds == CAPITAL) & (lengths > 1)
+        small[inside] = False
+        small = np.flatnonzero(small)
+        told = tables.is_lower[octets[starts[small] + 1]]
+        kinds[small[told]] = TITLE
+        for at in small[~told].tolist():
+            kinds[at] = kind_of(data[starts[at] : ends[at]].decode(CODEC))
+        maybe = np.flatnonzero(tables.maybe_unit[hashes >> np.uint64(52)])
+        kinds[maybe[np.isin(hashes[maybe], tables.units)]] = UNIT
+
+        sizes = np.array([len(text) + 1 for text in texts], np.int64)
+        counts = np.diff(np.searchsorted(starts, 1 + ragged.offsets_of(sizes)))
+        super().__init__(kinds, hashes, counts)
+        self._data, self._begins, self._ends = data, starts, ends
+
+    def piece(self, at: int) -> str:
+        return self._data[self._begins[at] : self._ends[at]].decode(CODEC)
+
+
+def tokens_of(texts: list[str]) -> list[tuple[Tokens, np.ndarray]]:
+    """The tokens of all texts in two parts, each with the numbers of its texts."""
+    coded, others = ([], []), ([], [])
+    for row, text in enumerate(texts):
+        try:
+            coded[0].append(text.encode(CODEC))
+            coded[1].append(row)
+        except UnicodeEncodeError:
+            others[0].append(text)
+            others[1].append(row)
+    parts = ((ByteTokens, coded), (FoundTokens, others))
+    return [(made(held), np.array(rows, np.int64)) for made, (held, rows) in parts if rows]
 
 
 class Templates:
@@ -209,8 +366,7 @@ class Templates:
         )
         self.counts = np.bincount(self.text, minlength=tokens.n_texts)
         self.bounds = ragged.offsets_of(self.counts)
-        self._distinct, self._which = tokens.distinct, tokens.which
-        self._keep, self._goes_on = keep, goes_on
+        self._piece, self._keep, self._goes_on = tokens.piece, keep, goes_on
 
     def beside(self, place: int, step: int) -> str:
         """The next word of the same text before (-1) or after (1) a slot, or nothing.
@@ -235,32 +391,48 @@ class Templates:
     def value(self, place: int) -> str:
         """What stands in a slot, a name with all its words."""
         at = int(self._keep[place])
-        words = [self._distinct[self._which[at]]]
+        words = [self._piece(at)]
         while at + 1 < len(self._goes_on) and self._goes_on[at + 1]:
             at += 1
-            words.append(self._distinct[self._which[at]])
+            words.append(self._piece(at))
         return " ".join(words).lower()
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, length and hash of every window; a shorter text is one window."""
-        n = len(self.hash)
-        short = (self.counts > 0) & (self.counts < size)
-        lengths = np.where(short, self.counts, np.minimum(self.counts, size))
-        how_many = np.where(short, 1, np.maximum(self.counts - size + 1, 0))
-        starts = ragged.take(np.arange(n), self.bounds[:-1], how_many)
-        length = np.repeat(lengths, how_many)
-        mix = np.uint64(0x9E3779B97F4A7C15)
-        total = (length + (self.reading << 32)).astype(np.uint64) * mix
-        for step in range(size):
-            inside = step < length
-            held = self.hash[np.minimum(starts + step, max(n - 1, 0))] if n else self.hash
-            moved = (total ^ held) * mix
-            total = np.where(inside, moved ^ (moved >> np.uint64(29)), total)
+        """Start and hash of every window and their number by text; a shorter text is one window."""
+        n = max(len(self.hash) - size + 1, 0)
+        whole = self.text[:n] == self.text[size - 1 :][:n]
         if self.reading == ANYWHERE:
-            plain = np.append(0, np.cumsum(self.slot == PLAIN))
-            told = (length == size) & (plain[starts + length] > plain[starts])
-            starts, length, total = starts[told], length[told], total[told]
-        return starts, length, total.view(np.int64)
+            plain = self.slot == PLAIN
+            told = np.zeros(n, bool)
+            for step in range(size):
+                told |= plain[step:][:n]
+            whole &= told
+        total = np.full(n, self.salt(size))
+        for step in range(size):
+            total = woven(total, self.hash[step:][:n])
+        starts, total = np.flatnonzero(whole), total[whole]
+        own = np.bincount(self.text[:n][whole], minlength=len(self.counts))
+        short = np.flatnonzero((self.counts > 0) & (self.counts < size))
+        if len(short) and self.reading != ANYWHERE:
+            own[short] = 1
+            begins, lengths = self.bounds[short], self.counts[short]
+            few = self.salt(lengths)
+            for step in range(size - 1):
+                inside = np.flatnonzero(step < lengths)
+                few[inside] = woven(few[inside], self.hash[begins[inside] + step])
+            starts, total = np.append(starts, begins), np.append(total, few)
+        return starts, total.view(np.int64), own
+
+    def salt(self, length):
+        """What the hash of a window of so many tokens begins with."""
+        return np.asarray(length + (self.reading << 32)).astype(np.uint64) * MIX
+
+
+def woven(total: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """The hashes ``total`` of windows with the next token of each."""
+    total = (total ^ held) * MIX
+    total ^= total >> np.uint64(29)
+    return total
 
 
 WINDOW_FIELDS = (
@@ -290,14 +462,21 @@ class Filter:
     def among(self, hashes: np.ndarray) -> np.ndarray:
         """Where in ``hashes`` one stands that the filter does not rule out."""
         plain = hashes.view(np.uint64)
-        first, step = plain & np.uint64(0xFFFFFFFF), (plain >> np.uint64(32)) | np.uint64(1)
-        left = np.arange(len(hashes))
-        for probe in range(PROBES):
-            bit = (first[left] + np.uint64(probe) * step[left]) & np.uint64((1 << self.power) - 1)
-            held = self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))
-            left = left[(held & np.uint64(1)).astype(bool)]
+        bit = plain & np.uint64(0xFFFFFFFF)
+        left = np.flatnonzero(self.holds(bit))
+        bit, step = bit[left], (plain[left] >> np.uint64(32)) | np.uint64(1)
+        for _ in range(1, PROBES):
+            bit = bit + step
+            held = self.holds(bit)
+            left, bit, step = left[held], bit[held], step[held]
         return left
 
+    def holds(self, bit: np.ndarray) -> np.ndarray:
+        """Whether bits are set, counted round the filter."""
+        bit = bit & np.uint64((1 << self.power) - 1)
+        held = self.words[(bit >> np.uint64(6)).view(np.int64)] >> (bit & np.uint64(63))
+        return (held & np.uint64(1)).astype(bool)
+
 
 def filter_of(hashes: DataFrame, power: int) -> Filter:
     """The filter of a column ``hash``; the driver gets its words, whose number ``power`` bounds."""
@@ -323,44 +502,43 @@ def windows_of(
     The hashes themselves may be given for a filter. Without either all windows are given,
     their slots with roles, as for benchmark items.
     """
-    tokens = Tokens(texts)
     totals = np.zeros(len(texts), np.int64)
     out: list[list[dict]] = [[] for _ in texts]
     seen: set[tuple] = set()
-    for reading in READINGS:
-        templates = Templates(tokens, reading)
-        starts, lengths, hashes = templates.windows(size)
-        owner = templates.text[starts] if len(starts) else starts
-        own = np.bincount(owner, minlength=len(texts))
-        totals += own
-        if asked is None:
-            picked = np.arange(len(starts))
-        elif isinstance(asked, np.ndarray):
-            picked = np.flatnonzero(np.isin(hashes, asked))
-        else:
-            picked = asked.among(hashes)
-        for at in picked.tolist():
-            begin, row = int(starts[at]), int(owner[at])
-            slots = [
-                templates.key(place) if asked is None else templates.value(place)
-                for place in range(begin, begin + int(lengths[at]))
-                if templates.slot[place] != PLAIN
-            ]
-            key = (row, int(hashes[at]), tuple(slots))
-            if asked is not None and key in seen:
-                continue  # a document that repeats a filled window says nothing new by it
-            seen.add(key)
-            place = begin - int(templates.bounds[row])
-            out[row].append(
-                {
-                    "reading": reading,
-                    "n_windows": int(own[row]),
-                    "n_tokens": int(templates.counts[row]),
-                    "hash": key[1],
-                    "place": place,
-                    "slots": slots,
-                }
-            )
+    for tokens, rows in tokens_of(texts):
+        for reading in READINGS:
+            templates = Templates(tokens, reading)
+            starts, hashes, own = templates.windows(size)
+            totals[rows] += own
+            if asked is None:
+                picked = np.arange(len(starts))
+            elif isinstance(asked, np.ndarray):
+                picked = np.flatnonzero(np.isin(hashes, asked))
+            else:
+                picked = asked.among(hashes)
+            for at in picked.tolist():
+                begin = int(starts[at])
+                text = int(templates.text[begin])
+                row, n_tokens = int(rows[text]), int(templates.counts[text])
+                slots = [
+                    templates.key(place) if asked is None else templates.value(place)
+                    for place in range(begin, begin + min(n_tokens, size))
+                    if templates.slot[place] != PLAIN
+                ]
+                key = (row, int(hashes[at]), tuple(slots))
+                if asked is not None and key in seen:
+                    continue  # a document that repeats a filled window says nothing new by it
+                seen.add(key)
+                out[row].append(
+                    {
+                        "reading": reading,
+                        "n_windows": int(own[text]),
+                        "n_tokens": n_tokens,
+                        "hash": key[1],
+                        "place": begin - int(templates.bounds[text]),
+                        "slots": slots,
+                    }
+                )
     return [pa.array(totals, pa.int64()), pa.array(out, WINDOW_TYPE)]
 
 
